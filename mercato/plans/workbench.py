@@ -72,12 +72,15 @@ class _QuestionGold:
     """Gold frames for a question; the category is joined only where it is asked for."""
 
     def __init__(self, w: Workbench, with_category: bool, dated: bool = False):
-        self.order_360 = w.order_360
-        self.customer_daily = w.customer_daily
-        self.channel_campaign_daily = w.channel_campaign_daily
-        self.product_daily = w.product_daily if with_category else w.product_day_facts
-        kpi = w.executive_kpis_daily
-        self.executive_kpis_daily = kpi.withColumn("data_freshness_utc", F.lit(AS_OF).cast("timestamp_ntz")) if dated else kpi
+        self._w, self._with_category, self._dated = w, with_category, dated
+
+    def __getattr__(self, table: str) -> DataFrame:
+        if table == "product_daily" and not self._with_category:
+            return self._w.product_day_facts
+        frame = getattr(self._w, table)
+        if table == "executive_kpis_daily" and self._dated:
+            frame = frame.withColumn("data_freshness_utc", F.lit(AS_OF).cast("timestamp_ntz"))
+        return frame
 
 
 _BY_CATEGORY = {"q06_revenue_by_category", "q18_category_refund"}

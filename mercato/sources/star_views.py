@@ -11,316 +11,242 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-MONEY = "decimal(14,2)"
+from ..session import apply_settings
 
-
-def _text(name: str) -> Column:
-    return F.col(name).cast("string")
-
-
-def _days(n) -> Column:
-    return F.make_dt_interval(days=F.lit(n) if isinstance(n, int) else n)
-
-
-def _hours(n) -> Column:
-    return F.make_dt_interval(hours=F.lit(n) if isinstance(n, int) else n)
-
-
-def _copies(*kinds: tuple[Column | None, object]) -> Column:
-    """One element per kind whose condition holds (``None`` = always)."""
-    values = [F.lit(v) if c is None else F.when(c, F.lit(v)) for c, v in kinds]
-    return F.explode(F.array_compact(F.array(*values)))
+# Declared, so that no job is started to infer a schema.
+TABLES = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+}
 
 
 class StarViews:
     """Silver-shaped retail tables over one folder of star-schema Parquet files."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        self.spark = spark
+        self.spark = apply_settings(spark)
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
 
     # ---- operational ----------------------------------------------------
     @cached_property
     def orders(self) -> DataFrame:
         """One row per order plus a later RETURNED version of every twentieth."""
-        key = F.col("o_orderkey")
-        src = self.table("orders").withColumn("copy", _copies((None, 0), (key % 20 == 0, 1)))
-        late = F.col("copy") == 1
-        status = (
-            F.when(late, "RETURNED")
-            .when(F.col("o_orderstatus") == "F", "COMPLETED")
-            .when(F.col("o_orderstatus") == "O", "PENDING")
-            .otherwise("CANCELLED")
-        )
-        updated = F.col("o_orderdate") + F.when(late, _days(9)).otherwise(_days(1))
-        return src.select(
-            _text("o_orderkey").alias("order_id"),
-            _text("o_custkey").alias("customer_id"),
-            F.col("o_orderpriority").alias("sales_channel"),
-            F.when(key % 4 != 0, (key % 12).cast("string")).alias("store_id"),
-            status.alias("status"),
-            F.col("o_orderdate").alias("ordered_at_utc"),
-            updated.alias("updated_at_utc"),
-            (updated + _days(1)).alias("ingested_at_utc"),
-            (key % 25).cast(MONEY).alias("shipping_revenue"),
-            F.when(late, F.concat(F.lit("dup-"), _text("o_orderkey")))
-            .otherwise(_text("o_orderkey"))
-            .alias("source_row_id"),
+        src = self.table("orders").selectExpr(
+            "*", "explode(array_compact(array(1, if(o_orderkey % 20 = 0, 9, NULL)))) AS age"
+        )
+        return src.selectExpr(
+            "string(o_orderkey) AS order_id",
+            "string(o_custkey) AS customer_id",
+            "o_orderpriority AS sales_channel",
+            "if(o_orderkey % 4 = 0, NULL, string(o_orderkey % 12)) AS store_id",
+            """CASE WHEN age = 9 THEN 'RETURNED' WHEN o_orderstatus = 'F' THEN 'COMPLETED'
+                    WHEN o_orderstatus = 'O' THEN 'PENDING' ELSE 'CANCELLED' END AS status""",
+            "o_orderdate AS ordered_at_utc",
+            "o_orderdate + make_dt_interval(age) AS updated_at_utc",
+            "o_orderdate + make_dt_interval(age + 1) AS ingested_at_utc",
+            "(o_orderkey % 25)::decimal(14,2) AS shipping_revenue",
+            "concat(if(age = 9, 'dup-', ''), string(o_orderkey)) AS source_row_id",
         )
 
     @cached_property
     def order_items(self) -> DataFrame:
-        units = F.col("l_quantity").cast("bigint")
-        flip = (F.col("l_orderkey") + F.col("l_linenumber")) % 97 == 0
-        price = F.col("l_extendedprice").cast(MONEY)
-        return self.table("lineitem").select(
-            F.concat(_text("l_orderkey"), F.lit("-"), _text("l_linenumber")).alias("order_item_id"),
-            _text("l_orderkey").alias("order_id"),
-            _text("l_partkey").alias("product_id"),
-            F.when(flip, -units).otherwise(units).alias("quantity"),
-            price.alias("unit_price"),
-            (price * F.col("l_discount").cast("decimal(4,2)")).cast(MONEY).alias("item_discount_amount"),
-            F.concat_ws("-", _text("l_partkey"), _text("l_suppkey"), F.col("l_quantity").cast("int").cast("string"))
-            .alias("source_row_id"),
+        return self.table("lineitem").selectExpr(
+            "concat(l_orderkey, '-', l_linenumber) AS order_item_id",
+            "string(l_orderkey) AS order_id",
+            "string(l_partkey) AS product_id",
+            "if((l_orderkey + l_linenumber) % 97 = 0, -1, 1) * bigint(l_quantity) AS quantity",
+            "l_extendedprice::decimal(14,2) AS unit_price",
+            "(l_extendedprice::decimal(14,2) * l_discount::decimal(4,2))::decimal(14,2) AS item_discount_amount",
+            "concat(l_partkey, '-', l_suppkey, '-', int(l_quantity)) AS source_row_id",
         )
 
     @cached_property
     def order_promotions(self) -> DataFrame:
-        pct = F.round(F.col("l_discount") * 100, 0).cast("int").cast("string")
-        return (
-            self.table("lineitem")
-            .filter(F.col("l_discount") >= 0.08)
-            .select(
-                _text("l_orderkey").alias("order_id"),
-                F.concat(F.lit("PR-"), pct).alias("promotion_id"),
-                (F.col("l_extendedprice").cast(MONEY) * F.col("l_discount").cast("decimal(4,2)"))
-                .cast(MONEY).alias("discount_amount"),
-            )
+        return self.table("lineitem").filter("l_discount >= 0.08D").selectExpr(
+            "string(l_orderkey) AS order_id",
+            "concat('PR-', int(round(l_discount * 100, 0))) AS promotion_id",
+            "(l_extendedprice::decimal(14,2) * l_discount::decimal(4,2))::decimal(14,2) AS discount_amount",
         )
 
     @cached_property
     def customers(self) -> DataFrame:
         """Customers in debt are missing from the master, so their orders are orphans."""
-        return (
-            self.table("customer")
-            .filter(F.col("c_acctbal") >= 0)
-            .select(
-                _text("c_custkey").alias("customer_id"),
-                _text("c_nationkey").alias("city_id"),
-                F.col("c_mktsegment").alias("customer_segment"),
-                F.concat(F.lit("c-"), _text("c_custkey")).alias("source_row_id"),
-            )
+        return self.table("customer").filter("c_acctbal >= 0").selectExpr(
+            "string(c_custkey) AS customer_id", "string(c_nationkey) AS city_id",
+            "c_mktsegment AS customer_segment", "concat('c-', c_custkey) AS source_row_id",
         )
 
     @cached_property
     def customer_profiles(self) -> DataFrame:
         """Two versions per customer, and an overlapping third for rich customers."""
-        src = self.table("customer").withColumn(
-            "version", _copies((None, 1), (None, 2), (F.col("c_acctbal") > 5000, 3))
+        src = self.table("customer").selectExpr(
+            "*", "explode(array_compact(array(1, 2, if(c_acctbal > 5000, 3, NULL)))) AS version"
         )
-        version = F.col("version")
-        starts = F.when(version == 1, "1994-01-01").when(version == 2, "1997-06-15").otherwise("1997-01-01")
-        ends = F.when(version == 1, "1997-06-15").when(version == 3, "1999-01-01")
-        return src.select(
-            _text("c_custkey").alias("customer_id"),
-            _text("c_nationkey").alias("city_id"),
-            F.when(version == 1, F.col("c_mktsegment")).when(version == 2, "LOYAL").otherwise("TRIAL")
-            .alias("customer_segment"),
-            starts.cast("timestamp_ntz").alias("valid_from_utc"),
-            ends.cast("timestamp_ntz").alias("valid_to_utc"),
-            F.concat_ws("-", F.lit("v"), version.cast("string"), _text("c_custkey")).alias("source_row_id"),
+        return src.selectExpr(
+            "string(c_custkey) AS customer_id",
+            "string(c_nationkey) AS city_id",
+            "CASE version WHEN 1 THEN c_mktsegment WHEN 2 THEN 'LOYAL' ELSE 'TRIAL' END AS customer_segment",
+            """CASE version WHEN 1 THEN TIMESTAMP_NTZ '1994-01-01' WHEN 2 THEN TIMESTAMP_NTZ '1997-06-15'
+                    ELSE TIMESTAMP_NTZ '1997-01-01' END AS valid_from_utc""",
+            """CASE version WHEN 1 THEN TIMESTAMP_NTZ '1997-06-15'
+                    WHEN 3 THEN TIMESTAMP_NTZ '1999-01-01' END AS valid_to_utc""",
+            "concat('v-', version, '-', c_custkey) AS source_row_id",
         )
 
     @cached_property
     def products(self) -> DataFrame:
-        return self.table("part").select(
-            _text("p_partkey").alias("product_id"),
-            F.concat(F.lit("SKU-"), _text("p_partkey")).alias("sku"),
-            F.col("p_name").alias("product_name"),
-            F.col("p_retailprice").cast(MONEY).alias("unit_price"),
-            _text("p_partkey").alias("source_row_id"),
+        return self.table("part").selectExpr(
+            "string(p_partkey) AS product_id", "concat('SKU-', p_partkey) AS sku", "p_name AS product_name",
+            "p_retailprice::decimal(14,2) AS unit_price", "string(p_partkey) AS source_row_id",
         )
 
     @cached_property
     def product_categories(self) -> DataFrame:
         """Two versions per product; every tenth has a stale copy of the second."""
-        src = self.table("part").withColumn(
-            "kind", _copies((None, "first"), (None, "second"), (F.col("p_partkey") % 10 == 0, "stale"))
+        src = self.table("part").selectExpr(
+            "*", "explode(array_compact(array('first', 'second', if(p_partkey % 10 = 0, 'stale', NULL)))) AS kind"
         )
-        first = F.col("kind") == "first"
-        stale = F.col("kind") == "stale"
-        return src.select(
-            _text("p_partkey").alias("product_id"),
-            F.when(first, F.col("p_type")).when(stale, "STALE").otherwise(F.col("p_brand")).alias("category_name"),
-            F.when(first, "1995-01-01").otherwise("1998-01-01").cast("date").alias("valid_from_utc"),
-            F.when(first, "1998-01-01").cast("date").alias("valid_to_utc"),
-            F.concat(F.when(first, "").when(stale, "a").otherwise("b"), _text("p_partkey")).alias("source_row_id"),
+        return src.selectExpr(
+            "string(p_partkey) AS product_id",
+            "CASE kind WHEN 'first' THEN p_type WHEN 'stale' THEN 'STALE' ELSE p_brand END AS category_name",
+            "if(kind = 'first', DATE '1995-01-01', DATE '1998-01-01') AS valid_from_utc",
+            "if(kind = 'first', DATE '1998-01-01', NULL) AS valid_to_utc",
+            "concat(CASE kind WHEN 'first' THEN '' WHEN 'stale' THEN 'a' ELSE 'b' END, p_partkey) AS source_row_id",
         )
 
     @cached_property
     def cities(self) -> DataFrame:
-        return self.table("nation").select(
-            _text("n_nationkey").alias("city_id"),
-            F.col("n_name").alias("city_name"),
-            _text("n_regionkey").alias("country"),
+        return self.table("nation").selectExpr(
+            "string(n_nationkey) AS city_id", "n_name AS city_name", "string(n_regionkey) AS country"
         )
 
     # ---- events ---------------------------------------------------------
     @cached_property
     def payment_events(self) -> DataFrame:
         """Authorisation, captures (some split, repeated or zero) and failures."""
-        key, state, rank = F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_orderpriority")
-        unpaid = (state == "O") & (rank == "4-NOT SPECIFIED")
-        captured = ~unpaid & ((state != "P") | (rank == "1-URGENT"))
-        src = self.table("orders").withColumn(
-            "kind",
-            _copies(
-                (~unpaid, "auth"),
-                (captured, "cap1"),
-                (captured & (key % 11 == 0), "cap1"),
-                (captured & (key % 5 == 0), "cap2"),
-                ((state == "P") & (rank == "2-HIGH"), "fail"),
-            ),
-        )
-        kind = F.col("kind")
-        total = F.col("o_totalprice").cast(MONEY)
-        half = (total * F.lit("0.5").cast("decimal(2,1)")).cast(MONEY)
-        zero = F.lit(0).cast(MONEY)
-        amount = (
-            F.when(kind == "auth", total)
-            .when((kind == "fail") | (key % 101 == 0), zero)
-            .when(key % 5 == 0, half)
-            .otherwise(total)
+        src = (
+            self.table("orders")
+            .filter("NOT (o_orderstatus = 'O' AND o_orderpriority = '4-NOT SPECIFIED')")
+            .selectExpr(
+                "*",
+                "(o_orderstatus <> 'P' OR o_orderpriority = '1-URGENT') AS captured",
+                "(o_orderstatus = 'P' AND o_orderpriority = '2-HIGH') AS failed",
+                "o_totalprice::decimal(14,2) AS total",
+            )
+            .selectExpr(
+                "*",
+                """explode(array_compact(array('auth', if(captured, 'cap1', NULL),
+                     if(captured AND o_orderkey % 11 = 0, 'cap1', NULL),
+                     if(captured AND o_orderkey % 5 = 0, 'cap2', NULL), if(failed, 'fail', NULL)))) AS kind""",
+            )
         )
-        lag = F.when(kind == "auth", 0).when(kind == "cap1", 1).when(kind == "cap2", 2).otherwise(3)
-        occurred = F.col("o_orderdate") + _hours(lag)
-        return src.select(
-            F.concat(kind, F.lit("-"), _text("o_orderkey")).alias("event_id"),
-            F.when(kind == "auth", "PAYMENT_AUTHORIZED").when(kind == "fail", "PAYMENT_FAILED")
-            .otherwise("PAYMENT_CAPTURED").alias("event_type"),
-            occurred.alias("occurred_at_utc"),
-            _text("o_orderkey").alias("order_id"),
-            F.concat(F.lit("PAY-"), _text("o_orderkey")).alias("payment_id"),
-            amount.alias("amount"),
+        return src.selectExpr(
+            "concat(kind, '-', o_orderkey) AS event_id",
+            """CASE kind WHEN 'auth' THEN 'PAYMENT_AUTHORIZED' WHEN 'fail' THEN 'PAYMENT_FAILED'
+                    ELSE 'PAYMENT_CAPTURED' END AS event_type""",
+            """o_orderdate + make_dt_interval(0, CASE kind WHEN 'auth' THEN 0 WHEN 'cap1' THEN 1
+                    WHEN 'cap2' THEN 2 ELSE 3 END) AS occurred_at_utc""",
+            "string(o_orderkey) AS order_id",
+            "concat('PAY-', o_orderkey) AS payment_id",
+            """CASE WHEN kind = 'auth' THEN total WHEN kind = 'fail' OR o_orderkey % 101 = 0 THEN 0::decimal(14,2)
+                    WHEN o_orderkey % 5 = 0 THEN (total * 0.5)::decimal(14,2) ELSE total END AS amount""",
         )
 
     @cached_property
     def refund_events(self) -> DataFrame:
         """Refunds of returned lines; third lines arrive twice."""
-        src = (
-            self.table("lineitem")
-            .filter(F.col("l_returnflag") == "R")
-            .withColumn("copy", _copies((None, 0), (F.col("l_linenumber") == 3, 1)))
+        src = self.table("lineitem").filter("l_returnflag = 'R'").selectExpr(
+            "*", "explode(if(l_linenumber = 3, array(0, 1), array(0))) AS copy"
         )
-        line = F.concat_ws("-", _text("l_orderkey"), _text("l_linenumber"))
-        occurred = F.col("l_shipdate") + _days(5)
-        return src.select(
-            F.concat(F.lit("rf-"), line, F.lit("-"), (F.col("l_partkey") % 2).cast("string")).alias("event_id"),
-            F.when(F.col("l_linestatus") == "F", "REFUND_COMPLETED").otherwise("REFUND_REQUESTED")
-            .alias("event_type"),
-            occurred.alias("occurred_at_utc"),
-            (occurred + _days(F.col("l_suppkey").cast("int") % 3)).alias("ingested_at_utc"),
-            _text("l_orderkey").alias("order_id"),
-            F.concat(F.lit("RF-"), line).alias("refund_id"),
-            (F.col("l_extendedprice").cast(MONEY) * F.lit("0.5").cast("decimal(2,1)")).cast(MONEY).alias("amount"),
+        return src.selectExpr(
+            "concat('rf-', l_orderkey, '-', l_linenumber, '-', l_partkey % 2) AS event_id",
+            "if(l_linestatus = 'F', 'REFUND_COMPLETED', 'REFUND_REQUESTED') AS event_type",
+            "l_shipdate + INTERVAL 5 DAY AS occurred_at_utc",
+            "l_shipdate + make_dt_interval(5 + int(l_suppkey % 3)) AS ingested_at_utc",
+            "string(l_orderkey) AS order_id",
+            "concat('RF-', l_orderkey, '-', l_linenumber) AS refund_id",
+            "(l_extendedprice::decimal(14,2) * 0.5)::decimal(14,2) AS amount",
         )
 
     @cached_property
     def return_events(self) -> DataFrame:
-        return (
-            self.table("lineitem")
-            .filter((F.col("l_returnflag") == "R") & (F.col("l_quantity") > 25))
-            .select(
-                F.concat_ws("-", F.lit("rt"), _text("l_orderkey"), _text("l_linenumber"), F.col("l_linestatus"))
-                .alias("event_id"),
-                F.when(F.col("l_linestatus") == "F", "RETURN_COMPLETED").otherwise("RETURN_REQUESTED")
-                .alias("event_type"),
-                (F.col("l_shipdate") + _days(3)).alias("occurred_at_utc"),
-                _text("l_orderkey").alias("order_id"),
-                F.concat(F.lit("RET-"), _text("l_orderkey")).alias("return_id"),
-            )
+        return self.table("lineitem").filter("l_returnflag = 'R' AND l_quantity > 25").selectExpr(
+            "concat('rt-', l_orderkey, '-', l_linenumber, '-', l_linestatus) AS event_id",
+            "if(l_linestatus = 'F', 'RETURN_COMPLETED', 'RETURN_REQUESTED') AS event_type",
+            "l_shipdate + INTERVAL 3 DAY AS occurred_at_utc",
+            "string(l_orderkey) AS order_id",
+            "concat('RET-', l_orderkey) AS return_id",
         )
 
     @cached_property
     def support_events(self) -> DataFrame:
-        key = F.col("o_orderkey")
-        return (
-            self.table("orders")
-            .filter(F.col("o_orderpriority") == "1-URGENT")
-            .select(
-                F.concat(F.lit("su-"), _text("o_orderkey")).alias("event_id"),
-                F.when(F.col("o_orderstatus") == "P", "SUPPORT_TICKET_CLOSED").otherwise("SUPPORT_TICKET_CREATED")
-                .alias("event_type"),
-                (F.col("o_orderdate") + _hours(6)).alias("occurred_at_utc"),
-                _text("o_custkey").alias("customer_id"),
-                _text("o_orderkey").alias("order_id"),
-                F.when(key % 3 != 0, F.concat(F.lit("T"), _text("o_orderkey"))).alias("ticket_id"),
-            )
+        return self.table("orders").filter("o_orderpriority = '1-URGENT'").selectExpr(
+            "concat('su-', o_orderkey) AS event_id",
+            "if(o_orderstatus = 'P', 'SUPPORT_TICKET_CLOSED', 'SUPPORT_TICKET_CREATED') AS event_type",
+            "o_orderdate + INTERVAL 6 HOUR AS occurred_at_utc",
+            "string(o_custkey) AS customer_id",
+            "string(o_orderkey) AS order_id",
+            "if(o_orderkey % 3 = 0, NULL, concat('T', o_orderkey)) AS ticket_id",
         )
 
     @cached_property
     def web_events(self) -> DataFrame:
         """Four consecutive events per order; purchases and clicks name it."""
-        number = F.col("event_id")
-        hit = F.regexp_extract("props", "[0-9]+", 0).cast("int")
-        order_key = F.floor(number / 4)
-        events = self.table("events").select("event_id", "event_type", "user_id", "props")
+        hits = self.table("events").selectExpr(
+            "event_id", "event_type", "user_id", "int(regexp_extract(props, '[0-9]+', 0)) AS hit",
+            "event_id DIV 4 AS web_order",
+        )
         orders = self.table("orders").select("o_orderkey", "o_orderdate")
-        return events.join(orders, orders["o_orderkey"] == order_key).select(
-            number.cast("string").alias("event_id"),
+        return hits.join(orders, hits["web_order"] == orders["o_orderkey"]).selectExpr(
+            "string(event_id) AS event_id",
             "event_type",
-            (F.col("o_orderdate") - _days(1) + _hours((number % 3).cast("int"))).alias("occurred_at_utc"),
-            F.when(F.col("event_type").isin("purchase", "click"), _text("o_orderkey")).alias("order_id"),
-            _text("user_id").alias("customer_id"),
-            F.when(hit % 5 != 0, F.concat(F.lit("CMP-"), (hit % 8).cast("string"))).alias("campaign_id"),
-            F.when(number % 2 == 0, "WEB").otherwise("MOBILE").alias("channel"),
-            F.concat_ws("-", _text("user_id"), (number % 6).cast("string")).alias("session_id"),
+            "o_orderdate + make_dt_interval(-1, int(event_id % 3)) AS occurred_at_utc",
+            "if(event_type IN ('purchase', 'click'), string(o_orderkey), NULL) AS order_id",
+            "string(user_id) AS customer_id",
+            "if(hit % 5 = 0, NULL, concat('CMP-', hit % 8)) AS campaign_id",
+            "if(event_id % 2 = 0, 'WEB', 'MOBILE') AS channel",
+            "concat(user_id, '-', event_id % 6) AS session_id",
         )
 
     # ---- inventory and campaign reference -------------------------------
     @cached_property
     def inventory_snapshots(self) -> DataFrame:
         """A count on every ship date, and for open lines also on the order date."""
-        lines = self.table("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_linestatus", "l_shipdate")
-        orders = self.table("orders").select("o_orderkey", "o_orderdate")
-        part, supp = F.col("l_partkey"), F.col("l_suppkey")
-        shipped = lines.select(
-            _text("l_partkey").alias("product_id"),
-            (supp % 3).cast("string").alias("location_id"),
-            F.col("l_shipdate").alias("snapshot_date"),
-            ((part * 7 + supp) % 40 - 8).cast("bigint").alias("available_quantity"),
-            F.col("l_linenumber").cast("bigint").alias("reserved_quantity"),
+        lines = self.table("lineitem")
+        shipped = lines.selectExpr(
+            "string(l_partkey) AS product_id",
+            "string(l_suppkey % 3) AS location_id",
+            "l_shipdate AS snapshot_date",
+            "(l_partkey * 7 + l_suppkey) % 40 - 8 AS available_quantity",
+            "bigint(l_linenumber) AS reserved_quantity",
         )
-        opened = (
-            lines.filter(F.col("l_linestatus") == "O")
-            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .select(
-                _text("l_partkey").alias("product_id"),
-                F.lit("0").alias("location_id"),
-                F.col("o_orderdate").alias("snapshot_date"),
-                ((part + F.col("o_orderkey")) % 30 - 5).cast("bigint").alias("available_quantity"),
-                F.lit(1).cast("bigint").alias("reserved_quantity"),
-            )
+        orders = self.table("orders").select("o_orderkey", "o_orderdate")
+        opened = lines.filter("l_linestatus = 'O'").join(orders, lines["l_orderkey"] == orders["o_orderkey"]).selectExpr(
+            "string(l_partkey) AS product_id",
+            "'0' AS location_id",
+            "o_orderdate AS snapshot_date",
+            "(l_partkey + o_orderkey) % 30 - 5 AS available_quantity",
+            "1L AS reserved_quantity",
         )
         return shipped.unionByName(opened)
 
     @cached_property
     def campaign_spend(self) -> DataFrame:
-        key = F.col("o_orderkey")
-        return (
-            self.table("orders")
-            .select(
-                F.col("o_orderdate").cast("date").alias("spend_date"),
-                F.concat(F.lit("CMP-"), (key % 9).cast("string")).alias("campaign_id"),
-                F.when(key % 2 == 0, "WEB").otherwise("MOBILE").alias("channel"),
-                F.when(key % 17 == 0, 0).otherwise(50 + key % 400).cast(MONEY).alias("spend_amount"),
-            )
-            .distinct()
-        )
+        return self.table("orders").selectExpr(
+            "date(o_orderdate) AS spend_date",
+            "concat('CMP-', o_orderkey % 9) AS campaign_id",
+            "if(o_orderkey % 2 = 0, 'WEB', 'MOBILE') AS channel",
+            "if(o_orderkey % 17 = 0, 0, 50 + o_orderkey % 400)::decimal(14,2) AS spend_amount",
+        ).distinct()

@@ -32,11 +32,21 @@ _MEASURES = [
     "gross_merchandise_value", "discount_amount", "shipping_revenue", "captured_payment_amount", "refunded_amount",
     "net_revenue", "item_count", "unit_quantity", "promotion_count",
 ]
+
+
+def _quartile(c: str, p: float) -> str:
+    """Linear interpolation between the two neighbouring ranks, written out."""
+    at = f"({p} * (n - 1))"
+    pick = f"max(CASE WHEN rn = {{}} THEN CAST({c} AS DOUBLE) END)"
+    lo, hi = pick.format(f"CAST(floor({at}) AS BIGINT)"), pick.format(f"CAST(ceil({at}) AS BIGINT)")
+    return f"{lo} + ({hi} - {lo}) * max({at} - floor({at}))"
+
+
 _PROFILE = " UNION ALL ".join(
     f"""SELECT '{c}' AS metric, count({c}) AS count, {_mean(c)} AS mean,
-  sqrt((CAST(sum(CAST({c} AS DECIMAL(18,2)) * CAST({c} AS DECIMAL(18,2))) AS DOUBLE) - CAST(sum({c}) AS DOUBLE) * CAST(sum({c}) AS DOUBLE) / CAST(count({c}) AS DOUBLE)) / (CAST(count({c}) AS DOUBLE) - 1)) AS stddev,
-  CAST(min({c}) AS DOUBLE) AS min, quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q25, quantile_cont(CAST({c} AS DOUBLE), 0.5) AS q50,
-  quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q75, CAST(max({c}) AS DOUBLE) AS max FROM o360"""
+  sqrt((CAST(sum(CAST({c} AS DECIMAL(19,2)) * CAST({c} AS DECIMAL(19,2))) AS DOUBLE) - CAST(sum({c}) AS DOUBLE) * CAST(sum({c}) AS DOUBLE) / CAST(count({c}) AS DOUBLE)) / (CAST(count({c}) AS DOUBLE) - 1)) AS stddev,
+  CAST(min({c}) AS DOUBLE) AS min, {_quartile(c, 0.25)} AS q25, {_quartile(c, 0.5)} AS q50, {_quartile(c, 0.75)} AS q75, CAST(max({c}) AS DOUBLE) AS max
+FROM (SELECT {c}, row_number() OVER (ORDER BY {c}) - 1 AS rn, count(*) OVER () AS n FROM o360 WHERE {c} IS NOT NULL)"""
     for c in _MEASURES
 )
 _TABLES = {
