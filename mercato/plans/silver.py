@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import canonical, reasons, utc
 from ..operators.versions import latest_by
-from ..schemas import MONEY, STATUS_ALIASES, Reference, Source
+from ..schemas import STATUS_ALIASES, Reference, Source
 
 LINEAGE = ["record_sha", "file_name", "run_id"]
 
@@ -51,13 +51,8 @@ def _typed(name: str, kind: str, zone: str) -> Column:
     return text.try_cast(kind)
 
 
-def checked(
-    bronze: DataFrame, source: Source, orphans: Mapping[str, DataFrame] | None = None, zone: str = "UTC"
-) -> DataFrame:
-    """Typed columns plus ``_reasons``, empty for acceptable records.
-
-    ``orphans`` maps a column to the one-column frame of its unknown keys.
-    """
+def checked(bronze: DataFrame, source: Source, zone: str = "UTC") -> DataFrame:
+    """Typed columns plus ``_reasons``, empty for records that are fine by themselves."""
     text = flatten(bronze, source)
     typed = text.select(
         *[_typed(c, kind, zone).alias(c) for c, kind in source.columns.items()],
@@ -73,13 +68,21 @@ def checked(
         for c in source.required
     ]
     rules += [(F.col(c) < 0, f"negative_{c}") for c in source.not_negative]
-    for column, unknown in (orphans or {}).items():
-        marked = unknown.select(F.col(column).alias(f"_unknown_{column}"))
-        typed = typed.join(marked, F.col(column) == F.col(f"_unknown_{column}"), "left")
-        rules.append((F.col(f"_unknown_{column}").isNotNull(), f"unknown_{column}"))
     return typed.select(*source.silver_columns, "ingested_at_utc", "raw", *LINEAGE, reasons(*rules).alias("_reasons"))
 
 
+def mark_unknown(rows: DataFrame, orphans: Mapping[str, DataFrame]) -> DataFrame:
+    """Add ``unknown_<column>`` to the reasons of rows whose key is in ``orphans[column]``."""
+    columns = rows.columns
+    for column, unknown in orphans.items():
+        found = unknown.select(F.col(column).alias("_unknown"))
+        extra = F.array_compact(F.array(F.when(F.col("_unknown").isNotNull(), F.lit(f"unknown_{column}"))))
+        rows = rows.join(found, F.col(column) == F.col("_unknown"), "left").withColumn(
+            "_reasons", F.concat("_reasons", extra)
+        ).select(*columns)
+    return rows
+
+
 def orphan_keys(facts: DataFrame, reference: Reference, target: DataFrame) -> DataFrame:
     """Keys of ``facts`` that the referenced table does not know, with their row counts.
 
@@ -117,25 +120,20 @@ def rejected(rows: DataFrame, table: str, source: Source) -> DataFrame:
 # ---- the same rules over already typed tables ------------------------------
 def item_rejects(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """(table, record, reason) for order items that silver refuses."""
-    unknown_order = orphan_keys(items, Reference("order_id", "orders", "order_id"), orders)
-    unknown_product = orphan_keys(items, Reference("product_id", "products", "product_id"), products)
-    marked = (
-        items.join(unknown_order.select(F.col("order_id").alias("_o")), F.col("order_id") == F.col("_o"), "left")
-        .join(unknown_product.select(F.col("product_id").alias("_p")), F.col("product_id") == F.col("_p"), "left")
+    found = reasons((F.col("quantity") < 0, "negative_quantity"))
+    marked = mark_unknown(
+        items.select("order_item_id", "order_id", "product_id", found.alias("_reasons")),
+        {
+            "order_id": orphan_keys(items, Reference("order_id", "orders", "order_id"), orders),
+            "product_id": orphan_keys(items, Reference("product_id", "products", "product_id"), products),
+        },
     )
-    found = reasons(
-        (F.col("quantity") < 0, "negative_quantity"),
-        (F.col("_o").isNotNull(), "unknown_order_id"),
-        (F.col("_p").isNotNull(), "unknown_product_id"),
+    return marked.select(
+        F.lit("order_items").alias("table_name"), F.col("order_item_id").alias("record_id"), F.explode("_reasons").alias("reason")
     )
-    return marked.select(F.lit("order_items").alias("table_name"), F.col("order_item_id").alias("record_id"), F.explode(found).alias("reason"))
 
 
 def clean_items(items: DataFrame) -> DataFrame:
     """Items silver keeps: no negative quantity, one row per item id."""
     good = items.filter((F.col("quantity") >= 0) & F.col("order_item_id").isNotNull())
     return latest_by(good, ["order_item_id"], [], ["source_row_id"])
-
-
-def money(column: str) -> Column:
-    return F.col(column).try_cast(MONEY)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import metrics as m
 from ..operators import checks as c
 from ..sources.star_views import StarViews
-from . import campaigns, checks, customers, enriched, kpis, orders, products, questions
+from . import campaigns, checks, customers, enriched, kpis, landing, orders, products, questions
 
 AS_OF = datetime(2002, 1, 1)
 
@@ -254,4 +254,6 @@ PLANS: dict[str, Callable[[Workbench], DataFrame]] = {
     "duplicate_customers": lambda w: c.duplicates(w.v.customer_profiles, ["customer_id"]),
     "duplicate_categories": lambda w: c.duplicates(w.v.product_categories, ["product_id"]),
     "missing_snapshots": lambda w: checks.missing_snapshots(w.v.inventory_snapshots),
+    # bronze, silver and streaming over landed files
+    **landing.LANDING,
 }

@@ -107,7 +107,7 @@ SOURCES: dict[str, Source] = {
          "ordered_at_utc": "time", "updated_at_utc": "time", "shipping_revenue": MONEY, "source_row_id": "string"},
         record_id="order_id", required=("order_id", "customer_id", "sales_channel", "ordered_at_utc", "updated_at_utc"),
         unique_by=("order_id",), newest=("updated_at_utc", "ingested_at_utc"),
-        references=(_CUSTOMER,), statuses=("status", "sales_channel")),
+        references=(_CUSTOMER,), statuses=("status",)),
     "order_items": Source(
         "operational/order_items.json",
         {"order_item_id": "string", "order_id": "string", "product_id": "string", "quantity": "bigint", "unit_price": MONEY,

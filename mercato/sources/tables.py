@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..schemas import gold_contract
+
 
 class LayerStore:
     """Tables of one run under ``root/runs/<run_id>/<layer>/<table>``.
@@ -30,10 +30,12 @@ class LayerStore:
         target = self.path(layer, table)
         writer = df.hint("rebalance", by_date).write.partitionBy(by_date) if by_date else df.write
         writer.mode("overwrite").parquet(target)
-        return self.read(layer, table).select(*df.columns)
+        return self.read(layer, table, df.schema)
 
-    def read(self, layer: str, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, table))
+    def read(self, layer: str, table: str, schema=None) -> DataFrame:
+        if schema is None:
+            return self.spark.read.parquet(self.path(layer, table))
+        return self.spark.read.schema(schema).parquet(self.path(layer, table)).select(*schema.fieldNames())
 
     def publish(self, at) -> None:
         record = self.spark.createDataFrame([(self.run_id, at)], "run_id string, published_at timestamp")
@@ -59,23 +61,9 @@ class GoldTables:
 
     def __init__(self, spark: SparkSession, root: str, run_id: str | None = None):
         self._store = LayerStore(spark, root, run_id or current_run(spark, root))
+        self._contract = gold_contract()
 
-    @cached_property
-    def order_360(self) -> DataFrame:
-        return self._store.read("gold", "order_360")
-
-    @cached_property
-    def customer_daily(self) -> DataFrame:
-        return self._store.read("gold", "customer_daily")
-
-    @cached_property
-    def product_daily(self) -> DataFrame:
-        return self._store.read("gold", "product_daily")
-
-    @cached_property
-    def channel_campaign_daily(self) -> DataFrame:
-        return self._store.read("gold", "channel_campaign_daily")
-
-    @cached_property
-    def executive_kpis_daily(self) -> DataFrame:
-        return self._store.read("gold", "executive_kpis_daily")
+    def __getattr__(self, table: str) -> DataFrame:
+        if table not in self._contract:
+            raise AttributeError(table)
+        return self._store.read("gold", table, self._contract[table].schema)

@@ -297,4 +297,38 @@ FROM r_orders GROUP BY sales_channel""",
   CAST(next_day - day - 1 AS INT) AS missing_days
 FROM (SELECT product_id, day, lead(day) OVER (PARTITION BY product_id ORDER BY day) AS next_day
   FROM (SELECT DISTINCT product_id, CAST(snapshot_date AS DATE) AS day FROM r_inventory_snapshots)) WHERE next_day - day > 1""",
+    # bronze, silver and streaming
+    "bronze_json_scan": "SELECT * FROM r_return_events",
+    "bronze_csv_scan": "SELECT * FROM r_campaign_spend",
+    "bronze_raw_payload": """SELECT concat('{"order_id":"', order_id, '","promotion_id":"', promotion_id, '","discount_amount":',
+  CAST(discount_amount AS VARCHAR), '}') AS raw FROM r_order_promotions""",
+    "bronze_lineage": """SELECT order_item_id AS record_id, sha256(concat('{"order_item_id":"', order_item_id, '","order_id":"', order_id,
+  '","product_id":"', product_id, '","quantity":', CAST(quantity AS VARCHAR), ',"unit_price":', CAST(unit_price AS VARCHAR),
+  ',"item_discount_amount":', CAST(item_discount_amount AS VARCHAR), ',"source_row_id":"', source_row_id, '"}')) AS record_sha,
+  'check' AS run_id, TRUE AS has_file FROM r_order_items""",
+    "ops_runs": """SELECT 'check' AS run_id, 'orders' AS stage, 'ok' AS status, count(*) AS row_count FROM r_orders
+UNION ALL SELECT 'check', 'order_items', 'ok', count(*) FROM r_order_items
+UNION ALL SELECT 'check', 'payment_events', 'ok', count(*) FROM r_payment_events""",
+    "silver_flatten": """SELECT event_id, event_type, strftime(occurred_at_utc, '%Y-%m-%dT%H:%M:%SZ') AS occurred_at_utc, order_id, payment_id,
+  CAST(amount AS VARCHAR) AS amount FROM r_payment_events""",
+    "silver_payment_events": "SELECT DISTINCT event_id, event_type, occurred_at_utc, order_id, payment_id, amount FROM r_payment_events",
+    "silver_utc": """SELECT source_row_id, t AS ordered_at_utc, CAST(t AS DATE) AS order_date FROM (
+  SELECT source_row_id, CASE status WHEN 'COMPLETED' THEN ordered_at_utc - INTERVAL '7' HOUR WHEN 'CANCELLED' THEN ordered_at_utc + INTERVAL '5' HOUR
+    ELSE ordered_at_utc END AS t FROM r_orders)""",
+    "silver_status_norm": "SELECT source_row_id, status FROM r_orders",
+    "silver_rejects": """SELECT 'order_items' AS table_name, order_item_id AS record_id, 'negative_quantity' AS reason FROM r_order_items WHERE quantity < 0
+UNION ALL SELECT 'order_items', order_item_id, 'unknown_order_id' FROM r_order_items
+  WHERE order_id NOT IN (SELECT order_id FROM r_orders WHERE customer_id IN (SELECT customer_id FROM r_customers))
+UNION ALL SELECT 'order_items', order_item_id, 'unknown_product_id' FROM r_order_items WHERE product_id NOT IN (SELECT product_id FROM r_products)""",
+    "silver_orphans": """SELECT customer_id, count(*) AS row_count FROM r_orders WHERE customer_id NOT IN (SELECT customer_id FROM r_customers) GROUP BY customer_id""",
+    "silver_clean_items": "SELECT * FROM items_clean",
+    "silver_clean_items_summary": """SELECT order_id, count(DISTINCT order_item_id) AS item_count, CAST(sum(quantity) AS BIGINT) AS unit_quantity,
+  sum(quantity * unit_price) AS gross_merchandise_value, sum(item_discount_amount) AS discount_amount FROM items_clean GROUP BY order_id""",
+    "customer_version_at_order": """SELECT order_id, customer_id, ordered_at_utc, customer_segment FROM (
+  SELECT o.order_id, o.customer_id, o.ordered_at_utc, p.customer_segment,
+    row_number() OVER (PARTITION BY o.order_id ORDER BY p.valid_from_utc DESC NULLS LAST, p.source_row_id DESC NULLS LAST) AS rn
+  FROM latest_orders o LEFT JOIN r_customer_profiles p ON p.customer_id = o.customer_id AND p.valid_from_utc <= o.ordered_at_utc
+    AND (p.valid_to_utc IS NULL OR o.ordered_at_utc < p.valid_to_utc)) WHERE rn = 1""",
+    "stream_event_dedup": "SELECT DISTINCT event_id, event_type, occurred_at_utc, order_id, payment_id, amount FROM r_payment_events",
+    "stream_payment_status": "SELECT * FROM pay_latest",
 }

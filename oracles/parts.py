@@ -133,6 +133,9 @@ SELECT * EXCLUDE (rn) FROM (
 SELECT order_id, count(DISTINCT order_item_id) AS item_count, CAST(sum(quantity) AS BIGINT) AS unit_quantity,
   sum(quantity * unit_price) AS gross_merchandise_value, sum(item_discount_amount) AS discount_amount
 FROM r_order_items GROUP BY order_id""",
+    "items_clean": """
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY order_item_id ORDER BY source_row_id) AS rn FROM r_order_items WHERE quantity >= 0)
+WHERE rn = 1""",
     "pay_once": """
 SELECT DISTINCT event_id, order_id, amount, event_type, occurred_at_utc FROM r_payment_events""",
     "captures": """
