@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import canonical, utc
 from ..operators.versions import version_at
-from ..schemas import SOURCES, STATUS_ALIASES
+from ..schemas import MONEY, SOURCES, STATUS_ALIASES
 from ..sources import raw
 from ..sources.scratch import scratch_path
 from ..sources.tables import LayerStore, ops_runs
@@ -51,17 +51,18 @@ def lineage(w) -> DataFrame:
 
 
 def _payment_records(w) -> DataFrame:
-    """Payment events in the raw shape: an envelope with a nested payload."""
+    """Payment events landed in the raw shape: an envelope with a nested payload."""
     at = F.date_format("occurred_at_utc", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("occurred_at_utc")
     payload = F.struct("order_id", "payment_id", "amount").alias("payload")
     nested = w.v.payment_events.select("event_id", "event_type", at, payload)
-    return bronze.raw_payload(nested).select("raw", F.lit("payments.json").alias("file_name"))
+    path = _land_json(nested, scratch_path(w.spark, "payments"))
+    return raw.raw_records(w.spark, path, SOURCES["payment_events"], raw.LINES)
 
 
 def flatten(w) -> DataFrame:
     source = SOURCES["payment_events"]
     records = bronze.with_lineage(_payment_records(w), source, RUN_ID, LOADED_AT)
-    return silver.flatten(records, source).select(*source.silver_columns)
+    return silver.flatten(records, source).select(*source.silver_columns).withColumn("amount", F.col("amount").cast(MONEY))
 
 
 def payment_events_silver(w) -> DataFrame:

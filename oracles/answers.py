@@ -309,8 +309,7 @@ FROM (SELECT product_id, day, lead(day) OVER (PARTITION BY product_id ORDER BY d
     "ops_runs": """SELECT 'check' AS run_id, 'orders' AS stage, 'ok' AS status, count(*) AS row_count FROM r_orders
 UNION ALL SELECT 'check', 'order_items', 'ok', count(*) FROM r_order_items
 UNION ALL SELECT 'check', 'payment_events', 'ok', count(*) FROM r_payment_events""",
-    "silver_flatten": """SELECT event_id, event_type, strftime(occurred_at_utc, '%Y-%m-%dT%H:%M:%SZ') AS occurred_at_utc, order_id, payment_id,
-  CAST(amount AS VARCHAR) AS amount FROM r_payment_events""",
+    "silver_flatten": """SELECT event_id, event_type, strftime(occurred_at_utc, '%Y-%m-%dT%H:%M:%SZ') AS occurred_at_utc, order_id, payment_id, amount FROM r_payment_events""",
     "silver_payment_events": "SELECT DISTINCT event_id, event_type, occurred_at_utc, order_id, payment_id, amount FROM r_payment_events",
     "silver_utc": """SELECT source_row_id, t AS ordered_at_utc, CAST(t AS DATE) AS order_date FROM (
   SELECT source_row_id, CASE status WHEN 'COMPLETED' THEN ordered_at_utc - INTERVAL '7' HOUR WHEN 'CANCELLED' THEN ordered_at_utc + INTERVAL '5' HOUR

@@ -1,0 +1,147 @@
+"""Order facts: one hand-written case per rule."""
+
+from datetime import date
+
+import pytest
+
+from mercato.operators import checks as c
+from mercato.plans import checks, customers, enriched
+from mercato.plans import orders as o
+from makers import dec, item, make, only, order, payment, refund
+
+
+def build(spark, orders=(), items=(), payments=(), refunds=(), returns=(), promotions=()):
+    return o.order_360(
+        make(spark, "orders", *orders), make(spark, "order_items", *items), make(spark, "payments", *payments),
+        make(spark, "refunds", *refunds), make(spark, "returns", *returns), make(spark, "promotions", *promotions))
+
+
+def test_later_update_wins(spark):
+    rows = [order(updated_at_utc="2026-07-01"), order(updated_at_utc="2026-07-02", status="RETURNED")]
+    assert only(o.orders_dedup(make(spark, "orders", *rows)))["status"] == "RETURNED"
+
+
+def test_missing_update_time_never_wins(spark):
+    rows = [order(updated_at_utc=None, status="PENDING"), order(updated_at_utc="2026-07-01", status="COMPLETED")]
+    assert only(o.orders_dedup(make(spark, "orders", *rows)))["status"] == "COMPLETED"
+
+
+def test_equal_times_prefer_smallest_source_row(spark):
+    rows = [order(source_row_id="b", status="B"), order(source_row_id="a", status="A"), order(source_row_id=None, status="N")]
+    assert only(o.orders_dedup(make(spark, "orders", *rows)))["status"] == "A"
+
+
+@pytest.mark.parametrize("events,amount", [
+    ([payment("PAYMENT_CAPTURED", "2026-07-01 01:00", amount=10)] * 2, 10),
+    ([payment("PAYMENT_CAPTURED", "2026-07-01 01:00", amount=4), payment("PAYMENT_CAPTURED", "2026-07-01 02:00", amount=6)], 10),
+    ([payment("PAYMENT_AUTHORIZED", "2026-07-01 01:00", amount=9)], 0),
+])
+def test_captured_amount(spark, events, amount):
+    assert only(build(spark, [order()], payments=events))["captured_payment_amount"] == dec(amount)
+
+
+def test_latest_status_and_precedence_differ(spark):
+    events = make(spark, "payments", payment("PAYMENT_CAPTURED", "2026-07-01 01:00", amount=5), payment("PAYMENT_FAILED", "2026-07-01 02:00"))
+    assert only(o.payment_status(events))["payment_status"] == "PAYMENT_FAILED"
+    assert only(o.payment_status_precedence(events))["payment_status"] == "PAYMENT_CAPTURED"
+    alt = only(o.payment_status_precedence_alt(events))
+    assert (alt["payment_status"], alt["captured_payment_amount"]) == ("PAYMENT_CAPTURED", dec(5))
+
+
+@pytest.mark.parametrize("events,total", [
+    ([refund("a", 5), refund("a", 7)], 7),
+    ([refund("a", 3), refund("b", 4)], 7),
+    ([refund("a", 3, event_type="REFUND_REQUESTED")], 0),
+])
+def test_refunds(spark, events, total):
+    assert only(build(spark, [order()], refunds=events))["refunded_amount"] == dec(total)
+
+
+def test_order_without_anything(spark):
+    row = only(build(spark, [order(shipping_revenue=None)]))
+    assert row["payment_status"] == "NO_PAYMENT" and row["return_status"] == "NO_RETURN"
+    assert [row[x] for x in ("gross_merchandise_value", "discount_amount", "shipping_revenue", "net_revenue", "item_count",
+                             "unit_quantity", "promotion_count")] == [0] * 7
+    assert row["first_order_flag"] is True
+
+
+def test_net_revenue_may_be_negative(spark):
+    gold = build(spark, [order(shipping_revenue=2)], [item(quantity=2, price=10, item_discount_amount=1)], refunds=[refund("a", 50)])
+    row = only(gold)
+    assert row["net_revenue"] == dec(2 * 10 - 1 + 2 - 50)
+    listed = only(checks.negative_net_orders(gold))
+    assert listed["revenue_before_refund"] == dec(21) and listed["refund_exceeds_revenue"] is True
+
+
+def test_facts_do_not_multiply(spark):
+    row = only(build(
+        spark, [order()], [item(product_id="p1"), item(product_id="p2")],
+        [payment("PAYMENT_CAPTURED", "2026-07-01 01:00", amount=5), payment("PAYMENT_CAPTURED", "2026-07-01 02:00", amount=5)],
+        [refund("a", 1), refund("b", 1)],
+        [dict(event_id=str(i), event_type="RETURN_REQUESTED", occurred_at_utc=f"2026-07-0{i}", order_id="o1") for i in (3, 4)],
+        [dict(order_id="o1", promotion_id=x) for x in "abb"]))
+    assert (row["gross_merchandise_value"], row["captured_payment_amount"], row["refunded_amount"]) == (dec(20), dec(10), dec(2))
+    assert (row["item_count"], row["promotion_count"]) == (2, 2)
+
+
+def test_first_order_per_customer_by_time_then_id(spark):
+    gold = build(spark, [order("o2"), order("o1"), order("o3", "c2", "2026-07-05"), order("o0", "c1", "2026-07-09")])
+    assert {r["order_id"]: r["first_order_flag"] for r in gold.collect()} == {"o1": True, "o2": False, "o0": False, "o3": True}
+
+
+def test_two_orders_on_one_day_set_both_flags(spark):
+    gold = build(spark, [order("o1"), order("o2", sales_channel="STORE")])
+    row = only(customers.customer_daily(gold, make(spark, "support")))
+    assert row["new_customer_flag"] and row["repeat_customer_flag"] and row["order_count"] == 2
+    assert row["active_channel"] == "STORE"  # tie: alphabet
+
+
+def test_busiest_channel_wins(spark):
+    gold = build(spark, [order("o1"), order("o2"), order("o3", sales_channel="APP")])
+    assert only(customers.customer_daily(gold, make(spark, "support")))["active_channel"] == "WEB"
+
+
+def test_support_counts_by_ticket_or_event_and_only_on_order_days(spark):
+    gold = build(spark, [order()])
+    ticket = dict(event_type="SUPPORT_TICKET_CREATED", occurred_at_utc="2026-07-01 09:00", customer_id="c1")
+    support = make(spark, "support", dict(ticket, event_id="1", ticket_id="t"), dict(ticket, event_id="2", ticket_id="t"),
+                   dict(ticket, event_id="3"), dict(ticket, event_id="4", event_type="SUPPORT_TICKET_CLOSED"),
+                   dict(ticket, event_id="5", occurred_at_utc="2026-07-03"))
+    row = only(customers.customer_daily(gold, support))
+    assert row["support_contacts"] == 2 and row["metric_date"] == date(2026, 7, 1)
+
+
+def test_wider_customer_day_and_its_corrections(spark):
+    orders, items = make(spark, "orders", order()), make(spark, "order_items", item(quantity=3))
+    pays = make(spark, "payments", payment("PAYMENT_CAPTURED", "2026-07-01 01:00", amount=4), payment("PAYMENT_CAPTURED", "2026-07-01 02:00", amount=6))
+    refunds = make(spark, "refunds", refund("a", 5, event_id="x", at="2026-07-02"), refund("a", 7, event_id="x", at="2026-07-03"))
+    rich = enriched.order_enriched(orders, items, pays, refunds, make(spark, "returns"))
+    assert only(rich)["captured_payment_amount"] == dec(6)  # the largest single capture
+    assert only(rich)["refund_amount"] == dec(7)
+    assert only(enriched.payment_correction(rich, pays))["captured_payment_amount"] == dec(10)
+    gold = o.order_360(orders, items, pays, refunds, make(spark, "returns"), make(spark, "promotions"))
+    gap = only(checks.payment_recon_order(rich, gold))
+    assert gap["difference"] == dec(-4)
+    draft = enriched.order_360_first_draft(orders, items, refunds)
+    assert only(draft)["refunded_amount"] == dec(12)
+    assert only(enriched.refund_correction(draft, refunds))["net_revenue"] == dec(23)
+
+
+def test_anomalies_and_their_events(spark):
+    pays = [payment("PAYMENT_CAPTURED", "2026-07-01 01:00", amount=0), payment("PAYMENT_CAPTURED", "2026-07-01 01:00", "o2", 5, "z")]
+    gold = build(spark, [order(), order("o2", "c2")], payments=pays)
+    assert [r["order_id"] for r in checks.payment_anomalies(gold).collect()] == ["o1"]
+    assert only(checks.payments_of_anomalies(make(spark, "payments", *pays), gold))["order_id"] == "o1"
+
+
+def test_grain_counts_null_keys_as_values(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), (None, 1), (None, 2)], "k string, v int")
+    row = only(c.grain(df, ["k"]))
+    assert tuple(row) == (4, 2, 2, 2)
+
+
+def test_event_paths(spark):
+    events = [dict(event_id=str(i), event_type=t, occurred_at_utc=at, order_id="o1") for i, (t, at) in
+              enumerate([("B", "2026-07-03"), ("A", "2026-07-01 05:00"), ("C", "2026-07-01 04:00"), ("A", "2026-07-04")])]
+    row = only(checks.return_event_path(make(spark, "returns", *events)))
+    assert (row["return_event_count"], row["return_events"]) == (4, "C, A, B, A")
