@@ -13,10 +13,11 @@ from ..sources.raw import raw_records
 
 
 def with_lineage(records: DataFrame, source: Source, run_id: str, loaded_at: datetime) -> DataFrame:
-    """Add identity, checksum, run and load time to ``raw`` and ``file_name``."""
+    """Add identity, checksum, run and load time to the raw records."""
     return records.select(
         "raw",
         "file_name",
+        "row_number",
         F.get_json_object("raw", f"$.{source.record_id}").alias("record_id"),
         record_sha("raw").alias("record_sha"),
         F.lit(run_id).alias("run_id"),

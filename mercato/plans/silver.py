@@ -16,7 +16,7 @@ from ..functions.clean import canonical, reasons, utc
 from ..operators.versions import latest_by
 from ..schemas import STATUS_ALIASES, Reference, Source
 
-LINEAGE = ["record_sha", "file_name", "run_id"]
+LINEAGE = ["record_sha", "file_name", "row_number", "run_id"]
 
 
 def flatten(bronze: DataFrame, source: Source) -> DataFrame:

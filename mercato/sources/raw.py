@@ -30,31 +30,37 @@ def json_layout(spark: SparkSession, path: str) -> str:
 
 
 def raw_records(spark: SparkSession, path: str, source: Source, layout: str | None = None) -> DataFrame:
-    """``raw`` (the record as JSON text) and ``file_name`` of every record of a feed.
+    """``raw`` (the record as JSON text), ``file_name`` and ``row_number`` of every record.
 
-    Lines are kept byte for byte. Array elements are read as VARIANT, so keys nobody
-    declared survive. CSV rows become a JSON object of texts.
+    Lines are kept byte for byte and have no row number (their checksum identifies
+    them). CSV rows become a JSON object of texts. Array files: see ``array_records``.
     """
     name = F.col("_metadata.file_name").alias("file_name")
+    number = F.lit(None).cast("int").alias("row_number")
     if source.format == "csv":
         texts = ", ".join(f"{c} string" for c in source.columns)
-        rows = scan_csv(spark, path, texts)
-        return rows.select(F.to_json(F.struct(*source.columns)).alias("raw"), name)
+        return scan_csv(spark, path, texts).select(F.to_json(F.struct(*source.columns)).alias("raw"), name, number)
     if (layout or json_layout(spark, path)) == LINES:
-        return spark.read.text(path).filter(F.trim("value") != "").select(F.col("value").alias("raw"), name)
-    records = spark.read.option("multiLine", True).option("singleVariantColumn", "record").json(path)
-    return records.select(F.to_json("record").alias("raw"), name)
+        return spark.read.text(path).filter(F.trim("value") != "").select(F.col("value").alias("raw"), name, number)
+    return array_records(spark, path)
 
 
-def numbered_records(spark: SparkSession, path: str) -> DataFrame:
-    """``raw``, ``file_name`` and ``row_number`` (from 0) of a one-array JSON file.
+def array_records(spark: SparkSession, path: str) -> DataFrame:
+    """The elements of one-array JSON files, with their position from 0.
 
-    Positions exist only inside the array, so a whole file is one row here. Meant for
-    the small operational files; large feeds are identified by ``record_sha`` instead.
+    Elements stay text, so keys nobody declared survive. An array does not split: a
+    whole file is one row in one task, under Spark's 2 GB limit for a value. Feeds
+    beyond that must come as many files or as lines. A file that is not a readable
+    array gives one record without text, which silver rejects.
     """
     whole = spark.read.option("wholetext", True).text(path)
-    texts = F.from_json("value", "array<string>")
-    return whole.select(F.col("_metadata.file_name").alias("file_name"), F.posexplode(texts).alias("row_number", "raw"))
+    elements = whole.select(
+        F.from_json("value", "array<string>").alias("elements"), F.col("_metadata.file_name").alias("file_name")
+    )
+    filled = elements.filter(F.col("elements").isNull() | (F.size("elements") > 0))
+    return filled.select("file_name", F.posexplode_outer("elements").alias("row_number", "raw")).select(
+        "raw", "file_name", "row_number"
+    )
 
 
 def listed_files(spark: SparkSession, raw_dir: str, with_content: bool = False) -> DataFrame:
