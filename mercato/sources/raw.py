@@ -48,18 +48,18 @@ def raw_records(spark: SparkSession, path: str, source: Source, layout: str | No
 def array_records(spark: SparkSession, path: str) -> DataFrame:
     """The elements of one-array JSON files, with their position from 0.
 
-    Elements stay text, so keys nobody declared survive. An array does not split: a
+    Elements are VARIANT on the way, so keys nobody declared and all digits survive. An array does not split: a
     whole file is one row in one task, under Spark's 2 GB limit for a value. Feeds
     beyond that must come as many files or as lines. A file that is not a readable
     array gives one record without text, which silver rejects.
     """
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     elements = whole.select(
-        F.from_json("value", "array<string>").alias("elements"), F.col("_metadata.file_name").alias("file_name")
+        F.from_json("value", "array<variant>").alias("elements"), F.col("_metadata.file_name").alias("file_name")
     )
     filled = elements.filter(F.col("elements").isNull() | (F.size("elements") > 0))
-    return filled.select("file_name", F.posexplode_outer("elements").alias("row_number", "raw")).select(
-        "raw", "file_name", "row_number"
+    return filled.select("file_name", F.posexplode_outer("elements").alias("row_number", "element")).select(
+        F.to_json("element").alias("raw"), "file_name", "row_number"
     )
 
 
@@ -85,7 +85,7 @@ def raw_files_missing(spark: SparkSession, raw_dir: str) -> DataFrame:
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """(path, sha256) pairs of the ``files`` object of a manifest."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     files = F.from_json(F.get_json_object("value", "$.files"), "map<string,string>")
     return text.select(F.explode(files).alias("path", "sha256"))
 
