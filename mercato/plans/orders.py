@@ -20,9 +20,12 @@ def orders_dedup(orders: DataFrame) -> DataFrame:
     return latest_by(orders, ["order_id"], newest=["updated_at_utc", "ingested_at_utc"], tie_break=["source_row_id"])
 
 
-def order_items_summary(items: DataFrame) -> DataFrame:
+def order_items_summary(items: DataFrame, unique_ids: bool = False) -> DataFrame:
+    """Totals per order. With ``unique_ids`` (silver items) a plain count replaces the
+    distinct count, which saves a whole shuffle of the largest table."""
+    counted = F.count("order_item_id") if unique_ids else F.count_distinct("order_item_id")
     return items.groupBy("order_id").agg(
-        F.count_distinct("order_item_id").alias("item_count"),
+        counted.alias("item_count"),
         F.sum("quantity").alias("unit_quantity"),
         F.sum(m.line_amount()).alias("gross_merchandise_value"),
         F.sum("item_discount_amount").alias("discount_amount"),
@@ -46,9 +49,10 @@ def payment_status(payments: DataFrame) -> DataFrame:
     )
 
 
-def payment_summary(payments: DataFrame) -> DataFrame:
+def payment_summary(payments: DataFrame, no_copies: bool = False) -> DataFrame:
     """Captured amount and latest status from one pass over the events."""
-    return payment_events_dedup(payments).groupBy("order_id").agg(
+    events = payments if no_copies else payment_events_dedup(payments)
+    return events.groupBy("order_id").agg(
         m.sum_if(F.col("event_type") == m.CAPTURED, "amount").alias("captured_payment_amount"),
         latest_value("event_type", "occurred_at_utc", "event_id").alias("payment_status"),
     )
@@ -111,14 +115,18 @@ def order_360(
     refunds: DataFrame,
     returns: DataFrame,
     promotions: DataFrame,
-    already_latest: bool = False,
+    clean: bool = False,
 ) -> DataFrame:
-    """The order fact. ``already_latest`` skips the version pick for de-duplicated silver orders."""
-    latest = orders if already_latest else orders_dedup(orders)
+    """The order fact.
+
+    ``clean`` says that silver already left one row per order, item id and payment
+    event; the three de-duplications and their shuffles are then skipped.
+    """
+    latest = orders if clean else orders_dedup(orders)
     first = first_orders(latest)
     joined = (
-        latest.join(order_items_summary(items), "order_id", "left")
-        .join(payment_summary(payments), "order_id", "left")
+        latest.join(order_items_summary(items, unique_ids=clean), "order_id", "left")
+        .join(payment_summary(payments, no_copies=clean), "order_id", "left")
         .join(refunds_by_order(refunds), "order_id", "left")
         .join(return_status(returns), "order_id", "left")
         .join(order_promo_count(promotions), "order_id", "left")

@@ -145,3 +145,21 @@ def test_event_paths(spark):
               enumerate([("B", "2026-07-03"), ("A", "2026-07-01 05:00"), ("C", "2026-07-01 04:00"), ("A", "2026-07-04")])]
     row = only(checks.return_event_path(make(spark, "returns", *events)))
     assert (row["return_event_count"], row["return_events"]) == (4, "C, A, B, A")
+
+
+def test_clean_input_gives_the_same_facts_with_fewer_shuffles(spark):
+    args = [
+        make(spark, "orders", order(), order("o2", "c2")), make(spark, "order_items", item(), item(product_id="p2"), item("o2")),
+        make(spark, "payments", payment("PAYMENT_CAPTURED", "2026-07-01 01:00", amount=5), payment("PAYMENT_FAILED", "2026-07-01 02:00")),
+        make(spark, "refunds", refund("a", 1)), make(spark, "returns"), make(spark, "promotions")]
+    plain, clean = o.order_360(*args), o.order_360(*args, clean=True)
+    assert sorted(plain.collect()) == sorted(clean.collect())
+    shuffles = [df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") for df in (plain, clean)]
+    assert shuffles[1] <= shuffles[0] - 2
+
+
+def test_unused_sources_are_not_read(spark):
+    """Unique join keys let the optimizer drop every source a question ignores."""
+    from mercato.plans.workbench import PLANS, Workbench
+    plan = PLANS["q03_orders_per_day"](Workbench(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Relation") == 1
