@@ -175,33 +175,33 @@ def dash_stockout(g) -> DataFrame:
     )
 
 
-# question key -> (asked as, answer)
+# question key -> answer
 QUESTIONS = {
-    "q01_net_revenue_by_channel": ("What is total net revenue by sales channel?", net_revenue_by_channel),
-    "q02_refund_rate_by_channel": ("Which channels had the highest refund rate?", refund_rate_by_channel),
-    "q03_orders_per_day": ("How many orders were placed each day?", orders_per_day),
-    "q04_aov_by_channel": ("What is the average order value by channel?", aov_by_channel),
-    "q05_stockouts": ("Which products had stockouts?", stockouts),
-    "q06_revenue_by_category": ("Which product categories generated the most revenue?", revenue_by_category),
-    "q07_active_customers": ("How many customers were active each day?", active_customers),
-    "q08_repeat_rate": ("What is the repeat customer rate by day?", repeat_rate),
-    "q09_roas": ("Which campaigns had the best ROAS?", roas),
-    "q10_channel_campaign_orders": ("Which channel and campaign combination drove the most orders?", channel_campaign_orders),
-    "q11_daily_net_revenue": ("What was the daily net revenue?", _daily_kpi("net_revenue")),
-    "q12_daily_refund_rate": ("What was the daily refund rate?", _daily_kpi("refund_rate")),
-    "q13_daily_return_rate": ("What was the daily return rate?", _daily_kpi("return_rate")),
-    "q14_daily_stockout_rate": ("What was the daily stockout rate?", _daily_kpi("stockout_rate")),
-    "q15_fully_refunded": ("Which orders were fully refunded?", fully_refunded),
-    "q16_customer_net_revenue": ("Which customers generated the most net revenue?", customer_net_revenue),
-    "q17_support_customers": ("Which customers contacted support after ordering?", support_customers),
-    "q18_category_refund": ("Which categories had the highest refund amount?", category_refund),
-    "q19_campaign_spend": ("How much campaign spend was recorded?", campaign_spend),
-    "q20_busiest_days": ("Which days had the most orders?", busiest_days),
-    "q21_units_sold": ("What are the top products by units sold?", units_sold),
-    "q22_captured_per_day": ("What is the captured payment total by day?", captured_per_day),
-    "q23_refund_per_day": ("What is the refund total by day?", refund_per_day),
-    "q24_repeat_by_channel": ("Which channels have the most repeat customers?", repeat_by_channel),
-    "q25_last_refresh": ("When was the data last refreshed?", last_refresh),
+    "q01_net_revenue_by_channel": net_revenue_by_channel,
+    "q02_refund_rate_by_channel": refund_rate_by_channel,
+    "q03_orders_per_day": orders_per_day,
+    "q04_aov_by_channel": aov_by_channel,
+    "q05_stockouts": stockouts,
+    "q06_revenue_by_category": revenue_by_category,
+    "q07_active_customers": active_customers,
+    "q08_repeat_rate": repeat_rate,
+    "q09_roas": roas,
+    "q10_channel_campaign_orders": channel_campaign_orders,
+    "q11_daily_net_revenue": _daily_kpi("net_revenue"),
+    "q12_daily_refund_rate": _daily_kpi("refund_rate"),
+    "q13_daily_return_rate": _daily_kpi("return_rate"),
+    "q14_daily_stockout_rate": _daily_kpi("stockout_rate"),
+    "q15_fully_refunded": fully_refunded,
+    "q16_customer_net_revenue": customer_net_revenue,
+    "q17_support_customers": support_customers,
+    "q18_category_refund": category_refund,
+    "q19_campaign_spend": campaign_spend,
+    "q20_busiest_days": busiest_days,
+    "q21_units_sold": units_sold,
+    "q22_captured_per_day": captured_per_day,
+    "q23_refund_per_day": refund_per_day,
+    "q24_repeat_by_channel": repeat_by_channel,
+    "q25_last_refresh": last_refresh,
 }
 DASHBOARD = {
     "dash_executive": dash_executive,
@@ -213,6 +213,6 @@ DASHBOARD = {
 
 def answer(key: str, gold, rows: int | None = None) -> DataFrame:
     """Run a question or dashboard query; ``rows`` applies the interactive cap."""
-    build = QUESTIONS[key][1] if key in QUESTIONS else DASHBOARD[key]
+    build = QUESTIONS.get(key) or DASHBOARD[key]
     result = build(gold)
     return result if rows is None else capped(result, rows)

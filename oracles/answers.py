@@ -89,9 +89,8 @@ ANSWERS = {
     "payment_events_dedup": "SELECT * FROM pay_once",
     "captured_payments": "SELECT * FROM captures",
     "payment_status": "SELECT * FROM pay_latest",
-    "payment_status_precedence": """SELECT order_id, CASE WHEN bool_or(event_type = 'PAYMENT_CAPTURED') THEN 'PAYMENT_CAPTURED'
-  WHEN bool_or(event_type = 'PAYMENT_FAILED') THEN 'PAYMENT_FAILED' WHEN bool_or(event_type = 'PAYMENT_AUTHORIZED') THEN 'PAYMENT_AUTHORIZED' END AS payment_status
-FROM r_payment_events GROUP BY order_id""",
+    "payment_status_precedence": """SELECT order_id, list_extract(['PAYMENT_AUTHORIZED', 'PAYMENT_FAILED', 'PAYMENT_CAPTURED'],
+  max(list_position(['PAYMENT_AUTHORIZED', 'PAYMENT_FAILED', 'PAYMENT_CAPTURED'], event_type))) AS payment_status FROM r_payment_events GROUP BY ALL""",
     "payment_status_precedence_alt": "SELECT * FROM pay_alt",
     "refund_dedup_max": "SELECT * FROM refund_max",
     "refunds_by_order": "SELECT * FROM refund_totals",
@@ -105,8 +104,7 @@ FROM r_payment_events GROUP BY order_id""",
 FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY occurred_at_utc DESC, ticket_id) AS rn FROM r_support_events) WHERE rn = 1
 GROUP BY customer_id, CAST(occurred_at_utc AS DATE)""",
     "product_daily": "SELECT * FROM prod_day",
-    "product_daily_as_first_written": """SELECT f.*, c.category_name AS active_category FROM prod_measures f
-LEFT JOIN category_stock_day c ON c.product_id = f.product_id AND c.metric_date = f.metric_date""",
+    "product_daily_as_first_written": """SELECT prod_measures.*, category_name AS active_category FROM prod_measures LEFT JOIN category_stock_day USING (product_id, metric_date)""",
     "product_sales_daily": "SELECT * FROM sales_day",
     "product_inventory_daily": "SELECT * FROM stock_day",
     "product_promo_daily": "SELECT * FROM promo_day",
@@ -121,10 +119,10 @@ LEFT JOIN category_stock_day c ON c.product_id = f.product_id AND c.metric_date
 FROM r_order_items oi JOIN r_orders o ON o.order_id = oi.order_id
 LEFT JOIN r_product_categories c ON c.product_id = oi.product_id AND o.ordered_at_utc >= c.valid_from_utc AND o.ordered_at_utc <= c.valid_to_utc
 GROUP BY oi.order_id, oi.product_id, o.ordered_at_utc, c.category_name""",
-    "category_match_counts": """SELECT oi.order_id, oi.product_id, count(*) AS category_matches
-FROM r_order_items oi JOIN r_orders o ON o.order_id = oi.order_id
-LEFT JOIN r_product_categories c ON c.product_id = oi.product_id AND o.ordered_at_utc >= c.valid_from_utc AND o.ordered_at_utc <= c.valid_to_utc
-GROUP BY oi.order_id, oi.product_id HAVING count(*) > 1""",
+    "category_match_counts": """SELECT order_id, product_id, CAST(sum(greatest(hits, 1)) AS BIGINT) AS category_matches FROM (
+  SELECT oi.order_id, oi.product_id, (SELECT count(*) FROM r_product_categories c
+    WHERE c.product_id = oi.product_id AND o.ordered_at_utc BETWEEN c.valid_from_utc AND c.valid_to_utc) AS hits
+  FROM r_order_items oi JOIN r_orders o USING (order_id)) GROUP BY ALL HAVING category_matches > 1""",
     "channel_campaign_daily": "SELECT * FROM camp_day",
     "campaign_touches": "SELECT * FROM touches",
     "last_touch_attribution": "SELECT * FROM last_touch",
@@ -140,9 +138,9 @@ GROUP BY oi.order_id, oi.product_id HAVING count(*) > 1""",
     "customer_daily_extended": "SELECT * FROM cust_day_wide",
     "refund_events_by_id": "SELECT * FROM refund_by_event",
     "refund_correction": """SELECT order_id, gross_merchandise_value, discount_amount, shipping_revenue, refunded_amount, net_revenue FROM o360""",
-    "payment_correction": """SELECT r.* EXCLUDE (captured_payment_amount, payment_status), coalesce(c.captured_payment_amount, 0) AS captured_payment_amount,
-  CASE WHEN coalesce(c.captured_payment_amount, 0) > 0 THEN 'PAYMENT_CAPTURED' ELSE 'PAYMENT_AUTHORIZED' END AS payment_status
-FROM order_rich r LEFT JOIN captures_corrected c ON c.order_id = r.order_id""",
+    "payment_correction": """SELECT order_rich.* REPLACE (ifnull(captures_corrected.captured_payment_amount, 0) AS captured_payment_amount,
+  if(captures_corrected.captured_payment_amount > 0, 'PAYMENT_CAPTURED', 'PAYMENT_AUTHORIZED') AS payment_status)
+FROM order_rich LEFT JOIN captures_corrected USING (order_id)""",
     "corrected_captures": "SELECT * FROM captures_corrected",
     "return_count_by_order": "SELECT * FROM returns_counted",
     # questions
@@ -211,10 +209,8 @@ FROM r_refund_events WHERE order_id IN (SELECT order_id FROM negative_orders) GR
 WHERE order_status = 'CANCELLED' AND captured_payment_amount > 0""",
     "return_status_mismatch": """SELECT count(*) AS orders_with_return, count(*) FILTER (WHERE l.return_status <> coalesce(o.return_status, 'NO_RETURN')) AS mismatch_count
 FROM return_latest l LEFT JOIN o360 o ON o.order_id = l.order_id""",
-    "first_order_check": """SELECT count(*) AS total_orders, count(DISTINCT o.customer_id) AS unique_customers,
-  count(*) FILTER (WHERE k.customer_order_rank = 1) AS first_orders,
-  count(*) FILTER (WHERE o.first_order_flag <> (k.customer_order_rank = 1)) AS first_order_mismatch
-FROM o360 o JOIN order_ranks k ON k.order_id = o.order_id""",
+    "first_order_check": """SELECT count(*) AS total_orders, count(DISTINCT customer_id) AS unique_customers, count_if(customer_order_rank = 1) AS first_orders,
+  count_if(first_order_flag IS DISTINCT FROM (customer_order_rank = 1)) AS first_order_mismatch FROM o360 JOIN order_ranks USING (order_id, customer_id)""",
     "refund_total_recon": """SELECT s.t AS silver_refund_total, g.t AS gold_refund_total, s.t - g.t AS difference
 FROM (SELECT sum(amount) AS t FROM refund_max) s CROSS JOIN (SELECT sum(refunded_amount) AS t FROM o360) g""",
     "refund_recon_by_id": """SELECT s.t AS deduplicated_refund_total, g.t AS enriched_refund_total, s.t - g.t AS difference
@@ -224,18 +220,16 @@ FROM (SELECT order_id, sum(amount) AS t FROM r_refund_events WHERE event_type =
 JOIN refund_totals d ON d.order_id = r.order_id WHERE r.t <> d.refunded_amount""",
     "refund_duplicates": """SELECT refund_id, order_id, event_type, amount, occurred_at_utc, count(*) AS duplicate_count FROM r_refund_events
 WHERE event_type = 'REFUND_COMPLETED' GROUP BY refund_id, order_id, event_type, amount, occurred_at_utc HAVING count(*) > 1""",
-    "refund_duplicate_impact": """SELECT sum(amount * (n - 1)) AS duplicate_amount FROM (
-  SELECT refund_id, order_id, amount, occurred_at_utc, count(*) AS n FROM r_refund_events
-  WHERE event_type = 'REFUND_COMPLETED' GROUP BY refund_id, order_id, amount, occurred_at_utc HAVING count(*) > 1)""",
-    "payment_recon_silver": """SELECT g.order_id, g.captured_payment_amount, coalesce(s.t, 0) AS silver_captured_payment,
-  g.captured_payment_amount - coalesce(s.t, 0) AS difference
-FROM o360 g LEFT JOIN (SELECT order_id, sum(amount) AS t FROM (
-  SELECT DISTINCT event_id, order_id, amount FROM r_payment_events WHERE event_type = 'PAYMENT_CAPTURED') GROUP BY order_id) s ON s.order_id = g.order_id
-WHERE g.captured_payment_amount - coalesce(s.t, 0) <> 0""",
-    "payment_recon_silver_raw": """SELECT g.order_id, g.captured_payment_amount, coalesce(s.t, 0) AS silver_captured_payment,
-  g.captured_payment_amount - coalesce(s.t, 0) AS difference
-FROM o360 g LEFT JOIN (SELECT order_id, sum(amount) AS t FROM r_payment_events WHERE event_type = 'PAYMENT_CAPTURED' GROUP BY order_id) s ON s.order_id = g.order_id
-WHERE g.captured_payment_amount - coalesce(s.t, 0) <> 0""",
+    "refund_duplicate_impact": """SELECT sum(amount) - sum(if(first_copy, amount, 0)) AS duplicate_amount FROM (
+  SELECT amount, row_number() OVER (PARTITION BY refund_id, order_id, amount, occurred_at_utc) = 1 AS first_copy FROM refund_done)""",
+    "payment_recon_silver": """SELECT order_id, captured_payment_amount, silver_captured_payment, captured_payment_amount - silver_captured_payment AS difference FROM (
+  SELECT order_id, max(gold) AS captured_payment_amount, ifnull(sum(silver), 0) AS silver_captured_payment FROM (
+    SELECT order_id, captured_payment_amount AS gold FROM o360
+    UNION ALL BY NAME SELECT order_id, amount AS silver FROM pay_once WHERE event_type = 'PAYMENT_CAPTURED') GROUP BY ALL) WHERE difference <> 0""",
+    "payment_recon_silver_raw": """SELECT order_id, captured_payment_amount, silver_captured_payment, captured_payment_amount - silver_captured_payment AS difference FROM (
+  SELECT order_id, max(gold) AS captured_payment_amount, ifnull(sum(silver), 0) AS silver_captured_payment FROM (
+    SELECT order_id, captured_payment_amount AS gold FROM o360
+    UNION ALL BY NAME SELECT order_id, amount AS silver FROM r_payment_events WHERE event_type = 'PAYMENT_CAPTURED') GROUP BY ALL) WHERE difference <> 0""",
     "multi_capture_orders": """SELECT order_id, count(*) AS captured_event_count, sum(amount) AS captured_amount FROM r_payment_events
 WHERE event_type = 'PAYMENT_CAPTURED' GROUP BY order_id HAVING count(*) > 1""",
     "multi_refund_orders": """SELECT order_id, count(DISTINCT refund_id) AS refund_count, sum(amount) AS refunded_amount FROM r_refund_events
@@ -257,22 +251,17 @@ WHERE order_id IN (SELECT order_id FROM negative_orders)""",
 CROSS JOIN (SELECT count(*) AS total_customer_daily_rows, sum(gross_revenue) AS total_gross_revenue_daily, sum(discount_amount) AS total_discount_daily,
   sum(shipping_revenue) AS total_shipping_revenue_daily, sum(refund_amount) AS total_refund_daily, sum(net_revenue) AS total_net_revenue_daily,
   sum(captured_payment_amount) AS total_captured_payment_daily FROM cust_day_wide) b""",
-    "top_payment_diffs": """SELECT o.order_id, o.captured_payment_amount AS order_360_payment, c.captured_payment_amount AS customer_daily_payment,
-  o.captured_payment_amount - coalesce(c.captured_payment_amount, 0) AS difference
-FROM o360 o LEFT JOIN cust_day_wide c ON c.customer_id = o.customer_id AND c.metric_date = o.order_date
-WHERE o.captured_payment_amount - coalesce(c.captured_payment_amount, 0) <> 0 ORDER BY abs(difference) DESC, order_id LIMIT 20""",
-    "payment_recon_customer_day": """SELECT coalesce(o.customer_id, c.customer_id) AS customer_id, coalesce(o.metric_date, c.metric_date) AS metric_date,
-  coalesce(o.t, 0) AS order_360_payment, coalesce(c.captured_payment_amount, 0) AS customer_daily_payment, coalesce(o.t, 0) - coalesce(c.captured_payment_amount, 0) AS difference
-FROM (SELECT customer_id, order_date AS metric_date, sum(captured_payment_amount) AS t FROM o360 GROUP BY customer_id, order_date) o
-FULL JOIN cust_day_wide c ON c.customer_id = o.customer_id AND c.metric_date = o.metric_date
-WHERE coalesce(o.t, 0) - coalesce(c.captured_payment_amount, 0) <> 0""",
-    "payment_recon_day": """SELECT coalesce(o.metric_date, c.metric_date) AS metric_date, coalesce(o.t, 0) AS order_360_payment, coalesce(c.t, 0) AS customer_daily_payment,
-  coalesce(o.t, 0) - coalesce(c.t, 0) AS difference
-FROM (SELECT order_date AS metric_date, sum(captured_payment_amount) AS t FROM o360 GROUP BY order_date) o
-FULL JOIN (SELECT metric_date, sum(captured_payment_amount) AS t FROM cust_day_wide GROUP BY metric_date) c ON c.metric_date = o.metric_date""",
-    "payment_recon_order": """SELECT coalesce(e.order_id, g.order_id) AS order_id, coalesce(e.captured_payment_amount, 0) AS captured_payment_enriched,
-  coalesce(g.captured_payment_amount, 0) AS captured_payment_gold, coalesce(e.captured_payment_amount, 0) - coalesce(g.captured_payment_amount, 0) AS difference
-FROM order_rich e FULL JOIN o360 g ON g.order_id = e.order_id WHERE coalesce(e.captured_payment_amount, 0) - coalesce(g.captured_payment_amount, 0) <> 0""",
+    "top_payment_diffs": """SELECT order_id, order_360_payment, customer_daily_payment, order_360_payment - customer_daily_payment AS difference FROM (
+  SELECT order_id, o360.captured_payment_amount AS order_360_payment, cust_day_wide.captured_payment_amount AS customer_daily_payment
+  FROM o360 JOIN cust_day_wide ON cust_day_wide.customer_id = o360.customer_id AND metric_date = order_date)
+WHERE difference <> 0 ORDER BY abs(difference) DESC, order_id LIMIT 20""",
+    "payment_recon_customer_day": """SELECT customer_id, metric_date, sum(a) AS order_360_payment, sum(b) AS customer_daily_payment, sum(a) - sum(b) AS difference FROM (
+  SELECT customer_id, order_date AS metric_date, captured_payment_amount AS a, 0 AS b FROM o360 UNION ALL SELECT customer_id, metric_date, 0, captured_payment_amount FROM cust_day_wide) GROUP BY ALL HAVING difference <> 0""",
+    "payment_recon_day": """SELECT metric_date, sum(a) AS order_360_payment, sum(b) AS customer_daily_payment, sum(a) - sum(b) AS difference FROM (
+  SELECT order_date AS metric_date, captured_payment_amount AS a, 0 AS b FROM o360 UNION ALL SELECT metric_date, 0, captured_payment_amount FROM cust_day_wide) GROUP BY ALL""",
+    "payment_recon_order": """SELECT order_id, sum(a) AS captured_payment_enriched, sum(b) AS captured_payment_gold, sum(a) - sum(b) AS difference FROM (
+  SELECT order_id, ifnull(captured_payment_amount, 0) AS a, 0 AS b FROM order_rich UNION ALL SELECT order_id, 0, captured_payment_amount FROM o360)
+GROUP BY ALL HAVING difference <> 0""",
     "customer_daily_rules": """SELECT count(*) FILTER (WHERE order_count <= 0) AS order_count_not_positive, count(*) FILTER (WHERE gross_revenue < 0) AS negative_gross_revenue,
   count(*) FILTER (WHERE net_revenue < 0) AS negative_net_revenue, count(*) FILTER (WHERE refund_amount < 0) AS negative_refund,
   count(*) FILTER (WHERE return_count < 0) AS negative_return_count,

@@ -126,217 +126,205 @@ FROM orders""",
 
 FACTS = {
     "latest_orders": """
-SELECT * EXCLUDE (rn) FROM (
-  SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY updated_at_utc DESC NULLS LAST, ingested_at_utc DESC NULLS LAST, source_row_id ASC NULLS LAST) AS rn
-  FROM r_orders) WHERE rn = 1""",
+SELECT DISTINCT ON (order_id) * FROM r_orders
+ORDER BY order_id, updated_at_utc DESC NULLS LAST, ingested_at_utc DESC NULLS LAST, source_row_id ASC NULLS LAST""",
+    "items_clean": """
+SELECT DISTINCT ON (order_item_id) * FROM r_order_items WHERE quantity >= 0 ORDER BY order_item_id, source_row_id""",
     "items_by_order": """
 SELECT order_id, count(DISTINCT order_item_id) AS item_count, CAST(sum(quantity) AS BIGINT) AS unit_quantity,
   sum(quantity * unit_price) AS gross_merchandise_value, sum(item_discount_amount) AS discount_amount
-FROM r_order_items GROUP BY order_id""",
-    "items_clean": """
-SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY order_item_id ORDER BY source_row_id) AS rn FROM r_order_items WHERE quantity >= 0)
-WHERE rn = 1""",
+FROM r_order_items GROUP BY ALL""",
     "pay_once": """
 SELECT DISTINCT event_id, order_id, amount, event_type, occurred_at_utc FROM r_payment_events""",
     "captures": """
-SELECT order_id, sum(amount) FILTER (WHERE event_type = 'PAYMENT_CAPTURED') AS captured_payment_amount FROM pay_once GROUP BY order_id""",
+SELECT order_id, sum(if(event_type = 'PAYMENT_CAPTURED', amount, NULL)) AS captured_payment_amount FROM pay_once GROUP BY ALL""",
     "pay_latest": """
-SELECT order_id, event_type AS payment_status FROM (
-  SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY occurred_at_utc DESC NULLS LAST, event_id DESC) AS rn FROM pay_once) WHERE rn = 1""",
+SELECT DISTINCT ON (order_id) order_id, event_type AS payment_status FROM r_payment_events
+ORDER BY order_id, occurred_at_utc DESC NULLS LAST, event_id DESC""",
     "refund_max": """
-SELECT order_id, refund_id, max(amount) AS amount FROM r_refund_events WHERE event_type = 'REFUND_COMPLETED' GROUP BY order_id, refund_id""",
+SELECT DISTINCT ON (order_id, refund_id) order_id, refund_id, amount FROM r_refund_events
+WHERE event_type = 'REFUND_COMPLETED' ORDER BY order_id, refund_id, amount DESC NULLS LAST""",
     "refund_totals": """
-SELECT order_id, sum(amount) AS refunded_amount FROM refund_max GROUP BY order_id""",
+SELECT order_id, sum(amount) AS refunded_amount FROM refund_max GROUP BY ALL""",
     "return_latest": """
-SELECT order_id, event_type AS return_status FROM (
-  SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY occurred_at_utc DESC NULLS LAST, event_id DESC, event_type DESC) AS rn FROM r_return_events) WHERE rn = 1""",
+SELECT DISTINCT ON (order_id) order_id, event_type AS return_status FROM r_return_events
+ORDER BY order_id, occurred_at_utc DESC NULLS LAST, event_id DESC, event_type DESC""",
     "promos_by_order": """
-SELECT order_id, count(DISTINCT promotion_id) AS promotion_count FROM r_order_promotions GROUP BY order_id""",
+SELECT order_id, count(DISTINCT promotion_id) AS promotion_count FROM r_order_promotions GROUP BY ALL""",
     "order_ranks": """
 SELECT order_id, customer_id, ordered_at_utc, row_number() OVER (PARTITION BY customer_id ORDER BY ordered_at_utc, order_id) AS customer_order_rank
 FROM latest_orders""",
+    # every contribution to an order as one row, added up once
+    "order_parts": """
+SELECT order_id, quantity * unit_price AS gross, item_discount_amount AS discount, quantity AS units, order_item_id AS item FROM r_order_items
+UNION ALL BY NAME SELECT order_id, amount AS captured FROM pay_once WHERE event_type = 'PAYMENT_CAPTURED'
+UNION ALL BY NAME SELECT order_id, amount AS refunded FROM refund_max
+UNION ALL BY NAME SELECT order_id, promotion_id AS promo FROM r_order_promotions
+UNION ALL BY NAME SELECT order_id, shipping_revenue AS shipping FROM latest_orders""",
+    "order_totals": """
+SELECT order_id, ifnull(sum(gross), 0) AS gross_merchandise_value, ifnull(sum(discount), 0) AS discount_amount,
+  ifnull(sum(shipping), 0) AS shipping_revenue, ifnull(sum(captured), 0) AS captured_payment_amount, ifnull(sum(refunded), 0) AS refunded_amount,
+  count(DISTINCT item) AS item_count, CAST(ifnull(sum(units), 0) AS BIGINT) AS unit_quantity, count(DISTINCT promo) AS promotion_count
+FROM order_parts GROUP BY ALL""",
     "o360": """
-SELECT o.order_id, o.customer_id, CAST(o.ordered_at_utc AS DATE) AS order_date, o.sales_channel, o.store_id,
-  coalesce(i.gross_merchandise_value, 0) AS gross_merchandise_value, coalesce(i.discount_amount, 0) AS discount_amount,
-  coalesce(o.shipping_revenue, 0) AS shipping_revenue, coalesce(p.captured_payment_amount, 0) AS captured_payment_amount,
-  coalesce(r.refunded_amount, 0) AS refunded_amount,
-  coalesce(i.gross_merchandise_value, 0) - coalesce(i.discount_amount, 0) + coalesce(o.shipping_revenue, 0) - coalesce(r.refunded_amount, 0) AS net_revenue,
-  coalesce(i.item_count, 0) AS item_count, coalesce(i.unit_quantity, 0) AS unit_quantity, o.status AS order_status,
-  coalesce(ps.payment_status, 'NO_PAYMENT') AS payment_status, coalesce(rt.return_status, 'NO_RETURN') AS return_status,
-  coalesce(pr.promotion_count, 0) AS promotion_count, (k.customer_order_rank = 1) AS first_order_flag
-FROM latest_orders o
-LEFT JOIN items_by_order i ON i.order_id = o.order_id
-LEFT JOIN captures p ON p.order_id = o.order_id
-LEFT JOIN pay_latest ps ON ps.order_id = o.order_id
-LEFT JOIN refund_totals r ON r.order_id = o.order_id
-LEFT JOIN return_latest rt ON rt.order_id = o.order_id
-LEFT JOIN promos_by_order pr ON pr.order_id = o.order_id
-LEFT JOIN order_ranks k ON k.order_id = o.order_id""",
+SELECT order_id, customer_id, CAST(ordered_at_utc AS DATE) AS order_date, sales_channel, store_id, status AS order_status,
+  order_totals.* EXCLUDE (order_id), gross_merchandise_value - discount_amount + order_totals.shipping_revenue - refunded_amount AS net_revenue,
+  ifnull(payment_status, 'NO_PAYMENT') AS payment_status, ifnull(return_status, 'NO_RETURN') AS return_status,
+  order_id IN (SELECT order_id FROM order_ranks WHERE customer_order_rank = 1) AS first_order_flag
+FROM latest_orders JOIN order_totals USING (order_id) LEFT JOIN pay_latest USING (order_id) LEFT JOIN return_latest USING (order_id)""",
     "contacts": """
-SELECT customer_id, CAST(occurred_at_utc AS DATE) AS metric_date, count(DISTINCT coalesce(ticket_id, event_id)) AS support_contacts
-FROM r_support_events WHERE event_type = 'SUPPORT_TICKET_CREATED' GROUP BY customer_id, CAST(occurred_at_utc AS DATE)""",
+SELECT customer_id, CAST(occurred_at_utc AS DATE) AS metric_date, count(DISTINCT ifnull(ticket_id, event_id)) AS support_contacts
+FROM r_support_events WHERE event_type = 'SUPPORT_TICKET_CREATED' GROUP BY ALL""",
     "channel_of_day": """
-SELECT customer_id, metric_date, sales_channel AS active_channel FROM (
-  SELECT customer_id, order_date AS metric_date, sales_channel,
-    row_number() OVER (PARTITION BY customer_id, order_date ORDER BY count(*) DESC, sales_channel) AS rn
-  FROM o360 GROUP BY customer_id, order_date, sales_channel) WHERE rn = 1""",
+SELECT DISTINCT ON (customer_id, metric_date) customer_id, metric_date, sales_channel AS active_channel
+FROM (SELECT customer_id, order_date AS metric_date, sales_channel, count(*) AS n FROM o360 GROUP BY ALL)
+ORDER BY customer_id, metric_date, n DESC, sales_channel""",
+    "cust_totals": """
+SELECT customer_id, order_date AS metric_date, count(*) AS order_count, CAST(sum(unit_quantity) AS BIGINT) AS unit_quantity,
+  sum(gross_merchandise_value) AS gross_revenue, sum(net_revenue) AS net_revenue, sum(refunded_amount) AS refund_amount,
+  count_if(return_status <> 'NO_RETURN') AS return_count, max(first_order_flag) AS new_customer_flag, NOT min(first_order_flag) AS repeat_customer_flag
+FROM o360 GROUP BY ALL""",
     "cust_day": """
-SELECT b.*, coalesce(s.support_contacts, 0) AS support_contacts, c.active_channel
-FROM (
-  SELECT customer_id, order_date AS metric_date, count(*) AS order_count, CAST(sum(unit_quantity) AS BIGINT) AS unit_quantity,
-    sum(gross_merchandise_value) AS gross_revenue, sum(net_revenue) AS net_revenue, sum(refunded_amount) AS refund_amount,
-    count(*) FILTER (WHERE return_status <> 'NO_RETURN') AS return_count,
-    bool_or(first_order_flag) AS new_customer_flag, bool_or(NOT first_order_flag) AS repeat_customer_flag
-  FROM o360 GROUP BY customer_id, order_date) b
-LEFT JOIN channel_of_day c ON c.customer_id = b.customer_id AND c.metric_date = b.metric_date
-LEFT JOIN contacts s ON s.customer_id = b.customer_id AND s.metric_date = b.metric_date""",
+SELECT * REPLACE (ifnull(support_contacts, 0) AS support_contacts)
+FROM cust_totals JOIN channel_of_day USING (customer_id, metric_date) LEFT JOIN contacts USING (customer_id, metric_date)""",
     "line_days": """
-SELECT oi.*, o.order_date AS metric_date, o.refunded_amount FROM r_order_items oi JOIN o360 o ON o.order_id = oi.order_id""",
+SELECT r_order_items.*, order_date AS metric_date, refunded_amount > 0 AS refunded FROM r_order_items JOIN o360 USING (order_id)""",
     "sales_day": """
 SELECT product_id, metric_date, CAST(sum(quantity) AS BIGINT) AS units_sold, count(DISTINCT order_id) AS order_count, sum(quantity * unit_price) AS gross_revenue
-FROM line_days GROUP BY product_id, metric_date""",
+FROM line_days GROUP BY ALL""",
     "stock_day": """
 SELECT product_id, CAST(snapshot_date AS DATE) AS metric_date, CAST(sum(available_quantity) AS BIGINT) AS available_inventory,
   CAST(sum(reserved_quantity) AS BIGINT) AS reserved_inventory
-FROM r_inventory_snapshots GROUP BY product_id, CAST(snapshot_date AS DATE)""",
+FROM r_inventory_snapshots GROUP BY ALL""",
     "versions": """
-SELECT * EXCLUDE (rn) FROM (
-  SELECT *, row_number() OVER (PARTITION BY product_id, valid_from_utc ORDER BY source_row_id DESC) AS rn FROM r_product_categories) WHERE rn = 1""",
+SELECT DISTINCT ON (product_id, valid_from_utc) * FROM r_product_categories ORDER BY product_id, valid_from_utc, source_row_id DESC""",
     "promo_day": """
-SELECT d.product_id, d.metric_date, count(DISTINCT p.promotion_id) AS promotion_count
-FROM line_days d LEFT JOIN r_order_promotions p ON p.order_id = d.order_id GROUP BY d.product_id, d.metric_date""",
+SELECT product_id, metric_date, count(DISTINCT promotion_id) AS promotion_count FROM line_days LEFT JOIN r_order_promotions USING (order_id) GROUP BY ALL""",
     "refund_units_day": """
-SELECT product_id, metric_date, CAST(sum(quantity) AS BIGINT) AS refunded_units FROM line_days WHERE refunded_amount > 0 GROUP BY product_id, metric_date""",
+SELECT product_id, metric_date, CAST(sum(quantity) AS BIGINT) AS refunded_units FROM line_days WHERE refunded GROUP BY ALL""",
     "discount_day": """
-SELECT product_id, metric_date, sum(item_discount_amount) AS discount_amount FROM line_days GROUP BY product_id, metric_date""",
+SELECT product_id, metric_date, sum(item_discount_amount) AS discount_amount FROM line_days GROUP BY ALL""",
     "refund_value_day": """
-SELECT product_id, metric_date, sum(CASE WHEN refunded_amount > 0 THEN quantity * unit_price ELSE 0 END) AS refund_amount
-FROM line_days GROUP BY product_id, metric_date""",
+SELECT product_id, metric_date, sum(quantity * unit_price * refunded::INT) AS refund_amount FROM line_days GROUP BY ALL""",
+    # sales lines, stock counts and promotions of a product day as rows of one list
+    "day_rows": """
+SELECT product_id, metric_date, order_id, quantity AS units, quantity * unit_price AS gross, item_discount_amount AS discount, refunded FROM line_days
+UNION ALL BY NAME SELECT product_id, CAST(snapshot_date AS DATE) AS metric_date, available_quantity AS available, reserved_quantity AS reserved FROM r_inventory_snapshots
+UNION ALL BY NAME SELECT product_id, metric_date, promotion_id FROM line_days JOIN r_order_promotions USING (order_id)""",
     "grid_day": """
-SELECT product_id, metric_date FROM stock_day UNION SELECT product_id, metric_date FROM sales_day""",
+SELECT DISTINCT product_id, metric_date FROM day_rows""",
+    "covering": """
+SELECT product_id, metric_date, category_name, valid_from_utc, source_row_id FROM grid_day JOIN r_product_categories USING (product_id)
+WHERE metric_date >= valid_from_utc AND metric_date < ifnull(valid_to_utc, DATE '9999-12-31')""",
     "category_day": """
-SELECT product_id, metric_date, category_name AS active_category FROM (
-  SELECT g.product_id, g.metric_date, c.category_name,
-    row_number() OVER (PARTITION BY g.product_id, g.metric_date ORDER BY c.valid_from_utc DESC NULLS LAST, c.source_row_id DESC NULLS LAST) AS rn
-  FROM grid_day g LEFT JOIN r_product_categories c ON c.product_id = g.product_id AND g.metric_date >= CAST(c.valid_from_utc AS DATE)
-    AND (c.valid_to_utc IS NULL OR g.metric_date < CAST(c.valid_to_utc AS DATE))) WHERE rn = 1""",
+SELECT product_id, metric_date, max_by(category_name, (valid_from_utc, source_row_id)) AS active_category
+FROM grid_day LEFT JOIN covering USING (product_id, metric_date) GROUP BY ALL""",
     "category_stock_day": """
-SELECT d.product_id, d.metric_date, c.category_name FROM stock_day d LEFT JOIN versions c ON c.product_id = d.product_id
-  AND d.metric_date >= CAST(c.valid_from_utc AS DATE) AND (c.valid_to_utc IS NULL OR d.metric_date < CAST(c.valid_to_utc AS DATE))""",
+SELECT product_id, metric_date, category_name FROM stock_day LEFT JOIN versions ON versions.product_id = stock_day.product_id
+  AND metric_date BETWEEN valid_from_utc AND ifnull(valid_to_utc - 1, DATE '9999-12-31')""".replace("SELECT product_id", "SELECT stock_day.product_id"),
     "prod_measures": """
-SELECT g.product_id, g.metric_date, coalesce(s.units_sold, 0) AS units_sold, coalesce(s.order_count, 0) AS order_count,
-  coalesce(s.gross_revenue, 0) AS gross_revenue,
-  coalesce(s.gross_revenue, 0) - coalesce(d.discount_amount, 0) - coalesce(ra.refund_amount, 0) AS net_revenue,
-  coalesce(ru.refunded_units, 0) AS refunded_units, pd.available_inventory, pd.reserved_inventory,
-  CASE WHEN pd.available_inventory IS NULL THEN NULL ELSE pd.available_inventory <= 0 END AS stockout_flag,
-  coalesce(p.promotion_count, 0) AS promotion_count
-FROM grid_day g
-LEFT JOIN sales_day s ON s.product_id = g.product_id AND s.metric_date = g.metric_date
-LEFT JOIN stock_day pd ON pd.product_id = g.product_id AND pd.metric_date = g.metric_date
-LEFT JOIN refund_units_day ru ON ru.product_id = g.product_id AND ru.metric_date = g.metric_date
-LEFT JOIN promo_day p ON p.product_id = g.product_id AND p.metric_date = g.metric_date
-LEFT JOIN discount_day d ON d.product_id = g.product_id AND d.metric_date = g.metric_date
-LEFT JOIN refund_value_day ra ON ra.product_id = g.product_id AND ra.metric_date = g.metric_date""",
+SELECT product_id, metric_date, CAST(ifnull(sum(units), 0) AS BIGINT) AS units_sold, count(DISTINCT order_id) AS order_count, ifnull(sum(gross), 0) AS gross_revenue,
+  ifnull(sum(gross) - sum(discount) - ifnull(sum(if(refunded, gross, NULL)), 0), 0) AS net_revenue,
+  CAST(ifnull(sum(if(refunded, units, NULL)), 0) AS BIGINT) AS refunded_units, CAST(sum(available) AS BIGINT) AS available_inventory,
+  CAST(sum(reserved) AS BIGINT) AS reserved_inventory, sum(available) <= 0 AS stockout_flag, count(DISTINCT promotion_id) AS promotion_count
+FROM day_rows GROUP BY ALL""",
     "prod_day": """
-SELECT f.*, c.active_category FROM prod_measures f LEFT JOIN category_day c ON c.product_id = f.product_id AND c.metric_date = f.metric_date""",
+SELECT * FROM prod_measures JOIN category_day USING (product_id, metric_date)""",
     "touches": """
 SELECT DISTINCT event_id, order_id, customer_id, campaign_id, channel AS sales_channel, occurred_at_utc FROM r_web_events WHERE campaign_id IS NOT NULL""",
     "last_touch": """
-SELECT order_id, campaign_id, sales_channel, occurred_at_utc, event_id FROM (
-  SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY occurred_at_utc DESC NULLS LAST, event_id DESC) AS rn
-  FROM touches WHERE order_id IS NOT NULL) WHERE rn = 1""",
+SELECT DISTINCT ON (order_id) order_id, campaign_id, sales_channel, occurred_at_utc, event_id
+FROM touches WHERE order_id IS NOT NULL ORDER BY order_id, occurred_at_utc DESC NULLS LAST, event_id DESC""",
+    "won_orders": """
+SELECT order_date AS metric_date, last_touch.sales_channel, campaign_id, order_id, customer_id, gross_merchandise_value, net_revenue, refunded_amount
+FROM last_touch JOIN o360 USING (order_id)""",
     "attributed": """
-SELECT o.order_date AS metric_date, t.sales_channel, t.campaign_id, count(DISTINCT t.order_id) AS attributed_orders,
-  count(DISTINCT o.customer_id) AS attributed_customers, sum(o.gross_merchandise_value) AS gross_revenue,
-  sum(o.net_revenue) AS net_revenue, sum(o.refunded_amount) AS refunds
-FROM last_touch t JOIN o360 o ON o.order_id = t.order_id GROUP BY o.order_date, t.sales_channel, t.campaign_id""",
+SELECT metric_date, sales_channel, campaign_id, count(DISTINCT order_id) AS attributed_orders, count(DISTINCT customer_id) AS attributed_customers,
+  sum(gross_merchandise_value) AS gross_revenue, sum(net_revenue) AS net_revenue, sum(refunded_amount) AS refunds
+FROM won_orders GROUP BY ALL""",
     "spend_day": """
-SELECT spend_date AS metric_date, channel AS sales_channel, campaign_id, sum(spend_amount) AS campaign_spend
-FROM r_campaign_spend GROUP BY spend_date, channel, campaign_id""",
+SELECT spend_date AS metric_date, channel AS sales_channel, campaign_id, sum(spend_amount) AS campaign_spend FROM r_campaign_spend GROUP BY ALL""",
     "session_day": """
 SELECT CAST(occurred_at_utc AS DATE) AS metric_date, channel AS sales_channel, campaign_id, count(DISTINCT session_id) AS sessions
-FROM r_web_events WHERE campaign_id IS NOT NULL GROUP BY CAST(occurred_at_utc AS DATE), channel, campaign_id""",
+FROM r_web_events WHERE campaign_id IS NOT NULL GROUP BY ALL""",
+    "campaign_rows": """
+SELECT * FROM won_orders
+UNION ALL BY NAME SELECT spend_date AS metric_date, channel AS sales_channel, campaign_id, spend_amount FROM r_campaign_spend""",
     "grid_campaign": """
-SELECT metric_date, sales_channel, campaign_id FROM spend_day UNION SELECT metric_date, sales_channel, campaign_id FROM attributed""",
+SELECT DISTINCT metric_date, sales_channel, campaign_id FROM campaign_rows""",
+    "campaign_totals": """
+SELECT metric_date, sales_channel, campaign_id, ifnull(sum(spend_amount), 0) AS campaign_spend, count(DISTINCT order_id) AS attributed_orders,
+  count(DISTINCT customer_id) AS attributed_customers, ifnull(sum(gross_merchandise_value), 0) AS gross_revenue,
+  ifnull(sum(net_revenue), 0) AS net_revenue, ifnull(sum(refunded_amount), 0) AS refunds
+FROM campaign_rows GROUP BY ALL""",
     "camp_day": """
-SELECT g.metric_date, g.sales_channel, g.campaign_id, coalesce(s.campaign_spend, 0) AS campaign_spend,
-  coalesce(a.attributed_orders, 0) AS attributed_orders, coalesce(a.attributed_customers, 0) AS attributed_customers,
-  coalesce(a.gross_revenue, 0) AS gross_revenue, coalesce(a.net_revenue, 0) AS net_revenue, coalesce(a.refunds, 0) AS refunds,
-  CASE WHEN coalesce(s.campaign_spend, 0) = 0 THEN NULL ELSE CAST(coalesce(a.net_revenue, 0) AS DOUBLE) / CAST(s.campaign_spend AS DOUBLE) END AS roas,
-  CASE WHEN coalesce(se.sessions, 0) = 0 THEN NULL ELSE CAST(coalesce(a.attributed_orders, 0) AS DOUBLE) / CAST(se.sessions AS DOUBLE) END AS conversion_rate
-FROM grid_campaign g LEFT JOIN spend_day s USING (metric_date, sales_channel, campaign_id)
-LEFT JOIN attributed a USING (metric_date, sales_channel, campaign_id)
-LEFT JOIN session_day se USING (metric_date, sales_channel, campaign_id)""",
+SELECT * EXCLUDE (sessions), net_revenue::DOUBLE / nullif(campaign_spend, 0)::DOUBLE AS roas, attributed_orders::DOUBLE / nullif(sessions, 0)::DOUBLE AS conversion_rate
+FROM campaign_totals LEFT JOIN session_day USING (metric_date, sales_channel, campaign_id)""",
     "kpi_orders": """
 SELECT order_date AS metric_date, count(*) AS total_orders, sum(gross_merchandise_value) AS gross_revenue, sum(net_revenue) AS net_revenue,
-  CAST(sum(gross_merchandise_value) AS DOUBLE) / CAST(count(gross_merchandise_value) AS DOUBLE) AS average_order_value,
-  count(*) FILTER (WHERE refunded_amount > 0) AS refunded_orders, count(*) FILTER (WHERE payment_status = 'PAYMENT_CAPTURED') AS captured_orders,
-  count(*) FILTER (WHERE return_status <> 'NO_RETURN') AS returned_orders,
-  count(*) FILTER (WHERE return_status <> 'NO_RETURN' OR order_status IN ('COMPLETED', 'RETURNED', 'CANCELLED')) AS resolved_orders
-FROM o360 GROUP BY order_date""",
+  sum(gross_merchandise_value)::DOUBLE / count(*)::DOUBLE AS average_order_value,
+  count_if(refunded_amount > 0) AS refunded_orders, count_if(payment_status = 'PAYMENT_CAPTURED') AS captured_orders,
+  count_if(return_status <> 'NO_RETURN') AS returned_orders,
+  count_if(return_status <> 'NO_RETURN' OR order_status <> 'PENDING') AS resolved_orders
+FROM o360 GROUP BY ALL""",
     "kpi_customers": """
-SELECT metric_date, count(DISTINCT customer_id) AS active_customers,
-  CAST(count(*) FILTER (WHERE repeat_customer_flag) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS repeat_customer_rate,
+SELECT metric_date, count(DISTINCT customer_id) AS active_customers, count_if(repeat_customer_flag)::DOUBLE / count(*)::DOUBLE AS repeat_customer_rate,
   CAST(sum(support_contacts) AS BIGINT) AS support_contacts
-FROM cust_day GROUP BY metric_date""",
+FROM cust_day GROUP BY ALL""",
     "kpi_stock": """
-SELECT metric_date, CAST(count(*) FILTER (WHERE stockout_flag) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS stockout_rate
-FROM prod_measures WHERE stockout_flag IS NOT NULL GROUP BY metric_date""",
+SELECT metric_date, count_if(stockout_flag)::DOUBLE / count(stockout_flag)::DOUBLE AS stockout_rate FROM prod_measures
+GROUP BY ALL HAVING count(stockout_flag) > 0""",
     "kpi_day": """
-SELECT o.metric_date, o.total_orders, o.gross_revenue, o.net_revenue, o.average_order_value,
-  CASE WHEN o.captured_orders = 0 THEN 0.0 ELSE CAST(o.refunded_orders AS DOUBLE) / CAST(o.captured_orders AS DOUBLE) END AS refund_rate,
-  CASE WHEN o.resolved_orders = 0 THEN 0.0 ELSE CAST(o.returned_orders AS DOUBLE) / CAST(o.resolved_orders AS DOUBLE) END AS return_rate,
-  coalesce(c.repeat_customer_rate, 0.0) AS repeat_customer_rate, coalesce(s.stockout_rate, 0.0) AS stockout_rate,
-  coalesce(c.active_customers, 0) AS active_customers,
-  CASE WHEN o.total_orders = 0 THEN 0.0 ELSE CAST(coalesce(c.support_contacts, 0) AS DOUBLE) / CAST(o.total_orders AS DOUBLE) END AS support_contact_rate
-FROM kpi_orders o LEFT JOIN kpi_customers c USING (metric_date) LEFT JOIN kpi_stock s USING (metric_date)""",
+SELECT metric_date, total_orders, gross_revenue, net_revenue, average_order_value,
+  ifnull(refunded_orders::DOUBLE / nullif(captured_orders, 0)::DOUBLE, 0) AS refund_rate,
+  ifnull(returned_orders::DOUBLE / nullif(resolved_orders, 0)::DOUBLE, 0) AS return_rate, ifnull(repeat_customer_rate, 0) AS repeat_customer_rate,
+  ifnull(stockout_rate, 0) AS stockout_rate, ifnull(active_customers, 0) AS active_customers,
+  ifnull(support_contacts, 0)::DOUBLE / total_orders::DOUBLE AS support_contact_rate
+FROM kpi_orders LEFT JOIN kpi_customers USING (metric_date) LEFT JOIN kpi_stock USING (metric_date)""",
     # the wider customer day
+    "refund_done": """
+SELECT * FROM r_refund_events WHERE event_type = 'REFUND_COMPLETED'""",
     "refund_by_event": """
-SELECT * EXCLUDE (rn) FROM (
-  SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ingested_at_utc DESC NULLS LAST, occurred_at_utc DESC NULLS LAST, amount DESC NULLS LAST, refund_id) AS rn
-  FROM r_refund_events WHERE event_type = 'REFUND_COMPLETED') WHERE rn = 1""",
+SELECT DISTINCT ON (event_id) * FROM refund_done
+ORDER BY event_id, ingested_at_utc DESC NULLS LAST, occurred_at_utc DESC NULLS LAST, amount DESC NULLS LAST, refund_id""",
     "refund_by_refund": """
-SELECT * EXCLUDE (rn) FROM (
-  SELECT *, row_number() OVER (PARTITION BY refund_id ORDER BY occurred_at_utc DESC NULLS LAST, event_id DESC, amount DESC NULLS LAST, order_id) AS rn
-  FROM r_refund_events WHERE event_type = 'REFUND_COMPLETED') WHERE rn = 1""",
+SELECT DISTINCT ON (refund_id) * FROM refund_done
+ORDER BY refund_id, occurred_at_utc DESC NULLS LAST, event_id DESC, amount DESC NULLS LAST, order_id""",
     "returns_counted": """
-SELECT order_id, count(DISTINCT return_id) AS return_count FROM r_return_events GROUP BY order_id""",
+SELECT order_id, count(DISTINCT return_id) AS return_count FROM r_return_events GROUP BY ALL""",
     "pay_alt": """
-SELECT order_id, max(CASE WHEN event_type = 'PAYMENT_CAPTURED' THEN amount ELSE 0 END) AS captured_payment_amount,
-  CASE WHEN count(*) FILTER (WHERE event_type = 'PAYMENT_CAPTURED') > 0 THEN 'PAYMENT_CAPTURED'
-       WHEN count(*) FILTER (WHERE event_type = 'PAYMENT_AUTHORIZED') > 0 THEN 'PAYMENT_AUTHORIZED'
-       WHEN count(*) FILTER (WHERE event_type = 'PAYMENT_FAILED') > 0 THEN 'PAYMENT_FAILED' ELSE 'UNKNOWN' END AS payment_status
-FROM r_payment_events GROUP BY order_id""",
+SELECT order_id, max(if(event_type = 'PAYMENT_CAPTURED', amount, 0)) AS captured_payment_amount,
+  list_extract(['UNKNOWN', 'PAYMENT_FAILED', 'PAYMENT_AUTHORIZED', 'PAYMENT_CAPTURED'],
+    max(ifnull(list_position(['UNKNOWN', 'PAYMENT_FAILED', 'PAYMENT_AUTHORIZED', 'PAYMENT_CAPTURED'], event_type), 1))) AS payment_status
+FROM r_payment_events GROUP BY ALL""",
     "captures_corrected": """
-SELECT order_id, sum(amount) AS captured_payment_amount FROM (SELECT DISTINCT event_id, order_id, event_type, amount FROM r_payment_events)
-WHERE event_type = 'PAYMENT_CAPTURED' GROUP BY order_id""",
+SELECT order_id, sum(amount) AS captured_payment_amount FROM pay_once WHERE event_type = 'PAYMENT_CAPTURED' GROUP BY ALL""",
+    "rich_parts": """
+SELECT order_id, amount AS refund FROM refund_by_event
+UNION ALL BY NAME SELECT order_id, quantity * unit_price AS gross, item_discount_amount AS discount, quantity AS units FROM r_order_items
+UNION ALL BY NAME SELECT order_id, return_id FROM r_return_events
+UNION ALL BY NAME SELECT order_id, shipping_revenue AS shipping FROM latest_orders""",
+    "rich_totals": """
+SELECT order_id, CAST(ifnull(sum(units), 0) AS BIGINT) AS unit_quantity, ifnull(sum(gross), 0) AS gross_revenue, ifnull(sum(discount), 0) AS discount_amount,
+  ifnull(sum(shipping), 0) AS shipping_revenue, ifnull(sum(refund), 0) AS refund_amount, count(DISTINCT return_id) AS return_count
+FROM rich_parts GROUP BY ALL""",
     "order_rich": """
-SELECT *, gross_revenue - discount_amount + shipping_revenue - refund_amount AS net_revenue FROM (
-  SELECT o.order_id, o.customer_id, CAST(o.ordered_at_utc AS DATE) AS metric_date, o.sales_channel,
-    coalesce(i.unit_quantity, 0) AS unit_quantity, coalesce(i.gross_merchandise_value, 0) AS gross_revenue,
-    coalesce(i.discount_amount, 0) AS discount_amount, coalesce(o.shipping_revenue, 0) AS shipping_revenue,
-    coalesce(r.refund_amount, 0) AS refund_amount, coalesce(rc.return_count, 0) AS return_count,
-    (k.customer_order_rank = 1) AS new_customer_flag, (k.customer_order_rank > 1) AS repeat_customer_flag,
-    p.captured_payment_amount, p.payment_status, coalesce(rt.return_status, 'NO_RETURN') AS return_status
-  FROM latest_orders o
-  LEFT JOIN items_by_order i ON i.order_id = o.order_id
-  LEFT JOIN (SELECT order_id, sum(amount) AS refund_amount FROM refund_by_event GROUP BY order_id) r ON r.order_id = o.order_id
-  LEFT JOIN returns_counted rc ON rc.order_id = o.order_id
-  LEFT JOIN pay_alt p ON p.order_id = o.order_id
-  LEFT JOIN return_latest rt ON rt.order_id = o.order_id
-  LEFT JOIN order_ranks k ON k.order_id = o.order_id)""",
+SELECT order_id, latest_orders.customer_id, CAST(latest_orders.ordered_at_utc AS DATE) AS metric_date, sales_channel, rich_totals.* EXCLUDE (order_id),
+  gross_revenue - discount_amount + rich_totals.shipping_revenue - refund_amount AS net_revenue,
+  customer_order_rank = 1 AS new_customer_flag, customer_order_rank > 1 AS repeat_customer_flag,
+  captured_payment_amount, payment_status, ifnull(return_status, 'NO_RETURN') AS return_status
+FROM latest_orders JOIN rich_totals USING (order_id) JOIN order_ranks USING (order_id)
+LEFT JOIN pay_alt USING (order_id) LEFT JOIN return_latest USING (order_id)""",
     "cust_day_wide": """
 SELECT customer_id, metric_date, count(DISTINCT order_id) AS order_count, CAST(sum(unit_quantity) AS BIGINT) AS unit_quantity,
   sum(gross_revenue) AS gross_revenue, sum(discount_amount) AS discount_amount, sum(shipping_revenue) AS shipping_revenue,
   sum(refund_amount) AS refund_amount, CAST(sum(return_count) AS BIGINT) AS return_count, sum(net_revenue) AS net_revenue,
-  coalesce(sum(captured_payment_amount), 0) AS captured_payment_amount,
-  count(*) FILTER (WHERE new_customer_flag) AS new_customer_order_count, count(*) FILTER (WHERE repeat_customer_flag) AS repeat_customer_order_count
-FROM order_rich GROUP BY customer_id, metric_date""",
+  ifnull(sum(captured_payment_amount), 0) AS captured_payment_amount,
+  count_if(new_customer_flag) AS new_customer_order_count, count_if(repeat_customer_flag) AS repeat_customer_order_count
+FROM order_rich GROUP BY ALL""",
     "negative_orders": """
-SELECT order_id, gross_merchandise_value, discount_amount, shipping_revenue,
-  gross_merchandise_value - discount_amount + shipping_revenue AS revenue_before_refund, refunded_amount, net_revenue,
-  order_status, payment_status, return_status,
-  refunded_amount > gross_merchandise_value - discount_amount + shipping_revenue AS refund_exceeds_revenue
+SELECT order_id, gross_merchandise_value, discount_amount, shipping_revenue, net_revenue + refunded_amount AS revenue_before_refund,
+  refunded_amount, net_revenue, order_status, payment_status, return_status, net_revenue < 0 AND refunded_amount > net_revenue + refunded_amount AS refund_exceeds_revenue
 FROM o360 WHERE net_revenue < 0""",
     "anomalies": """
 SELECT order_id, payment_status, captured_payment_amount, net_revenue FROM o360
