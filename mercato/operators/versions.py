@@ -74,37 +74,44 @@ def in_force_closed(at: Column, start: Column, end: Column) -> Column:
     return (start <= at) & (at <= end)
 
 
-def version_on_day(
-    days: DataFrame,
+def daily_segments(
     versions: DataFrame,
     key: str,
-    day: str,
     take: Sequence[str],
     start: str = "valid_from_utc",
     end: str = "valid_to_utc",
     tie: str = "source_row_id",
 ) -> DataFrame:
-    """Left join each (key, day) row to the one version in force on that day.
+    """Versions as day ranges ``[_first, _until)`` that never overlap within a key.
 
-    Overlapping versions give the latest start, then the largest ``tie``. ``days``
-    must be unique per (key, day). Versions are first reduced to one per key and
-    validity period, so both sides of the join are bounded by the calendar for any
-    key. The winner is chosen in the partitioning the join already made.
+    Where versions overlap, the latest start wins, then the largest ``tie``. Versions
+    are reduced to one per key and validity period and cut at every day on which one
+    starts or ends, so any key is bounded by the calendar. The work is on the size of
+    the dimension, not of the facts that are looked up.
     """
-    reduced = (
-        versions.filter(F.col(key).isNotNull())
-        .withColumn("_start", F.to_date(start))
-        .withColumn("_end", F.to_date(end))
+    spans = versions.filter(F.col(key).isNotNull()).withColumn("_start", F.to_date(start)).withColumn("_end", F.to_date(end))
+    spans = latest_by(spans, [key, "_start", "_end"], newest=[start, tie]).select(
+        F.col(key).alias("_vkey"), "_start", "_end", F.col(start).alias("_from"), F.col(tie).alias("_tie"), *take
     )
-    reduced = latest_by(reduced, [key, "_start", "_end"], newest=[start, tie]).select(
-        F.col(key).alias("_key"), "_start", "_end", F.col(start).alias("_from"), F.col(tie).alias("_tie"), *take
+    cuts = spans.select(F.col("_vkey").alias("_key"), F.explode(F.array_compact(F.array("_start", "_end"))).alias("_first")).distinct()
+    following = F.lead("_first").over(Window.partitionBy("_key").orderBy("_first"))
+    ranges = cuts.withColumn("_until", following)
+    covered = ranges.join(
+        spans, (F.col("_key") == F.col("_vkey")) & in_force(F.col("_first"), F.col("_start"), F.col("_end"))
     )
-    matched = days.join(
-        reduced,
-        (F.col(key) == F.col("_key")) & in_force(F.col(day), F.col("_start"), F.col("_end")),
-        "left",
-    )
-    return latest_by(matched, [key, day], newest=["_from", "_tie"]).select(*days.columns, *take)
+    return latest_by(covered, ["_key", "_first"], newest=["_from", "_tie"]).select("_key", "_first", "_until", *take)
+
+
+def version_on_day(days: DataFrame, versions: DataFrame, key: str, day: str, take: Sequence[str], **columns: str) -> DataFrame:
+    """Left join each row to the one version of its key in force on its day.
+
+    The segments do not overlap, so the join gives one row per row: the wide side is
+    neither sorted nor grouped again, and stays where it is if the segments are small
+    enough for the planner to broadcast.
+    """
+    segments = daily_segments(versions, key, take, **columns)
+    fits = (F.col(key) == F.col("_key")) & in_force(F.col(day), F.col("_first"), F.col("_until"))
+    return days.join(segments, fits, "left").select(*days.columns, *take)
 
 
 def version_at(

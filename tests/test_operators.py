@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from mercato.operators import checks as c
-from mercato.operators.versions import latest_by, rank_within, version_at
+from mercato.operators.versions import latest_by, rank_within, version_at, version_on_day
 from makers import only
 
 
@@ -53,6 +53,23 @@ def test_version_at_matches_brute_force(spark):
     assert got == want
 
 
+def test_daily_segments_match_brute_force(spark):
+    rnd = random.Random(11)
+    versions = []
+    for i in range(50):
+        a, b = sorted(rnd.sample(range(1, 28), 2))
+        versions.append((f"p{rnd.randrange(4)}", f"2026-07-{a:02d}", None if rnd.random() < 0.2 else f"2026-07-{b:02d}", f"v{i:02d}", f"s{i}"))
+    days = [(f"p{p}", f"2026-07-{d:02d}") for p in range(5) for d in range(1, 29)]
+    fv = spark.createDataFrame(versions, "p string, valid_from_utc string, valid_to_utc string, source_row_id string, segment string")
+    fv = fv.withColumns({x: F.to_date(x) for x in ("valid_from_utc", "valid_to_utc")})
+    fd = spark.createDataFrame(days, "p string, day string").withColumn("day", F.to_date("day"))
+    rows = version_on_day(fd, fv, "p", "day", ["segment"]).collect()
+    assert len(rows) == len(days)
+    for r in rows:
+        fits = [v for v in versions if v[0] == r["p"] and v[1] <= str(r["day"]) and (v[2] is None or str(r["day"]) < v[2])]
+        assert r["segment"] == (max(fits, key=lambda v: (v[1], v[3]))[4] if fits else None)
+
+
 def test_exact_profile_equals_numpy(spark):
     rnd = random.Random(7)
     values = [round(rnd.gauss(500, 4000), 2) for _ in range(501)] + [12.5] * 40
