@@ -29,11 +29,6 @@ def utc(text: Column | str, source_zone: str = "UTC") -> Column:
     return F.when(has_offset, parsed).otherwise(F.to_utc_timestamp(parsed, source_zone))
 
 
-def utc_date(text: Column | str, source_zone: str = "UTC") -> Column:
-    """The UTC date; never casts text straight to a date (that would ignore offsets)."""
-    return F.to_date(utc(text, source_zone))
-
-
 def canonical(status: Column | str, aliases: Mapping[str, str] | None = None) -> Column:
     """Upper-case, trimmed, underscored status with known aliases replaced."""
     text = F.upper(F.trim(col(status)))

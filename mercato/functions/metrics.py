@@ -20,10 +20,6 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def money(c: Column | str) -> Column:
-    return col(c).cast(MONEY)
-
-
 def or_zero(c: Column | str) -> Column:
     return F.coalesce(col(c), F.lit(0))
 

@@ -13,7 +13,6 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import metrics as m
 from ..operators import checks as c
 from ..sources.star_views import StarViews
 from . import campaigns, checks, customers, enriched, kpis, landing, orders, products, questions

@@ -68,6 +68,7 @@ _ORDER = Reference("order_id", "orders", "order_id")
 _PRODUCT = Reference("product_id", "products", "product_id")
 _CUSTOMER = Reference("customer_id", "customers", "customer_id")
 
+# File paths, column names and types of the raw feeds.
 SOURCES: dict[str, Source] = {
     "city_reference": Source(
         "reference/city_reference.json", {"city_id": "string", "country": "string", "city_name": "string"},
@@ -166,6 +167,7 @@ class GoldTable:
         return [f.name for f in self.schema.fields if not f.nullable]
 
 
+# Names, order, types and nullability of the gold columns.
 def gold_contract() -> dict[str, GoldTable]:
     order_360 = _contract(
         ("order_id",), ("store_id",),

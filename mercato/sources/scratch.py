@@ -29,14 +29,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path no other job uses; nothing is created yet."""
     return f"{shared_dir(spark)}/mercato/{label}-{uuid.uuid4().hex}"
-
-
-def written_once(df, label: str):
-    """Write ``df`` to the shared folder and read it back.
-
-    Used where one result feeds several branches of a plan: lineage is cut and
-    the table survives the loss of executors.
-    """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

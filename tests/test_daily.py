@@ -5,7 +5,7 @@ from datetime import date, datetime
 import pytest
 
 from mercato.plans import campaigns, kpis, products, questions
-from makers import dec, item, make, only, order, payment, refund
+from makers import dec, item, make, order, payment, refund
 from test_orders import build
 from mercato.plans import customers
 
