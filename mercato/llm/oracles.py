@@ -1,9 +1,25 @@
 """DuckDB SQL for the queries that SQL can express on whole tables."""
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
 ORACLES: dict[str, str] = {
     "op2_exact_dedup": """
 WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS h FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, h AS text_sha256,
        (count(*) OVER w) > 1 AND (count(*) OVER w) * 1025 > (count(*) OVER ()) AS heavy
 FROM d WINDOW w AS (PARTITION BY h)""",
+    "op5_decontamination": f"""
+WITH dw AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+iw AS (SELECT coalesce(item_id::VARCHAR, '') AS item, {_WORDS} AS w FROM benchmark),
+win AS (SELECT DISTINCT item, least(len(w), 10) AS size, array_to_string(list_slice(w, i, i + least(len(w), 10) - 1), ' ') AS win
+        FROM iw, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS r(i) WHERE len(w) > 0),
+starts AS (SELECT doc_id, i, s.size, array_to_string(list_slice(w, i, i + s.size - 1), ' ') AS win
+           FROM dw, (SELECT DISTINCT size FROM win) s, unnest(range(1, greatest(len(w) - s.size + 2, 1))) AS r(i)),
+hits AS (SELECT doc_id, i, size, item FROM starts JOIN win USING (size, win)),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM hits, unnest(range(i, i + size)) AS r(p) GROUP BY doc_id),
+listed AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hits GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)""",
 }
