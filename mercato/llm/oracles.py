@@ -22,4 +22,12 @@ listed AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT i
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM dw LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)""",
+    "op10_lines": """
+WITH split AS (SELECT doc_id, source, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+line AS (SELECT doc_id, source, i, lines[i] AS raw, trim(lines[i], ' ') AS line FROM split, unnest(range(1, len(lines) + 1)) AS r(i)),
+spread AS (SELECT line FROM line WHERE line <> '' GROUP BY line HAVING count(DISTINCT coalesce('+' || source, '-')) >= 5)
+SELECT doc_id, count(*) FILTER (WHERE line <> '') AS n_lines, count(*) FILTER (WHERE line IN (FROM spread)) AS n_removed,
+       length(coalesce(string_agg(raw, chr(10) ORDER BY i) FILTER (WHERE line NOT IN (FROM spread)), '')) AS n_chars,
+       sha256(coalesce(string_agg(raw, chr(10) ORDER BY i) FILTER (WHERE line NOT IN (FROM spread)), '')) AS kept_sha256
+FROM line GROUP BY doc_id""",
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, mixing, quality, simhash
+from . import decontaminate, exact_dedup, licenses, line_dedup, mixing, quality, simhash
 from .shared import table
 
 
@@ -17,6 +17,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan_mix(table(spark, sf_dir, "documents")).drop("row_hash")
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_hash")
 
@@ -30,4 +34,9 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_mixing, op5_decontamination, op7_quality, op9_simhash)}
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.clean_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.length("text").cast("bigint").alias("n_chars"), F.sha2("text", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_mixing, op4_licenses, op5_decontamination, op7_quality, op9_simhash, op10_lines)}
