@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, licenses, line_dedup, mixing, quality, simhash
+from . import decontaminate, exact_dedup, hmm, licenses, line_dedup, mixing, quality, simhash
 from .shared import table
 
 
@@ -29,6 +29,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -39,4 +43,4 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_removed", F.length("text").cast("bigint").alias("n_chars"), F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_mixing, op4_licenses, op5_decontamination, op7_quality, op9_simhash, op10_lines)}
+QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_mixing, op4_licenses, op5_decontamination, op7_quality, op8_hmm, op9_simhash, op10_lines)}
