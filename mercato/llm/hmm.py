@@ -39,8 +39,8 @@ RARE_CLASSES = 64
 STATES = 6
 ROUNDS = 3
 SMOOTH = 0.1
+STAY = 0.95  # first guess: a state lasts, so that documents part by language and register first
 SEED = 11
-BATCH_ROWS = 1024
 COUNTER_WORDS = 400_000
 
 
@@ -97,7 +97,7 @@ class Model:
         """Class frequencies, tilted at random per state, so that states can part."""
         noise = np.random.default_rng(seed).uniform(0.5, 1.5, (len(class_counts), states))
         emit = (class_counts[:, None] + SMOOTH) * noise
-        move = np.full((states, states), 0.4 / states) + np.eye(states) * 0.6
+        move = np.full((states, states), (1 - STAY) / states) + np.eye(states) * STAY
         return cls(np.full(states, 1 / states), move, emit / emit.sum(axis=0))
 
     @classmethod
@@ -160,10 +160,10 @@ class Model:
         return seen[begin].sum(axis=0).astype(float), move, emit
 
 
-def _chunks(batch: pd.DataFrame, most: int = 1 << 20) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+def _chunks(batch: pd.Series, most: int = 1 << 20) -> Iterator[tuple[list[int], list[np.ndarray]]]:
     """Row numbers and sequences in groups of bounded length in all."""
     rows, group, length = [], [], 0
-    for i, raw in enumerate(batch["classes"]):
+    for i, raw in enumerate(batch):
         sequence = np.frombuffer(raw, dtype="<i4")
         if group and length + len(sequence) > most:
             yield rows, group
@@ -179,7 +179,7 @@ def _expectations(model: Model):
     def of_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         start, move, emit = np.zeros_like(model.start), np.zeros_like(model.move), np.zeros_like(model.emit)
         for batch in batches:
-            for _, group in _chunks(batch):
+            for _, group in _chunks(batch["classes"]):
                 s, m, e = model.expected(group)
                 start += s
                 move += m
@@ -216,20 +216,20 @@ def lm_scores(docs: DataFrame, fold_of: int = 7, fold: int = 2, class_words: int
     least = np.log10(all_tokens + distinct + 1)
     known_count = dictionary.counts
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        gain = np.log10(known_count + 1)
-        for batch in batches:
-            for start in range(0, len(batch), BATCH_ROWS):
-                part, out = batch.iloc[start:start + BATCH_ROWS].reset_index(drop=True), []
-                for text in part["text"]:
-                    classes, outside = dictionary.sequence(tokens(text))
-                    own = classes[classes <= dictionary.end]
-                    out.append((len(classes), int((known_count[own] > 0).sum()), float(gain[own].sum()), classes.tobytes(), list(outside.keys()), list(outside.values())))
-                rows = pd.DataFrame(out, columns=["n_tokens", "n_known", "gain", "classes", "words", "times"])
-                yield pd.concat([part[["doc_id", "held_out"]], rows], axis=1)
-
-    shape = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, gain double, classes binary, words array<binary>, times array<bigint>"
-    coded = written(texts.mapInPandas(encode, shape).withColumn("row", F.monotonically_increasing_id()), "class-sequences")
+    gains = np.log10(known_count + 1)
+
+    @F.pandas_udf("n_tokens bigint, n_known bigint, gain double, classes binary, words array<binary>, times array<bigint>")
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            out = []
+            for text in texts:
+                classes, outside = dictionary.sequence(tokens(text))
+                own = classes[classes <= dictionary.end]
+                out.append((len(classes), int((known_count[own] > 0).sum()), float(gains[own].sum()), classes.tobytes(), list(outside.keys()), list(outside.values())))
+            yield pd.DataFrame(out, columns=["n_tokens", "n_known", "gain", "classes", "words", "times"])
+
+    coded = texts.select("doc_id", "held_out", encode("text").alias("r")).select("doc_id", "held_out", "r.*")
+    coded = written(coded.withColumn("row", F.monotonically_increasing_id()), "class-sequences")
 
     # Words outside the dictionary: their class's totals are a bounded table, their own counts a shuffled join.
     known = F.broadcast(docs.sparkSession.createDataFrame([(w,) for w in frequent], "word binary"))
@@ -247,15 +247,15 @@ def lm_scores(docs: DataFrame, fold_of: int = 7, fold: int = 2, class_words: int
     if all_tokens:
         model = baum_welch(coded.filter("not held_out"), model, rounds)
 
-    def forward(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("double")
+    def forward(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             score = np.zeros(len(batch))
             for rows, group in _chunks(batch):
                 score[rows] = model.forward(group)
-            yield batch.drop(columns="classes").assign(score=score)
+            yield pd.Series(score)
 
-    plain = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, gain double, row bigint"
-    scored = coded.select("doc_id", "held_out", "n_tokens", "n_known", "gain", "row", "classes").mapInPandas(forward, f"{plain}, score double")
+    scored = coded.select("doc_id", "held_out", "n_tokens", "n_known", "gain", "row", forward("classes").alias("score"))
     return scored.join(per_row, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(int(all_tokens)).cast("bigint").alias("train_tokens"),
         (F.col("gain") + F.coalesce("rare_gain", F.lit(0.0)) - F.col("n_tokens") * F.lit(float(least))).alias("base_score"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, hmm, licenses, line_dedup, mixing, quality, simhash
+from . import decontaminate, exact_dedup, hmm, licenses, line_dedup, mixing, quality, simhash, suffix_dedup
 from .shared import table
 
 
@@ -25,6 +25,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_hash")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -43,4 +47,4 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_removed", F.length("text").cast("bigint").alias("n_chars"), F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_mixing, op4_licenses, op5_decontamination, op7_quality, op8_hmm, op9_simhash, op10_lines)}
+QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_mixing, op4_licenses, op5_decontamination, op6_suffix_dedup, op7_quality, op8_hmm, op9_simhash, op10_lines)}
