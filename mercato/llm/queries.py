@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, hmm, licenses, line_dedup, mixing, quality, simhash, suffix_dedup
+from . import decontaminate, exact_dedup, hmm, html_text, licenses, line_dedup, mixing, quality, simhash, suffix_dedup
 from .shared import table
 
 
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.copy_groups(table(spark, sf_dir, "documents"))
 
@@ -47,4 +51,4 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_removed", F.length("text").cast("bigint").alias("n_chars"), F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_mixing, op4_licenses, op5_decontamination, op6_suffix_dedup, op7_quality, op8_hmm, op9_simhash, op10_lines)}
+QUERIES = {f.__name__: f for f in (op1_html, op2_exact_dedup, op3_mixing, op4_licenses, op5_decontamination, op6_suffix_dedup, op7_quality, op8_hmm, op9_simhash, op10_lines)}
