@@ -21,13 +21,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import ascii_lower, full_text, written
+from .shared import ascii_lower, full_text, packed, written
 
 COUNTERS = 1024
 
 
-def _digest():
-    return F.unhex(F.sha2(ascii_lower(full_text()), 256))
+def _digest(text: str = "text"):
+    return F.unhex(F.sha2(ascii_lower(full_text(text)), 256))
 
 
 def _summaries(counters: int):
@@ -80,9 +80,8 @@ def copy_groups(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
 
 def drop_copies(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     """The rows of ``docs`` that stay: of equal texts the one with the largest doc_id."""
-    heavy = heavy_digests(_digest_table(docs), counters).select("digest", F.col("winner.doc_id").alias("_keep"), F.lit(True).alias("_heavy"))
-    left = (docs.withColumn("digest", _digest()) if "digest" not in docs.columns else docs.withColumnRenamed("digest", "_own").withColumn("digest", _digest()))
-    left = left.join(F.broadcast(heavy), "digest", "left").filter(F.col("_heavy").isNull() | F.col("doc_id").eqNullSafe(F.col("_keep")))
-    first = Window.partitionBy("digest").orderBy(F.col("doc_id").desc_nulls_last())
-    left = left.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1")
-    return left.select(*[F.col("_own").alias("digest") if c == "digest" and "_own" in left.columns else F.col(c) for c in docs.columns])
+    heavy = heavy_digests(_digest_table(docs), counters).select("digest", F.col("winner.doc_id").alias("keep"), F.lit(True).alias("heavy"))
+    left = packed(docs).withColumn("digest", _digest("doc.text")).join(F.broadcast(heavy), "digest", "left")
+    left = left.filter(F.col("heavy").isNull() | F.col("doc.doc_id").eqNullSafe(F.col("keep")))
+    first = Window.partitionBy("digest").orderBy(F.col("doc.doc_id").desc_nulls_last())
+    return left.withColumn("rank", F.row_number().over(first)).filter("rank = 1").select("doc.*")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import checked, full_text, row_hash, written
+from .shared import checked, full_text, matched, row_hash, written
 
 WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
@@ -125,10 +125,10 @@ def plan_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: in
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """The documents the mix takes, once each, with size, source_size, target, copies and taken."""
-    plan = plan_mix(docs).filter("taken > 0").groupBy("doc_id", "row_hash").agg(
-        *[F.first(c).alias(c) for c in ("size", "source_size", "target", "copies", "taken")])
-    names = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies", "taken")]
-    plan = written(plan.withColumnRenamed("doc_id", "_id"), "mix")
-    held = docs.select(*names).withColumn("_row", row_hash())
-    return held.join(checked(plan), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("row_hash"))).drop("_id", "_row", "row_hash")
+    """The documents the mix takes, once each, with size, source_size, target, copies and taken.
+
+    Columns of those names in ``docs`` are replaced.
+    """
+    added = ("size", "source_size", "target", "copies", "taken")
+    plan = plan_mix(docs).filter("taken > 0").groupBy("doc_id", "row_hash").agg(*[F.first(c).alias(c) for c in added])
+    return matched(docs, written(plan, "mix"), "inner").select(*[F.col(f"doc.`{c}`") for c in docs.columns if c not in added], *added)

@@ -38,6 +38,11 @@ def full_text(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """Each row as one struct ``doc``, so that helper columns cannot clash with the caller's."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+
+
 def small_enough(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     """Whether a written side has at most ``limit`` rows."""
     return df.limit(limit + 1).count() <= limit
@@ -48,17 +53,21 @@ def checked(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if small_enough(df, limit) else df
 
 
-def row_hash(text: str = "text") -> Column:
+def row_hash(doc_id: str = "doc_id", text: str = "text") -> Column:
     """Tells apart rows that share an id, or have none, by their text."""
-    return F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(-1)), full_text(text))
+    return F.xxhash64(F.coalesce(F.col(doc_id), F.lit(-1)), full_text(text))
 
 
-def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose (doc_id, row hash) is not in ``dropped``.
+def matched(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """Packed documents joined with rows that have their doc_id and row_hash.
 
-    The dropped keys are counted first. Few of them are broadcast and the texts
-    stay where they are; many are joined by shuffling.
+    Those rows are counted first. Few of them are broadcast and the texts stay where they
+    are; many are joined by shuffling.
     """
-    gone = dropped.select(F.col("doc_id").alias("_id"), F.col("row_hash").alias("_hash"))
-    held = docs.withColumn("_row", row_hash())
-    return held.join(checked(gone), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_hash")), "left_anti").select(*docs.columns)
+    held = packed(docs).withColumn("_hash", row_hash("doc.doc_id", "doc.text"))
+    return held.join(checked(rows), F.col("doc.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("row_hash")), how)
+
+
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose (doc_id, row_hash) is not in ``dropped``."""
+    return matched(docs, dropped.select("doc_id", "row_hash"), "left_anti").select("doc.*")
