@@ -119,7 +119,11 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, bi
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Trees:
     """Fit on at most ``rows`` labelled documents outside the held-out fold."""
     mean = labels.filter(~held_out() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.avg("quality").alias("mean")).filter("mean is not null")
-    sample = mean.select("doc_id", (F.col("mean") >= 0.5).cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    # The smallest hashes are searched only where they can lie, so a task sends few rows on.
+    wide = 1 << 20
+    near = min(wide, -(-2 * rows * wide // max(1, mean.count())))
+    mean = mean.filter(F.pmod(F.shiftrightunsigned(F.xxhash64("doc_id"), 44), F.lit(wide)) < near)
+    sample = mean.select("doc_id", (F.col("mean") >= 0.5).cast("int").alias("label")).orderBy(F.shiftrightunsigned(F.xxhash64("doc_id"), 1), "doc_id").limit(rows)
     stats = F.pandas_udf(lambda texts: pd.Series(list(_matrix(texts))), "array<double>")
     taught = docs.select("doc_id", full_text().alias("text")).join(F.broadcast(sample), "doc_id").select("doc_id", "label", stats("text").alias("x"))
     found = taught.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).toPandas().sort_values("doc_id", kind="stable")
