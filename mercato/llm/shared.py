@@ -10,7 +10,7 @@ from mercato.sources.scratch import scratch_path
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 # A side of at most this many narrow rows (ids, hashes) may be broadcast; larger ones are shuffled.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 500_000
 
 # Words of runs of letters, digits and everything beyond ASCII, after lower-casing A-Z.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
