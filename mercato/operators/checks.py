@@ -123,7 +123,6 @@ def exact_profile(df: DataFrame, columns: Sequence[str], width: int = 1000) -> D
     basics = values.groupBy("metric").agg(
         F.sum("n").alias("count"),
         F.sum(x * n).alias("_sum"),
-        F.sum((x * x * n).cast("decimal(38,4)")).alias("_sumsq"),
         F.min("x").alias("min"),
         F.max("x").alias("max"),
     )
@@ -165,9 +164,12 @@ def exact_profile(df: DataFrame, columns: Sequence[str], width: int = 1000) -> D
         .withColumn("value", F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("share"))
         .groupBy("w_metric").pivot("label", ["q25", "q50", "q75"]).agg(F.max("value"))
     )
-    total, square, count = (F.col(c).cast("double") for c in ("_sum", "_sumsq", "count"))
-    spread = F.sqrt((square - total * total / count) / (count - 1))
-    return basics.join(quartiles, basics["metric"] == quartiles["w_metric"]).select(
+    # Squares of distances to the mean: sums of squares of large values would cancel.
+    means = basics.select(F.col("metric").alias("s_metric"), (F.col("_sum").cast("double") / F.col("count")).alias("_mean"))
+    away = x.cast("double") - F.col("_mean")
+    spreads = values.join(F.broadcast(means), F.col("metric") == F.col("s_metric")).groupBy("s_metric").agg(F.sum(away * away * n).alias("_away"))
+    spread = F.sqrt(F.col("_away") / (F.col("count") - 1))
+    return basics.join(quartiles, basics["metric"] == quartiles["w_metric"]).join(spreads, basics["metric"] == spreads["s_metric"]).select(
         "metric", F.col("count").cast("bigint").alias("count"),
         ratio("_sum", "count").alias("mean"), F.when(F.col("count") > 1, spread).alias("stddev"),
         F.col("min").cast("double").alias("min"), "q25", "q50", "q75", F.col("max").cast("double").alias("max"),

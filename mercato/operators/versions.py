@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,23 +34,18 @@ def rank_within(df: DataFrame, keys: Sequence[str], bucket: Column, order: Seque
     earlier buckets comes from a running total over bucket counts, which is one row
     per key and bucket however large the key is.
     """
-    bucketed = df.withColumn("_bucket", bucket)
-    earlier = Window.partitionBy(*keys).orderBy(F.col("_bucket").asc_nulls_last()).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    # Structs are never NULL and compare NULL parts as equal, so the join is a plain
+    # equality that keeps the window's partitioning.
+    bucketed = df.withColumn("_key", F.struct(*keys)).withColumn("_bucket", F.struct(bucket.alias("b")))
+    earlier = Window.partitionBy("_key").orderBy(F.col("_bucket.b").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        bucketed.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+        bucketed.groupBy("_key", "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
         .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-        .select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_bucket").alias("_k_bucket"), "_before")
+        .select("_key", "_bucket", "_before")
     )
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    inside = Window.partitionBy("_key", "_bucket").orderBy(*[F.col(c).asc_nulls_last() for c in order])
     numbered = bucketed.withColumn("_inside", F.row_number().over(inside))
-    same = F.col("_bucket").eqNullSafe(F.col("_k_bucket"))
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    return numbered.join(offsets, same).select(
-        *df.columns, (F.col("_inside") + F.col("_before")).alias(name)
-    )
+    return numbered.join(offsets, ["_key", "_bucket"]).select(*df.columns, (F.col("_inside") + F.col("_before")).alias(name))
 
 
 def first_of_each(df: DataFrame, key: str, order: Sequence[str], row_id: str, out: str) -> DataFrame:
@@ -74,22 +69,22 @@ def in_force_closed(at: Column, start: Column, end: Column) -> Column:
     return (start <= at) & (at <= end)
 
 
-def daily_segments(
+def segments(
     versions: DataFrame,
     key: str,
     take: Sequence[str],
     start: str = "valid_from_utc",
     end: str = "valid_to_utc",
     tie: str = "source_row_id",
+    unit: Callable[[str], Column] = F.to_date,
 ) -> DataFrame:
-    """Versions as day ranges ``[_first, _until)`` that never overlap within a key.
+    """Versions as ranges ``[_first, _until)`` of ``unit`` that never overlap within a key.
 
     Where versions overlap, the latest start wins, then the largest ``tie``. Versions
-    are reduced to one per key and validity period and cut at every day on which one
-    starts or ends, so any key is bounded by the calendar. The work is on the size of
-    the dimension, not of the facts that are looked up.
+    are reduced to one per key and validity period and cut wherever one starts or ends.
+    The work is on the size of the dimension, not of the facts that are looked up.
     """
-    spans = versions.filter(F.col(key).isNotNull()).withColumn("_start", F.to_date(start)).withColumn("_end", F.to_date(end))
+    spans = versions.filter(F.col(key).isNotNull()).withColumn("_start", unit(start)).withColumn("_end", unit(end))
     spans = latest_by(spans, [key, "_start", "_end"], newest=[start, tie]).select(
         F.col(key).alias("_vkey"), "_start", "_end", F.col(start).alias("_from"), F.col(tie).alias("_tie"), *take
     )
@@ -102,6 +97,11 @@ def daily_segments(
     return latest_by(covered, ["_key", "_first"], newest=["_from", "_tie"]).select("_key", "_first", "_until", *take)
 
 
+def _lookup(facts: DataFrame, ranges: DataFrame, key: str, at: str, take: Sequence[str]) -> DataFrame:
+    fits = (F.col(key) == F.col("_key")) & in_force(F.col(at), F.col("_first"), F.col("_until"))
+    return facts.join(ranges, fits, "left").select(*facts.columns, *take)
+
+
 def version_on_day(days: DataFrame, versions: DataFrame, key: str, day: str, take: Sequence[str], **columns: str) -> DataFrame:
     """Left join each row to the one version of its key in force on its day.
 
@@ -109,39 +109,13 @@ def version_on_day(days: DataFrame, versions: DataFrame, key: str, day: str, tak
     neither sorted nor grouped again, and stays where it is if the segments are small
     enough for the planner to broadcast.
     """
-    segments = daily_segments(versions, key, take, **columns)
-    fits = (F.col(key) == F.col("_key")) & in_force(F.col(day), F.col("_first"), F.col("_until"))
-    return days.join(segments, fits, "left").select(*days.columns, *take)
+    return _lookup(days, segments(versions, key, take, **columns), key, day, take)
 
 
-def version_at(
-    facts: DataFrame,
-    versions: DataFrame,
-    key: str,
-    at: str,
-    row_id: str,
-    take: Sequence[str],
-    start: str = "valid_from_utc",
-    end: str = "valid_to_utc",
-    tie: str = "source_row_id",
-) -> DataFrame:
-    """Left join each fact to the version of its key in force at its instant.
+def version_at(facts: DataFrame, versions: DataFrame, key: str, at: str, take: Sequence[str], **columns: str) -> DataFrame:
+    """Left join each fact to the one version of its key in force at its instant.
 
-    The range condition is first applied to the distinct (key, day) pairs of the
-    facts, which are bounded by the calendar; facts then join on (key, day). A hot
-    key is therefore spread over its days, and no task sees all rows of a key.
+    As ``version_on_day``, with ranges of instants. Nothing groups the facts after the
+    join, so adaptive execution may split a hot key's facts over many tasks.
     """
-    day = F.to_date(at)
-    pairs = facts.select(F.col(key).alias("_key"), day.alias("_day")).filter(F.col("_key").isNotNull()).distinct()
-    spans = latest_by(versions, [key, start, end], newest=[tie]).select(
-        F.col(key).alias("_vkey"), F.col(start).alias("_from"), F.col(end).alias("_to"), F.col(tie).alias("_tie"), *take
-    )
-    touches_day = (F.to_date("_from") <= F.col("_day")) & (F.col("_to").isNull() | (F.to_date("_to") >= F.col("_day")))
-    candidates = pairs.join(spans, (F.col("_key") == F.col("_vkey")) & touches_day).drop("_vkey")
-    matched = facts.withColumn("_at_day", day).join(
-        candidates,
-        (F.col(key) == F.col("_key")) & (F.col("_at_day") == F.col("_day"))
-        & in_force(F.col(at), F.col("_from"), F.col("_to")),
-        "left",
-    )
-    return latest_by(matched, [key, "_at_day", row_id], newest=["_from", "_tie"]).select(*facts.columns, *take)
+    return _lookup(facts, segments(versions, key, take, unit=F.col, **columns), key, at, take)

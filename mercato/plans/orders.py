@@ -15,6 +15,11 @@ from ..functions import metrics as m
 from ..operators.versions import first_of_each, latest_by, latest_value, rank_within
 
 
+def _by_order(feed: DataFrame) -> DataFrame:
+    """One exchange by order; finer keys that contain it, and the joins, need no other."""
+    return feed.repartition("order_id")
+
+
 def orders_dedup(orders: DataFrame) -> DataFrame:
     """The latest version of every order; equal times prefer the smallest source row."""
     return latest_by(orders, ["order_id"], newest=["updated_at_utc", "ingested_at_utc"], tie_break=["source_row_id"])
@@ -24,7 +29,7 @@ def order_items_summary(items: DataFrame, unique_ids: bool = False) -> DataFrame
     """Totals per order. With ``unique_ids`` (silver items) a plain count replaces the
     distinct count, which saves a whole shuffle of the largest table."""
     counted = F.count("order_item_id") if unique_ids else F.count_distinct("order_item_id")
-    return items.groupBy("order_id").agg(
+    return _by_order(items).groupBy("order_id").agg(
         counted.alias("item_count"),
         F.sum("quantity").alias("unit_quantity"),
         F.sum(m.line_amount()).alias("gross_merchandise_value"),
@@ -33,7 +38,7 @@ def order_items_summary(items: DataFrame, unique_ids: bool = False) -> DataFrame
 
 
 def payment_events_dedup(payments: DataFrame) -> DataFrame:
-    return payments.select("event_id", "order_id", "amount", "event_type", "occurred_at_utc").distinct()
+    return _by_order(payments.select("event_id", "order_id", "amount", "event_type", "occurred_at_utc")).distinct()
 
 
 def captured_payments(payments: DataFrame) -> DataFrame:
@@ -77,7 +82,7 @@ def payment_status_precedence_alt(payments: DataFrame) -> DataFrame:
 def refund_dedup_max(refunds: DataFrame) -> DataFrame:
     """Completed refunds, one amount per (order, refund): the largest seen."""
     return (
-        refunds.filter(F.col("event_type") == m.REFUND_DONE)
+        _by_order(refunds.filter(F.col("event_type") == m.REFUND_DONE))
         .groupBy("order_id", "refund_id").agg(F.max("amount").alias("amount"))
     )
 
@@ -93,14 +98,14 @@ def return_status(returns: DataFrame) -> DataFrame:
 
 
 def order_promo_count(promotions: DataFrame) -> DataFrame:
-    return promotions.groupBy("order_id").agg(F.count_distinct("promotion_id").alias("promotion_count"))
+    return _by_order(promotions).groupBy("order_id").agg(F.count_distinct("promotion_id").alias("promotion_count"))
 
 
 def customer_order_rank(orders: DataFrame) -> DataFrame:
-    """Position of each order in its customer's history; large customers are split by day."""
+    """Position of each order in its customer's history; large customers are split by minute."""
     latest = orders_dedup(orders).select("order_id", "customer_id", "ordered_at_utc")
     return rank_within(
-        latest, ["customer_id"], F.to_date("ordered_at_utc"), ["ordered_at_utc", "order_id"], "customer_order_rank"
+        latest, ["customer_id"], F.date_trunc("minute", "ordered_at_utc"), ["ordered_at_utc", "order_id"], "customer_order_rank"
     )
 
 

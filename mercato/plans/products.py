@@ -19,6 +19,7 @@ GRAIN = ["product_id", "metric_date"]
 def order_products(items: DataFrame) -> DataFrame:
     return (
         items.filter(F.col("product_id").isNotNull())
+        .repartition("order_id")  # serves the reduction and the joins by order
         .groupBy("order_id", "product_id")
         .agg(
             F.sum("quantity").alias("units"),
@@ -58,7 +59,7 @@ def product_refund_daily(items: DataFrame, orders360: DataFrame) -> DataFrame:
 
 def _order_promotions_once(promotions: DataFrame) -> DataFrame:
     """Distinct (order, promotion) with one marked row per order."""
-    once = promotions.filter(F.col("promotion_id").isNotNull()).select("order_id", "promotion_id").distinct()
+    once = promotions.filter(F.col("promotion_id").isNotNull()).select("order_id", "promotion_id").repartition("order_id").distinct()
     lowest = F.min("promotion_id").over(Window.partitionBy("order_id"))
     return once.withColumn("carries", F.col("promotion_id") == lowest)
 

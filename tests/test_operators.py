@@ -45,7 +45,7 @@ def test_version_at_matches_brute_force(spark):
     fv = spark.createDataFrame(versions, "c string, valid_from_utc string, valid_to_utc string, source_row_id string, segment string")
     fv = fv.withColumns({x: F.to_timestamp_ntz(x) for x in ("valid_from_utc", "valid_to_utc")})
     ff = spark.createDataFrame(facts, "id string, c string, at string").withColumn("at", F.to_timestamp_ntz("at"))
-    got = {r["id"]: r["segment"] for r in version_at(ff, fv, "c", "at", "id", ["segment"]).collect()}
+    got = {r["id"]: r["segment"] for r in version_at(ff, fv, "c", "at", ["segment"]).collect()}
     want = {}
     for fid, key, at in facts:
         fits = [v for v in versions if v[0] == key and v[1] <= at and (v[2] is None or at < v[2])]
