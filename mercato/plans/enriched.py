@@ -32,7 +32,7 @@ def refund_latest_by_refund_id(refunds: DataFrame) -> DataFrame:
 
 
 def return_count_by_order(returns: DataFrame) -> DataFrame:
-    events = latest_by(returns, ["event_id"], newest=["occurred_at_utc"], tie_break=["return_id"])
+    events = latest_by(returns, ["event_id"], newest=["ingested_at_utc", "occurred_at_utc"], tie_break=["return_id"])
     return events.groupBy("order_id").agg(F.count_distinct("return_id").alias("return_count"))
 
 

@@ -203,7 +203,7 @@ PLANS: dict[str, Callable[[Workbench], DataFrame]] = {
     "schema_inventory": _schema_inventory,
     "column_profile": lambda w: c.profile_columns(w.customer_daily.select(
         "customer_id", "metric_date", "order_count", "support_contacts", "active_channel", "new_customer_flag")),
-    "order_numeric_profile": lambda w: c.exact_profile(w.order_360, ORDER_MEASURES),
+    "order_numeric_profile": lambda w: c.exact_profile(w.order_360, ORDER_MEASURES).withColumn("stddev", F.round("stddev", 6)),
     "net_revenue_mismatch": lambda w: checks.net_revenue_mismatch(w.order_360),
     "payment_anomalies": lambda w: checks.payment_anomalies(w.order_360),
     "payments_of_anomalies": lambda w: checks.payments_of_anomalies(w.v.payment_events, w.order_360),

@@ -74,7 +74,7 @@ class StarViews:
 
     @cached_property
     def order_promotions(self) -> DataFrame:
-        return self.table("lineitem").filter("l_discount >= 0.08D").selectExpr(
+        return self.table("lineitem").selectExpr(
             "string(l_orderkey) AS order_id",
             "concat('PR-', int(round(l_discount * 100, 0))) AS promotion_id",
             "(l_extendedprice::decimal(14,2) * l_discount::decimal(4,2))::decimal(14,2) AS discount_amount",
@@ -82,9 +82,9 @@ class StarViews:
 
     @cached_property
     def customers(self) -> DataFrame:
-        """Customers in debt are missing from the master, so their orders are orphans."""
-        return self.table("customer").filter("c_acctbal >= 0").selectExpr(
-            "string(c_custkey) AS customer_id", "string(c_nationkey) AS city_id",
+        """Customers in debt stand under an archived id, so their orders are orphans."""
+        return self.table("customer").selectExpr(
+            "concat(if(c_acctbal < 0, 'archived-', ''), c_custkey) AS customer_id", "string(c_nationkey) AS city_id",
             "c_mktsegment AS customer_segment", "concat('c-', c_custkey) AS source_row_id",
         )
 
@@ -135,12 +135,12 @@ class StarViews:
     # ---- events ---------------------------------------------------------
     @cached_property
     def payment_events(self) -> DataFrame:
-        """Authorisation, captures (some split, repeated or zero) and failures."""
+        """Authorisation, captures (some split, repeated or zero) and failures; some name an unknown order."""
         src = (
             self.table("orders")
-            .filter("NOT (o_orderstatus = 'O' AND o_orderpriority = '4-NOT SPECIFIED')")
             .selectExpr(
                 "*",
+                "concat(if(o_orderstatus = 'O' AND o_orderpriority = '4-NOT SPECIFIED', 'lost-', ''), o_orderkey) AS paid_order",
                 "(o_orderstatus <> 'P' OR o_orderpriority = '1-URGENT') AS captured",
                 "(o_orderstatus = 'P' AND o_orderpriority = '2-HIGH') AS failed",
                 "o_totalprice::decimal(14,2) AS total",
@@ -158,7 +158,7 @@ class StarViews:
                     ELSE 'PAYMENT_CAPTURED' END AS event_type""",
             """o_orderdate + make_dt_interval(0, CASE kind WHEN 'auth' THEN 0 WHEN 'cap1' THEN 1
                     WHEN 'cap2' THEN 2 ELSE 3 END) AS occurred_at_utc""",
-            "string(o_orderkey) AS order_id",
+            "paid_order AS order_id",
             "concat('PAY-', o_orderkey) AS payment_id",
             """CASE WHEN kind = 'auth' THEN total WHEN kind = 'fail' OR o_orderkey % 101 = 0 THEN 0::decimal(14,2)
                     WHEN o_orderkey % 5 = 0 THEN (total * 0.5)::decimal(14,2) ELSE total END AS amount""",
@@ -182,23 +182,31 @@ class StarViews:
 
     @cached_property
     def return_events(self) -> DataFrame:
-        return self.table("lineitem").filter("l_returnflag = 'R' AND l_quantity > 25").selectExpr(
+        """Returned lines; third lines arrive twice, first under another return id and a later time."""
+        src = self.table("lineitem").filter("l_returnflag = 'R'").selectExpr(
+            "*", "explode(if(l_linenumber = 3, array(0, 1), array(0))) AS early"
+        )
+        return src.selectExpr(
             "concat('rt-', l_orderkey, '-', l_linenumber, '-', l_linestatus) AS event_id",
             "if(l_linestatus = 'F', 'RETURN_COMPLETED', 'RETURN_REQUESTED') AS event_type",
-            "l_shipdate + INTERVAL 3 DAY AS occurred_at_utc",
+            "l_shipdate + make_dt_interval(3 + early) AS occurred_at_utc",
+            "l_shipdate + make_dt_interval(6 - early) AS ingested_at_utc",
             "string(l_orderkey) AS order_id",
-            "concat('RET-', l_orderkey) AS return_id",
+            "concat('RET-', l_orderkey, if(early = 1, '-first', '')) AS return_id",
         )
 
     @cached_property
     def support_events(self) -> DataFrame:
-        return self.table("orders").filter("o_orderpriority = '1-URGENT'").selectExpr(
+        """A ticket per order; every seventh arrives twice, first with a later time and another ticket."""
+        src = self.table("orders").selectExpr("*", "explode(if(o_orderkey % 7 = 0, array(0, 1), array(0))) AS early")
+        return src.selectExpr(
             "concat('su-', o_orderkey) AS event_id",
             "if(o_orderstatus = 'P', 'SUPPORT_TICKET_CLOSED', 'SUPPORT_TICKET_CREATED') AS event_type",
-            "o_orderdate + INTERVAL 6 HOUR AS occurred_at_utc",
+            "o_orderdate + make_dt_interval(early, 6) AS occurred_at_utc",
+            "o_orderdate + make_dt_interval(3 - early) AS ingested_at_utc",
             "string(o_custkey) AS customer_id",
             "string(o_orderkey) AS order_id",
-            "if(o_orderkey % 3 = 0, NULL, concat('T', o_orderkey)) AS ticket_id",
+            "if(o_orderkey % 3 = 0, NULL, concat('T', o_orderkey, if(early = 1, '-first', ''))) AS ticket_id",
         )
 
     @cached_property

@@ -44,7 +44,7 @@ def _quartile(c: str, p: float) -> str:
 
 _PROFILE = " UNION ALL ".join(
     f"""SELECT '{c}' AS metric, count({c}) AS count, {_mean(c)} AS mean,
-  sqrt((CAST(sum(CAST({c} AS DECIMAL(19,2)) * CAST({c} AS DECIMAL(19,2))) AS DOUBLE) - CAST(sum({c}) AS DOUBLE) * CAST(sum({c}) AS DOUBLE) / CAST(count({c}) AS DOUBLE)) / (CAST(count({c}) AS DOUBLE) - 1)) AS stddev,
+  round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS stddev,
   CAST(min({c}) AS DOUBLE) AS min, {_quartile(c, 0.25)} AS q25, {_quartile(c, 0.5)} AS q50, {_quartile(c, 0.75)} AS q75, CAST(max({c}) AS DOUBLE) AS max
 FROM (SELECT {c}, row_number() OVER (ORDER BY {c}) - 1 AS rn, count(*) OVER () AS n FROM o360 WHERE {c} IS NOT NULL)"""
     for c in _MEASURES
@@ -65,8 +65,8 @@ _COLUMN_TYPES = {
                        ("payment_id", "string"), ("amount", "decimal(14,2)")],
     "refund_events": [("event_id", "string"), ("event_type", "string"), ("occurred_at_utc", "timestamp_ntz"),
                       ("ingested_at_utc", "timestamp_ntz"), ("order_id", "string"), ("refund_id", "string"), ("amount", "decimal(14,2)")],
-    "return_events": [("event_id", "string"), ("event_type", "string"), ("occurred_at_utc", "timestamp_ntz"), ("order_id", "string"),
-                      ("return_id", "string")],
+    "return_events": [("event_id", "string"), ("event_type", "string"), ("occurred_at_utc", "timestamp_ntz"),
+                      ("ingested_at_utc", "timestamp_ntz"), ("order_id", "string"), ("return_id", "string")],
 }
 _INVENTORY = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, {i} AS position, '{n}' AS column_name, '{k}' AS data_type, count(*) - count({n}) AS null_count FROM r_{t}"
@@ -101,7 +101,7 @@ ANSWERS = {
     "active_channel": "SELECT * FROM channel_of_day",
     "support_contacts_daily": "SELECT * FROM contacts",
     "support_tickets_daily": """SELECT customer_id, CAST(occurred_at_utc AS DATE) AS metric_date, count(DISTINCT ticket_id) AS support_contacts
-FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY occurred_at_utc DESC, ticket_id) AS rn FROM r_support_events) WHERE rn = 1
+FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ingested_at_utc DESC, occurred_at_utc DESC, ticket_id) AS rn FROM r_support_events) WHERE rn = 1
 GROUP BY customer_id, CAST(occurred_at_utc AS DATE)""",
     "product_daily": "SELECT * FROM prod_day",
     "product_daily_as_first_written": """SELECT prod_measures.*, category_name AS active_category FROM prod_measures LEFT JOIN category_stock_day USING (product_id, metric_date)""",
@@ -254,7 +254,7 @@ CROSS JOIN (SELECT count(*) AS total_customer_daily_rows, sum(gross_revenue) AS
     "top_payment_diffs": """SELECT order_id, order_360_payment, customer_daily_payment, order_360_payment - customer_daily_payment AS difference FROM (
   SELECT order_id, o360.captured_payment_amount AS order_360_payment, cust_day_wide.captured_payment_amount AS customer_daily_payment
   FROM o360 JOIN cust_day_wide ON cust_day_wide.customer_id = o360.customer_id AND metric_date = order_date)
-WHERE difference <> 0 ORDER BY abs(difference) DESC, order_id LIMIT 20""",
+WHERE difference <> 0""",
     "payment_recon_customer_day": """SELECT customer_id, metric_date, sum(a) AS order_360_payment, sum(b) AS customer_daily_payment, sum(a) - sum(b) AS difference FROM (
   SELECT customer_id, order_date AS metric_date, captured_payment_amount AS a, 0 AS b FROM o360 UNION ALL SELECT customer_id, metric_date, 0, captured_payment_amount FROM cust_day_wide) GROUP BY ALL HAVING difference <> 0""",
     "payment_recon_day": """SELECT metric_date, sum(a) AS order_360_payment, sum(b) AS customer_daily_payment, sum(a) - sum(b) AS difference FROM (
@@ -287,7 +287,7 @@ FROM r_orders GROUP BY sales_channel""",
 FROM (SELECT product_id, day, lead(day) OVER (PARTITION BY product_id ORDER BY day) AS next_day
   FROM (SELECT DISTINCT product_id, CAST(snapshot_date AS DATE) AS day FROM r_inventory_snapshots)) WHERE next_day - day > 1""",
     # bronze, silver and streaming
-    "bronze_json_scan": "SELECT * FROM r_return_events",
+    "bronze_json_scan": "SELECT event_id, event_type, occurred_at_utc, order_id, return_id FROM r_return_events",
     "bronze_csv_scan": "SELECT * FROM r_campaign_spend",
     "bronze_raw_payload": """SELECT concat('{"order_id":"', order_id, '","promotion_id":"', promotion_id, '","discount_amount":',
   CAST(discount_amount AS VARCHAR), '}') AS raw FROM r_order_promotions""",

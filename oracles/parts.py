@@ -25,11 +25,11 @@ FROM lineitem""",
     "r_order_promotions": """
 SELECT CAST(l_orderkey AS VARCHAR) AS order_id, concat('PR-', CAST(CAST(round(l_discount * 100, 0) AS INT) AS VARCHAR)) AS promotion_id,
   CAST(CAST(l_extendedprice AS DECIMAL(14,2)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(14,2)) AS discount_amount
-FROM lineitem WHERE l_discount >= 0.08""",
+FROM lineitem""",
     "r_customers": """
-SELECT CAST(c_custkey AS VARCHAR) AS customer_id, CAST(c_nationkey AS VARCHAR) AS city_id, c_mktsegment AS customer_segment,
-  concat('c-', CAST(c_custkey AS VARCHAR)) AS source_row_id
-FROM customer WHERE c_acctbal >= 0""",
+SELECT CASE WHEN c_acctbal < 0 THEN concat('archived-', c_custkey) ELSE CAST(c_custkey AS VARCHAR) END AS customer_id,
+  CAST(c_nationkey AS VARCHAR) AS city_id, c_mktsegment AS customer_segment, concat('c-', CAST(c_custkey AS VARCHAR)) AS source_row_id
+FROM customer""",
     "r_customer_profiles": """
 SELECT CAST(c_custkey AS VARCHAR) AS customer_id, CAST(c_nationkey AS VARCHAR) AS city_id, c_mktsegment AS customer_segment,
   TIMESTAMP '1994-01-01' AS valid_from_utc, TIMESTAMP '1997-06-15' AS valid_to_utc, concat('v-1-', CAST(c_custkey AS VARCHAR)) AS source_row_id
@@ -53,27 +53,28 @@ UNION ALL
 SELECT CAST(p_partkey AS VARCHAR), 'STALE', DATE '1998-01-01', CAST(NULL AS DATE), concat('a', CAST(p_partkey AS VARCHAR))
 FROM part WHERE p_partkey % 10 = 0""",
     "paid_orders": """
-SELECT *, CAST(o_totalprice AS DECIMAL(14,2)) AS total, (o_orderstatus <> 'P' OR o_orderpriority = '1-URGENT') AS is_captured
-FROM orders WHERE NOT (o_orderstatus = 'O' AND o_orderpriority = '4-NOT SPECIFIED')""",
+SELECT *, CAST(o_totalprice AS DECIMAL(14,2)) AS total, (o_orderstatus <> 'P' OR o_orderpriority = '1-URGENT') AS is_captured,
+  CASE WHEN o_orderstatus = 'O' AND o_orderpriority = '4-NOT SPECIFIED' THEN concat('lost-', o_orderkey) ELSE CAST(o_orderkey AS VARCHAR) END AS order_id
+FROM orders""",
     "first_captures": """
-SELECT o_orderkey, concat('cap1-', CAST(o_orderkey AS VARCHAR)) AS event_id, 'PAYMENT_CAPTURED' AS event_type,
+SELECT order_id, o_orderkey, concat('cap1-', CAST(o_orderkey AS VARCHAR)) AS event_id, 'PAYMENT_CAPTURED' AS event_type,
   o_orderdate + INTERVAL '1' HOUR AS occurred_at_utc,
   CASE WHEN o_orderkey % 101 = 0 THEN CAST(0 AS DECIMAL(14,2))
        WHEN o_orderkey % 5 = 0 THEN CAST(total * CAST(0.5 AS DECIMAL(2,1)) AS DECIMAL(14,2)) ELSE total END AS amount
 FROM paid_orders WHERE is_captured""",
     "all_payments": """
-SELECT o_orderkey, concat('auth-', CAST(o_orderkey AS VARCHAR)) AS event_id, 'PAYMENT_AUTHORIZED' AS event_type, o_orderdate AS occurred_at_utc, total AS amount FROM paid_orders
+SELECT order_id, o_orderkey, concat('auth-', CAST(o_orderkey AS VARCHAR)) AS event_id, 'PAYMENT_AUTHORIZED' AS event_type, o_orderdate AS occurred_at_utc, total AS amount FROM paid_orders
 UNION ALL SELECT * FROM first_captures
 UNION ALL SELECT * FROM first_captures WHERE o_orderkey % 11 = 0
 UNION ALL
-SELECT o_orderkey, concat('cap2-', CAST(o_orderkey AS VARCHAR)), 'PAYMENT_CAPTURED', o_orderdate + INTERVAL '2' HOUR,
+SELECT order_id, o_orderkey, concat('cap2-', CAST(o_orderkey AS VARCHAR)), 'PAYMENT_CAPTURED', o_orderdate + INTERVAL '2' HOUR,
   CASE WHEN o_orderkey % 101 = 0 THEN CAST(0 AS DECIMAL(14,2)) ELSE CAST(total * CAST(0.5 AS DECIMAL(2,1)) AS DECIMAL(14,2)) END
 FROM paid_orders WHERE is_captured AND o_orderkey % 5 = 0
 UNION ALL
-SELECT o_orderkey, concat('fail-', CAST(o_orderkey AS VARCHAR)), 'PAYMENT_FAILED', o_orderdate + INTERVAL '3' HOUR, CAST(0 AS DECIMAL(14,2))
+SELECT order_id, o_orderkey, concat('fail-', CAST(o_orderkey AS VARCHAR)), 'PAYMENT_FAILED', o_orderdate + INTERVAL '3' HOUR, CAST(0 AS DECIMAL(14,2))
 FROM paid_orders WHERE o_orderstatus = 'P' AND o_orderpriority = '2-HIGH'""",
     "r_payment_events": """
-SELECT event_id, event_type, occurred_at_utc, CAST(o_orderkey AS VARCHAR) AS order_id,
+SELECT event_id, event_type, occurred_at_utc, order_id,
   concat('PAY-', CAST(o_orderkey AS VARCHAR)) AS payment_id, amount
 FROM all_payments""",
     "returned_lines": """
@@ -92,15 +93,16 @@ UNION ALL SELECT * EXCLUDE (l_linenumber) FROM refunds_once WHERE l_linenumber =
     "r_return_events": """
 SELECT concat('rt-', line, '-', l_linestatus) AS event_id,
   CASE WHEN l_linestatus = 'F' THEN 'RETURN_COMPLETED' ELSE 'RETURN_REQUESTED' END AS event_type,
-  l_shipdate + INTERVAL '3' DAY AS occurred_at_utc, CAST(l_orderkey AS VARCHAR) AS order_id,
-  concat('RET-', CAST(l_orderkey AS VARCHAR)) AS return_id
-FROM returned_lines WHERE l_quantity > 25""",
+  l_shipdate + INTERVAL '3' DAY + to_days(early) AS occurred_at_utc, l_shipdate + INTERVAL '6' DAY - to_days(early) AS ingested_at_utc,
+  CAST(l_orderkey AS VARCHAR) AS order_id, concat('RET-', l_orderkey, CASE early WHEN 1 THEN '-first' ELSE '' END) AS return_id
+FROM returned_lines, (VALUES (0), (1)) AS arrivals(early) WHERE early = 0 OR l_linenumber = 3""",
     "r_support_events": """
 SELECT concat('su-', CAST(o_orderkey AS VARCHAR)) AS event_id,
   CASE WHEN o_orderstatus = 'P' THEN 'SUPPORT_TICKET_CLOSED' ELSE 'SUPPORT_TICKET_CREATED' END AS event_type,
-  o_orderdate + INTERVAL '6' HOUR AS occurred_at_utc, CAST(o_custkey AS VARCHAR) AS customer_id, CAST(o_orderkey AS VARCHAR) AS order_id,
-  CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE concat('T', CAST(o_orderkey AS VARCHAR)) END AS ticket_id
-FROM orders WHERE o_orderpriority = '1-URGENT'""",
+  o_orderdate + INTERVAL '6' HOUR + to_days(early) AS occurred_at_utc, o_orderdate + INTERVAL '3' DAY - to_days(early) AS ingested_at_utc,
+  CAST(o_custkey AS VARCHAR) AS customer_id, CAST(o_orderkey AS VARCHAR) AS order_id,
+  CASE WHEN o_orderkey % 3 <> 0 THEN concat('T', o_orderkey, CASE early WHEN 1 THEN '-first' ELSE '' END) END AS ticket_id
+FROM orders, (VALUES (0), (1)) AS arrivals(early) WHERE early = 0 OR o_orderkey % 7 = 0""",
     "web_hits": """
 SELECT *, CAST(regexp_extract(props, '[0-9]+', 0) AS INT) AS hit, event_id // 4 AS web_order FROM events""",
     "r_web_events": """
@@ -291,7 +293,10 @@ ORDER BY event_id, ingested_at_utc DESC NULLS LAST, occurred_at_utc DESC NULLS L
 SELECT DISTINCT ON (refund_id) * FROM refund_done
 ORDER BY refund_id, occurred_at_utc DESC NULLS LAST, event_id DESC, amount DESC NULLS LAST, order_id""",
     "returns_counted": """
-SELECT order_id, count(DISTINCT return_id) AS return_count FROM r_return_events GROUP BY ALL""",
+SELECT order_id, count(DISTINCT return_id) AS return_count FROM newest_returns GROUP BY ALL""",
+    "newest_returns": """
+SELECT DISTINCT ON (event_id) * FROM r_return_events
+ORDER BY event_id, ingested_at_utc DESC NULLS LAST, occurred_at_utc DESC NULLS LAST, return_id""",
     "pay_alt": """
 SELECT order_id, max(if(event_type = 'PAYMENT_CAPTURED', amount, 0)) AS captured_payment_amount,
   list_extract(['UNKNOWN', 'PAYMENT_FAILED', 'PAYMENT_AUTHORIZED', 'PAYMENT_CAPTURED'],
@@ -302,7 +307,7 @@ SELECT order_id, sum(amount) AS captured_payment_amount FROM pay_once WHERE even
     "rich_parts": """
 SELECT order_id, amount AS refund FROM refund_by_event
 UNION ALL BY NAME SELECT order_id, quantity * unit_price AS gross, item_discount_amount AS discount, quantity AS units FROM r_order_items
-UNION ALL BY NAME SELECT order_id, return_id FROM r_return_events
+UNION ALL BY NAME SELECT order_id, return_id FROM newest_returns
 UNION ALL BY NAME SELECT order_id, shipping_revenue AS shipping FROM latest_orders""",
     "rich_totals": """
 SELECT order_id, CAST(ifnull(sum(units), 0) AS BIGINT) AS unit_quantity, ifnull(sum(gross), 0) AS gross_revenue, ifnull(sum(discount), 0) AS discount_amount,

@@ -9,9 +9,9 @@ SCHEMAS = {
                    "item_discount_amount string, source_row_id string",
     "payments": "event_id string, event_type string, occurred_at_utc string, order_id string, amount string",
     "refunds": "event_id string, event_type string, occurred_at_utc string, ingested_at_utc string, order_id string, refund_id string, amount string",
-    "returns": "event_id string, event_type string, occurred_at_utc string, order_id string, return_id string",
+    "returns": "event_id string, event_type string, occurred_at_utc string, ingested_at_utc string, order_id string, return_id string",
     "promotions": "order_id string, promotion_id string",
-    "support": "event_id string, event_type string, occurred_at_utc string, customer_id string, ticket_id string",
+    "support": "event_id string, event_type string, occurred_at_utc string, ingested_at_utc string, customer_id string, ticket_id string",
     "web": "event_id string, event_type string, occurred_at_utc string, order_id string, customer_id string, "
            "campaign_id string, channel string, session_id string",
     "spend": "spend_date string, campaign_id string, channel string, spend_amount string",
