@@ -252,8 +252,8 @@ def order_vs_customer_totals(orders360: DataFrame, customer_days: DataFrame) ->
     return c.compare_totals(orders, days)
 
 
-def top_payment_diffs(orders360: DataFrame, customer_days: DataFrame, rows: int = 20) -> DataFrame:
-    """Orders whose payment differs most from their customer-day total."""
+def top_payment_diffs(orders360: DataFrame, customer_days: DataFrame) -> DataFrame:
+    """All orders whose payment differs from their customer-day total, largest difference first."""
     days = customer_days.select("customer_id", F.col("metric_date").alias("order_date"),
                                 F.col("captured_payment_amount").alias("customer_daily_payment"))
     joined = orders360.select("order_id", "customer_id", "order_date", F.col("captured_payment_amount").alias("order_360_payment")).join(
@@ -263,7 +263,7 @@ def top_payment_diffs(orders360: DataFrame, customer_days: DataFrame, rows: int
     return (
         joined.select("order_id", "order_360_payment", "customer_daily_payment", gap.alias("difference"))
         .filter(F.col("difference") != 0)
-        .orderBy(F.abs("difference").desc(), "order_id").limit(rows)
+        .orderBy(F.abs("difference").desc(), "order_id")
     )
 
 
@@ -371,8 +371,8 @@ def category_asof_order(items: DataFrame, orders: DataFrame, categories: DataFra
 
     Items and order versions are counted before joining, so copies do not multiply.
     """
-    pairs = items.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("item_rows"))
-    times = orders.groupBy("order_id", "ordered_at_utc").agg(F.count(F.lit(1)).alias("order_rows"))
+    pairs = items.repartition("order_id").groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("item_rows"))
+    times = orders.repartition("order_id").groupBy("order_id", "ordered_at_utc").agg(F.count(F.lit(1)).alias("order_rows"))
     at = F.col("ordered_at_utc")
     joined = pairs.join(times, "order_id").join(
         _versions_closed(categories, "category_name"),
@@ -385,9 +385,13 @@ def category_asof_order(items: DataFrame, orders: DataFrame, categories: DataFra
 
 
 def category_match_counts(items: DataFrame, orders: DataFrame, categories: DataFrame) -> DataFrame:
-    """(order, product) pairs that the plain join would repeat, and how often."""
+    """(order, product) pairs that the plain join would repeat, and how often.
+
+    Dealt out by both keys first: the aggregate would otherwise accept the join's
+    partitioning by product and keep a hot product in one task.
+    """
     return (
-        category_asof_order(items, orders, categories).groupBy("order_id", "product_id")
+        category_asof_order(items, orders, categories).repartition("order_id", "product_id").groupBy("order_id", "product_id")
         .agg(F.sum("joined_rows").alias("category_matches")).filter(F.col("category_matches") > 1)
     )
 

@@ -27,7 +27,7 @@ def _land_json(df: DataFrame, path: str) -> str:
 
 def json_scan(w) -> DataFrame:
     """Return events written as JSON lines and scanned with their declared schema."""
-    view = w.v.return_events
+    view = w.v.return_events.drop("ingested_at_utc")
     path = _land_json(view, scratch_path(w.spark, "json-scan"))
     return raw.scan_json(w.spark, path, "event_id string, event_type string, occurred_at_utc timestamp_ntz, order_id string, return_id string", raw.LINES)
 
@@ -113,7 +113,7 @@ def clean_items_summary(w) -> DataFrame:
 
 def customer_version_at_order(w) -> DataFrame:
     latest = orders.orders_dedup(w.v.orders).select("order_id", "customer_id", "ordered_at_utc")
-    return version_at(latest, w.v.customer_profiles, "customer_id", "ordered_at_utc", "order_id", ["customer_segment"])
+    return version_at(latest, w.v.customer_profiles, "customer_id", "ordered_at_utc", ["customer_segment"])
 
 
 # ---- raw folder checks ------------------------------------------------------

@@ -17,8 +17,10 @@ MIN_ROWS, DEFAULT_ROWS, MAX_ROWS = 1, 100, 1000
 
 
 def capped(df: DataFrame, rows: int = DEFAULT_ROWS) -> DataFrame:
-    """The row cap of an interactive answer."""
-    return df.limit(min(max(rows, MIN_ROWS), MAX_ROWS))
+    """The row cap of an interactive answer; a cap outside the allowed range is refused."""
+    if not MIN_ROWS <= rows <= MAX_ROWS:
+        raise ValueError(f"rows must be between {MIN_ROWS} and {MAX_ROWS}, not {rows}")
+    return df.limit(rows)
 
 
 def json_friendly_rows(df: DataFrame) -> DataFrame:

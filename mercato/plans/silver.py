@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clean import canonical, reasons, utc
+from ..functions.clean import canonical, plain_day, reasons, utc
 from ..operators.versions import latest_by
 from ..schemas import STATUS_ALIASES, Reference, Source
 
@@ -42,7 +42,7 @@ def _typed(name: str, kind: str, zone: str) -> Column:
     if kind == "time":
         return utc(text, zone)
     if kind == "day":
-        return F.to_date(utc(text, zone))
+        return plain_day(text, zone)
     if kind == "bigint":
         number = text.try_cast("decimal(20,4)")  # also accepts "5.0"
         return F.when(number == F.floor(number), number.try_cast("bigint"))
@@ -104,7 +104,7 @@ def accepted(rows: DataFrame, source: Source) -> DataFrame:
     if not source.unique_by:
         return good
     tie = ["source_row_id"] if "source_row_id" in source.columns and "source_row_id" not in source.newest else []
-    return latest_by(good, list(source.unique_by), list(source.newest), [*tie, "record_sha"])
+    return latest_by(good, list(source.unique_by), list(source.newest), [*source.ties, *tie, "record_sha"])
 
 
 def rejected(rows: DataFrame, table: str, source: Source) -> DataFrame:

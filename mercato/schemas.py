@@ -37,6 +37,7 @@ class Source:
     references: tuple[Reference, ...] = ()
     not_negative: tuple[str, ...] = ()
     statuses: tuple[str, ...] = ()
+    ties: tuple[str, ...] = ()
 
     @property
     def format(self) -> str:
@@ -55,18 +56,22 @@ def _versioned(path: str, extra: dict[str, str], record_id: str, keys: tuple[str
     )
 
 
-def _events(path: str, payload: dict[str, str], refs=(), required=()) -> Source:
+def _events(path: str, payload: dict[str, str], refs=(), required=(), apart: tuple[str, ...] = ()) -> Source:
+    """``apart``: payload that does not tell events apart; the smallest value stays."""
     return Source(
         path, {"event_id": "string", "event_type": "string", "occurred_at_utc": "time", **payload},
         record_id="event_id", required=("event_id", "event_type", "occurred_at_utc", *required),
         nested=tuple(payload), references=refs, statuses=("event_type",),
-        unique_by=("event_id", "event_type", "occurred_at_utc", *payload),
+        unique_by=("event_id", "event_type", "occurred_at_utc", *[c for c in payload if c not in apart]), ties=apart,
     )
 
 
 _ORDER = Reference("order_id", "orders", "order_id")
 _PRODUCT = Reference("product_id", "products", "product_id")
 _CUSTOMER = Reference("customer_id", "customers", "customer_id")
+_CITY = Reference("city_id", "city_reference", "city_id")
+_STORE = Reference("store_id", "stores", "store_id")
+_CHANNEL = Reference("sales_channel", "sales_channels", "channel_id")
 
 # File paths, column names and types of the raw feeds.
 SOURCES: dict[str, Source] = {
@@ -76,13 +81,13 @@ SOURCES: dict[str, Source] = {
     "customers": Source(
         "operational/customers.json",
         {"customer_id": "string", "city_id": "string", "customer_segment": "string", "created_at_utc": "time", "source_row_id": "string"},
-        record_id="customer_id", required=("customer_id",), unique_by=("customer_id",), newest=("created_at_utc",)),
+        record_id="customer_id", required=("customer_id",), unique_by=("customer_id",), newest=("created_at_utc",), references=(_CITY,)),
     "customer_profiles": _versioned(
         "operational/customer_profiles.json", {"customer_id": "string", "city_id": "string", "customer_segment": "string"},
-        "customer_id", ("customer_id",), (_CUSTOMER,)),
+        "customer_id", ("customer_id",), (_CUSTOMER, _CITY)),
     "customer_addresses": _versioned(
         "operational/customer_addresses.json", {"address_id": "string", "customer_id": "string", "city_id": "string"},
-        "address_id", ("address_id",), (_CUSTOMER,)),
+        "address_id", ("address_id",), (_CUSTOMER, _CITY)),
     "products": Source(
         "operational/products.json",
         {"product_id": "string", "sku": "string", "product_name": "string", "unit_price": MONEY, "source_row_id": "string"},
@@ -93,7 +98,7 @@ SOURCES: dict[str, Source] = {
     "stores": Source(
         "operational/stores.json",
         {"store_id": "string", "store_name": "string", "location_type": "string", "city_id": "string", "source_row_id": "string"},
-        record_id="store_id", required=("store_id",), unique_by=("store_id",), newest=("source_row_id",)),
+        record_id="store_id", required=("store_id",), unique_by=("store_id",), newest=("source_row_id",), references=(_CITY,)),
     "sales_channels": Source(
         "operational/sales_channels.json", {"channel_id": "string", "channel_name": "string", "source_row_id": "string"},
         record_id="channel_id", required=("channel_id",), unique_by=("channel_id",), newest=("source_row_id",)),
@@ -108,7 +113,7 @@ SOURCES: dict[str, Source] = {
          "ordered_at_utc": "time", "updated_at_utc": "time", "shipping_revenue": MONEY, "source_row_id": "string"},
         record_id="order_id", required=("order_id", "customer_id", "sales_channel", "ordered_at_utc", "updated_at_utc"),
         unique_by=("order_id",), newest=("updated_at_utc", "ingested_at_utc"),
-        references=(_CUSTOMER,), statuses=("status",)),
+        references=(_CUSTOMER, _STORE, _CHANNEL), statuses=("status",)),
     "order_items": Source(
         "operational/order_items.json",
         {"order_item_id": "string", "order_id": "string", "product_id": "string", "quantity": "bigint", "unit_price": MONEY,
@@ -121,17 +126,17 @@ SOURCES: dict[str, Source] = {
         record_id="source_row_id", required=("order_id", "promotion_id"), unique_by=("order_id", "promotion_id", "source_row_id"),
         references=(_ORDER, Reference("promotion_id", "promotions", "promotion_id"))),
     "payment_events": _events(
-        "events/payment_events.json", {"order_id": "string", "payment_id": "string", "amount": MONEY}, (_ORDER,), ("order_id",)),
+        "events/payment_events.json", {"order_id": "string", "payment_id": "string", "amount": MONEY}, (_ORDER,), ("order_id",), ("payment_id",)),
     "refund_events": _events(
         "events/refund_events.json", {"order_id": "string", "refund_id": "string", "amount": MONEY}, (_ORDER,), ("order_id",)),
     "return_events": _events(
         "events/return_events.json", {"order_id": "string", "return_id": "string"}, (_ORDER,), ("order_id",)),
     "support_events": _events(
         "events/support_events.json", {"reason": "string", "order_id": "string", "ticket_id": "string", "customer_id": "string"},
-        (_CUSTOMER,), ("customer_id",)),
+        (_CUSTOMER, _ORDER), ("customer_id",)),
     "web_events": _events(
         "events/web_events.json",
-        {"channel": "string", "order_id": "string", "session_id": "string", "campaign_id": "string", "customer_id": "string"}),
+        {"channel": "string", "order_id": "string", "session_id": "string", "campaign_id": "string", "customer_id": "string"}, (_ORDER, _CUSTOMER)),
     "inventory_snapshots": Source(
         "inventory/inventory_snapshots.csv",
         {"product_id": "string", "location_id": "string", "snapshot_date": "day", "available_quantity": "bigint",

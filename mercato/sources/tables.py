@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,17 +11,18 @@ from ..schemas import gold_contract
 
 
 class LayerStore:
-    """Tables of one run under ``root/runs/<run_id>/<layer>/<table>``.
+    """Tables of one attempt of a run under ``root/runs/<run_id>/<attempt>/<layer>/<table>``.
 
-    A run never touches another run's files, so a failed or repeated run cannot damage
-    what readers see; ``publish`` makes it current.
+    Every attempt has a folder of its own, so a failed run, or one repeated under the
+    same id, cannot damage what readers see; ``publish`` makes the attempt current.
     """
 
-    def __init__(self, spark: SparkSession, root: str, run_id: str):
+    def __init__(self, spark: SparkSession, root: str, run_id: str, attempt: str | None = None):
         self.spark, self.root, self.run_id = spark, root.rstrip("/"), run_id
+        self.attempt = attempt or uuid.uuid4().hex
 
     def path(self, layer: str, table: str) -> str:
-        return f"{self.root}/runs/{self.run_id}/{layer}/{table}"
+        return f"{self.root}/runs/{self.run_id}/{self.attempt}/{layer}/{table}"
 
     def write(self, df: DataFrame, layer: str, table: str, by_date: str | None = None) -> DataFrame:
         """Full replacement of one table; returns it read back, with its lineage cut.
@@ -38,7 +41,7 @@ class LayerStore:
         return self.spark.read.schema(schema).parquet(self.path(layer, table)).select(*schema.fieldNames())
 
     def publish(self, at) -> None:
-        record = self.spark.createDataFrame([(self.run_id, at)], "run_id string, published_at timestamp")
+        record = self.spark.createDataFrame([(self.run_id, self.attempt, at)], "run_id string, attempt string, published_at timestamp")
         record.coalesce(1).write.mode("append").json(f"{self.root}/published")
 
     def append_ops(self, rows: list[tuple]) -> None:
@@ -46,10 +49,18 @@ class LayerStore:
         self.spark.createDataFrame(rows, columns).coalesce(1).write.mode("append").parquet(f"{self.root}/ops/runs")
 
 
+def published(spark: SparkSession, root: str, run_id: str | None = None) -> tuple[str, str] | None:
+    """Run id and attempt published last, of all runs or of one."""
+    log = spark.read.schema("run_id string, attempt string, published_at timestamp").json(f"{root.rstrip('/')}/published")
+    log = log.filter(F.col("run_id") == run_id) if run_id else log
+    last = log.agg(F.max(F.struct("published_at", "run_id", "attempt")).alias("last")).head()["last"]
+    return (last["run_id"], last["attempt"]) if last else None
+
+
 def current_run(spark: SparkSession, root: str) -> str | None:
     """The run id published last."""
-    log = spark.read.schema("run_id string, published_at timestamp").json(f"{root.rstrip('/')}/published")
-    return log.agg(F.max_by("run_id", F.struct("published_at", "run_id")).alias("run_id")).head()["run_id"]
+    last = published(spark, root)
+    return last[0] if last else None
 
 
 def ops_runs(spark: SparkSession, root: str) -> DataFrame:
@@ -60,7 +71,10 @@ class GoldTables:
     """The five published gold tables as attributes, for ``questions.answer``."""
 
     def __init__(self, spark: SparkSession, root: str, run_id: str | None = None):
-        self._store = LayerStore(spark, root, run_id or current_run(spark, root))
+        last = published(spark, root, run_id)
+        if last is None:
+            raise LookupError(f"nothing published under {root}" + (f" as {run_id}" if run_id else ""))
+        self._store = LayerStore(spark, root, *last)
         self._contract = gold_contract()
 
     def __getattr__(self, table: str) -> DataFrame:

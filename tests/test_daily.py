@@ -118,8 +118,3 @@ def test_refund_rate_can_exceed_one(spark):
     row = kpi_rows(spark, [order(), order("o2", "c2", status="PENDING")], payments=pays,
                    refunds=[refund("a", 1), refund("b", 1, order_id="o2")])[day(1)]
     assert row["refund_rate"] == 2.0 and row["return_rate"] == 0.0 and row["total_orders"] == 2
-
-
-def test_cap_is_clamped(spark):
-    df = spark.range(1500)
-    assert [questions.capped(df, n).count() for n in (0, 7, 5000)] == [1, 7, 1000]

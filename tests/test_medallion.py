@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from mercato.plans import medallion, questions
 from mercato.schemas import SOURCES, gold_contract
 from mercato.sources import raw
-from mercato.sources.tables import GoldTables, LayerStore, current_run, ops_runs
+from mercato.sources.tables import GoldTables, LayerStore, current_run, ops_runs, published
 from makers import dec
 
 DAY = "2026-07-0{}T01:00:00Z"
@@ -99,7 +99,7 @@ def test_gold_values(spark, built):
 
 
 def test_contract_types(spark, built):
-    store = LayerStore(spark, built[1], "r1")
+    store = LayerStore(spark, built[1], *published(spark, built[1]))
     for name, table in gold_contract().items():
         written = store.read("gold", name)
         assert {(f.name, f.dataType) for f in written.schema} == {(f.name, f.dataType) for f in table.schema}
@@ -113,7 +113,8 @@ def test_every_question_runs_on_the_written_tables(spark, built):
 
 
 def test_rejects_have_reasons(spark, built):
-    rows = spark.read.parquet(f"{built[1]}/runs/r1/rejected_records").collect()
+    run, attempt = published(spark, built[1])
+    rows = spark.read.parquet(f"{built[1]}/runs/{run}/{attempt}/rejected_records").collect()
     assert {(r["table_name"], r["record_id"], r["reason"]) for r in rows} == {
         ("orders", "o3", "unknown_customer_id"), ("order_items", "i2", "negative_quantity")}
 
@@ -132,7 +133,7 @@ def test_gate_stops_before_gold_and_is_recorded(spark, tmp_path):
         medallion.run_medallion(spark, str(root), str(tmp_path / "lake"), run_id="bad")
     last = ops_runs(spark, str(tmp_path / "lake")).filter("status = 'failed'").collect()
     assert [(r["stage"], "GateError" in r["error"]) for r in last] == [("quality_gate", True)]
-    assert not (tmp_path / "lake" / "runs" / "bad" / "gold").exists() and not (tmp_path / "lake" / "published").exists()
+    assert not list((tmp_path / "lake" / "runs" / "bad").glob("*/gold")) and not (tmp_path / "lake" / "published").exists()
 
 
 def test_missing_and_changed_files(spark, tmp_path):
@@ -141,9 +142,50 @@ def test_missing_and_changed_files(spark, tmp_path):
     (root / SOURCES["stores"].path).unlink()
     (root / SOURCES["orders"].path).write_text("[]")
     assert [r["source"] for r in raw.raw_files_missing(spark, str(root)).collect()] == ["stores"]
-    status = raw.manifest_check(spark, str(root), raw.read_manifest(spark, str(root / "manifest.json")))
+    (root / "reference" / "extra.json").write_text("[]")
+    status = raw.manifest_check(spark, str(root), raw.read_manifest(spark, str(root / "manifest.json")), skip=("manifest.json",))
     bad = {r["path"]: r["status"] for r in status.filter(F.col("status") != "ok").collect()}
-    assert bad == {SOURCES["stores"].path: "missing", SOURCES["orders"].path: "changed"}
+    assert bad == {SOURCES["stores"].path: "missing", SOURCES["orders"].path: "changed", "reference/extra.json": "unlisted"}
+
+
+@pytest.mark.parametrize("text", ['{"files": {}}', '{"files": {"a": ', "{}"])
+def test_a_manifest_that_lists_nothing_fails(spark, tmp_path, text):
+    root = write_raw(tmp_path / "raw", sample())
+    (root / "manifest.json").write_text(text)
+    with pytest.raises(medallion.GateError, match="lists no file"):
+        medallion.run_medallion(spark, str(root), str(tmp_path / "lake"), run_id="m", with_manifest=True)
+
+
+def test_a_repeated_run_leaves_what_was_published(spark, built):
+    folders = list((__import__("pathlib").Path(built[1]) / "runs" / "r1").iterdir())
+    assert len(folders) == 2 and published(spark, built[1], "r1")[1] in {f.name for f in folders}
+
+
+def test_unknown_references_of_every_kind_are_rejected(spark, tmp_path):
+    data = sample()
+    order = dict(data["orders"][0])
+    data["orders"] += [dict(order, order_id="o8", store_id="99"), dict(order, order_id="o9", sales_channel="FAX")]
+    data["customers"] += [dict(data["customers"][0], customer_id="c9", city_id="404")]
+    data["stores"] += [dict(data["stores"][0], store_id="9", city_id="404")]
+    data["support_events"] += [dict(data["support_events"][0], event_id="s9", payload=dict(data["support_events"][0]["payload"], order_id="none"))]
+    data["web_events"] += [dict(data["web_events"][0], event_id="w9", payload=dict(data["web_events"][0]["payload"], customer_id="none"))]
+    root = write_raw(tmp_path / "raw", data)
+    out = str(tmp_path / "lake")
+    medallion.run_medallion(spark, str(root), out, run_id="r")
+    run, attempt = published(spark, out)
+    rows = spark.read.parquet(f"{out}/runs/{run}/{attempt}/rejected_records").collect()
+    assert {(r["record_id"], r["reason"]) for r in rows} >= {("o8", "unknown_store_id"), ("o9", "unknown_sales_channel"), ("c9", "unknown_city_id"),
+                                                             ("9", "unknown_city_id"), ("s9", "unknown_order_id"), ("w9", "unknown_customer_id")}
+
+
+def test_one_event_under_two_payment_ids_counts_once(spark, tmp_path):
+    data = sample()
+    twice = dict(data["payment_events"][0])
+    data["payment_events"] = [twice, dict(twice, payload=dict(twice["payload"], payment_id="y"))]
+    root = write_raw(tmp_path / "raw", data)
+    medallion.run_medallion(spark, str(root), str(tmp_path / "lake"), run_id="p")
+    amounts = {r["order_id"]: r["captured_payment_amount"] for r in GoldTables(spark, str(tmp_path / "lake")).order_360.collect()}
+    assert amounts["o1"] == dec("21.50")
 
 
 def test_gold_gate_finds_repeated_keys(spark):

@@ -104,7 +104,8 @@ def test_json_layouts_and_numbering(spark, tmp_path):
     array.write_text(json.dumps(rows, indent=1))
     lines.write_text("\n".join(map(json.dumps, rows)) + "\n\n")
     source = SOURCES["city_reference"]
-    assert raw.json_layout(spark, str(array)) == raw.ARRAY and raw.json_layout(spark, str(lines)) == raw.LINES
+    found = raw.files_by_layout(spark, str(tmp_path))
+    assert {k: [f.rsplit("/", 1)[1] for f in v] for k, v in found.items()} == {raw.ARRAY: ["array.json"], raw.LINES: ["lines.json"]}
     for path in (array, lines):
         got = raw.raw_records(spark, str(path), source).collect()
         assert sorted((json.loads(r["raw"]) for r in got), key=lambda r: r["city_id"]) == rows
