@@ -62,11 +62,14 @@ NOTICES = [
 ]
 
 
-def _templates() -> list[tuple[int, str, bool, list[str], int, list[str]]]:
+def templates() -> list[tuple[int, str, bool, list[str], int, list[str]]]:
     """(template, label, is a phrase, words, place of the key phrase, its words)."""
     rows = [(label, True, phrase, phrase) for phrase, label in PHRASES.items()] + [(label, False, notice, key) for label, notice, key in NOTICES]
-    return [(k, label, base, text.split(), f" {text} ".index(f" {key} ") and f" {text} "[: f" {text} ".index(f" {key} ") + 1].count(" ") - 1, key.split())
-            for k, (label, base, text, key) in enumerate(rows)]
+    out = []
+    for k, (label, base, text, key) in enumerate(rows):
+        before = f" {text} ".partition(f" {key} ")[0]
+        out.append((k, label, base, text.split(), len(before.split()), key.split()))
+    return out
 
 
 def document_frequency(tokens: DataFrame, vocabulary: list[str]) -> dict[str, int]:
@@ -78,7 +81,7 @@ def document_frequency(tokens: DataFrame, vocabulary: list[str]) -> dict[str, in
 def postings(docs_with: dict[str, int]) -> list[tuple]:
     """(word, template, label, base, place, size, words, key place, key, anchors): the highest-IDF words of each template."""
     out = []
-    for k, label, base, text, key_at, key in _templates():
+    for k, label, base, text, key_at, key in templates():
         rarest = sorted(set(text), key=lambda w: (docs_with.get(w, 0), w))[: 1 if base else ANCHORS]
         out += [(w, k, label, base, at, len(text), text, key_at, key, len(rarest)) for at, w in enumerate(text) if w in rarest]
     return out
@@ -87,7 +90,7 @@ def postings(docs_with: dict[str, int]) -> list[tuple]:
 def license_scan(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
     tokens = docs.select("doc_id", words().alias("w"))
-    vocabulary = sorted({w for t in _templates() for w in t[3]})
+    vocabulary = sorted({w for t in templates() for w in t[3]})
     index = docs.sparkSession.createDataFrame(
         [("", -1, "", False, 0, 0, [], 0, [], 0), *postings(document_frequency(tokens, vocabulary))],  # "" brings the document's own row
         "word string, template int, label string, base boolean, at int, size int, text array<string>, key_at int, key array<string>, anchors int")
