@@ -38,6 +38,34 @@ def csv_scan(w) -> DataFrame:
     return raw.scan_csv(w.spark, path, "spend_date date, campaign_id string, channel string, spend_amount decimal(14,2)")
 
 
+def json_array(w) -> DataFrame:
+    """Return events landed as files of one JSON array each, found to be arrays, numbered and flattened."""
+    source = SOURCES["return_events"]
+    at = F.date_format("occurred_at_utc", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("occurred_at_utc")
+    nested = w.v.return_events.select("event_id", "event_type", at, F.struct("order_id", "return_id").alias("payload"))
+    count = max(1, nested.count() // 2000)  # about 2,000 records in a file, however many there are
+    files = nested.groupBy(F.pmod(F.xxhash64("event_id"), F.lit(count))).agg(F.to_json(F.collect_list(F.struct(*nested.columns))).alias("value"))
+    path = scratch_path(w.spark, "json-array")
+    files.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    records = raw.raw_records(w.spark, path, source)
+    flat = silver.flatten(bronze.with_lineage(records, source, RUN_ID, LOADED_AT), source)
+    return flat.select("event_id", "event_type", F.col("occurred_at_utc").cast("timestamp").cast("timestamp_ntz").alias("occurred_at_utc"),
+                       "order_id", "return_id", (F.col("row_number") >= 0).alias("numbered"))
+
+
+def csv_by_name(w) -> DataFrame:
+    """Campaign spend landed with its columns in two orders and an undeclared one, then read by name."""
+    spend = w.v.campaign_spend.withColumn("note", F.concat(F.lit('line one\nof "'), "campaign_id", F.lit('"')))
+    root = scratch_path(w.spark, "csv-by-name")
+    orders_ = {"WEB": ["note", "spend_amount", "channel", "spend_date", "campaign_id"], "MOBILE": ["campaign_id", "note", "channel", "spend_amount", "spend_date"]}
+    for channel, names in orders_.items():
+        rows = spend.filter(F.col("channel") == channel).select(*names)
+        rows.write.option("header", True).option("escape", '"').csv(f"{root}/{channel}")
+    records = raw.raw_records(w.spark, f"{root}/*", SOURCES["campaign_spend"])
+    field = lambda name, kind: F.get_json_object("raw", f"$.{name}").cast(kind).alias(name)
+    return records.select(field("spend_date", "date"), field("campaign_id", "string"), field("channel", "string"), field("spend_amount", MONEY), field("note", "string"))
+
+
 def raw_payload(w) -> DataFrame:
     return bronze.raw_payload(w.v.order_promotions)
 
@@ -47,7 +75,7 @@ def lineage(w) -> DataFrame:
     source = SOURCES["order_items"]
     path = _land_json(w.v.order_items, scratch_path(w.spark, "lineage"))
     records = bronze.with_lineage(raw.raw_records(w.spark, path, source, raw.LINES), source, RUN_ID, LOADED_AT)
-    return records.select("record_id", "record_sha", "run_id", F.col("file_name").isNotNull().alias("has_file"))
+    return records.select("record_id", "record_sha", "run_id", F.col("file_name").isNotNull().alias("has_file"), (F.col("row_number") >= 0).alias("has_number"))
 
 
 def _payment_records(w) -> DataFrame:
@@ -180,6 +208,8 @@ def stream_payment_status(w) -> DataFrame:
 LANDING = {
     "bronze_json_scan": json_scan,
     "bronze_csv_scan": csv_scan,
+    "bronze_json_array": json_array,
+    "bronze_csv_by_name": csv_by_name,
     "bronze_raw_payload": raw_payload,
     "bronze_lineage": lineage,
     "raw_files_missing": files_missing,

@@ -287,6 +287,8 @@ FROM r_orders GROUP BY sales_channel""",
 FROM (SELECT product_id, day, lead(day) OVER (PARTITION BY product_id ORDER BY day) AS next_day
   FROM (SELECT DISTINCT product_id, CAST(snapshot_date AS DATE) AS day FROM r_inventory_snapshots)) WHERE next_day - day > 1""",
     # bronze, silver and streaming
+    "bronze_json_array": "SELECT event_id, event_type, occurred_at_utc, order_id, return_id, true AS numbered FROM r_return_events",
+    "bronze_csv_by_name": """SELECT spend_date, campaign_id, channel, spend_amount, concat('line one', chr(10), 'of "', campaign_id, '"') AS note FROM r_campaign_spend""",
     "bronze_json_scan": "SELECT event_id, event_type, occurred_at_utc, order_id, return_id FROM r_return_events",
     "bronze_csv_scan": "SELECT * FROM r_campaign_spend",
     "bronze_raw_payload": """SELECT concat('{"order_id":"', order_id, '","promotion_id":"', promotion_id, '","discount_amount":',
@@ -294,7 +296,7 @@ FROM (SELECT product_id, day, lead(day) OVER (PARTITION BY product_id ORDER BY d
     "bronze_lineage": """SELECT order_item_id AS record_id, sha256(concat('{"order_item_id":"', order_item_id, '","order_id":"', order_id,
   '","product_id":"', product_id, '","quantity":', CAST(quantity AS VARCHAR), ',"unit_price":', CAST(unit_price AS VARCHAR),
   ',"item_discount_amount":', CAST(item_discount_amount AS VARCHAR), ',"source_row_id":"', source_row_id, '"}')) AS record_sha,
-  'check' AS run_id, TRUE AS has_file FROM r_order_items""",
+  'check' AS run_id, TRUE AS has_file, true AS has_number FROM r_order_items""",
     "ops_runs": """SELECT 'check' AS run_id, 'orders' AS stage, 'ok' AS status, count(*) AS row_count FROM r_orders
 UNION ALL SELECT 'check', 'order_items', 'ok', count(*) FROM r_order_items
 UNION ALL SELECT 'check', 'payment_events', 'ok', count(*) FROM r_payment_events""",
