@@ -57,6 +57,23 @@ class Workbench:
         stock = products.product_stock_days(self.v.inventory_snapshots)
         return kpis.executive_kpis_daily(self.order_360, self.customer_daily, stock)
 
+    @cached_property
+    def faulty_order_360(self) -> DataFrame:
+        """The fact and, for every returned order, a second row with a negative refund and a wrong net revenue."""
+        amount = self.order_360.schema["net_revenue"].dataType
+        wrong = F.col("gross_merchandise_value") - F.col("discount_amount") + F.col("shipping_revenue") + 5
+        planted = self.order_360.filter("return_status <> 'NO_RETURN'").withColumns(
+            {"refunded_amount": F.lit(-1).cast(self.order_360.schema["refunded_amount"].dataType), "net_revenue": wrong.cast(amount)})
+        return self.order_360.unionByName(planted)
+
+    @cached_property
+    def faulty_enriched(self) -> DataFrame:
+        """The enriched orders and, for every returned one, a second row with equal flags and no counted return."""
+        count = self.enriched.schema["return_count"].dataType
+        planted = self.enriched.filter("return_status <> 'NO_RETURN'").withColumns(
+            {"repeat_customer_flag": F.col("new_customer_flag"), "return_count": F.lit(0).cast(count)})
+        return self.enriched.unionByName(planted)
+
     @cached_property
     def enriched(self) -> DataFrame:
         v = self.v
@@ -191,7 +208,7 @@ PLANS: dict[str, Callable[[Workbench], DataFrame]] = {
         "q16_customer_net_revenue", _QuestionGold(w, False), rows=questions.DEFAULT_ROWS),
     "json_friendly_rows": lambda w: questions.json_friendly_rows(w.executive_kpis_daily),
     # checks
-    "grain_order_360": lambda w: c.grain(w.order_360, ["order_id"]),
+    "grain_order_360": lambda w: c.grain(w.faulty_order_360, ["order_id"]),
     "grain_customer_daily": lambda w: c.grain(
         w.customer_daily, ["customer_id", "metric_date"],
         ["customer_id", "metric_date", "order_count", "gross_revenue", "net_revenue"]),
@@ -204,12 +221,12 @@ PLANS: dict[str, Callable[[Workbench], DataFrame]] = {
     "column_profile": lambda w: c.profile_columns(w.customer_daily.select(
         "customer_id", "metric_date", "order_count", "support_contacts", "active_channel", "new_customer_flag")),
     "order_numeric_profile": lambda w: c.exact_profile(w.order_360, ORDER_MEASURES).withColumn("stddev", F.round("stddev", 6)),
-    "net_revenue_mismatch": lambda w: checks.net_revenue_mismatch(w.order_360),
+    "net_revenue_mismatch": lambda w: checks.net_revenue_mismatch(w.faulty_order_360),
     "payment_anomalies": lambda w: checks.payment_anomalies(w.order_360),
     "payments_of_anomalies": lambda w: checks.payments_of_anomalies(w.v.payment_events, w.order_360),
     "payment_status_split": lambda w: checks.payment_status_split(w.order_360),
     "payment_amount_by_status": lambda w: checks.payment_amount_by_status(w.order_360),
-    "negative_refunds": lambda w: checks.negative_refunds(w.order_360),
+    "negative_refunds": lambda w: checks.negative_refunds(w.faulty_order_360),
     "negative_net_orders": lambda w: checks.negative_net_orders(w.order_360),
     "negative_net_by_return": lambda w: checks.negative_net_by_return(w.order_360),
     "neg_orders_with_refund": lambda w: checks.neg_orders_with_refund(w.order_360, w.v.refund_events),
@@ -241,8 +258,8 @@ PLANS: dict[str, Callable[[Workbench], DataFrame]] = {
     "payment_recon_day": lambda w: checks.payment_recon_day(w.order_360, w.customer_daily_extended),
     "payment_recon_order": lambda w: checks.payment_recon_order(w.enriched, w.order_360),
     "customer_daily_rules": lambda w: checks.customer_daily_rules(w.customer_daily_extended),
-    "customer_flag_mismatch": lambda w: checks.customer_flag_mismatch(w.enriched),
-    "return_count_mismatch": lambda w: checks.return_count_mismatch(w.enriched),
+    "customer_flag_mismatch": lambda w: checks.customer_flag_mismatch(w.faulty_enriched),
+    "return_count_mismatch": lambda w: checks.return_count_mismatch(w.faulty_enriched),
     "multi_order_days": lambda w: checks.multi_order_days(w.customer_daily),
     "business_summary": lambda w: checks.business_summary(w.enriched),
     "orders_store_coverage": lambda w: checks.orders_store_coverage(w.v.orders),

@@ -176,7 +176,7 @@ FROM order_rich LEFT JOIN captures_corrected USING (order_id)""",
     "capped_result": "SELECT customer_id, sum(net_revenue) AS net_revenue FROM cust_day GROUP BY customer_id ORDER BY net_revenue DESC NULLS LAST, customer_id LIMIT 100",
     "json_friendly_rows": _KPI_JSON,
     # checks
-    "grain_order_360": _grain("o360", "order_id", "order_id IS NULL"),
+    "grain_order_360": _grain("o360_faulty", "order_id", "order_id IS NULL"),
     "grain_customer_daily": _grain("cust_day", "customer_id, metric_date",
                                    "customer_id IS NULL OR metric_date IS NULL OR order_count IS NULL OR gross_revenue IS NULL OR net_revenue IS NULL"),
     "grain_product_daily": _grain("prod_day", "product_id, metric_date", "product_id IS NULL OR metric_date IS NULL"),
@@ -188,7 +188,7 @@ FROM order_rich LEFT JOIN captures_corrected USING (order_id)""",
     "schema_inventory": _INVENTORY,
     "column_profile": _COLUMN_PROFILE,
     "order_numeric_profile": _PROFILE,
-    "net_revenue_mismatch": """SELECT count(*) AS mismatch_count FROM o360
+    "net_revenue_mismatch": """SELECT count(*) AS mismatch_count FROM o360_faulty
 WHERE net_revenue <> gross_merchandise_value - discount_amount + shipping_revenue - refunded_amount""",
     "payment_anomalies": "SELECT * FROM anomalies",
     "payments_of_anomalies": """SELECT order_id, event_id, event_type, amount AS payment_amount, occurred_at_utc FROM r_payment_events
@@ -197,7 +197,7 @@ WHERE order_id IN (SELECT order_id FROM anomalies)""",
   count(*) FILTER (WHERE captured_payment_amount = 0) AS orders_without_payment FROM o360 GROUP BY payment_status""",
     "payment_amount_by_status": f"""SELECT payment_status, count(captured_payment_amount) AS n, min(captured_payment_amount) AS smallest,
   max(captured_payment_amount) AS largest, {_mean('captured_payment_amount')} AS average FROM o360 GROUP BY payment_status""",
-    "negative_refunds": "SELECT count(*) AS negative_refund_orders FROM o360 WHERE refunded_amount < 0",
+    "negative_refunds": "SELECT count(*) AS negative_refund_orders FROM o360_faulty WHERE refunded_amount < 0",
     "negative_net_orders": "SELECT * FROM negative_orders",
     "negative_net_by_return": "SELECT return_status, refund_exceeds_revenue, count(*) AS orders FROM negative_orders GROUP BY return_status, refund_exceeds_revenue",
     "neg_orders_with_refund": "SELECT order_id, net_revenue FROM negative_orders WHERE order_id IN (SELECT order_id FROM r_refund_events)",
@@ -268,8 +268,8 @@ GROUP BY ALL HAVING difference <> 0""",
   count(*) FILTER (WHERE new_customer_order_count + repeat_customer_order_count <> order_count) AS flag_sum_mismatch,
   count(*) FILTER (WHERE customer_id IS NULL OR metric_date IS NULL OR order_count IS NULL OR gross_revenue IS NULL OR net_revenue IS NULL) AS null_rows
 FROM cust_day_wide""",
-    "customer_flag_mismatch": "SELECT count(*) AS customer_flag_mismatch FROM order_rich WHERE new_customer_flag = repeat_customer_flag",
-    "return_count_mismatch": "SELECT count(*) AS return_inconsistency FROM order_rich WHERE (return_count > 0) <> (return_status <> 'NO_RETURN')",
+    "customer_flag_mismatch": "SELECT count(*) AS customer_flag_mismatch FROM order_rich_faulty WHERE new_customer_flag = repeat_customer_flag",
+    "return_count_mismatch": "SELECT count(*) AS return_inconsistency FROM order_rich_faulty WHERE (return_count > 0) <> (return_status <> 'NO_RETURN')",
     "multi_order_days": "SELECT customer_id, metric_date, order_count, gross_revenue, net_revenue FROM cust_day WHERE order_count > 1",
     "business_summary": """SELECT count(DISTINCT customer_id) AS unique_customers, count(*) AS orders, count(*) FILTER (WHERE new_customer_flag) AS new_customer_orders,
   count(*) FILTER (WHERE repeat_customer_flag) AS repeat_customer_orders, count(*) FILTER (WHERE refund_amount > 0) AS orders_with_refund,

@@ -294,6 +294,13 @@ SELECT DISTINCT ON (refund_id) * FROM refund_done
 ORDER BY refund_id, occurred_at_utc DESC NULLS LAST, event_id DESC, amount DESC NULLS LAST, order_id""",
     "returns_counted": """
 SELECT order_id, count(DISTINCT return_id) AS return_count FROM newest_returns GROUP BY ALL""",
+    "o360_faulty": """
+SELECT * FROM o360 UNION ALL BY NAME
+SELECT * REPLACE (CAST(-1 AS DECIMAL(14,2)) AS refunded_amount, gross_merchandise_value - discount_amount + shipping_revenue + 5 AS net_revenue)
+FROM o360 WHERE return_status <> 'NO_RETURN'""",
+    "order_rich_faulty": """
+SELECT * FROM order_rich UNION ALL BY NAME
+SELECT * REPLACE (new_customer_flag AS repeat_customer_flag, 0 AS return_count) FROM order_rich WHERE return_status <> 'NO_RETURN'""",
     "newest_returns": """
 SELECT DISTINCT ON (event_id) * FROM r_return_events
 ORDER BY event_id, ingested_at_utc DESC NULLS LAST, occurred_at_utc DESC NULLS LAST, return_id""",
