@@ -105,26 +105,33 @@ class Model:
         start, move, emit = start + SMOOTH, move + SMOOTH, emit + SMOOTH
         return cls(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
-    def _aligned(self, sequences: list[np.ndarray]):
-        """Longest first, so that the texts still running are always the first ones."""
+    def _aligned(self, sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(order, classes, offsets): texts longest first, their classes step by step.
+
+        At step t the texts still running are the first ones, and their classes are
+        ``classes[offsets[t]:offsets[t + 1]]``.
+        """
         lengths = np.array([len(s) for s in sequences])
         order = np.argsort(-lengths, kind="stable")
         lengths = lengths[order]
-        flat = np.concatenate([sequences[i] for i in order]).astype(np.int64)
-        begin = np.concatenate([[0], np.cumsum(lengths)[:-1]])
         running = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")  # texts longer than t
-        return order, lengths, flat, begin, running
+        offsets = np.concatenate([[0], np.cumsum(running)])
+        text = np.repeat(np.arange(len(order)), lengths)
+        step = np.arange(len(text)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        classes = np.empty(len(text), dtype=np.int64)
+        classes[offsets[step] + text] = np.concatenate([sequences[i] for i in order])
+        return order, classes, offsets
 
     def forward(self, sequences: list[np.ndarray]) -> np.ndarray:
         """log10 likelihood of each class sequence by the scaled forward recursion."""
-        order, lengths, flat, begin, running = self._aligned(sequences)
+        order, classes, offsets = self._aligned(sequences)
         total = np.zeros(len(order))
         alpha = None
-        for t, live in enumerate(running):
-            here = self.emit[flat[begin[:live] + t]]
-            alpha = (self.start[None, :] if alpha is None else alpha[:live] @ self.move) * here
+        for low, high in zip(offsets.tolist(), offsets[1:].tolist(), strict=False):
+            live = high - low
+            alpha = (self.start[None, :] if alpha is None else alpha[:live] @ self.move) * self.emit[classes[low:high]]
             scale = alpha.sum(axis=1)
-            alpha = alpha / scale[:, None]
+            alpha /= scale[:, None]
             total[:live] += np.log10(scale)
         out = np.empty(len(order))
         out[order] = total
@@ -132,47 +139,55 @@ class Model:
 
     def expected(self, sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Expected start, transition and emission counts (forward-backward) of some sequences."""
-        order, lengths, flat, begin, running = self._aligned(sequences)
-        states = len(self.start)
-        emitted = self.emit[flat].astype(np.float32)
-        alphas, scales = np.empty((len(flat), states), np.float32), np.empty(len(flat), np.float32)
-        alpha = None
-        for t, live in enumerate(running):
-            at = begin[:live] + t
-            alpha = (self.start[None, :] if alpha is None else alpha[:live] @ self.move) * emitted[at]
-            scale = alpha.sum(axis=1)
-            alpha = alpha / scale[:, None]
-            alphas[at], scales[at] = alpha, scale
+        order, classes, offsets = self._aligned(sequences)
+        states, steps = len(self.start), list(zip(offsets.tolist(), offsets[1:].tolist(), strict=False))
+        onward = self.move.astype(np.float32)
+        back = np.ascontiguousarray(onward.T)
+        emitted = self.emit.astype(np.float32)[classes]
+        alphas, scales = np.empty((len(classes), states), np.float32), np.empty((len(classes), 1), np.float32)
+        before = None
+        for low, high in steps:
+            alpha = alphas[low:high]
+            if before is None:
+                np.multiply(emitted[low:high], self.start.astype(np.float32), out=alpha)
+            else:
+                np.matmul(before[:high - low], onward, out=alpha)
+                alpha *= emitted[low:high]
+            scale = scales[low:high]
+            np.sum(alpha, axis=1, keepdims=True, out=scale)
+            alpha /= scale
+            before = alpha
+        emitted /= scales
         move = np.zeros((states, states))
-        beta = np.ones((len(order), states))
-        seen = np.empty((len(flat), states), np.float32)
-        for t in range(len(running) - 1, -1, -1):
-            live = running[t]
-            at = begin[:live] + t
-            if t + 1 < len(running) and running[t + 1]:
-                on = running[t + 1]
-                next_at = begin[:on] + t + 1
-                weighed = emitted[next_at] * beta[:on] / scales[next_at][:, None]
-                move += (alphas[at[:on]].T @ weighed) * self.move
-                beta[:on] = weighed @ self.move.T
-            seen[at] = alphas[at] * beta[:live]
-        emit = np.stack([np.bincount(flat, seen[:, k], minlength=len(self.emit)) for k in range(states)], axis=1)
-        return seen[begin].sum(axis=0).astype(float), move, emit
+        beta = np.ones((len(order), states), np.float32)
+        seen = alphas  # turned into state probabilities from the last step to the first
+        for (low, high), (_, end) in zip(steps[-2::-1], steps[::-1], strict=False):
+            on = end - high  # texts that run on at the next step
+            weighed = emitted[high:end] * beta[:on]
+            move += alphas[low:low + on].T @ weighed
+            seen[high:end] *= beta[:on]
+            np.matmul(weighed, back, out=beta[:on])
+        seen[:offsets[1]] *= beta
+        emit = np.stack([np.bincount(classes, seen[:, k], minlength=len(self.emit)) for k in range(states)], axis=1)
+        return seen[:offsets[1]].sum(axis=0).astype(float), move * self.move, emit
 
 
 def _chunks(batch: pd.Series, most: int = 1 << 20) -> Iterator[tuple[list[int], list[np.ndarray]]]:
-    """Row numbers and sequences in groups of bounded length in all."""
-    rows, group, length = [], [], 0
-    for i, raw in enumerate(batch):
-        sequence = np.frombuffer(raw, dtype="<i4")
-        if group and length + len(sequence) > most:
-            yield rows, group
-            rows, group, length = [], [], 0
+    """Row numbers and sequences in groups of bounded length in all, similar lengths together.
+
+    A group takes as many steps as its longest text has tokens, so long texts should not
+    make short ones wait.
+    """
+    sequences = [np.frombuffer(raw, dtype="<i4") for raw in batch]
+    rows, length = [], 0
+    for i in sorted(range(len(sequences)), key=lambda k: -len(sequences[k])):
+        if rows and length + len(sequences[i]) > most:
+            yield rows, [sequences[k] for k in rows]
+            rows, length = [], 0
         rows.append(i)
-        group.append(sequence)
-        length += len(sequence)
-    if group:
-        yield rows, group
+        length += len(sequences[i])
+    if rows:
+        yield rows, [sequences[k] for k in rows]
 
 
 def _expectations(model: Model):
