@@ -82,6 +82,12 @@ _RICH = "gross_revenue discount_amount shipping_revenue refund_amount net_revenu
 _CAMPAIGN_TOTALS = """SELECT campaign_id, sum(campaign_spend) AS spend, sum(net_revenue) AS net_revenue,
   CAST(sum(net_revenue) AS DOUBLE) / CAST(nullif(sum(campaign_spend), 0) AS DOUBLE) AS roas FROM camp_day GROUP BY campaign_id"""
 
+_NOT_LANDED = [
+    *[f"events/{x}_events.json" for x in ("payment", "refund", "return", "support", "web")], "inventory/inventory_snapshots.csv",
+    *[f"operational/{x}.json" for x in ("customer_addresses", "customer_profiles", "order_items", "order_promotions", "orders", "product_categories", "promotions",
+                                        "sales_channels", "stores")],
+]
+
 ANSWERS = {
     "order_360": "SELECT * FROM o360",
     "orders_dedup": "SELECT * FROM latest_orders",
@@ -297,6 +303,9 @@ FROM (SELECT product_id, day, lead(day) OVER (PARTITION BY product_id ORDER BY d
   '","product_id":"', product_id, '","quantity":', CAST(quantity AS VARCHAR), ',"unit_price":', CAST(unit_price AS VARCHAR),
   ',"item_discount_amount":', CAST(item_discount_amount AS VARCHAR), ',"source_row_id":"', source_row_id, '"}')) AS record_sha,
   'check' AS run_id, TRUE AS has_file, true AS has_number FROM r_order_items""",
+    # the feeds that were not landed, and those whose checksums the manifest misstates
+    "raw_files_missing": "SELECT path, regexp_extract(path, '/([a-z_]+)[.]', 1) AS source FROM (VALUES " + ", ".join(f"('{x}')" for x in _NOT_LANDED) + ") AS t(path)",
+    "manifest_check": "SELECT * FROM (VALUES ('campaign_spend', 'ok'), ('city_reference', 'ok'), ('customers', 'ok'), ('lost', 'missing'), ('products', 'changed')) AS t(feed, status)",
     "ops_runs": """SELECT 'check' AS run_id, 'orders' AS stage, 'ok' AS status, count(*) AS row_count FROM r_orders
 UNION ALL SELECT 'check', 'order_items', 'ok', count(*) FROM r_order_items
 UNION ALL SELECT 'check', 'payment_events', 'ok', count(*) FROM r_payment_events""",
