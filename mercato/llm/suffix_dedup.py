@@ -35,6 +35,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,10 +45,10 @@ from .shared import checked, full_text, row_hash, written
 
 LENGTH = 200
 GRAM = 64
-BUCKET_BYTES = 1 << 20
+BUCKET_BYTES = 1 << 19
 HOT = 2048
 SLICES = 8
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 _LOW = np.uint64(0xFFFFFFFF)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -62,8 +64,8 @@ def _gram_hashes(raw: np.ndarray, gram: int) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def contexts_of(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """(text, first window, windows, anchor's distance from it, anchor hash, context hash) per context."""
+def contexts_of(texts: list, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """(text, first window, windows, anchor's distance from it, anchor hash, context hash) per context of some byte strings."""
     joined = b"".join(texts)
     raw, sizes = np.frombuffer(joined, dtype=np.uint8), np.array([len(t) for t in texts], dtype=np.int64)
     none = np.empty(0, dtype=np.int64)
@@ -91,25 +93,26 @@ def contexts_of(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> t
     return owner[first], start - begins[owner[first]], many, anchor - start, hashes[anchor].view(np.int64), np.array(whole, dtype=np.uint64).view(np.int64)
 
 
-def _groups(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
-    start, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= CHUNK_BYTES:
-            yield start, texts[start:i + 1]
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, texts[start:]
+def _groups(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``CHUNK_BYTES`` each."""
+    start, upto = 0, np.cumsum(sizes)
+    while start < len(sizes):
+        end = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + CHUNK_BYTES, side="right")))
+        yield start, end
+        start = end
 
 
 def _find_contexts(length: int, gram: int):
-    def of_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, keys = batch["id"].to_numpy(), batch["row_hash"].to_numpy()
-            for offset, texts in _groups([t.encode() for t in batch["text"]]):
-                owner, first, many, lead, anchor, context = contexts_of(texts, length, gram)
-                at = owner + offset
-                yield pd.DataFrame({"id": ids[at], "row_hash": keys[at], "first": first, "many": many, "lead": lead, "anchor": anchor, "context": context})
+            ids, keys, texts = (batch.column(k) for k in ("id", "row_hash", "text"))
+            for start, end in _groups(pc.binary_length(texts).to_numpy()):
+                # Arrow's buffers are the UTF-8 bytes themselves; no Python text is made.
+                owner, first, many, lead, anchor, context = contexts_of([t.as_buffer() for t in texts[start:end]], length, gram)
+                at = pa.array(owner + start)
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(at), keys.take(at), *[pa.array(x, pa.int32()) for x in (first, many, lead)], pa.array(anchor), pa.array(context)],
+                    names=["id", "row_hash", "first", "many", "lead", "anchor", "context"])
 
     return of_partition
 
@@ -244,7 +247,7 @@ def _pieces(asked: DataFrame, length: int, width: int) -> DataFrame:
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket_bytes: int = BUCKET_BYTES, hot: int = HOT) -> DataFrame:
     """id, row_hash, low, high: byte spans (they may overlap) that repeat."""
     texts = _texts(docs).drop("doc_id")
-    places = written(texts.filter(F.octet_length("text") >= length).mapInPandas(
+    places = written(texts.filter(F.octet_length("text") >= length).mapInArrow(
         _find_contexts(length, gram), "id bigint, row_hash bigint, first int, many int, lead int, anchor bigint, context bigint"), "contexts")
     twice = places.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("context").alias("least"), F.max("context").alias("most")).filter("n > 1")
     twice = written(twice.select("anchor", (F.col("least") != F.col("most")).alias("mixed")), "shared-anchors")
