@@ -38,7 +38,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import checked, full_text, row_hash, written
@@ -232,6 +232,15 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("doc_id"), F.lit(-1)).cast("bigint").alias("id"), row_hash().alias("row_hash"), full_text().alias("text"))
 
 
+def _named(texts: DataFrame, rows: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The texts that ``rows`` name, or the others (``left_anti``).
+
+    Only one narrow key per text is broadcast, and only if their count allows it; so a
+    join that follows moves the texts it needs and no others.
+    """
+    return texts.join(checked(written(rows.select("id", "row_hash").distinct(), "named-texts")), ["id", "row_hash"], how)
+
+
 def _pieces(asked: DataFrame, length: int, width: int) -> DataFrame:
     """Contexts to index, with what they are dealt by; those of hot anchors cut in aligned slices."""
     plain = asked.filter("not hot").select("id", "row_hash", "first", "many", "single", F.col("anchor").alias("deal"), "raw")
@@ -251,18 +260,18 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, buck
         _find_contexts(length, gram), "id bigint, row_hash bigint, first int, many int, lead int, anchor bigint, context bigint"), "contexts")
     twice = places.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("context").alias("least"), F.max("context").alias("most")).filter("n > 1")
     twice = written(twice.select("anchor", (F.col("least") != F.col("most")).alias("mixed")), "shared-anchors")
-    shared = written(places.join(checked(twice), "anchor"), "shared-contexts")
+    shared = written(places.join(twice, "anchor"), "shared-contexts")
     kinds = written(shared.filter("mixed").groupBy("anchor", "context").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "row_hash", "first", "many", "lead")).alias("at")), "context-kinds")
 
     whole_kinds = written(kinds.filter("n > 1").select("anchor", "context"), "whole-kinds")
-    whole = shared.filter("not mixed").unionByName(shared.filter("mixed").join(checked(whole_kinds), ["anchor", "context"], "left_semi").select(*shared.columns))
+    whole = shared.filter("not mixed").unionByName(shared.filter("mixed").join(whole_kinds, ["anchor", "context"], "left_semi").select(*shared.columns))
     whole = whole.select("id", "row_hash", F.col("first").cast("bigint").alias("low"), (F.col("first") + F.col("many") + (length - 1)).cast("bigint").alias("high"))
 
     open_anchors = kinds.groupBy("anchor").agg(F.min("n").alias("fewest"), F.count(F.lit(1)).alias("kinds")).filter("fewest = 1")
     open_anchors = written(open_anchors.select("anchor", (F.col("kinds") > hot).alias("hot")), "open-anchors")
-    asked = written(kinds.join(checked(open_anchors), "anchor").select("anchor", "hot", (F.col("n") == 1).alias("single"), "at.*"), "asked-contexts")
-    met = texts.join(checked(asked), ["id", "row_hash"]).withColumn("raw", F.col("text").cast("binary"))
+    asked = written(kinds.join(open_anchors, "anchor").select("anchor", "hot", (F.col("n") == 1).alias("single"), "at.*"), "asked-contexts")
+    met = _named(texts, asked).join(asked, ["id", "row_hash"]).withColumn("raw", F.col("text").cast("binary"))
     pieces = written(_pieces(met, length, -(-(length - gram + 1) // SLICES)), "pieces")
     size = pieces.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
     dealt = pieces.withColumn("bucket", F.pmod("deal", F.lit(max(1, -(-size // bucket_bytes)))))
@@ -270,31 +279,39 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, buck
     return whole.unionByName(partial)
 
 
-def _clean(text: str, low, high) -> tuple[int, int, int, str]:
-    raw = text.encode()
-    if low is None or not len(low):
-        return len(raw), 0, 0, hashlib.sha256(raw).hexdigest()
-    order = np.argsort(low, kind="stable")
-    low, high = np.asarray(low)[order], np.maximum.accumulate(np.asarray(high)[order])
-    new = np.append(True, low[1:] > high[:-1])
-    begin, end = low[new], high[np.append(np.flatnonzero(new)[1:] - 1, len(high) - 1)]
-    kept = hashlib.sha256()
-    at = 0
-    for b, e in zip(begin.tolist(), end.tolist(), strict=True):
+def _runs(spans: DataFrame) -> DataFrame:
+    """Overlapping and touching spans of a text as maximal runs; one exchange serves all steps."""
+    text = ["id", "row_hash"]
+    before = Window.partitionBy(*text).orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy(*text).orderBy("low", "high").rowsBetween(Window.unboundedPreceding, 0)
+    opens = F.coalesce(F.col("low") > F.max("high").over(before), F.lit(True)).cast("int")
+    marked = spans.distinct().withColumn("opens", opens).withColumn("run", F.sum("opens").over(upto))
+    return marked.groupBy(*text, "run").agg(F.min("low").alias("low"), F.max("high").alias("high")).drop("run")
+
+
+def _clean(text: str, low, high) -> tuple[int, int, str]:
+    """Removed bytes, runs and the digest of what is left, for runs that do not meet."""
+    raw, kept, at = text.encode(), hashlib.sha256(), 0
+    for b, e in sorted(zip(low, high, strict=True)):
         kept.update(raw[at:b])
         at = e
     kept.update(raw[at:])
-    return len(raw), int((end - begin).sum()), len(begin), kept.hexdigest()
+    return int(sum(high) - sum(low)), len(low), kept.hexdigest()
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket_bytes: int = BUCKET_BYTES, hot: int = HOT) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    spans = repeated_spans(docs, length, gram, bucket_bytes, hot).distinct()
-    per_text = written(spans.groupBy("id", "row_hash").agg(F.collect_list(F.struct("low", "high")).alias("s")).select("id", "row_hash", F.col("s.low").alias("low"), F.col("s.high").alias("high")), "spans")
+    spans = repeated_spans(docs, length, gram, bucket_bytes, hot)
+    runs = written(_runs(spans), "runs")
+    per_text = runs.groupBy("id", "row_hash").agg(F.collect_list(F.struct("low", "high")).alias("runs"))
 
-    @F.pandas_udf("n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    @F.pandas_udf("n_removed bigint, n_spans bigint, kept_sha256 string")
     def clean(text: pd.Series, low: pd.Series, high: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_clean(*x) for x in zip(text, low, high, strict=True)], columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])
-
-    held = _texts(docs).join(checked(per_text), ["id", "row_hash"], "left")
-    return held.select("doc_id", clean("text", "low", "high").alias("r")).select("doc_id", "r.*")
+        return pd.DataFrame([_clean(*x) for x in zip(text, low, high, strict=True)], columns=["n_removed", "n_spans", "kept_sha256"])
+
+    texts, n_bytes = _texts(docs), F.octet_length("text").cast("bigint").alias("n_bytes")
+    cut = _named(texts, runs).join(per_text, ["id", "row_hash"])
+    cut = cut.select("doc_id", n_bytes, clean("text", "runs.low", "runs.high").alias("r")).select("doc_id", "n_bytes", "r.*")
+    whole = _named(texts, runs, "left_anti").select(
+        "doc_id", n_bytes, F.lit(0).cast("bigint").alias("n_removed"), F.lit(0).cast("bigint").alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"))
+    return cut.unionByName(whole)
