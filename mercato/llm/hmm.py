@@ -42,6 +42,7 @@ SMOOTH = 0.1
 STAY = 0.95  # first guess: a state lasts, so that documents part by language and register first
 SEED = 11
 COUNTER_WORDS = 400_000
+SLICE_ROWS = 1024
 
 
 def tokens(text: str) -> list[bytes]:
@@ -172,7 +173,7 @@ class Model:
         return seen[:offsets[1]].sum(axis=0).astype(float), move * self.move, emit
 
 
-def _chunks(batch: pd.Series, most: int = 1 << 20) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+def _chunks(batch: pd.Series, most: int = 1 << 19) -> Iterator[tuple[list[int], list[np.ndarray]]]:
     """Row numbers and sequences in groups of bounded length in all, similar lengths together.
 
     A group takes as many steps as its longest text has tokens, so long texts should not
@@ -235,13 +236,14 @@ def lm_scores(docs: DataFrame, fold_of: int = 7, fold: int = 2, class_words: int
 
     @F.pandas_udf("n_tokens bigint, n_known bigint, gain double, classes binary, words array<binary>, times array<bigint>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            out = []
-            for text in texts:
-                classes, outside = dictionary.sequence(tokens(text))
-                own = classes[classes <= dictionary.end]
-                out.append((len(classes), int((known_count[own] > 0).sum()), float(gains[own].sum()), classes.tobytes(), list(outside.keys()), list(outside.values())))
-            yield pd.DataFrame(out, columns=["n_tokens", "n_known", "gain", "classes", "words", "times"])
+        for batch in batches:
+            for start in range(0, len(batch), SLICE_ROWS):  # a slice's words are let go before the next one
+                out = []
+                for text in batch.iloc[start:start + SLICE_ROWS]:
+                    classes, outside = dictionary.sequence(tokens(text))
+                    own = classes[classes <= dictionary.end]
+                    out.append((len(classes), int((known_count[own] > 0).sum()), float(gains[own].sum()), classes.tobytes(), list(outside.keys()), list(outside.values())))
+                yield pd.DataFrame(out, columns=["n_tokens", "n_known", "gain", "classes", "words", "times"])
 
     coded = texts.select("doc_id", "held_out", encode("text").alias("r")).select("doc_id", "held_out", "r.*")
     coded = written(coded.withColumn("row", F.monotonically_increasing_id()), "class-sequences")

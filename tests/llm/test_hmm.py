@@ -90,3 +90,10 @@ def test_no_training_text_and_empty(spark):
     row = hmm.lm_scores(frame(spark, [(held, "a b", "en", "s", 3)])).first()
     assert (row.n_tokens, row.n_known, row.train_tokens, row.base_score) == (3, 0, 0, 0.0) and math.isfinite(row.score)
     assert hmm.lm_scores(spark.createDataFrame([], DOC)).count() == 0
+
+
+def test_small_slices_give_the_same_scores(spark, scored, monkeypatch):
+    monkeypatch.setattr(hmm, "SLICE_ROWS", 7)
+    again = hmm.lm_scores(frame(spark, ROWS), class_words=50, rare_classes=4, states=3, rounds=2).collect()
+    assert sorted(((r.doc_id, r.n_known, round(r.base_score, 6)) for r in again), key=repr) == sorted(((r.doc_id, r.n_known, round(r.base_score, 6)) for r in scored), key=repr)
+    assert sum(r.score for r in again) == pytest.approx(sum(r.score for r in scored), rel=1e-5)
