@@ -39,7 +39,7 @@ SEED = 42
 CELL_CODES = 2048
 MAX_CELLS = 1 << 16
 FAN_OUT = 16
-FRONTIER = 1 << 18
+FRONTIER = 1 << 16
 
 
 def fingerprint(text: str, shingle_words: int = SHINGLE_WORDS) -> int:
@@ -162,7 +162,8 @@ def near_links(codes: DataFrame, limit: int = MAX_BITS, cell_codes: int = CELL_C
     def cell_of(ranks: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(edges, ranks.to_numpy(), side="left").astype("int32"))
 
-    placed = ranked.select("fp", cell_of("rank").alias("cell"))
+    # Written, so that no task runs two Python functions, each with a process of its own.
+    placed = written(ranked.select("fp", cell_of("rank").alias("cell")), "placed-codes")
     nodes = placed.groupBy("cell").agg(F.bit_and("fp").alias("low"), F.bit_or("fp").alias("high")).orderBy("cell").collect()  # at most MAX_CELLS
     number = np.array([n["cell"] for n in nodes], dtype=np.int64)
     low, high = (np.array([n[k] for n in nodes], dtype=np.int64).view(np.uint64) for k in ("low", "high"))
