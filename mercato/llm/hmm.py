@@ -1,19 +1,23 @@
-"""Language-model scores from a hidden Markov model over word classes.
+"""Language-model scores from a hidden Markov model over words.
 
 Counts: every training word is counted (combined in the tasks, then by one shuffle). The
-``CLASS_WORDS`` most frequent words and the end token are classes of their own; all other
-words share ``RARE_CLASSES`` classes by hash. That dictionary is bounded, so it may go to
-every task. Words outside it are rare by definition: their counts come back by a shuffled
-join on the word, which no hot key can fill.
+``CLASS_WORDS`` most frequent words and the end token form a bounded dictionary that goes
+to every task. All other training words are rows of a table; nothing gathers them.
 
-Model: states emit classes, and a class emits its word with the add-one probability of its
-training counts, so any text has a probability. Baum-Welch runs over all training texts:
-each task gathers expected start, transition and emission counts of its documents, the
-counts are summed by Spark, and the few parameters (states x classes) are set anew from
-the sums. The class sequences are written once, so a round does not read texts again.
+Blocks: texts are encoded once in blocks of about ``BLOCK_TOKENS`` tokens, training and
+held-out texts apart. A block numbers its own words outside the dictionary, and one
+shuffled join finds them among the training words.
 
-Score: the scaled forward recursion gives the exact likelihood of the class sequence, for
-many documents side by side and over their whole length, plus the words' part.
+Model: states emit words, and every training word has expected counts of its own in every
+state. Baum-Welch runs over all training texts: a round joins each block with the weights
+of its words, and the block's expected counts are summed by word in Spark. The sums of the
+dictionary's words, the starts and the transitions are few and go to the driver; those of
+all other words stay a table that the next round joins. A word that training has only once
+has nothing to sum, so its counts stay with its block. Words unseen in training share the
+smoothing mass of ``RARE_CLASSES`` words, so any text has a probability.
+
+Score: the scaled forward recursion gives the exact likelihood of the words and the end,
+for many documents side by side and over their whole length.
 
 Defined cases: null and empty texts are one end token; a null id is trained on; with no
 training text every word is unseen, and the model stays uniform; repeated rows each get a
@@ -24,7 +28,6 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -32,7 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .quality import held_out
-from .shared import full_text, written
+from .shared import full_text
+from .shared import written as kept
 
 CLASS_WORDS = 30_000
 RARE_CLASSES = 64
@@ -43,6 +47,21 @@ STAY = 0.95  # first guess: a state lasts, so that documents part by language an
 SEED = 11
 COUNTER_WORDS = 400_000
 SLICE_ROWS = 1024
+BLOCK_TOKENS = 1 << 21
+
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """A written table; what its making shuffled is deleted at once, so that rounds do not pile up on the disks."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        return kept(df, label)
+    finally:
+        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
 
 
 def tokens(text: str) -> list[bytes]:
@@ -68,23 +87,58 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return written(texts.select("text").mapInPandas(_count_words, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n")).filter("n > 0"), "word-counts")
 
 
-class Dictionary:
-    """Classes of words: own ones for frequent words and the end, hashed ones for the rest."""
+class _Block:
+    """Texts as numbers: dictionary words, the end token, then the block's other words in order of first use."""
+
+    def __init__(self, held: bool) -> None:
+        self.held, self.others, self.ids, self.lengths, self.codes, self.open, self.size = held, {}, [], [], [], [], 0
+
+    def add(self, doc_id: str | None, text: str, known: dict[bytes, int]) -> None:
+        end, others = len(known), self.others
+        words = tokens(text)
+        self.open.extend([k if (k := known.get(w, -1)) >= 0 else others.setdefault(w, end + 1 + len(others)) for w in words])
+        self.open.append(end)
+        self.ids.append(doc_id)
+        self.lengths.append(len(words) + 1)
+        self.size += len(words) + 1
+        if len(self.ids) % SLICE_ROWS == 0:  # numbers of a slice go into an array before the next one
+            self.pack()
+
+    def pack(self) -> None:
+        self.codes.append(np.array(self.open, dtype="<i4"))
+        self.open = []
+
+    def row(self, end: int) -> pd.DataFrame:
+        self.pack()
+        kind = "<u2" if end + len(self.others) < 1 << 16 else "<i4"
+        codes = np.concatenate(self.codes).astype(kind).tobytes()
+        return pd.DataFrame({"held_out": [self.held], "ids": [self.ids], "lengths": [self.lengths], "codes": [codes], "words": [list(self.others)]})
+
+
+def _encode(frequent: dict[bytes, int]):
+    known = {w: k for k, w in enumerate(frequent)}
+
+    def of_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        filled = {held: _Block(held) for held in (False, True)}
+        for batch in batches:
+            for doc_id, held, text in zip(batch["doc_id"], batch["held_out"], batch["text"], strict=True):
+                block = filled[bool(held)]
+                block.add(doc_id, text, known)
+                if block.size >= BLOCK_TOKENS:
+                    yield block.row(len(known))
+                    filled[block.held] = _Block(block.held)
+        for block in filled.values():
+            if block.ids:
+                yield block.row(len(known))
+
+    return of_partition
 
-    def __init__(self, frequent: dict[bytes, int], counts: np.ndarray, rare_classes: int) -> None:
-        self.of, self.counts, self.rare = {w: k for k, w in enumerate(frequent)}, counts, rare_classes
-        self.end = len(frequent)
-        self.size = len(frequent) + 1 + rare_classes
 
-    def sequence(self, words: list[bytes]) -> tuple[np.ndarray, Counter]:
-        """Classes of a text and its end, and the words outside the dictionary."""
-        known = self.of
-        found = [known.get(w, -1) for w in words]
-        rare = [(i, words[i]) for i, k in enumerate(found) if k < 0]
-        classes = np.array([*found, self.end], dtype="<i4")
-        for i, w in rare:
-            classes[i] = self.end + 1 + crc32(w) % self.rare
-        return classes, Counter(w for _, w in rare)
+def _sequences(block: pd.DataFrame) -> list[np.ndarray]:
+    """The code sequences of a block's texts."""
+    lengths, raw = np.asarray(block["lengths"].iloc[0]), block["codes"].iloc[0]
+    codes = np.frombuffer(raw, dtype="<u2" if len(raw) == 2 * lengths.sum() else "<i4").astype(np.int32)
+    return np.split(codes, np.cumsum(lengths)[:-1])
 
 
 class Model:
@@ -93,19 +147,6 @@ class Model:
     def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> None:
         self.start, self.move, self.emit = start, move, np.ascontiguousarray(emit)  # emit: classes x states
 
-    @classmethod
-    def first(cls, class_counts: np.ndarray, states: int, seed: int = SEED) -> Model:
-        """Class frequencies, tilted at random per state, so that states can part."""
-        noise = np.random.default_rng(seed).uniform(0.5, 1.5, (len(class_counts), states))
-        emit = (class_counts[:, None] + SMOOTH) * noise
-        move = np.full((states, states), (1 - STAY) / states) + np.eye(states) * STAY
-        return cls(np.full(states, 1 / states), move, emit / emit.sum(axis=0))
-
-    @classmethod
-    def from_counts(cls, start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> Model:
-        start, move, emit = start + SMOOTH, move + SMOOTH, emit + SMOOTH
-        return cls(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
-
     def _aligned(self, sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(order, classes, offsets): texts longest first, their classes step by step.
 
@@ -173,13 +214,12 @@ class Model:
         return seen[:offsets[1]].sum(axis=0).astype(float), move * self.move, emit
 
 
-def _chunks(batch: pd.Series, most: int = 1 << 19) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+def _chunks(sequences: list[np.ndarray], most: int = 1 << 19) -> Iterator[tuple[list[int], list[np.ndarray]]]:
     """Row numbers and sequences in groups of bounded length in all, similar lengths together.
 
     A group takes as many steps as its longest text has tokens, so long texts should not
     make short ones wait.
     """
-    sequences = [np.frombuffer(raw, dtype="<i4") for raw in batch]
     rows, length = [], 0
     for i in sorted(range(len(sequences)), key=lambda k: -len(sequences[k])):
         if rows and length + len(sequences[i]) > most:
@@ -191,32 +231,153 @@ def _chunks(batch: pd.Series, most: int = 1 << 19) -> Iterator[tuple[list[int],
         yield rows, [sequences[k] for k in rows]
 
 
-def _expectations(model: Model):
-    def of_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        start, move, emit = np.zeros_like(model.start), np.zeros_like(model.move), np.zeros_like(model.emit)
-        for batch in batches:
-            for _, group in _chunks(batch["classes"]):
-                s, m, e = model.expected(group)
-                start += s
-                move += m
-                emit += e
-        # One row per state: its start, its transitions, its emissions.
-        yield pd.DataFrame({"state": np.arange(len(start)), "counts": [np.concatenate([[start[k]], move[k], emit[:, k]]) for k in range(len(start))]})
+class Weights:
+    """What a round sends to every task, and the tables of all other words' emission weights.
 
-    return of_partition
+    Sent: starts, transitions, the dictionary's emission weights, the states' totals.
+    ``words``: (word_no, w0, w1, ...) of words that training has several times. ``once``:
+    per training block the places and weights of the words that training has only there.
+    Both are None before the first round, when counts alone give the weights.
+    """
 
+    def __init__(self, start: np.ndarray, move: np.ndarray, frequent: np.ndarray, total: np.ndarray, words: DataFrame | None = None, once: DataFrame | None = None) -> None:
+        self.sent, self.words, self.once = (start, move, frequent, total), words, once
 
-def baum_welch(sequences: DataFrame, model: Model, rounds: int) -> Model:
-    """Rounds over all training sequences. What returns to the driver is one row per state."""
-    states = len(model.start)
+
+def _columns(states: int) -> list[str]:
+    return [f"w{k}" for k in range(states)]
+
+
+def _first(states: int) -> list:
+    """First weights of words outside the dictionary: their counts, tilted per state by the word's hash."""
+    tilt = [F.pmod(F.xxhash64("tilt", F.lit(k)), F.lit(1 << 20)) / (1 << 20) + 0.5 for k in range(states)]
+    return [((F.col("n") + SMOOTH) * t).cast("float").alias(c) for t, c in zip(tilt, _columns(states), strict=True)]
+
+
+def _sum(words: DataFrame, states: int) -> np.ndarray:
+    return np.array([x or 0.0 for x in words.agg(*[F.sum(F.col(c).cast("double")) for c in _columns(states)]).first()])
+
+
+def _once(block: pd.DataFrame, states: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and weights of the words that training has only once, in this block."""
+    if "once_at" not in block or block["once_at"].iloc[0] is None:
+        return np.empty(0, np.int32), np.empty((0, states), np.float32)
+    return np.frombuffer(block["once_at"].iloc[0], dtype="<i4"), np.frombuffer(block["once"].iloc[0], dtype="<f4").reshape(-1, states)
+
+
+def _block_model(sent: tuple[np.ndarray, ...], block: pd.DataFrame, words: pd.DataFrame) -> Model:
+    """The model over a block's codes; words that training has not seen keep the smoothing weight."""
+    start, move, frequent, total = sent
+    others = np.full((int(block["n_words"].iloc[0]), len(start)), SMOOTH)
+    others[words["at"].to_numpy(dtype=np.int64)] = words[_columns(len(start))].to_numpy()
+    at, weights = _once(block, len(start))
+    others[at] = weights
+    return Model(start, move, np.concatenate([frequent, others]) / total)
+
+
+def _expectations(sent: tuple[np.ndarray, ...]):
+    """Expected counts of a block, by word number; dictionary words and what belongs to no word have negative ones.
+
+    Counts of words that stand once stay with the block, as one row.
+    """
+    own, states = len(sent[2]), len(sent[0])
+
+    def of_block(block: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
+        model = _block_model(sent, block, words)
+        start, move, emit = np.zeros(states), np.zeros((states, states)), np.zeros_like(model.emit)
+        for _, group in _chunks(_sequences(block)):
+            s, m, e = model.expected(group)
+            start += s
+            move += m
+            emit += e
+        met, others = np.flatnonzero(emit[:own].sum(axis=1)), emit[own:]
+        single = words["n"].to_numpy() == 1
+        at = np.sort(np.concatenate([_once(block, states)[0], words["at"].to_numpy(dtype=np.int32)[single]]))
+        once, shared = (others[at] + SMOOTH).astype("<f4"), words[~single]
+        number = np.concatenate([-1 - met, -1 - own - np.arange(2 + states), shared["word_no"].to_numpy(dtype=np.int64)])
+        counts = np.concatenate([emit[:own][met], start[None, :], move, once.sum(axis=0, dtype=float)[None, :], others[shared["at"].to_numpy(dtype=np.int64)]])
+        out = pd.DataFrame({"word_no": number, **{c: counts[:, k].astype(np.float32) for k, c in enumerate(_columns(states))}})
+        out["block"], out["once_at"], out["once"] = int(block["block"].iloc[0]), None, None
+        out.loc[len(met), ["once_at", "once"]] = [at.astype("<i4").tobytes(), once.tobytes()]  # beside the starts, which every block has
+        return out
+
+    return of_block
+
+
+def baum_welch(blocks: DataFrame, placed: DataFrame, weights: Weights, rounds: int, unseen_words: int) -> Weights:
+    """Rounds over all training blocks. What returns to the driver is one row per dictionary word and state."""
+    own, states = len(weights.sent[2]), len(weights.sent[0])
+    columns = _columns(states)
+    schema = "word_no bigint, " + ", ".join(f"{c} float" for c in columns) + ", block bigint, once_at binary, once binary"
     for _ in range(rounds):
-        parts = sequences.select("classes").mapInPandas(_expectations(model), "state int, counts array<double>")
-        placed = parts.select("state", F.posexplode("counts").alias("at", "count")).groupBy("state", "at").agg(F.sum("count").alias("count")).filter("count > 0")
-        found = placed.toPandas()  # at most states x (1 + states + classes)
-        table = np.zeros((states, 1 + states + len(model.emit)))
-        table[found["state"], found["at"]] = found["count"]
-        model = Model.from_counts(table[:, 0], table[:, 1:1 + states], table[:, 1 + states:].T)
-    return model
+        if weights.words is None:
+            held, theirs = blocks, placed.select("block", "at", "word_no", "n", *_first(states))
+        else:
+            held = blocks.join(weights.once, "block")
+            theirs = placed.filter("n > 1").join(weights.words, "word_no").select("block", "at", "word_no", "n", *columns)
+        parts = written(held.groupBy("block").cogroup(theirs.groupBy("block")).applyInPandas(_expectations(weights.sent), schema), "block-counts")
+        sums = written(parts.groupBy("word_no").agg(*[F.sum(c).cast("float").alias(c) for c in columns]), "expected-counts")
+        few = sums.filter("word_no < 0").toPandas()  # at most dictionary words + 2 + states
+        table = np.zeros((own + 2 + states, states))
+        table[-1 - few["word_no"].to_numpy()] = few[columns].to_numpy()
+        once = table[-1].copy()
+        table += SMOOTH
+        start, move = table[own], table[own + 1:-1]
+        words = sums.filter("word_no >= 0").select("word_no", *[(F.col(c) + SMOOTH).cast("float").alias(c) for c in columns])
+        total = table[:own].sum(axis=0) + _sum(words, states) + once + SMOOTH * unseen_words
+        weights = Weights(start / start.sum(), move / move.sum(axis=1, keepdims=True), table[:own], total, words, parts.filter("once_at is not null").select("block", "once_at", "once"))
+    return weights
+
+
+def _first_weights(counts: np.ndarray, rare: DataFrame, states: int, unseen_words: int) -> Weights:
+    """Word frequencies, tilted per state by seeded noise, so that states can part."""
+    noise = np.random.default_rng(SEED).uniform(0.5, 1.5, (len(counts), states))
+    move = np.full((states, states), (1 - STAY) / states) + np.eye(states) * STAY
+    frequent = (counts[:, None] + SMOOTH) * noise
+    return Weights(np.full(states, 1 / states), move, frequent, frequent.sum(axis=0) + _sum(rare.select(*_first(states)), states) + SMOOTH * unseen_words)
+
+
+def _lent(states: int):
+    """Weights of a training block's single words for the held-out blocks that have them too."""
+
+    def of_block(block: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
+        at, weights = _once(block, states)
+        found = weights[np.searchsorted(at, wanted["there"].to_numpy())] if len(wanted) else weights[:0]
+        return pd.DataFrame({"block": wanted["block"], "at": wanted["at"], "n": 1, **{c: found[:, k] for k, c in enumerate(_columns(states))}})
+
+    return of_block
+
+
+def _final_words(placed: DataFrame, weights: Weights, states: int) -> DataFrame:
+    """block, at, n, weights: what blocks do not hold themselves, for scoring."""
+    columns = ["block", "at", "n", *_columns(states)]
+    if weights.words is None:
+        return placed.select("block", "at", "n", *_first(states))
+    shared = placed.filter("n > 1").join(weights.words, "word_no").select(*columns)
+    single = placed.filter("n = 1")
+    home = single.filter("not held_out").select("word_no", F.col("block").alias("home"), F.col("at").alias("there"))
+    wanted = single.filter("held_out").select("word_no", "block", "at").join(home, "word_no").select("home", "there", "block", "at")
+    schema = "block bigint, at int, n bigint, " + ", ".join(f"{c} float" for c in columns[3:])
+    return shared.unionByName(weights.once.withColumnRenamed("block", "home").groupBy("home").cogroup(wanted.groupBy("home")).applyInPandas(_lent(states), schema))
+
+
+def _scores(sent: tuple[np.ndarray, ...], known: np.ndarray):
+    """One row per text of a block: its likelihood, and its words' part of the base score."""
+
+    def of_block(block: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
+        model, sequences = _block_model(sent, block, words), _sequences(block)
+        others = np.zeros(int(block["n_words"].iloc[0]), dtype=np.int64)
+        others[words["at"].to_numpy(dtype=np.int64)] = words["n"].to_numpy()
+        others[_once(block, len(sent[0]))[0]] = 1
+        times = np.concatenate([known, others])
+        gains, score = np.log10(times + 1), np.zeros(len(sequences))
+        for rows, group in _chunks(sequences):
+            score[rows] = model.forward(group)
+        return pd.DataFrame({
+            "doc_id": list(block["ids"].iloc[0]), "held_out": bool(block["held_out"].iloc[0]), "n_tokens": [len(s) for s in sequences],
+            "n_known": [int((times[s] > 0).sum()) for s in sequences], "gain": [float(gains[s].sum()) for s in sequences], "score": score})
+
+    return of_block
 
 
 def lm_scores(docs: DataFrame, fold_of: int = 7, fold: int = 2, class_words: int = CLASS_WORDS, rare_classes: int = RARE_CLASSES,
@@ -228,52 +389,29 @@ def lm_scores(docs: DataFrame, fold_of: int = 7, fold: int = 2, class_words: int
     all_tokens, ends = all_tokens or 0, ends or 0
     top = counts.filter("word is not null").orderBy(F.desc("n"), "word").limit(class_words).collect()  # at most class_words
     frequent = {bytes(r["word"]): r["n"] for r in top}
-    dictionary = Dictionary(frequent, np.array([*frequent.values(), ends], dtype=np.int64), rare_classes)
+    known_count = np.array([*frequent.values(), ends], dtype=np.int64)
     least = np.log10(all_tokens + distinct + 1)
-    known_count = dictionary.counts
 
-    gains = np.log10(known_count + 1)
+    # The id passes through pandas as text, which keeps large and null ones as they are.
+    blocks = texts.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(
+        _encode(frequent), "held_out boolean, ids array<string>, lengths array<int>, codes binary, words array<binary>")
+    blocks = written(blocks.withColumn("block", F.monotonically_increasing_id()), "word-blocks")
 
-    @F.pandas_udf("n_tokens bigint, n_known bigint, gain double, classes binary, words array<binary>, times array<bigint>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for start in range(0, len(batch), SLICE_ROWS):  # a slice's words are let go before the next one
-                out = []
-                for text in batch.iloc[start:start + SLICE_ROWS]:
-                    classes, outside = dictionary.sequence(tokens(text))
-                    own = classes[classes <= dictionary.end]
-                    out.append((len(classes), int((known_count[own] > 0).sum()), float(gains[own].sum()), classes.tobytes(), list(outside.keys()), list(outside.values())))
-                yield pd.DataFrame(out, columns=["n_tokens", "n_known", "gain", "classes", "words", "times"])
-
-    coded = texts.select("doc_id", "held_out", encode("text").alias("r")).select("doc_id", "held_out", "r.*")
-    coded = written(coded.withColumn("row", F.monotonically_increasing_id()), "class-sequences")
-
-    # Words outside the dictionary: their class's totals are a bounded table, their own counts a shuffled join.
     known = F.broadcast(docs.sparkSession.createDataFrame([(w,) for w in frequent], "word binary"))
-    rare = counts.filter("word is not null").join(known, "word", "left_anti").withColumn("class", F.crc32("word") % rare_classes)
-    totals = {r["class"]: (r["n"], r["v"]) for r in rare.groupBy("class").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
-    class_total = np.array([totals.get(k, (0, 0))[0] for k in range(rare_classes)], dtype=np.int64)
-    below = [float(np.log10(sum(totals.get(k, (0, 0))) + 1)) for k in range(rare_classes)]
-    used = coded.select("row", F.explode(F.arrays_zip("words", "times")).alias("x")).select("row", F.col("x.words").alias("word"), F.col("x.times").alias("times"))
-    met = used.join(rare.select("word", "n"), "word", "left").withColumn("gain", F.log10(F.coalesce("n", F.lit(0)) + 1))
-    floor = F.element_at(F.array(*[F.lit(x) for x in below]), (F.crc32("word") % rare_classes + 1).cast("int"))
-    per_row = met.groupBy("row").agg(F.sum(F.col("times") * F.col("gain")).alias("rare_gain"), F.sum(F.when(F.col("n").isNotNull(), F.col("times"))).alias("rare_known"),
-                                     F.sum(F.col("times") * (F.col("gain") - floor)).alias("inside"))
-
-    model = Model.first(np.concatenate([known_count, class_total]).astype(float), states)
-    if all_tokens:
-        model = baum_welch(coded.filter("not held_out"), model, rounds)
+    rare = counts.filter("word is not null").join(known, "word", "left_anti")
+    rare = written(rare.select("word", "n", F.monotonically_increasing_id().alias("word_no"), F.pmod(F.xxhash64("word", F.lit(SEED)), F.lit(1 << 16)).cast("int").alias("tilt")), "rare-words")
+    met = blocks.select("block", "held_out", F.posexplode("words").alias("at", "word"))
+    placed = written(met.join(rare, "word").select("block", "held_out", "at", "word_no", "n", "tilt"), "placed-words")
+    blocks = blocks.withColumn("n_words", F.size("words")).drop("words")
 
-    @F.pandas_udf("double")
-    def forward(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            score = np.zeros(len(batch))
-            for rows, group in _chunks(batch):
-                score[rows] = model.forward(group)
-            yield pd.Series(score)
-
-    scored = coded.select("doc_id", "held_out", "n_tokens", "n_known", "gain", "row", forward("classes").alias("score"))
-    return scored.join(per_row, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(int(all_tokens)).cast("bigint").alias("train_tokens"),
-        (F.col("gain") + F.coalesce("rare_gain", F.lit(0.0)) - F.col("n_tokens") * F.lit(float(least))).alias("base_score"),
-        (F.col("score") + F.coalesce("inside", F.lit(0.0))).alias("score"))
+    weights = _first_weights(known_count.astype(float), rare, states, rare_classes)
+    if all_tokens:
+        trained = blocks.filter("not held_out").select("block", "lengths", "codes", "n_words")
+        weights = baum_welch(trained, placed.filter("not held_out"), weights, rounds, rare_classes)
+
+    held = blocks if weights.once is None else blocks.join(weights.once, "block", "left")
+    scored = held.groupBy("block").cogroup(_final_words(placed, weights, states).groupBy("block")).applyInPandas(
+        _scores(weights.sent, known_count), "doc_id string, held_out boolean, n_tokens bigint, n_known bigint, gain double, score double")
+    return scored.select(
+        F.col("doc_id").cast(docs.schema["doc_id"].dataType), "held_out", "n_tokens", "n_known", F.lit(int(all_tokens)).cast("bigint").alias("train_tokens"),
+        (F.col("gain") - F.col("n_tokens") * F.lit(float(least))).alias("base_score"), "score")

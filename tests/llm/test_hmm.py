@@ -97,3 +97,17 @@ def test_small_slices_give_the_same_scores(spark, scored, monkeypatch):
     again = hmm.lm_scores(frame(spark, ROWS), class_words=50, rare_classes=4, states=3, rounds=2).collect()
     assert sorted(((r.doc_id, r.n_known, round(r.base_score, 6)) for r in again), key=repr) == sorted(((r.doc_id, r.n_known, round(r.base_score, 6)) for r in scored), key=repr)
     assert sum(r.score for r in again) == pytest.approx(sum(r.score for r in scored), rel=1e-5)
+
+
+def test_words_beyond_the_dictionary_have_counts_of_their_own(spark):
+    """A round over rare words equals one over a dictionary that holds them all, given the same first guess."""
+    docs = frame(spark, prose(120))
+    small, large = ({r.doc_id: r.score for r in hmm.lm_scores(docs, class_words=k, rare_classes=4, states=1, rounds=1).collect()} for k in (5, 100_000))
+    assert small == pytest.approx(large, rel=1e-6)
+
+
+def test_rare_words_part_by_state(spark):
+    """Two kinds of texts without a common word: the states learn them though no word is in the dictionary."""
+    rows = [(i, " ".join(f"{'ab'[i % 2]}{(i * 7 + k * k) % 40}" for k in range(60)), "en", "s", 300) for i in range(80)]
+    first, last = (sum(r.score for r in hmm.lm_scores(frame(spark, rows), class_words=1, rare_classes=4, states=2, rounds=k).collect()) for k in (0, 8))
+    assert last > first + 80 * 60 * 0.2
