@@ -15,7 +15,9 @@ that cover them all.
 3. Contexts left single beside others of their anchor go to the index, one copy each. An
    anchor with more than ``HOT`` of them is dealt out further: its windows are cut in
    slices by their distance to the anchor, and each piece is dealt by the core of bytes
-   that all windows of its slice share.
+   that all windows of its slice share. Where more than ``HOT`` pieces share a core, as at
+   the ends of a passage in many documents, they are never gathered: equal pieces are
+   settled by counts, one of each is cut in single windows, and these are counted.
 4. Per bucket of about ``BUCKET_BYTES`` the contexts form one text. Its suffixes are sorted,
    the Burrows-Wheeler transform is run-compressed, and suffix positions are sampled at
    the ends of its runs with the length they share with the neighbour. Inside a run those
@@ -241,16 +243,32 @@ def _named(texts: DataFrame, rows: DataFrame, how: str = "left_semi") -> DataFra
     return texts.join(checked(written(rows.select("id", "row_hash").distinct(), "named-texts")), ["id", "row_hash"], how)
 
 
+def _counted(crowded: DataFrame, length: int) -> DataFrame:
+    """Spans of pieces whose core too many share: by counts of whole pieces, then of single windows."""
+    place = ["id", "row_hash", "first", "single"]
+    held = written(crowded.withColumn("many", F.octet_length("bytes") - (length - 1)).withColumn("piece", F.xxhash64("bytes")), "crowded-pieces")
+    kinds = written(held.groupBy("deal", "piece", "many").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct(*place, "bytes")).alias("at")), "piece-kinds")
+    copies = held.join(kinds.filter("n > 1").select("deal", "piece", "many"), ["deal", "piece", "many"], "left_semi")
+    whole = copies.select("id", "row_hash", F.col("first").cast("bigint").alias("low"), (F.col("first") + F.col("many") + (length - 1)).cast("bigint").alias("high"))
+    one = kinds.select("deal", "many", "n", "at.*").withColumn("step", F.explode(F.sequence(F.lit(0), F.col("many") - 1)))
+    windows = written(one.select("deal", F.xxhash64(F.expr(f"substring(bytes, step + 1, {length})")).alias("window"), "id", "row_hash",
+                                 (F.col("first") + F.col("step")).cast("bigint").alias("low"), (F.col("single") & (F.col("n") == 1)).alias("open")), "single-windows")
+    several = windows.groupBy("deal", "window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("deal", "window")
+    met = windows.filter("open").join(several, ["deal", "window"], "left_semi")
+    return whole.unionByName(met.select("id", "row_hash", "low", (F.col("low") + length).alias("high")))
+
+
 def _pieces(asked: DataFrame, length: int, width: int) -> DataFrame:
     """Contexts to index, with what they are dealt by; those of hot anchors cut in aligned slices."""
-    plain = asked.filter("not hot").select("id", "row_hash", "first", "many", "single", F.col("anchor").alias("deal"), "raw")
+    plain = asked.filter("not hot").select("id", "row_hash", "first", "many", "single", F.col("anchor").alias("deal"), "hot", "raw")
     nearest = F.col("lead") - F.col("many") + 1  # distances of the context's windows: nearest to lead
     cut = asked.filter("hot").withColumn("slice", F.explode(F.sequence(F.floor(nearest / width).cast("int"), F.floor(F.col("lead") / width).cast("int"))))
     far, near = F.least(F.col("lead"), (F.col("slice") + 1) * width - 1), F.greatest(nearest, F.col("slice") * width)
     core = F.expr(f"substring(raw, first + lead - slice * {width} + 1, {length - width + 1})")
     cut = cut.select("id", "row_hash", (F.col("first") + F.col("lead") - far).alias("first"), (far - near + 1).alias("many"), "single",
-                     F.xxhash64("anchor", "slice", core).alias("deal"), "raw")
-    return plain.unionByName(cut).select("id", "row_hash", "first", "single", "deal", F.expr(f"substring(raw, first + 1, many + {length - 1})").alias("bytes"))
+                     F.xxhash64("anchor", "slice", core).alias("deal"), "hot", "raw")
+    return plain.unionByName(cut).select("id", "row_hash", "first", "single", "deal", "hot", F.expr(f"substring(raw, first + 1, many + {length - 1})").alias("bytes"))
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket_bytes: int = BUCKET_BYTES, hot: int = HOT) -> DataFrame:
@@ -273,10 +291,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, buck
     asked = written(kinds.join(open_anchors, "anchor").select("anchor", "hot", (F.col("n") == 1).alias("single"), "at.*"), "asked-contexts")
     met = _named(texts, asked).join(asked, ["id", "row_hash"]).withColumn("raw", F.col("text").cast("binary"))
     pieces = written(_pieces(met, length, -(-(length - gram + 1) // SLICES)), "pieces")
+    cores = pieces.groupBy("deal").agg(F.count(F.lit(1)).alias("n"), F.bool_and("hot").alias("hot")).filter(F.col("hot") & (F.col("n") > hot))
+    cores = checked(written(cores.select("deal"), "crowded-cores"))
+    crowded, pieces = pieces.join(cores, "deal", "left_semi"), written(pieces.join(cores, "deal", "left_anti"), "bucket-pieces")
     size = pieces.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
     dealt = pieces.withColumn("bucket", F.pmod("deal", F.lit(max(1, -(-size // bucket_bytes)))))
     partial = dealt.groupBy("bucket").applyInPandas(_index_bucket(length), "id bigint, row_hash bigint, low bigint, high bigint")
-    return whole.unionByName(partial)
+    return whole.unionByName(partial).unionByName(_counted(crowded, length))
 
 
 def _runs(spans: DataFrame) -> DataFrame:

@@ -78,5 +78,26 @@ def test_shuffled_joins_give_the_same(spark, monkeypatch):
     assert sorted((tuple(r) for r in got), key=repr) == by_hand(repetitive(), 200)
 
 
+def test_a_passage_in_all_documents_fills_no_bucket(spark, monkeypatch):
+    rng = random.Random(5)
+    side = lambda: "".join(rng.choices("abcdefgh ", k=300))
+    passage = side()
+    rows = [doc(i, side() + passage + side()) for i in range(80)] + [doc(100, passage), doc(101, passage[:250] + side())]
+    build = suffix_dedup._index_bucket
+
+    def watched(length):
+        run = build(length)
+
+        def of_bucket(bucket):
+            assert bucket["bytes"].str.len().sum() < 9000
+            return run(bucket)
+
+        return of_bucket
+
+    monkeypatch.setattr(suffix_dedup, "_index_bucket", watched)
+    got = suffix_dedup.remove_repeats(frame(spark, rows), bucket_bytes=2000, hot=8).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == by_hand(rows, 200)
+
+
 def test_empty(spark):
     assert suffix_dedup.remove_repeats(spark.createDataFrame([], DOC)).count() == 0
