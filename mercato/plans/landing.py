@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -131,6 +132,22 @@ def orphan_customers(w) -> DataFrame:
     return silver.orphan_keys(w.v.orders, SOURCES["orders"].references[0], w.v.customers)
 
 
+def _view(w, name: str) -> DataFrame | None:
+    return getattr(w.v, "cities" if name == "city_reference" else name, None)
+
+
+def all_orphans(w) -> DataFrame:
+    """Orphan keys of every declared reference between two views, with their row counts."""
+    found = []
+    for feed, source in SOURCES.items():
+        for reference in source.references:
+            facts, target = _view(w, feed), _view(w, reference.target)
+            if facts is not None and target is not None:
+                keys = silver.orphan_keys(facts, reference, target)
+                found.append(keys.select(F.lit(feed).alias("feed"), F.lit(reference.column).alias("column_name"), F.col(reference.column).alias("key"), "row_count"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def clean_items(w) -> DataFrame:
     return silver.clean_items(w.v.order_items)
 
@@ -221,6 +238,7 @@ LANDING = {
     "silver_status_norm": status_norm,
     "silver_rejects": item_rejects,
     "silver_orphans": orphan_customers,
+    "silver_orphans_all": all_orphans,
     "silver_clean_items": clean_items,
     "silver_clean_items_summary": clean_items_summary,
     "customer_version_at_order": customer_version_at_order,

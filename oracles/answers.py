@@ -88,6 +88,13 @@ _NOT_LANDED = [
                                         "sales_channels", "stores")],
 ]
 
+_REFERENCES = [
+    ("order_items order_promotions payment_events refund_events return_events support_events web_events", "order_id", "SELECT order_id FROM r_orders"),
+    ("orders customer_profiles support_events web_events", "customer_id", "SELECT customer_id FROM r_customers"),
+    ("order_items product_categories inventory_snapshots", "product_id", "SELECT product_id FROM r_products"),
+    ("customers customer_profiles", "city_id", "SELECT CAST(n_nationkey AS VARCHAR) FROM nation"),
+]
+
 ANSWERS = {
     "order_360": "SELECT * FROM o360",
     "orders_dedup": "SELECT * FROM latest_orders",
@@ -320,6 +327,10 @@ UNION ALL SELECT 'order_items', order_item_id, 'unknown_order_id' FROM r_order_i
   WHERE order_id NOT IN (SELECT order_id FROM r_orders WHERE customer_id IN (SELECT customer_id FROM r_customers))
 UNION ALL SELECT 'order_items', order_item_id, 'unknown_product_id' FROM r_order_items WHERE product_id NOT IN (SELECT product_id FROM r_products)""",
     "silver_orphans": """SELECT customer_id, count(*) AS row_count FROM r_orders WHERE customer_id NOT IN (SELECT customer_id FROM r_customers) GROUP BY customer_id""",
+    "silver_orphans_all": "\nUNION ALL ".join(
+        f"SELECT '{feed}' AS feed, '{column}' AS column_name, {column} AS key, count(*) AS row_count FROM r_{feed} "
+        f"WHERE {column} IS NOT NULL AND {column} NOT IN ({known}) GROUP BY {column}"
+        for feeds, column, known in _REFERENCES for feed in feeds.split()),
     "silver_clean_items": "SELECT * FROM items_clean",
     "silver_clean_items_summary": """SELECT order_id, count(DISTINCT order_item_id) AS item_count, CAST(sum(quantity) AS BIGINT) AS unit_quantity,
   sum(quantity * unit_price) AS gross_merchandise_value, sum(item_discount_amount) AS discount_amount FROM items_clean GROUP BY order_id""",

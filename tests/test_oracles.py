@@ -32,5 +32,11 @@ def test_file_queries(spark):
     assert ("products", "changed") in status and ("customers", "ok") in status and ("events", "missing") not in status
 
 
+def test_orphans_of_every_feed(spark):
+    found = entry.queries()["silver_orphans_all"](spark, FOLDER)
+    pairs = {(r.feed, r.column_name) for r in found.select("feed", "column_name").distinct().collect()}
+    assert {("orders", "customer_id"), ("customer_profiles", "customer_id"), ("payment_events", "order_id")} <= pairs
+
+
 def test_flagship(spark):
     assert entry.entry(spark).count() > 0
