@@ -47,7 +47,8 @@ STAY = 0.95  # first guess: a state lasts, so that documents part by language an
 SEED = 11
 COUNTER_WORDS = 400_000
 SLICE_ROWS = 1024
-BLOCK_TOKENS = 1 << 21
+BLOCK_TOKENS = 1 << 19
+ONCE = -(1 << 62)  # word number of the row that holds a block's single words
 
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -294,11 +295,11 @@ def _expectations(sent: tuple[np.ndarray, ...]):
         single = words["n"].to_numpy() == 1
         at = np.sort(np.concatenate([_once(block, states)[0], words["at"].to_numpy(dtype=np.int32)[single]]))
         once, shared = (others[at] + SMOOTH).astype("<f4"), words[~single]
-        number = np.concatenate([-1 - met, -1 - own - np.arange(2 + states), shared["word_no"].to_numpy(dtype=np.int64)])
-        counts = np.concatenate([emit[:own][met], start[None, :], move, once.sum(axis=0, dtype=float)[None, :], others[shared["at"].to_numpy(dtype=np.int64)]])
+        number = np.concatenate([[ONCE], -1 - met, -1 - own - np.arange(2 + states), shared["word_no"].to_numpy(dtype=np.int64)])
+        counts = np.concatenate([np.zeros((1, states)), emit[:own][met], start[None, :], move, once.sum(axis=0, dtype=float)[None, :], others[shared["at"].to_numpy(dtype=np.int64)]])
         out = pd.DataFrame({"word_no": number, **{c: counts[:, k].astype(np.float32) for k, c in enumerate(_columns(states))}})
-        out["block"], out["once_at"], out["once"] = int(block["block"].iloc[0]), None, None
-        out.loc[len(met), ["once_at", "once"]] = [at.astype("<i4").tobytes(), once.tobytes()]  # beside the starts, which every block has
+        none = [None] * (len(out) - 1)
+        out["block"], out["once_at"], out["once"] = [int(block["block"].iloc[0]), *[-1] * len(none)], [at.astype("<i4").tobytes(), *none], [once.tobytes(), *none]
         return out
 
     return of_block
@@ -315,9 +316,9 @@ def baum_welch(blocks: DataFrame, placed: DataFrame, weights: Weights, rounds: i
         else:
             held = blocks.join(weights.once, "block")
             theirs = placed.filter("n > 1").join(weights.words, "word_no").select("block", "at", "word_no", "n", *columns)
-        parts = written(held.groupBy("block").cogroup(theirs.groupBy("block")).applyInPandas(_expectations(weights.sent), schema), "block-counts")
-        sums = written(parts.groupBy("word_no").agg(*[F.sum(c).cast("float").alias(c) for c in columns]), "expected-counts")
-        few = sums.filter("word_no < 0").toPandas()  # at most dictionary words + 2 + states
+        parts = held.groupBy("block").cogroup(theirs.groupBy("block")).applyInPandas(_expectations(weights.sent), schema)
+        sums = written(parts.groupBy("word_no", "block", "once_at", "once").agg(*[F.sum(c).cast("float").alias(c) for c in columns]), "expected-counts")
+        few = sums.filter(f"word_no < 0 and word_no > {ONCE}").select("word_no", *columns).toPandas()  # at most dictionary words + 2 + states
         table = np.zeros((own + 2 + states, states))
         table[-1 - few["word_no"].to_numpy()] = few[columns].to_numpy()
         once = table[-1].copy()
@@ -325,7 +326,7 @@ def baum_welch(blocks: DataFrame, placed: DataFrame, weights: Weights, rounds: i
         start, move = table[own], table[own + 1:-1]
         words = sums.filter("word_no >= 0").select("word_no", *[(F.col(c) + SMOOTH).cast("float").alias(c) for c in columns])
         total = table[:own].sum(axis=0) + _sum(words, states) + once + SMOOTH * unseen_words
-        weights = Weights(start / start.sum(), move / move.sum(axis=1, keepdims=True), table[:own], total, words, parts.filter("once_at is not null").select("block", "once_at", "once"))
+        weights = Weights(start / start.sum(), move / move.sum(axis=1, keepdims=True), table[:own], total, words, sums.filter(f"word_no = {ONCE}").select("block", "once_at", "once"))
     return weights
 
 
