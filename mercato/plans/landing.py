@@ -15,6 +15,7 @@ from ..sources import raw
 from ..sources.scratch import scratch_path
 from ..sources.tables import LayerStore, ops_runs
 from ..streaming import events as stream
+from ..streaming import late as late_stream
 from . import bronze, orders, silver
 
 RUN_ID = "check"
@@ -222,6 +223,26 @@ def stream_payment_status(w) -> DataFrame:
     return stream.current_status(w.spark, out)
 
 
+def _arrivals(w) -> DataFrame:
+    """Payment events with the year they arrive in: of 20 orders one pays again 400 days later, one pays 60 days late."""
+    order = F.regexp_extract("payment_id", "[0-9]+", 0).cast("bigint") % 20
+    days = F.when(order == 0, F.array(F.lit(0), F.lit(400))).when(order == 1, F.array(F.lit(60))).otherwise(F.array(F.lit(0)))
+    late = w.v.payment_events.withColumn("days", F.explode(days))
+    return late.withColumn("arrival", F.year(F.col("occurred_at_utc") + F.make_dt_interval("days"))).drop("days")
+
+
+def stream_late_events(w) -> DataFrame:
+    """Payment events arriving year by year; those behind the watermark are found in the late table, none is lost."""
+    arrivals = _arrivals(w)
+    folder, out, state = (scratch_path(w.spark, f"late-{x}") for x in ("in", "out", "state"))
+    years = [r["arrival"] for r in arrivals.select("arrival").distinct().orderBy("arrival").collect()]  # a handful of years
+    for year in years:
+        arrivals.filter(F.col("arrival") == year).drop("arrival").write.mode("append").json(folder)
+        late_stream.ingest(w.spark, folder, out, state, period="year").awaitTermination()
+    events = late_stream.all_events(w.spark, out).drop("batch_id", "period")
+    return events.withColumn("occurred_at_utc", F.col("occurred_at_utc").cast("timestamp_ntz"))
+
+
 LANDING = {
     "bronze_json_scan": json_scan,
     "bronze_csv_scan": csv_scan,
@@ -243,5 +264,6 @@ LANDING = {
     "silver_clean_items_summary": clean_items_summary,
     "customer_version_at_order": customer_version_at_order,
     "stream_event_dedup": stream_event_dedup,
+    "stream_late_events": stream_late_events,
     "stream_payment_status": stream_payment_status,
 }

@@ -341,4 +341,11 @@ UNION ALL SELECT 'order_items', order_item_id, 'unknown_product_id' FROM r_order
     AND (p.valid_to_utc IS NULL OR o.ordered_at_utc < p.valid_to_utc)) WHERE rn = 1""",
     "stream_event_dedup": "SELECT DISTINCT event_id, event_type, occurred_at_utc, order_id, payment_id, amount FROM r_payment_events",
     "stream_payment_status": "SELECT * FROM pay_latest",
+    # an event is late if the newest one of all earlier years was more than seven days younger when it first came
+    "stream_late_events": """SELECT * FROM (WITH came AS (
+  SELECT e.*, year(occurred_at_utc + to_days(d)) AS y FROM r_payment_events e
+  JOIN (VALUES (0, 0), (0, 400), (1, 60), (2, 0)) AS t(k, d) ON k = least(CAST(regexp_extract(payment_id, '[0-9]+') AS BIGINT) % 20, 2)),
+seen AS (SELECT y, max(max(occurred_at_utc)) OVER (ORDER BY y ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM came GROUP BY y)
+SELECT event_id, event_type, occurred_at_utc, order_id, payment_id, amount, coalesce(occurred_at_utc < newest - INTERVAL 7 DAY, false) AS late
+FROM (SELECT event_id, event_type, occurred_at_utc, order_id, payment_id, amount, min(y) AS y FROM came GROUP BY ALL) JOIN seen USING (y))""",
 }
