@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import SOURCES, Source
+from .arrays import split_array_records
+
+ARRAY, LONG_ARRAY, LINES = "array", "long array", "lines"
 
-ARRAY, LINES = "array", "lines"
+# An array file of more bytes is read by many tasks; below, one task reads it faster.
+SPLIT_ABOVE = 32 << 20
 
 
 def scan_json(spark: SparkSession, path: str, schema: str, layout: str = ARRAY) -> DataFrame:
     """Typed scan of one JSON feed: an array per file, or one object per line.
 
-    An array file is read by one task; large feeds should come as many files or as
-    lines, which split.
+    An array file is read by one task here; ``raw_records`` splits long ones.
     """
     return spark.read.schema(schema).option("multiLine", layout == ARRAY).option("mode", "PERMISSIVE").json(path)
 
@@ -48,16 +53,16 @@ def read_csv(spark: SparkSession, path: str, *extra: Column) -> DataFrame:
     return whole
 
 
-def files_by_layout(spark: SparkSession, path: str) -> dict[str, list[str]]:
+def files_by_layout(spark: SparkSession, path: str, split_above: int = SPLIT_ABOVE) -> dict[str, list[str]]:
     """The feed's files by layout, each told by its own first character; only names reach the driver."""
     text = spark.read.text(path).select(F.substring(F.ltrim("value"), 1, 1).alias("c"), F.col("_metadata.file_path").alias("file"),
-                                        F.monotonically_increasing_id().alias("at"))
-    first = text.filter(F.col("c") != "").groupBy("file").agg(F.min_by("c", "at").alias("c"))
-    layout = F.when(F.col("c") == "[", ARRAY).otherwise(LINES).alias("layout")
+                                        F.col("_metadata.file_size").alias("bytes"), F.monotonically_increasing_id().alias("at"))
+    first = text.filter(F.col("c") != "").groupBy("file").agg(F.min_by("c", "at").alias("c"), F.max("bytes").alias("bytes"))
+    layout = F.when(F.col("c") != "[", LINES).when(F.col("bytes") > split_above, LONG_ARRAY).otherwise(ARRAY).alias("layout")
     return {r["layout"]: sorted(r["files"]) for r in first.groupBy(layout).agg(F.collect_list("file").alias("files")).collect()}
 
 
-def raw_records(spark: SparkSession, path: str, source: Source, layout: str | None = None) -> DataFrame:
+def raw_records(spark: SparkSession, path: str, source: Source, layout: str | None = None, split_above: int = SPLIT_ABOVE) -> DataFrame:
     """``raw`` (the record as JSON text), ``file_name`` and ``row_number`` of every record.
 
     Lines are kept byte for byte; CSV rows become a JSON object of texts with every
@@ -71,12 +76,10 @@ def raw_records(spark: SparkSession, path: str, source: Source, layout: str | No
         return _numbered(packed)
     if layout == ARRAY:
         return array_records(spark, path)
-    files = {LINES: path} if layout == LINES else files_by_layout(spark, path)
-    parts = [line_records(spark, files[LINES])] if LINES in files else []
-    parts += [array_records(spark, files[ARRAY])] if ARRAY in files else []
-    if not parts:
-        return line_records(spark, path)
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    files = {layout: path} if layout else files_by_layout(spark, path, split_above)
+    readers = {LINES: line_records, ARRAY: array_records, LONG_ARRAY: split_array_records}
+    parts = [read(spark, files[kind]) for kind, read in readers.items() if kind in files]
+    return reduce(DataFrame.unionByName, parts) if parts else line_records(spark, path)
 
 
 def line_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -103,10 +106,9 @@ def _numbered(rows: DataFrame) -> DataFrame:
 def array_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """The elements of one-array JSON files, with their position from 0.
 
-    Elements are VARIANT on the way, so keys nobody declared and all digits survive. An array does not split: a
-    whole file is one row in one task, under Spark's 2 GB limit for a value. Feeds
-    beyond that must come as many files or as lines. A file that is not a readable
-    array gives one record without text, which silver rejects.
+    Elements are VARIANT on the way, so keys nobody declared and all digits survive. A whole
+    file is one row in one task; ``arrays.split_array_records`` reads longer ones. A file
+    that is not a readable array gives one record without text, which silver rejects.
     """
     whole = spark.read.text(path, wholetext=True)
     elements = whole.select(
