@@ -121,14 +121,16 @@ def order_360(
     returns: DataFrame,
     promotions: DataFrame,
     clean: bool = False,
+    firsts: DataFrame | None = None,
 ) -> DataFrame:
     """The order fact.
 
     ``clean`` says that silver already left one row per order, item id and payment
-    event; the three de-duplications and their shuffles are then skipped.
+    event; the three de-duplications and their shuffles are then skipped. ``firsts``
+    names each customer's first order where ``orders`` are only some of theirs.
     """
     latest = orders if clean else orders_dedup(orders)
-    first = first_orders(latest)
+    first = first_orders(latest) if firsts is None else firsts
     joined = (
         latest.join(order_items_summary(items, unique_ids=clean), "order_id", "left")
         .join(payment_summary(payments, no_copies=clean), "order_id", "left")

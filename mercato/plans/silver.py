@@ -100,7 +100,17 @@ def orphan_keys(facts: DataFrame, reference: Reference, target: DataFrame) -> Da
 
 def accepted(rows: DataFrame, source: Source) -> DataFrame:
     """Records without reasons, one per identity, with lineage."""
-    good = rows.filter(F.size("_reasons") == 0).drop("_reasons", "raw")
+    return one_of_each(rows.filter(F.size("_reasons") == 0).drop("_reasons", "raw"), source)
+
+
+def pending(rows: DataFrame) -> DataFrame:
+    """Records refused only because a key they name is not known yet, as they were before that check."""
+    waiting = (F.size("_reasons") > 0) & F.forall("_reasons", lambda r: r.startswith("unknown_"))
+    return rows.filter(waiting).withColumn("_reasons", F.array().cast("array<string>"))
+
+
+def one_of_each(good: DataFrame, source: Source) -> DataFrame:
+    """One record per identity; other columns are carried along."""
     if not source.unique_by:
         return good
     tie = ["source_row_id"] if "source_row_id" in source.columns and "source_row_id" not in source.newest else []

@@ -154,11 +154,11 @@ SOURCES: dict[str, Source] = {
 STATUS_ALIASES = {"COMPLETE": "COMPLETED", "CANCELED": "CANCELLED", "CANCEL": "CANCELLED", "RETURN": "RETURNED"}
 
 
-def _contract(keys: tuple[str, ...], nullable: tuple[str, ...], **columns: str) -> "GoldTable":
+def _contract(keys: tuple[str, ...], nullable: tuple[str, ...], by_date: bool = False, **columns: str) -> "GoldTable":
     kinds = {"pipeline_run_id": "string", **columns}
     order = [*columns, "pipeline_run_id"]
     fields = [T.StructField(c, T.DataType.fromDDL(kinds[c]), c in nullable) for c in order]
-    return GoldTable(T.StructType(fields), keys)
+    return GoldTable(T.StructType(fields), keys, by_date=by_date)
 
 
 @dataclass(frozen=True)
@@ -166,6 +166,7 @@ class GoldTable:
     schema: T.StructType
     keys: tuple[str, ...]
     date: str = field(default="metric_date")
+    by_date: bool = False  # laid out in one folder per date
 
     @property
     def required(self) -> list[str]:
@@ -181,14 +182,14 @@ def gold_contract() -> dict[str, GoldTable]:
         refunded_amount=MONEY, net_revenue=MONEY, item_count="int", unit_quantity="int", order_status="string",
         payment_status="string", return_status="string", promotion_count="int", first_order_flag="boolean")
     return {
-        "order_360": GoldTable(order_360.schema, order_360.keys, "order_date"),
+        "order_360": GoldTable(order_360.schema, order_360.keys, "order_date", by_date=True),
         "customer_daily": _contract(
-            ("customer_id", "metric_date"), ("active_channel",),
+            ("customer_id", "metric_date"), ("active_channel",), True,
             customer_id="string", metric_date="date", order_count="int", unit_quantity="int", gross_revenue=MONEY,
             net_revenue=MONEY, refund_amount=MONEY, return_count="int", support_contacts="int", active_channel="string",
             new_customer_flag="boolean", repeat_customer_flag="boolean"),
         "product_daily": _contract(
-            ("product_id", "metric_date"), ("active_category", "available_inventory", "reserved_inventory", "stockout_flag"),
+            ("product_id", "metric_date"), ("active_category", "available_inventory", "reserved_inventory", "stockout_flag"), True,
             product_id="string", metric_date="date", active_category="string", units_sold="int", order_count="int",
             gross_revenue=MONEY, net_revenue=MONEY, refunded_units="int", available_inventory="int", reserved_inventory="int",
             stockout_flag="boolean", promotion_count="int"),

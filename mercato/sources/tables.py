@@ -3,13 +3,23 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import gold_contract
 
 
+_FOLDER = "_folder"
+
+
+def folder_of(day: str | Column, period: str) -> Column:
+    """First date of the period a day lies in."""
+    return F.to_date(F.date_trunc(period, day))
+
+
 class LayerStore:
     """Tables of one attempt of a run under ``root/runs/<run_id>/<attempt>/<layer>/<table>``.
 
@@ -17,8 +27,8 @@ class LayerStore:
     same id, cannot damage what readers see; ``publish`` makes the attempt current.
     """
 
-    def __init__(self, spark: SparkSession, root: str, run_id: str, attempt: str | None = None):
-        self.spark, self.root, self.run_id = spark, root.rstrip("/"), run_id
+    def __init__(self, spark: SparkSession, root: str, run_id: str, attempt: str | None = None, period: str = "day"):
+        self.spark, self.root, self.run_id, self.period = spark, root.rstrip("/"), run_id, period
         self.attempt = attempt or uuid.uuid4().hex
 
     def path(self, layer: str, table: str) -> str:
@@ -27,21 +37,33 @@ class LayerStore:
     def write(self, df: DataFrame, layer: str, table: str, by_date: str | None = None) -> DataFrame:
         """Full replacement of one table; returns it read back, with its lineage cut.
 
-        ``by_date`` lays the table out in one folder per date; the rebalance keeps
-        files large and splits a heavy date over several writers.
+        ``by_date`` lays the table out in one folder per date, or per month or year where the
+        store's ``period`` says so (long histories of small days); the rebalance keeps files
+        large and splits a heavy folder over several writers.
         """
         target = self.path(layer, table)
+        if by_date and self.period != "day":
+            df, by_date = df.withColumn(_FOLDER, folder_of(by_date, self.period)), _FOLDER
         writer = df.hint("rebalance", by_date).write.partitionBy(by_date) if by_date else df.write
         writer.mode("overwrite").parquet(target)
         return self.read(layer, table, df.schema)
 
+    def read_gold(self, name: str) -> DataFrame:
+        """A gold table with ``_folder``, the date its rows' folder begins with; a filter on that reads those folders alone."""
+        table = gold_contract()[name]
+        rows = self.spark.read.schema(table.schema).parquet(self.path("gold", name))
+        folder = F.col(_FOLDER) if _FOLDER in rows.columns else F.col(table.date) if self.period == "day" else folder_of(table.date, self.period)
+        return rows.select(*table.schema.fieldNames(), folder.alias(_FOLDER))
+
     def read(self, layer: str, table: str, schema=None) -> DataFrame:
         if schema is None:
             return self.spark.read.parquet(self.path(layer, table))
         return self.spark.read.schema(schema).parquet(self.path(layer, table)).select(*schema.fieldNames())
 
-    def publish(self, at) -> None:
-        record = self.spark.createDataFrame([(self.run_id, self.attempt, at)], "run_id string, attempt string, published_at timestamp")
+    def publish(self, at, chain: list[tuple[str, str, list[str] | None]] | None = None) -> None:
+        """Make this attempt current. ``chain`` names the attempts an incremental one builds on, itself last."""
+        record = self.spark.createDataFrame(
+            [(self.run_id, self.attempt, at, self.period, chain)], f"run_id string, attempt string, published_at timestamp, period string, {_CHAIN}")
         record.coalesce(1).write.mode("append").json(f"{self.root}/published")
 
     def append_ops(self, rows: list[tuple]) -> None:
@@ -49,6 +71,58 @@ class LayerStore:
         self.spark.createDataFrame(rows, columns).coalesce(1).write.mode("append").parquet(f"{self.root}/ops/runs")
 
 
+_CHAIN = "chain array<struct<run_id:string,attempt:string,sources:array<string>>>"
+
+
+@dataclass(frozen=True)
+class Published:
+    """What is published: the attempts it consists of and how its folders are cut.
+
+    ``chain`` has (run_id, attempt, sources) of the full attempt and of each incremental one
+    on it; ``sources`` names the feeds an incremental attempt brought, None a full attempt.
+    """
+
+    chain: list[tuple[str, str, list[str] | None]]
+    period: str
+
+    def stores(self, spark: SparkSession, root: str) -> list[LayerStore]:
+        return [LayerStore(spark, root, run_id, attempt, self.period) for run_id, attempt, _ in self.chain]
+
+
+def published_state(spark: SparkSession, root: str, run_id: str | None = None) -> Published | None:
+    last = published(spark, root, run_id)
+    if last is None:
+        return None
+    log = spark.read.schema(f"run_id string, attempt string, period string, {_CHAIN}").json(f"{root.rstrip('/')}/published")
+    row = log.filter((F.col("run_id") == last[0]) & (F.col("attempt") == last[1])).head()
+    return Published([tuple(c) for c in row["chain"]] if row["chain"] else [(*last, None)], row["period"] or "day")
+
+
+def gold_table(spark: SparkSession, root: str, state: Published, name: str) -> DataFrame:
+    """One gold table, with ``_folder``, as the attempts hold it together.
+
+    An incremental attempt writes the folders it changed, and a list of which attempt holds
+    which folder. Folders are partition values, so each attempt is read for its own alone.
+    """
+    last = state.stores(spark, root)[-1]
+    if state.chain[-1][2] is None or not gold_contract()[name].by_date:
+        return last.read_gold(name)
+    held: dict[tuple[str, str], list] = {}
+    for part in last.read("gold_parts", name).collect():  # one row per folder
+        held.setdefault((part["run_id"], part["attempt"]), []).append(part["folder"])
+    parts = [LayerStore(spark, root, *k, state.period).read_gold(name).filter(F.col(_FOLDER).isin(folders)) for k, folders in sorted(held.items())]
+    return reduce(DataFrame.unionByName, parts) if parts else last.read_gold(name)
+
+
+def gold_parts(spark: SparkSession, root: str, state: Published, name: str) -> DataFrame:
+    """(folder, run_id, attempt) of every folder of a gold table."""
+    last = state.stores(spark, root)[-1]
+    if state.chain[-1][2] is not None:
+        return last.read("gold_parts", name)
+    folders = last.read_gold(name).select(F.col(_FOLDER).alias("folder")).distinct()
+    return folders.select("folder", F.lit(last.run_id).alias("run_id"), F.lit(last.attempt).alias("attempt"))
+
+
 def published(spark: SparkSession, root: str, run_id: str | None = None) -> tuple[str, str] | None:
     """Run id and attempt published last, of all runs or of one."""
     log = spark.read.schema("run_id string, attempt string, published_at timestamp").json(f"{root.rstrip('/')}/published")
@@ -71,13 +145,12 @@ class GoldTables:
     """The five published gold tables as attributes, for ``questions.answer``."""
 
     def __init__(self, spark: SparkSession, root: str, run_id: str | None = None):
-        last = published(spark, root, run_id)
-        if last is None:
+        self._state = published_state(spark, root, run_id)
+        if self._state is None:
             raise LookupError(f"nothing published under {root}" + (f" as {run_id}" if run_id else ""))
-        self._store = LayerStore(spark, root, *last)
-        self._contract = gold_contract()
+        self._spark, self._root, self._contract = spark, root, gold_contract()
 
     def __getattr__(self, table: str) -> DataFrame:
         if table not in self._contract:
             raise AttributeError(table)
-        return self._store.read("gold", table, self._contract[table].schema)
+        return gold_table(self._spark, self._root, self._state, table).drop(_FOLDER)
