@@ -301,6 +301,7 @@ FROM (SELECT product_id, day, lead(day) OVER (PARTITION BY product_id ORDER BY d
   FROM (SELECT DISTINCT product_id, CAST(snapshot_date AS DATE) AS day FROM r_inventory_snapshots)) WHERE next_day - day > 1""",
     # bronze, silver and streaming
     "bronze_json_array": "SELECT event_id, event_type, occurred_at_utc, order_id, return_id, true AS numbered FROM r_return_events",
+    "bronze_array_split": "SELECT event_id, event_type, occurred_at_utc, order_id, return_id, true AS numbered FROM r_return_events",
     "bronze_csv_by_name": """SELECT spend_date, campaign_id, channel, spend_amount, concat('line one', chr(10), 'of "', campaign_id, '"') AS note FROM r_campaign_spend""",
     "bronze_json_scan": "SELECT event_id, event_type, occurred_at_utc, order_id, return_id FROM r_return_events",
     "bronze_csv_scan": "SELECT * FROM r_campaign_spend",
@@ -313,10 +314,27 @@ FROM (SELECT product_id, day, lead(day) OVER (PARTITION BY product_id ORDER BY d
     # the feeds that were not landed, and those whose checksums the manifest misstates
     "raw_files_missing": "SELECT path, regexp_extract(path, '/([a-z_]+)[.]', 1) AS source FROM (VALUES " + ", ".join(f"('{x}')" for x in _NOT_LANDED) + ") AS t(path)",
     "manifest_check": "SELECT * FROM (VALUES ('campaign_spend', 'ok'), ('city_reference', 'ok'), ('customers', 'ok'), ('lost', 'missing'), ('products', 'changed')) AS t(feed, status)",
+    # digests of a month's rows, in blocks of 64 lines, as they should be and as they were landed
+    "manifest_tree": """SELECT * FROM (WITH line AS (SELECT strftime(ordered_at_utc, '%Y-%m') AS file, row_number() OVER (PARTITION BY strftime(ordered_at_utc, '%Y-%m') ORDER BY order_id::BIGINT) - 1 AS n,
+  concat('{"order_id":"', order_id, '","status":"', status, '","shipping_revenue":', shipping_revenue, '}') AS v FROM latest_orders),
+m AS (SELECT *, file[1:4]::INT * 12 + file[6:7]::INT AS mo FROM line),
+landed AS (SELECT file, n, CASE WHEN mo % 7 = 1 AND n = 0 THEN '{}' ELSE v END AS v FROM m WHERE mo % 11 <> 2 UNION ALL SELECT 'extra-' || file, n, v FROM m WHERE mo % 13 = 3),
+found AS (SELECT file, sum(c)::BIGINT AS found_lines, sha256(string_agg(d, '' ORDER BY b)) AS found_digest
+  FROM (SELECT file, n // 64 AS b, count(*) AS c, sha256(string_agg(sha256(v), '' ORDER BY n)) AS d FROM landed GROUP BY ALL) GROUP BY file)
+SELECT file, CASE WHEN found_lines IS NULL THEN 'missing' WHEN file LIKE 'extra-%' THEN 'unlisted' WHEN mo % 7 = 1 THEN 'changed' ELSE 'ok' END AS status, found_lines, found_digest
+FROM (SELECT DISTINCT file, mo FROM m) FULL JOIN found USING (file))""",
     "ops_runs": """SELECT 'check' AS run_id, 'orders' AS stage, 'ok' AS status, count(*) AS row_count FROM r_orders
 UNION ALL SELECT 'check', 'order_items', 'ok', count(*) FROM r_order_items
 UNION ALL SELECT 'check', 'payment_events', 'ok', count(*) FROM r_payment_events""",
     "silver_flatten": """SELECT event_id, event_type, strftime(occurred_at_utc, '%Y-%m-%dT%H:%M:%SZ') AS occurred_at_utc, order_id, payment_id, amount FROM r_payment_events""",
+    "silver_flatten_any": """SELECT event_id, event_type, strftime(occurred_at_utc, '%Y-%m-%dT%H:%M:%SZ') AS occurred_at_utc, j->>'$.payload.order_id' AS payload__order_id,
+  j->>'$.payload.payment_id' AS payload__payment_id, CAST(j->>'$.payload.amount' AS DECIMAL(14,2)) AS payload__amount, j->>'$.device.os' AS device__os,
+  CAST(j->>'$.device.app.version' AS BIGINT) AS device__app__version, j->>'$.device.app.tags' AS device__app__tags, j->>'$.note' AS note
+FROM (SELECT event_id, event_type, occurred_at_utc, CAST(regexp_extract(payment_id, '[0-9]+') AS BIGINT) AS k, to_json({'payload': {'order_id': order_id, 'payment_id': payment_id, 'amount': amount},
+  'device': CASE WHEN k % 3 = 0 THEN {'os': concat('os', k % 4), 'app': {'version': k % 5, 'tags': ['a', k::VARCHAR]}} END, 'note': CASE WHEN k % 5 = 0 THEN 'a "note" {' END}) AS j FROM r_payment_events)""",
+    "silver_key_drift": """SELECT path, kind, count(*) FILTER (json_extract(j, '$.' || path) IS NOT NULL AND json_type(j, '$.' || path) <> 'NULL') AS record_count, false AS declared
+FROM (SELECT event_id, event_type, occurred_at_utc, CAST(regexp_extract(payment_id, '[0-9]+') AS BIGINT) AS k, to_json({'payload': {'order_id': order_id, 'payment_id': payment_id, 'amount': amount},
+  'device': CASE WHEN k % 3 = 0 THEN {'os': concat('os', k % 4), 'app': {'version': k % 5, 'tags': ['a', k::VARCHAR]}} END, 'note': CASE WHEN k % 5 = 0 THEN 'a "note" {' END}) AS j FROM r_payment_events), (VALUES ('device.os', 'string'), ('device.app.version', 'bigint'), ('device.app.tags', 'json'), ('note', 'string')) AS t(path, kind) GROUP BY path, kind""",
     "silver_payment_events": "SELECT DISTINCT event_id, event_type, occurred_at_utc, order_id, payment_id, amount FROM r_payment_events",
     "silver_utc": """SELECT source_row_id, t AS ordered_at_utc, CAST(t AS DATE) AS order_date FROM (
   SELECT source_row_id, CASE status WHEN 'COMPLETED' THEN ordered_at_utc - INTERVAL '7' HOUR WHEN 'CANCELLED' THEN ordered_at_utc + INTERVAL '5' HOUR
@@ -341,6 +359,25 @@ UNION ALL SELECT 'order_items', order_item_id, 'unknown_product_id' FROM r_order
     AND (p.valid_to_utc IS NULL OR o.ordered_at_utc < p.valid_to_utc)) WHERE rn = 1""",
     "stream_event_dedup": "SELECT DISTINCT event_id, event_type, occurred_at_utc, order_id, payment_id, amount FROM r_payment_events",
     "stream_payment_status": "SELECT * FROM pay_latest",
+    # a month is written again if an order, ticket, spend or web event of it came with the drop, or an order became or ceased to be a first one
+    "gold_incremental": """SELECT * FROM (WITH came AS (SELECT order_id, try_cast(order_id AS BIGINT) AS k, date_trunc('month', ordered_at_utc)::DATE AS d, ordered_at_utc, customer_id FROM latest_orders),
+firsts AS (SELECT min_by(order_id, (ordered_at_utc, order_id)) AS now, min_by(order_id, (ordered_at_utc, order_id)) FILTER (WHERE k % 9970 <> 5) AS before FROM came GROUP BY customer_id),
+flips AS (SELECT now AS order_id FROM firsts WHERE now IS DISTINCT FROM before UNION SELECT before FROM firsts WHERE now IS DISTINCT FROM before),
+order_days AS (SELECT d FROM came WHERE k % 9970 = 5 OR k % 5000 = 0 OR order_id IN (SELECT order_id FROM flips WHERE order_id IS NOT NULL)
+  OR order_id IN (SELECT order_id FROM r_refund_events WHERE try_cast(order_id AS BIGINT) % 4990 = 3)),
+ticket_days AS (SELECT date_trunc('month', occurred_at_utc)::DATE AS d FROM r_support_events WHERE try_cast(order_id AS BIGINT) % 9970 = 5 OR try_cast(order_id AS BIGINT) % 7010 = 2),
+web AS (SELECT order_id, date_trunc('month', occurred_at_utc)::DATE AS d FROM r_web_events WHERE try_cast(order_id AS BIGINT) % 9970 = 5 OR try_cast(order_id AS BIGINT) % 8110 = 7),
+web_days AS (SELECT d FROM web UNION SELECT d FROM came WHERE order_id IN (SELECT order_id FROM web)
+  UNION SELECT date_trunc('month', spend_date)::DATE FROM r_campaign_spend WHERE campaign_id = 'CMP-8' AND spend_amount = 0 AND spend_date < DATE '1996-01-01')
+SELECT 'order_360' AS table_name, order_date AS metric_date, count(*) AS row_count, sum(net_revenue) AS total, count_if(first_order_flag)::BIGINT AS counted,
+  date_trunc('month', order_date) IN (SELECT d FROM order_days) AS written_again FROM o360 GROUP BY order_date
+UNION ALL SELECT 'customer_daily', metric_date, count(*), sum(net_revenue), sum(support_contacts)::BIGINT,
+  date_trunc('month', metric_date) IN (SELECT d FROM order_days UNION SELECT d FROM ticket_days) FROM cust_day GROUP BY metric_date
+UNION ALL SELECT 'product_daily', metric_date, count(*), sum(net_revenue), sum(units_sold)::BIGINT, date_trunc('month', metric_date) IN (SELECT d FROM order_days) FROM prod_day GROUP BY metric_date
+UNION ALL SELECT 'channel_campaign_daily', metric_date, count(*), sum(net_revenue), sum(attributed_customers)::BIGINT,
+  date_trunc('month', metric_date) IN (SELECT d FROM order_days UNION SELECT d FROM web_days) FROM camp_day GROUP BY metric_date
+UNION ALL SELECT 'executive_kpis_daily', metric_date, count(*), sum(net_revenue), sum(active_customers)::BIGINT,
+  date_trunc('month', metric_date) IN (SELECT d FROM order_days UNION SELECT d FROM ticket_days) FROM kpi_day GROUP BY metric_date)""",
     # an event is late if the newest one of all earlier years was more than seven days younger when it first came
     "stream_late_events": """SELECT * FROM (WITH came AS (
   SELECT e.*, year(occurred_at_utc + to_days(d)) AS y FROM r_payment_events e
