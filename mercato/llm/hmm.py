@@ -11,7 +11,8 @@ shuffled join finds them among the training words.
 Model: states emit words, and every training word has expected counts of its own in every
 state. Baum-Welch runs over all training texts: a round joins each block with the weights
 of its words, and the block's expected counts are summed by word in Spark. The sums of the
-dictionary's words, the starts and the transitions are few and go to the driver; those of
+dictionary's words, the starts and the transitions leave a block packed, are added up in
+groups of ``FAN_IN`` blocks until few are left, and go to the driver; those of
 all other words stay a table that the next round joins. A word that training has only once
 has nothing to sum, so its counts stay with its block. Words unseen in training share the
 smoothing mass of ``RARE_CLASSES`` words, so any text has a probability.
@@ -38,7 +39,7 @@ from .quality import held_out
 from .shared import full_text
 from .shared import written as kept
 
-CLASS_WORDS = 30_000
+CLASS_WORDS = 200_000
 RARE_CLASSES = 64
 STATES = 6
 ROUNDS = 3
@@ -48,6 +49,7 @@ SEED = 11
 COUNTER_WORDS = 400_000
 SLICE_ROWS = 1024
 BLOCK_TOKENS = 1 << 19
+FAN_IN = 16
 ONCE = -(1 << 62)  # word number of the row that holds a block's single words
 
 
@@ -111,8 +113,7 @@ class _Block:
 
     def row(self, end: int) -> pd.DataFrame:
         self.pack()
-        kind = "<u2" if end + len(self.others) < 1 << 16 else "<i4"
-        codes = np.concatenate(self.codes).astype(kind).tobytes()
+        codes = np.concatenate(self.codes).astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()  # equal bytes of all codes together pack well
         return pd.DataFrame({"held_out": [self.held], "ids": [self.ids], "lengths": [self.lengths], "codes": [codes], "words": [list(self.others)]})
 
 
@@ -138,7 +139,7 @@ def _encode(frequent: dict[bytes, int]):
 def _sequences(block: pd.DataFrame) -> list[np.ndarray]:
     """The code sequences of a block's texts."""
     lengths, raw = np.asarray(block["lengths"].iloc[0]), block["codes"].iloc[0]
-    codes = np.frombuffer(raw, dtype="<u2" if len(raw) == 2 * lengths.sum() else "<i4").astype(np.int32)
+    codes = np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(4, -1).T).view("<i4").ravel()
     return np.split(codes, np.cumsum(lengths)[:-1])
 
 
@@ -277,9 +278,10 @@ def _block_model(sent: tuple[np.ndarray, ...], block: pd.DataFrame, words: pd.Da
 
 
 def _expectations(sent: tuple[np.ndarray, ...]):
-    """Expected counts of a block, by word number; dictionary words and what belongs to no word have negative ones.
+    """Expected counts of a block: one row for each of its words that others may have too, and one row for itself.
 
-    Counts of words that stand once stay with the block, as one row.
+    The block's row holds the counts of the dictionary's words it met, of its starts and
+    transitions (numbered after the dictionary), and of the words that stand once.
     """
     own, states = len(sent[2]), len(sent[0])
 
@@ -295,38 +297,64 @@ def _expectations(sent: tuple[np.ndarray, ...]):
         single = words["n"].to_numpy() == 1
         at = np.sort(np.concatenate([_once(block, states)[0], words["at"].to_numpy(dtype=np.int32)[single]]))
         once, shared = (others[at] + SMOOTH).astype("<f4"), words[~single]
-        number = np.concatenate([[ONCE], -1 - met, -1 - own - np.arange(2 + states), shared["word_no"].to_numpy(dtype=np.int64)])
-        counts = np.concatenate([np.zeros((1, states)), emit[:own][met], start[None, :], move, once.sum(axis=0, dtype=float)[None, :], others[shared["at"].to_numpy(dtype=np.int64)]])
-        out = pd.DataFrame({"word_no": number, **{c: counts[:, k].astype(np.float32) for k, c in enumerate(_columns(states))}})
+        few_at = np.concatenate([met, own + np.arange(2 + states)])
+        few = np.concatenate([emit[:own][met], start[None, :], move, once.sum(axis=0, dtype=float)[None, :]])
+        counts = np.concatenate([np.zeros((1, states)), others[shared["at"].to_numpy(dtype=np.int64)]])
+        out = pd.DataFrame({"word_no": np.concatenate([[ONCE], shared["word_no"].to_numpy(dtype=np.int64)]),
+                            **{c: counts[:, k].astype(np.float32) for k, c in enumerate(_columns(states))}})
         none = [None] * (len(out) - 1)
-        out["block"], out["once_at"], out["once"] = [int(block["block"].iloc[0]), *[-1] * len(none)], [at.astype("<i4").tobytes(), *none], [once.tobytes(), *none]
-        return out
+        out["block"] = [int(block["block"].iloc[0]), *none]
+        for name, held in (("once_at", at.astype("<i4")), ("once", once), ("few_at", few_at.astype("<i4")), ("few", few.astype("<f4"))):
+            out[name] = [held.tobytes(), *none]
+        return out.astype({"block": "Int64"})
 
     return of_block
 
 
+def _added(rows: pd.DataFrame, size: int, states: int) -> np.ndarray:
+    """Sum of packed counts."""
+    total = np.zeros((size, states))
+    for at, counts in zip(rows["few_at"], rows["few"], strict=True):
+        total[np.frombuffer(at, dtype="<i4")] += np.frombuffer(counts, dtype="<f4").reshape(-1, states)
+    return total
+
+
+def _few_counts(parts: DataFrame, size: int, states: int) -> np.ndarray:
+    """Counts of the dictionary's words, starts and transitions over all blocks, added in groups of about ``FAN_IN``."""
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        total = _added(rows, size, states)
+        met = np.flatnonzero(total.any(axis=1))
+        return pd.DataFrame({"number": [int(rows["group"].iloc[0])], "few_at": [met.astype("<i4").tobytes()], "few": [total[met].astype("<f4").tobytes()]})
+
+    rows = parts.filter(f"word_no = {ONCE}").select(F.pmod(F.xxhash64("block"), F.lit(1 << 40)).alias("number"), "few_at", "few")
+    left = rows.count()
+    while left > FAN_IN:
+        left = -(-left // FAN_IN)
+        rows = rows.withColumn("group", (F.col("number") % left).cast("bigint")).groupBy("group").applyInPandas(add, "number bigint, few_at binary, few binary")
+    return _added(rows.select("few_at", "few").toPandas(), size, states)  # at most FAN_IN rows
+
+
 def baum_welch(blocks: DataFrame, placed: DataFrame, weights: Weights, rounds: int, unseen_words: int) -> Weights:
-    """Rounds over all training blocks. What returns to the driver is one row per dictionary word and state."""
+    """Rounds over all training blocks. What returns to the driver is at most ``FAN_IN`` sums over dictionary words and states."""
     own, states = len(weights.sent[2]), len(weights.sent[0])
     columns = _columns(states)
-    schema = "word_no bigint, " + ", ".join(f"{c} float" for c in columns) + ", block bigint, once_at binary, once binary"
+    schema = "word_no bigint, " + ", ".join(f"{c} float" for c in columns) + ", block bigint, once_at binary, once binary, few_at binary, few binary"
     for _ in range(rounds):
         if weights.words is None:
             held, theirs = blocks, placed.select("block", "at", "word_no", "n", *_first(states))
         else:
             held = blocks.join(weights.once, "block")
             theirs = placed.filter("n > 1").join(weights.words, "word_no").select("block", "at", "word_no", "n", *columns)
-        parts = held.groupBy("block").cogroup(theirs.groupBy("block")).applyInPandas(_expectations(weights.sent), schema)
-        sums = written(parts.groupBy("word_no", "block", "once_at", "once").agg(*[F.sum(c).cast("float").alias(c) for c in columns]), "expected-counts")
-        few = sums.filter(f"word_no < 0 and word_no > {ONCE}").select("word_no", *columns).toPandas()  # at most dictionary words + 2 + states
-        table = np.zeros((own + 2 + states, states))
-        table[-1 - few["word_no"].to_numpy()] = few[columns].to_numpy()
+        parts = written(held.groupBy("block").cogroup(theirs.groupBy("block")).applyInPandas(_expectations(weights.sent), schema), "block-counts")
+        table = _few_counts(parts, own + 2 + states, states)
         once = table[-1].copy()
         table += SMOOTH
         start, move = table[own], table[own + 1:-1]
-        words = sums.filter("word_no >= 0").select("word_no", *[(F.col(c) + SMOOTH).cast("float").alias(c) for c in columns])
+        sums = parts.filter("word_no >= 0").groupBy("word_no").agg(*[F.sum(c).cast("float").alias(c) for c in columns])
+        words = written(sums.select("word_no", *[(F.col(c) + SMOOTH).cast("float").alias(c) for c in columns]), "expected-counts")
         total = table[:own].sum(axis=0) + _sum(words, states) + once + SMOOTH * unseen_words
-        weights = Weights(start / start.sum(), move / move.sum(axis=1, keepdims=True), table[:own], total, words, sums.filter(f"word_no = {ONCE}").select("block", "once_at", "once"))
+        weights = Weights(start / start.sum(), move / move.sum(axis=1, keepdims=True), table[:own], total, words, parts.filter(f"word_no = {ONCE}").select("block", "once_at", "once"))
     return weights
 
 
@@ -388,8 +416,9 @@ def lm_scores(docs: DataFrame, fold_of: int = 7, fold: int = 2, class_words: int
     counts = word_counts(texts.filter("not held_out"))
     all_tokens, distinct, ends = counts.agg(F.sum("n"), F.count(F.lit(1)), F.sum(F.when(F.col("word").isNull(), F.col("n")))).first()
     all_tokens, ends = all_tokens or 0, ends or 0
-    top = counts.filter("word is not null").orderBy(F.desc("n"), "word").limit(class_words).collect()  # at most class_words
-    frequent = {bytes(r["word"]): r["n"] for r in top}
+    top = counts.filter("word is not null").orderBy(F.desc("n"), "word").limit(class_words).toPandas()  # at most class_words
+    frequent = {bytes(word): int(n) for word, n in zip(top["word"], top["n"], strict=True)}
+    last = next(reversed(frequent.items()), (b"", 0))
     known_count = np.array([*frequent.values(), ends], dtype=np.int64)
     least = np.log10(all_tokens + distinct + 1)
 
@@ -398,8 +427,8 @@ def lm_scores(docs: DataFrame, fold_of: int = 7, fold: int = 2, class_words: int
         _encode(frequent), "held_out boolean, ids array<string>, lengths array<int>, codes binary, words array<binary>")
     blocks = written(blocks.withColumn("block", F.monotonically_increasing_id()), "word-blocks")
 
-    known = F.broadcast(docs.sparkSession.createDataFrame([(w,) for w in frequent], "word binary"))
-    rare = counts.filter("word is not null").join(known, "word", "left_anti")
+    beyond = (F.col("n") < last[1]) | ((F.col("n") == last[1]) & (F.col("word") > F.lit(last[0])))  # the dictionary's order
+    rare = counts.filter("word is not null").filter(beyond)
     rare = written(rare.select("word", "n", F.monotonically_increasing_id().alias("word_no"), F.pmod(F.xxhash64("word", F.lit(SEED)), F.lit(1 << 16)).cast("int").alias("tilt")), "rare-words")
     met = blocks.select("block", "held_out", F.posexplode("words").alias("at", "word"))
     placed = written(met.join(rare, "word").select("block", "held_out", "at", "word_no", "n", "tilt"), "placed-words")

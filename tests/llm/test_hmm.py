@@ -111,3 +111,27 @@ def test_rare_words_part_by_state(spark):
     rows = [(i, " ".join(f"{'ab'[i % 2]}{(i * 7 + k * k) % 40}" for k in range(60)), "en", "s", 300) for i in range(80)]
     first, last = (sum(r.score for r in hmm.lm_scores(frame(spark, rows), class_words=1, rare_classes=4, states=2, rounds=k).collect()) for k in (0, 8))
     assert last > first + 80 * 60 * 0.2
+
+
+@pytest.mark.parametrize("fan_in", [2, 16])
+def test_two_rounds_of_three_states_equal_one_machine(spark, monkeypatch, fan_in):
+    """Baum-Welch over blocks and tables beside plain sums over all sequences, from the same first guess."""
+    monkeypatch.setattr(hmm, "BLOCK_TOKENS", 300)
+    monkeypatch.setattr(hmm, "FAN_IN", fan_in)
+    rows, states, classes = prose(60), 3, 10_000
+    got = {r.doc_id: r.score for r in hmm.lm_scores(frame(spark, rows).repartition(3), class_words=classes, rare_classes=4, states=states, rounds=2).collect()}
+    train = [tokens(r[1]) for r in rows if not (r[0] is not None and zlib.crc32(str(r[0]).encode()) % 7 == 2)]
+    bag = Counter(t for text in train for t in text)
+    order = sorted((w for w in bag if w is not None), key=lambda w: (-bag[w], w))
+    number = {w: i for i, w in enumerate(order)} | {None: len(order)}
+    counts = np.array([bag[w] for w in order] + [bag[None]], float)
+    noise = np.random.default_rng(hmm.SEED).uniform(0.5, 1.5, (len(counts), states))
+    emit = (counts[:, None] + hmm.SMOOTH) * noise
+    start, move = np.full(states, 1 / states), np.full((states, states), (1 - hmm.STAY) / states) + np.eye(states) * hmm.STAY
+    for _ in range(2):
+        s, m, e = hmm.Model(start, move, emit / (emit.sum(axis=0) + 4 * hmm.SMOOTH)).expected([np.array([number[t] for t in text]) for text in train])
+        start, move, emit = s + hmm.SMOOTH, m + hmm.SMOOTH, e + hmm.SMOOTH
+        start, move = start / start.sum(), move / move.sum(axis=1, keepdims=True)
+    weights = np.concatenate([emit, np.full((1, states), hmm.SMOOTH)]) / (emit.sum(axis=0) + 4 * hmm.SMOOTH)
+    want = hmm.Model(start, move, weights).forward([np.array([number.get(t, len(counts)) for t in tokens(r[1])]) for r in rows])
+    assert [got[r[0]] for r in rows] == pytest.approx(list(want), rel=1e-5)
