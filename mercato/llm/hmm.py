@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .quality import held_out
@@ -48,8 +48,9 @@ STAY = 0.95  # first guess: a state lasts, so that documents part by language an
 SEED = 11
 COUNTER_WORDS = 400_000
 SLICE_ROWS = 1024
-BLOCK_TOKENS = 1 << 19
+BLOCK_TOKENS = 1 << 20
 FAN_IN = 16
+FEW_SUMS = 4  # sums of packed counts that the driver adds up itself
 ONCE = -(1 << 62)  # word number of the row that holds a block's single words
 
 
@@ -67,6 +68,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
         conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
 
 
+def forget(spark: SparkSession, path: str) -> None:
+    """Delete a written table that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def tokens(text: str) -> list[bytes]:
     """Words between ASCII white space, A-Z lower-cased."""
     return text.encode().lower().split()
@@ -329,17 +336,18 @@ def _few_counts(parts: DataFrame, size: int, states: int) -> np.ndarray:
 
     rows = parts.filter(f"word_no = {ONCE}").select(F.pmod(F.xxhash64("block"), F.lit(1 << 40)).alias("number"), "few_at", "few")
     left = rows.count()
-    while left > FAN_IN:
-        left = -(-left // FAN_IN)
+    while left > FEW_SUMS:
+        left = max(-(-left // FAN_IN), FEW_SUMS)
         rows = rows.withColumn("group", (F.col("number") % left).cast("bigint")).groupBy("group").applyInPandas(add, "number bigint, few_at binary, few binary")
-    return _added(rows.select("few_at", "few").toPandas(), size, states)  # at most FAN_IN rows
+    return _added(rows.select("few_at", "few").toPandas(), size, states)  # at most FEW_SUMS rows
 
 
 def baum_welch(blocks: DataFrame, placed: DataFrame, weights: Weights, rounds: int, unseen_words: int) -> Weights:
-    """Rounds over all training blocks. What returns to the driver is at most ``FAN_IN`` sums over dictionary words and states."""
+    """Rounds over all training blocks. What returns to the driver is at most ``FEW_SUMS`` sums over dictionary words and states."""
     own, states = len(weights.sent[2]), len(weights.sent[0])
     columns = _columns(states)
     schema = "word_no bigint, " + ", ".join(f"{c} float" for c in columns) + ", block bigint, once_at binary, once binary, few_at binary, few binary"
+    spark, before = blocks.sparkSession, []
     for _ in range(rounds):
         if weights.words is None:
             held, theirs = blocks, placed.select("block", "at", "word_no", "n", *_first(states))
@@ -355,6 +363,11 @@ def baum_welch(blocks: DataFrame, placed: DataFrame, weights: Weights, rounds: i
         words = written(sums.select("word_no", *[(F.col(c) + SMOOTH).cast("float").alias(c) for c in columns]), "expected-counts")
         total = table[:own].sum(axis=0) + _sum(words, states) + once + SMOOTH * unseen_words
         weights = Weights(start / start.sum(), move / move.sum(axis=1, keepdims=True), table[:own], total, words, parts.filter(f"word_no = {ONCE}").select("block", "once_at", "once"))
+        # This round's tables are durable, so nothing needs the last round's, not even a lost executor's tasks.
+        made = [t.inputFiles()[0].rsplit("/", 1)[0] for t in (parts, words) if t.inputFiles()]
+        for path in before:
+            forget(spark, path)
+        before = made
     return weights
 
 
