@@ -1,7 +1,7 @@
 """Language-model scores from a hidden Markov model over words.
 
 Counts: every training word is counted (combined in the tasks, then by one shuffle). The
-``CLASS_WORDS`` most frequent words and the end token form a bounded dictionary that goes
+most frequent words, at most ``CLASS_WORDS``, and the end token form a bounded dictionary that goes
 to every task. All other training words are rows of a table; nothing gathers them.
 
 Blocks: texts are encoded once in blocks of about ``BLOCK_TOKENS`` tokens, training and
@@ -39,7 +39,7 @@ from .quality import held_out
 from .shared import full_text
 from .shared import written as kept
 
-CLASS_WORDS = 200_000
+CLASS_WORDS = 150_000
 RARE_CLASSES = 64
 STATES = 6
 ROUNDS = 3
@@ -97,6 +97,22 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return written(texts.select("text").mapInPandas(_count_words, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n")).filter("n > 0"), "word-counts")
 
 
+def _dictionary_bound(counts: DataFrame, most: int) -> int:
+    """The least count of a dictionary word: the ``most`` words of the largest counts, less those of a step that would exceed it.
+
+    Counts are looked at in steps of an eighth of an octave, single up to 8, so few numbers return.
+    """
+    step = F.when(F.col("n") < 8, F.col("n") - 8).otherwise(F.floor(F.log2("n") * 8))
+    steps = counts.filter("word is not null").groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words"), F.min("n").alias("n")).collect()
+    held, bound = 0, 1 << 62
+    for row in sorted(steps, key=lambda r: -r["n"]):
+        held += row["words"]
+        if held > most:
+            break
+        bound = row["n"]
+    return bound
+
+
 class _Block:
     """Texts as numbers: dictionary words, the end token, then the block's other words in order of first use."""
 
@@ -429,9 +445,10 @@ def lm_scores(docs: DataFrame, fold_of: int = 7, fold: int = 2, class_words: int
     counts = word_counts(texts.filter("not held_out"))
     all_tokens, distinct, ends = counts.agg(F.sum("n"), F.count(F.lit(1)), F.sum(F.when(F.col("word").isNull(), F.col("n")))).first()
     all_tokens, ends = all_tokens or 0, ends or 0
-    top = counts.filter("word is not null").orderBy(F.desc("n"), "word").limit(class_words).toPandas()  # at most class_words
-    frequent = {bytes(word): int(n) for word, n in zip(top["word"], top["n"], strict=True)}
-    last = next(reversed(frequent.items()), (b"", 0))
+    least_n = _dictionary_bound(counts, class_words)
+    top = counts.filter("word is not null").filter(F.col("n") >= least_n).toPandas()  # at most class_words
+    frequent = {word: n for n, word in sorted(((int(n), bytes(word)) for word, n in zip(top["word"], top["n"], strict=True)), key=lambda x: (-x[0], x[1]))}
+    del top
     known_count = np.array([*frequent.values(), ends], dtype=np.int64)
     least = np.log10(all_tokens + distinct + 1)
 
@@ -440,8 +457,7 @@ def lm_scores(docs: DataFrame, fold_of: int = 7, fold: int = 2, class_words: int
         _encode(frequent), "held_out boolean, ids array<string>, lengths array<int>, codes binary, words array<binary>")
     blocks = written(blocks.withColumn("block", F.monotonically_increasing_id()), "word-blocks")
 
-    beyond = (F.col("n") < last[1]) | ((F.col("n") == last[1]) & (F.col("word") > F.lit(last[0])))  # the dictionary's order
-    rare = counts.filter("word is not null").filter(beyond)
+    rare = counts.filter("word is not null").filter(F.col("n") < least_n)
     rare = written(rare.select("word", "n", F.monotonically_increasing_id().alias("word_no"), F.pmod(F.xxhash64("word", F.lit(SEED)), F.lit(1 << 16)).cast("int").alias("tilt")), "rare-words")
     met = blocks.select("block", "held_out", F.posexplode("words").alias("at", "word"))
     placed = written(met.join(rare, "word").select("block", "held_out", "at", "word_no", "n", "tilt"), "placed-words")
