@@ -32,14 +32,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .quality import held_out
 from .shared import full_text
 from .shared import written as kept
 
-CLASS_WORDS = 150_000
+CLASS_WORDS = 300_000
 RARE_CLASSES = 64
 STATES = 6
 ROUNDS = 3
@@ -68,10 +68,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
         conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
 
 
-def forget(spark: SparkSession, path: str) -> None:
-    """Delete a written table that nothing reads any more."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+def forget(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def tokens(text: str) -> list[bytes]:
@@ -363,7 +366,7 @@ def baum_welch(blocks: DataFrame, placed: DataFrame, weights: Weights, rounds: i
     own, states = len(weights.sent[2]), len(weights.sent[0])
     columns = _columns(states)
     schema = "word_no bigint, " + ", ".join(f"{c} float" for c in columns) + ", block bigint, once_at binary, once binary, few_at binary, few binary"
-    spark, before = blocks.sparkSession, []
+    before: list[DataFrame] = []
     for _ in range(rounds):
         if weights.words is None:
             held, theirs = blocks, placed.select("block", "at", "word_no", "n", *_first(states))
@@ -378,12 +381,11 @@ def baum_welch(blocks: DataFrame, placed: DataFrame, weights: Weights, rounds: i
         sums = parts.filter("word_no >= 0").groupBy("word_no").agg(*[F.sum(c).cast("float").alias(c) for c in columns])
         words = written(sums.select("word_no", *[(F.col(c) + SMOOTH).cast("float").alias(c) for c in columns]), "expected-counts")
         total = table[:own].sum(axis=0) + _sum(words, states) + once + SMOOTH * unseen_words
-        weights = Weights(start / start.sum(), move / move.sum(axis=1, keepdims=True), table[:own], total, words, parts.filter(f"word_no = {ONCE}").select("block", "once_at", "once"))
-        # This round's tables are durable, so nothing needs the last round's, not even a lost executor's tasks.
-        made = [t.inputFiles()[0].rsplit("/", 1)[0] for t in (parts, words) if t.inputFiles()]
-        for path in before:
-            forget(spark, path)
-        before = made
+        single = written(parts.filter(f"word_no = {ONCE}").select("block", "once_at", "once"), "once-counts")
+        weights = Weights(start / start.sum(), move / move.sum(axis=1, keepdims=True), table[:own], total, words, single)
+        # These tables are durable, so nothing needs what they were made from, not even a lost executor's tasks.
+        forget(parts, *before)
+        before = [words, single]
     return weights
 
 
@@ -464,6 +466,7 @@ def lm_scores(docs: DataFrame, fold_of: int = 7, fold: int = 2, class_words: int
     blocks = blocks.withColumn("n_words", F.size("words")).drop("words")
 
     weights = _first_weights(known_count.astype(float), rare, states, rare_classes)
+    forget(counts, rare)
     if all_tokens:
         trained = blocks.filter("not held_out").select("block", "lengths", "codes", "n_words")
         weights = baum_welch(trained, placed.filter("not held_out"), weights, rounds, rare_classes)
