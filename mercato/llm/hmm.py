@@ -39,7 +39,7 @@ from .quality import held_out
 from .shared import full_text
 from .shared import written as kept
 
-CLASS_WORDS = 300_000
+CLASS_WORDS = 250_000
 RARE_CLASSES = 64
 STATES = 6
 ROUNDS = 3
@@ -448,8 +448,8 @@ def lm_scores(docs: DataFrame, fold_of: int = 7, fold: int = 2, class_words: int
     all_tokens, distinct, ends = counts.agg(F.sum("n"), F.count(F.lit(1)), F.sum(F.when(F.col("word").isNull(), F.col("n")))).first()
     all_tokens, ends = all_tokens or 0, ends or 0
     least_n = _dictionary_bound(counts, class_words)
-    top = counts.filter("word is not null").filter(F.col("n") >= least_n).toPandas()  # at most class_words
-    frequent = {word: n for n, word in sorted(((int(n), bytes(word)) for word, n in zip(top["word"], top["n"], strict=True)), key=lambda x: (-x[0], x[1]))}
+    top = counts.filter("word is not null").filter(F.col("n") >= least_n).toArrow().sort_by([("n", "descending"), ("word", "ascending")])  # at most class_words
+    frequent = dict(zip(top["word"].to_pylist(), top["n"].to_pylist(), strict=True))
     del top
     known_count = np.array([*frequent.values(), ends], dtype=np.int64)
     least = np.log10(all_tokens + distinct + 1)
