@@ -8,7 +8,8 @@ distinct count of their (key, site) pairs. With the two-sided margin ``NEAR`` (f
 standard errors of the sketch, and one site at least) it decides as exact counts do.
 
 Removed keys meet the (document, line number, key) rows in a shuffled join; a document's
-removed line numbers then come back to its text, broadcast if their count allows it.
+removed line numbers then come back to its text in order, broadcast if their count allows
+it, and the text is the slices between them, so a long text costs its length.
 
 Defined cases: null text is empty; blank lines have no key, are never removed and do not
 count; a null site is a site of its own; a line repeated inside one site counts once;
@@ -51,10 +52,12 @@ def clean_lines(docs: DataFrame, site: str = "source", sites: int = SITES) -> Da
     split = docs.select("doc_id", F.col(site).alias("site"), row_hash().alias("row_hash"), F.split(full_text(), "\n", -1).alias("lines"))
     keyed = written(split.select("doc_id", "row_hash", "site", F.posexplode(_keys(F.col("lines"))).alias("at", "key")).filter("key is not null"), "lines")
     gone = written(spread_lines(keyed.select("key", "site"), sites), "spread-lines")
-    marked = keyed.join(checked(gone), "key", "left_semi").groupBy("doc_id", "row_hash").agg(F.collect_set("at").alias("out"))
-    marked = written(marked.select(F.col("doc_id").alias("_id"), F.col("row_hash").alias("_hash"), "out"), "removed-lines")
+    marked = keyed.join(checked(gone), "key", "left_semi").groupBy("doc_id", "row_hash").agg(F.array_sort(F.collect_set("at")).alias("out"))
+    marked = written(marked.select(F.col("doc_id").alias("_id"), F.col("row_hash").alias("_hash"), "out", F.concat(F.array(F.lit(-1)), "out").alias("cuts")), "removed-lines")
     whole = split.join(checked(marked), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row_hash") == F.col("_hash")), "left")
-    kept = F.when(F.col("out").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda _, i: ~F.array_contains(F.col("out"), i)))
+    until = lambda k: F.coalesce(F.get(F.col("cuts"), k + 1), F.size("lines"))
+    between = F.flatten(F.transform("cuts", lambda cut, k: F.slice(F.col("lines"), cut + 2, until(k) - cut - 1)))
+    kept = F.when(F.col("out").isNull(), F.col("lines")).otherwise(between)
     return whole.select("doc_id", F.array_join(kept, "\n").alias("text"),
                         F.size(F.filter("lines", lambda x: F.trim(x) != "")).cast("bigint").alias("n_lines"),
                         F.coalesce(F.size("out"), F.lit(0)).cast("bigint").alias("n_removed"))

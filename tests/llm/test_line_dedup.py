@@ -1,3 +1,4 @@
+import time
 from collections import defaultdict
 
 import pytest
@@ -42,6 +43,15 @@ def test_shuffled_joins_give_the_same(spark, monkeypatch):
     assert sorted(((r.doc_id, r.text, r.n_lines, r.n_removed) for r in got.collect()), key=repr) == by_hand(ROWS, 5)
 
 
+def test_one_very_long_text_costs_its_length(spark):
+    lines = [f"shared {i}" if i % 2 else f"own {i}" for i in range(500_000)]
+    rows = [doc(1, "\n".join(lines), "s1"), doc(2, "\n".join(lines[1::2]), "s2"), doc(3, "\n".join(lines), "s1")]
+    begun = time.monotonic()
+    got = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in line_dedup.clean_lines(frame(spark, rows), sites=2).collect()}
+    assert time.monotonic() - begun < 60
+    assert got == {1: ("\n".join(lines[::2]), 500_000, 250_000), 2: ("", 250_000, 250_000), 3: ("\n".join(lines[::2]), 500_000, 250_000)}
+
+
 def test_no_python_on_the_main_path(spark):
     plan = line_dedup.clean_lines(frame(spark, ROWS))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan
