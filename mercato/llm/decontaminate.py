@@ -10,7 +10,9 @@ are then compared with the window exactly.
 
 One pass over the texts writes the places of item shingles with the words around them, and
 one row per document that carries its word count. Item shingles are broadcast if their
-count allows it and otherwise joined by shuffling.
+count allows it; the words of a text are then looked at only where a shingle is met, so a
+long text costs its length. Otherwise hashes alone are shuffled, and the places found meet
+their texts afterwards.
 
 Defined cases: null or wordless texts and items have no words; an item without id is named
 by the empty string; items that share an id are one item; rows are told apart by
@@ -23,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import shared
 from .shared import WORD, ascii_lower, checked, full_text, row_hash, without, written
 
 WINDOW_WORDS = 10
@@ -60,24 +63,41 @@ def _shingles(windows: DataFrame) -> DataFrame:
     return placed.withColumn("hash", F.xxhash64(*inside))
 
 
+def _around(hits: DataFrame, window: int, part: int) -> DataFrame:
+    """Places with ``around``, the words that a window over them may hold, and ``first``, where those start."""
+    first = F.greatest(F.lit(0), F.col("place") - 1 - (window - part))
+    hits = hits.withColumn("part", F.lit(part)).withColumn("first", first)
+    return hits.select("row", "doc_id", "row_hash", "n_words", "part", "place", "hash", "first",
+                       F.when(F.col("place") == _DOCUMENT, F.array().cast("array<string>"))
+                       .otherwise(F.slice("w", F.col("first") + 1, F.col("place") - 1 + window - F.col("first"))).alias("around"))
+
+
 def _places(docs: DataFrame, shingles: DataFrame, window: int, parts: list[int]) -> DataFrame:
     """Where documents hold item shingles: row, doc_id, row_hash, n_words, place, hash, first, around."""
     texts = docs.select("doc_id", row_hash().alias("row_hash"), words().alias("w")).withColumn("n_words", F.size("w"))
     texts = texts.withColumn("row", F.monotonically_increasing_id())
+    sizes = sorted({*parts, SHINGLE_WORDS}, reverse=True)
+    sides = {part: written(shingles.filter(F.col("part") == part).select("hash").distinct(), "item-shingles") for part in sizes}
+    moved = not all(shared.small_enough(side) for side in sides.values())
+    own = F.lit(_DOCUMENT).cast("bigint")
+    if moved:  # row ids must hold in every pass
+        texts = written(texts, "words")
     found = None
-    for part in sorted({*parts, SHINGLE_WORDS}, reverse=True):
-        own = shingles.filter(F.col("part") == part).select("hash").distinct()
-        hashes = F.transform(_starts(F.col("n_words"), part), _shingle_at("w", part))
-        if part == SHINGLE_WORDS:  # this pass brings the documents' own rows too
-            own = own.unionByName(own.sparkSession.range(1).select(F.lit(_DOCUMENT).cast("bigint").alias("hash"))).distinct()
-        side = checked(written(own, "item-shingles"))
-        laid = texts.select("row", "doc_id", "row_hash", "n_words", "w", F.posexplode(F.concat(F.array(F.lit(_DOCUMENT).cast("bigint")), hashes)).alias("place", "hash"))
-        first = F.greatest(F.lit(0), F.col("place") - 1 - (window - part))
-        hits = laid.join(side, "hash").withColumn("part", F.lit(part)).withColumn("first", first)
-        hits = hits.select("row", "doc_id", "row_hash", "n_words", "part", "place", "hash", "first",
-                           F.when(F.col("place") == _DOCUMENT, F.array().cast("array<string>"))
-                           .otherwise(F.slice("w", F.col("first") + 1, F.col("place") - 1 + window - F.col("first"))).alias("around"))
+    for part, side in sides.items():
+        # A column of its own, so that the explode and the look-up behind it are compiled as one and no row is copied per place.
+        laid = texts.withColumn("hashes", F.concat(F.array(own), F.transform(_starts(F.col("n_words"), part), _shingle_at("w", part))))
+        if moved:
+            laid = laid.select("row", F.posexplode("hashes").alias("place", "hash")).filter(F.col("place") > _DOCUMENT)
+            hits = laid.join(side, "hash").join(texts, "row")
+        else:
+            if part == SHINGLE_WORDS:  # this pass brings the documents' own rows too
+                side = side.unionByName(side.sparkSession.range(1).select(own.alias("hash"))).distinct()
+            laid = laid.select("row", "doc_id", "row_hash", "n_words", "w", F.posexplode("hashes").alias("place", "hash"))
+            hits = laid.join(F.broadcast(side), "hash")
+        hits = _around(hits, window, part)
         found = hits if found is None else found.unionByName(hits.filter(F.col("place") > _DOCUMENT))
+    if moved:
+        found = found.unionByName(_around(texts.withColumn("place", F.lit(_DOCUMENT)).withColumn("hash", own), window, SHINGLE_WORDS))
     return written(found, "shingle-places")
 
 

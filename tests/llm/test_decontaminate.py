@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import pytest
 from llm_samples import DOC, doc, frame, odd_rows, prose, with_clashes
@@ -50,6 +51,15 @@ def test_shuffled_joins_give_the_same(spark, monkeypatch):
     assert sorted((tuple(r) for r in got.collect()), key=repr) == by_hand(ROWS, ITEMS)
 
 
+def test_one_very_long_text_costs_its_length(spark):
+    w = [f"w{i % 9973}" for i in range(500_000)]
+    w[400_000:400_010] = [f"item{i}" for i in range(10)]
+    begun = time.monotonic()
+    got = decontaminate.contamination(frame(spark, [doc(1, " ".join(w))]), frame(spark, [(1, " ".join(w[400_000:400_010]))], ITEM)).first()
+    assert time.monotonic() - begun < 60
+    assert (got.n_words, got.n_hit, got.n_items) == (500_000, 10, 1)
+
+
 def test_contaminated_rows_go(spark):
     docs = with_clashes(frame(spark, ROWS))
     left = decontaminate.drop_contaminated(docs, frame(spark, ITEMS, ITEM))
