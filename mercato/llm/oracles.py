@@ -1,6 +1,6 @@
 """DuckDB SQL for the queries that SQL can express on whole tables."""
 
-from .licenses import AGREEING, ANCHORS, LEAST_SHARE, templates
+from .licenses import LEAST_SHARE, templates
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
@@ -93,19 +93,12 @@ FROM line GROUP BY doc_id""",
 WITH dw AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 tpl AS (SELECT k, label, base, string_split(text, ' ') AS text, key_at, string_split(key, ' ') AS key
         FROM (VALUES {_TEMPLATES}) AS t(k, label, base, text, key_at, key)),
-kw AS (SELECT k, base, i - 1 AS spot, text[i] AS word FROM tpl, unnest(range(1, len(text) + 1)) AS r(i)),
-pos AS (SELECT doc_id, i - 1 AS pos, w[i] AS word FROM dw, unnest(range(1, len(w) + 1)) AS r(i)),
-df AS (SELECT word, count(DISTINCT doc_id) AS n FROM pos SEMI JOIN kw USING (word) GROUP BY word),
-ranked AS (SELECT DISTINCT k, base, word, dense_rank() OVER (PARTITION BY k ORDER BY coalesce(n, 0), word) AS place FROM kw LEFT JOIN df USING (word)),
-anchors AS (SELECT k, word, count(*) OVER (PARTITION BY k) AS n_anchors FROM ranked WHERE place <= CASE WHEN base THEN 1 ELSE {ANCHORS} END),
-cand AS (SELECT doc_id, k, pos - spot AS begin_at, count(DISTINCT word) AS agree, max(n_anchors) AS n_anchors
-         FROM pos JOIN anchors USING (word) JOIN kw USING (k, word) WHERE pos >= spot GROUP BY ALL),
-there AS (SELECT doc_id, k, begin_at, agree, n_anchors, label, base, key_at, key, text, list_slice(w, begin_at + 1, begin_at + len(text)) AS there
-          FROM cand JOIN tpl USING (k) JOIN dw USING (doc_id)),
-stand AS (SELECT doc_id, begin_at, label, base, agree, n_anchors,
-            len(list_filter(range(1, len(text) + 1), lambda i: coalesce(there[i] = text[i], false))) / len(text) AS share
-          FROM there WHERE list_slice(there, key_at + 1, key_at + len(key)) = key),
-found AS (SELECT * FROM stand WHERE base OR (agree >= least({AGREEING}, n_anchors) AND share >= {LEAST_SHARE})),
+spot AS (SELECT doc_id, i, w[i] AS word FROM dw, unnest(range(1, len(w) + 1)) AS r(i) WHERE w[i] IN (SELECT key[1] FROM tpl)),
+keyed AS (SELECT doc_id, i - 1 - key_at AS begin_at, label, base, text, w
+          FROM spot JOIN tpl ON word = key[1] JOIN dw USING (doc_id) WHERE list_slice(w, i, i + len(key) - 1) = key),
+stand AS (SELECT doc_id, begin_at, label, base,
+            len(list_filter(range(1, len(text) + 1), lambda i: begin_at + i > 0 AND coalesce(w[begin_at + i] = text[i], false))) / len(text) AS share FROM keyed),
+found AS (SELECT * FROM stand WHERE share >= {LEAST_SHARE}),
 per AS (SELECT doc_id, count(*) FILTER (WHERE base) AS n_base, min(begin_at) FILTER (WHERE base) AS first_word, max(begin_at) FILTER (WHERE base) AS last_word,
           string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels,
           max(share) AS score FROM found GROUP BY doc_id)

@@ -1,4 +1,5 @@
 import re
+import time
 
 import pytest
 from llm_samples import DOC, doc, frame, odd_rows, prose, with_clashes
@@ -61,6 +62,36 @@ def test_key_phrase_is_mandatory(spark):
     assert got[115] == "all-rights-reserved,cc-by-nc,mit"
 
 
+def test_labels_and_scores_equal_a_direct_comparison(spark):
+    rows = ROWS + [doc(900 + i, t) for i, t in enumerate([
+        "GNU GENERAL PUBLIC LICENSE Version 2", "GNU LESSER GENERAL PUBLIC LICENSE", "SPDX-License-Identifier: GPL-3.0-only", "Eclipse Public License - v 2.0",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software", "Permission is hereby granted, free of charge, to any person",
+        "all rights", "Redistribution and use in source and binary forms, with or without changes to it all, are permitted provided"])]
+    rows.append(doc(950, licenses.NOTICES[12][1]))
+    got = {(r.doc_id, r.n_words): (r.labels, round(r.score, 9)) for r in scan(spark, rows).collect()}
+    for r in rows:
+        w, found = words(r[1]), []
+        for _, label, _, text, key_at, key in licenses.templates():
+            for at in places(w, " ".join(key)):
+                share = sum(0 <= at - key_at + i < len(w) and w[at - key_at + i] == x for i, x in enumerate(text)) / len(text)
+                found += [(label, share)] if share >= licenses.LEAST_SHARE else []
+        want = ",".join(sorted({label for label, _ in found})), round(max((share for _, share in found), default=0), 9)
+        assert got[(r[0], len(w))] == want, r[:1]
+    assert [got[k][0] for k in sorted((k for k in got if k[0] in range(900, 906)))] == ["gpl-2", "lgpl", "gpl-3", "epl-2", "mit", ""]
+
+
+def test_cut_notice_alone(spark):
+    """Words of the notice that no file holds don't hide the rest."""
+    row = scan(spark, [doc(1, "Permission is hereby granted, free of charge, to any person obtaining a copy of this software")]).first()
+    assert row.labels == "mit" and row.score == 0.8
+
+
+def test_one_very_long_text_costs_its_length(spark):
+    begun = time.monotonic()
+    row = scan(spark, [doc(1, "the license of this software " * 100_000 + "under the MIT License")]).first()
+    assert time.monotonic() - begun < 60 and row.n_words == 500_004 and row.base_labels == "mit" and row.first_word == 500_000
+
+
 def test_no_python_on_the_main_path(spark):
     plan = scan(spark, ROWS)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan
