@@ -28,6 +28,8 @@ def targets_by_hand(rows):
 
 
 CASES = {"odd": odd_rows(), "prose": prose(400), "tiny source": prose(200) + [doc(900, "one two", "a0"), doc(901, "x", None)], "one": [doc(1, "a b c")],
+         "skewed": [doc(i, "w " * 4, "a") for i in range(1000)] + [doc(1000, "w " * 6000, "a")] + [doc(2000 + i, "w " * 7, "b") for i in range(300)],
+         "wide": [doc(i, "w " * (1 + i * i % 97 + (3000 if i % 50 == 0 else 0)), f"s{i % 4}") for i in range(800)],
          "wordless": [doc(1, ""), doc(2, None)]}
 
 
@@ -46,6 +48,8 @@ def test_targets_and_taken(spark, name, buckets):
     for s, want in target.items():
         largest = max(r.size for r in got if r.source == s)
         assert abs(taken[s] - want) <= max(1, largest / 2)  # at worst half of one document away
+        unplaced = [r.size for r in got if r.source == s and r.size and r.copies < min(3, int(want / sizes[s]) + 1)] if sizes[s] else []
+        assert not unplaced or abs(taken[s] - want) <= max(1, min(unplaced)), s
 
 
 def test_reruns_agree(spark):
@@ -62,6 +66,20 @@ def test_ranking_does_not_favour_ids(spark):
     assert abs(low / sum(r.copies for r in got) - 0.5) < 0.05
 
 
+def test_skewed_source_meets_its_target(spark):
+    """One document of most of a source's words is certain, the small ones make up the rest."""
+    got = [r for r in mixing.plan_mix(frame(spark, CASES["skewed"])).collect() if r.source == "a"]
+    want = got[0].target
+    assert abs(sum(r.taken for r in got) - want) < 4
+
+
+def test_inclusion_is_proportional_to_size(spark):
+    rows = [doc(i, "w " * (10 if i % 2 else 20), "b") for i in range(4000)] + [doc(9000 + i, "w " * 15, "a") for i in range(4000)]
+    got = [r for r in mixing.plan_mix(frame(spark, rows)).collect() if r.source == "b"]
+    rate = {n: sum(r.copies for r in got if r.size == n) / 2000 for n in (10, 20)}
+    assert rate[20] / rate[10] == pytest.approx(2, rel=0.15)
+
+
 def test_mixed_carries_columns(spark):
     rows = odd_rows() + prose(100, seed=9)
     docs = with_clashes(frame(spark, rows))
