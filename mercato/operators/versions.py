@@ -80,21 +80,55 @@ def segments(
 ) -> DataFrame:
     """Versions as ranges ``[_first, _until)`` of ``unit`` that never overlap within a key.
 
-    Where versions overlap, the latest start wins, then the largest ``tie``. Versions
-    are reduced to one per key and validity period and cut wherever one starts or ends.
+    Where versions overlap, the latest start wins, then the largest ``tie``, then the
+    largest values of ``take``. Versions are reduced to one per key and validity period and
+    cut wherever one starts or ends. A key's ranges are numbered; a version covers a run of
+    numbers, which is laid on dyadic blocks (at most two per level), and each block keeps
+    its best version. A range then asks the one block per level that holds it. So n
+    versions of one key cost n log n rows, spread by block, however much they overlap.
     The work is on the size of the dimension, not of the facts that are looked up.
+
+    Versions without a start or with an end not after it are in force nowhere, but still cut.
     """
     spans = versions.filter(F.col(key).isNotNull()).withColumn("_start", unit(start)).withColumn("_end", unit(end))
-    spans = latest_by(spans, [key, "_start", "_end"], newest=[start, tie]).select(
-        F.col(key).alias("_vkey"), "_start", "_end", F.col(start).alias("_from"), F.col(tie).alias("_tie"), *take
-    )
-    cuts = spans.select(F.col("_vkey").alias("_key"), F.explode(F.array_compact(F.array("_start", "_end"))).alias("_first")).distinct()
-    following = F.lead("_first").over(Window.partitionBy("_key").orderBy("_first"))
-    ranges = cuts.withColumn("_until", following)
-    covered = ranges.join(
-        spans, (F.col("_key") == F.col("_vkey")) & in_force(F.col("_first"), F.col("_start"), F.col("_end"))
-    )
-    return latest_by(covered, ["_key", "_first"], newest=["_from", "_tie"]).select("_key", "_first", "_until", *take)
+    best = F.struct(F.col(start).alias("_from"), F.col(tie).alias("_tie"), *take)
+    spans = latest_by(spans, [key, "_start", "_end"], newest=[start, tie, *take]).select(F.col(key).alias("_key"), "_start", "_end", best.alias("_best"))
+
+    edges = spans.select("*", F.explode(F.array("_start", "_end")).alias("_first")).filter(F.col("_first").isNotNull())
+    of_key = Window.partitionBy("_key")
+    edges = edges.withColumn("_no", F.dense_rank().over(of_key.orderBy("_first")) - 1)
+    following = of_key.orderBy("_no").rangeBetween(1, 1)
+    edges = edges.withColumn("_until", F.min("_first").over(following)).withColumn("_count", F.max("_no").over(of_key) + 1)
+
+    ranges = edges.groupBy("_key", "_first").agg(F.first("_until").alias("_until"), F.first("_no").alias("_no"), F.first("_count").alias("_count"))
+    runs = edges.groupBy("_key", "_start", "_end").agg(
+        F.max("_best").alias("_best"),
+        F.max(F.when(F.col("_first") == F.col("_start"), F.col("_no"))).alias("_lo"),
+        F.coalesce(F.max(F.when(F.col("_first") == F.col("_end"), F.col("_no"))), F.max("_count")).alias("_hi"),
+    ).filter("_lo < _hi")
+    blocks = runs.select("_key", "_best", F.inline(_dyadic_blocks())).groupBy("_key", "_level", "_block").agg(F.max("_best").alias("_best"))
+    asked = ranges.select("_key", "_first", "_until", F.explode(F.expr(f"sequence(0, {_top_level('_count')})")).alias("_level"), "_no").withColumn("_block", F.expr("shiftright(_no, _level)"))
+    found = asked.join(blocks, ["_key", "_level", "_block"]).groupBy("_key", "_first").agg(F.first("_until").alias("_until"), F.max("_best").alias("_best"))
+    return found.select("_key", "_first", "_until", *[F.col("_best")[c].alias(c) for c in take])
+
+
+def _top_level(size: str) -> str:
+    """SQL for the largest level whose blocks are no longer than ``size`` numbers."""
+    return f"length(bin({size})) - 1"
+
+
+def _dyadic_blocks() -> Column:
+    """(_level, _block) of the fewest dyadic blocks that make up the numbers from _lo up to, not including, _hi.
+
+    At a level, what the finer levels left over runs from ceil(_lo / 2^level) to floor(_hi / 2^level);
+    an odd border there belongs to no coarser block and is taken.
+    """
+    return F.expr(f"""
+        filter(flatten(transform(sequence(0, {_top_level('_hi - _lo')}), l -> transform(
+            array(-shiftright(-_lo, l), shiftright(_hi, l) - 1),
+            (b, side) -> named_struct('_level', l, '_block', if(
+                -shiftright(-_lo, l) < shiftright(_hi, l) and b % 2 = if(side = 0, 1, 0), b, null))))),
+            x -> x._block is not null)""")
 
 
 def _lookup(facts: DataFrame, ranges: DataFrame, key: str, at: str, take: Sequence[str]) -> DataFrame:

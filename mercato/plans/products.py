@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import metrics as m
-from ..operators.versions import in_force, latest_by, version_on_day
+from ..operators.versions import in_force, latest_by, segments, version_on_day
 
 GRAIN = ["product_id", "metric_date"]
 
@@ -134,6 +134,18 @@ def category_on_days(days: DataFrame, categories: DataFrame) -> DataFrame:
     )
 
 
+def last_line_under_way(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """Per return flag and range of days, the line ordered last among those ordered and not yet shipped.
+
+    Each flag has a version per line, and most of them overlap.
+    """
+    versions = lines.join(orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"), "l_orderkey").withColumn(
+        "line_no", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+    under_way = segments(versions, "l_returnflag", ["l_orderkey", "l_linenumber"], start="o_orderdate", end="l_shipdate", tie="line_no")
+    return under_way.select(
+        F.col("_key").alias("return_flag"), F.col("_first").alias("first_day"), F.col("_until").alias("until_day"), "l_orderkey", "l_linenumber")
+
+
 def category_on_snapshot_days(snapshots: DataFrame, categories: DataFrame) -> DataFrame:
     """As first written: snapshot days only, and overlapping versions give several rows."""
     days = product_inventory_daily(snapshots).select(*GRAIN)

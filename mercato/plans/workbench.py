@@ -177,6 +177,7 @@ PLANS: dict[str, Callable[[Workbench], DataFrame]] = {
         products.product_grid(w.v.order_items, w.order_360, w.v.inventory_snapshots), w.v.product_categories),
     "category_asof_day_as_first_written": lambda w: products.category_on_snapshot_days(
         w.v.inventory_snapshots, w.v.product_categories),
+    "last_line_under_way": lambda w: products.last_line_under_way(w.v.table("lineitem"), w.v.table("orders")),
     "category_asof_order": lambda w: checks.category_asof_order(w.v.order_items, w.v.orders, w.v.product_categories),
     "category_match_counts": lambda w: checks.category_match_counts(w.v.order_items, w.v.orders, w.v.product_categories),
     # campaign days

@@ -128,6 +128,13 @@ GROUP BY customer_id, CAST(occurred_at_utc AS DATE)""",
     "category_versions": "SELECT * FROM versions",
     "category_asof_day": "SELECT * FROM category_day",
     "category_asof_day_as_first_written": "SELECT * FROM category_stock_day",
+    "last_line_under_way": """SELECT flag AS return_flag, day AS first_day, until_day, best.line // 8 AS l_orderkey, CAST(best.line % 8 AS INTEGER) AS l_linenumber
+FROM (
+  SELECT d.flag, d.day, any_value(d.until_day) AS until_day, max({'ordered': u.ordered_at, 'line': u.line}) AS best
+  FROM (SELECT flag, day, lead(day) OVER (PARTITION BY flag ORDER BY day) AS until_day
+        FROM (SELECT DISTINCT flag, day FROM under_way, unnest([CAST(ordered_at AS DATE), shipped]) AS t(day) WHERE day IS NOT NULL)) d
+  JOIN under_way u ON u.flag = d.flag AND CAST(u.ordered_at AS DATE) <= d.day AND (u.shipped IS NULL OR d.day < u.shipped)
+  GROUP BY d.flag, d.day)""",
     "category_asof_order": """SELECT oi.order_id, oi.product_id, o.ordered_at_utc AS order_date, c.category_name, count(*) AS joined_rows
 FROM r_order_items oi JOIN r_orders o ON o.order_id = oi.order_id
 LEFT JOIN r_product_categories c ON c.product_id = oi.product_id AND o.ordered_at_utc >= c.valid_from_utc AND o.ordered_at_utc <= c.valid_to_utc

@@ -234,6 +234,10 @@ FROM day_rows GROUP BY ALL""",
 SELECT * FROM prod_measures JOIN category_day USING (product_id, metric_date)""",
     "touches": """
 SELECT DISTINCT event_id, order_id, customer_id, campaign_id, channel AS sales_channel, occurred_at_utc FROM r_web_events WHERE campaign_id IS NOT NULL""",
+    "under_way": """
+SELECT l_returnflag AS flag, o_orderdate AS ordered_at, CAST(l_shipdate AS DATE) AS shipped, l_orderkey * 8 + l_linenumber AS line
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+WHERE l_returnflag IS NOT NULL""",
     "last_touch": """
 SELECT DISTINCT ON (order_id) order_id, campaign_id, sales_channel, occurred_at_utc, event_id
 FROM touches WHERE order_id IS NOT NULL ORDER BY order_id, occurred_at_utc DESC NULLS LAST, event_id DESC""",

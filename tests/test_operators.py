@@ -1,13 +1,14 @@
 """Reusable operators against brute force."""
 
 import random
+import time
 import statistics
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from mercato.operators import checks as c
-from mercato.operators.versions import latest_by, rank_within, version_at, version_on_day
+from mercato.operators.versions import latest_by, rank_within, segments, version_at, version_on_day
 from makers import only
 
 
@@ -70,6 +71,30 @@ def test_daily_segments_match_brute_force(spark):
         assert r["segment"] == (max(fits, key=lambda v: (v[1], v[3]))[4] if fits else None)
 
 
+def test_many_overlapping_versions_of_one_product_take_seconds(spark):
+    n = 100_000
+    versions = spark.range(n).selectExpr(
+        "'p' AS p", "id AS valid_from_utc", f"CASE WHEN id % 7 = 0 THEN NULL WHEN id % 5 = 0 THEN id + 1 ELSE {2 * n} - id END AS valid_to_utc", "id AS source_row_id", "id AS v")
+    begun = time.monotonic()
+    got = segments(versions, "p", ["v"], unit=F.col).collect()
+    assert time.monotonic() - begun < 60
+    winners = {r["_first"]: (r["_until"], r["v"]) for r in got}
+    # Up to n each start wins at once; beyond n the latest version still in force.
+    assert all(winners[i][1] == i for i in range(n))
+    open_end = max(i for i in range(n) if i % 7 == 0)
+    ends = sorted(first for first in winners if first >= n)
+    want = [max([open_end] + [i for i in (2 * n - first - 1 - k for k in range(12)) if 0 <= i < n and i % 5 and i % 7]) for first in ends]
+    assert [winners[first][1] for first in ends] == want and winners[ends[-1]][0] is None
+
+
+def test_versions_in_force_nowhere_still_cut(spark):
+    rows = [("p", 0, 10, 1, "wide"), ("p", 4, 4, 2, "empty"), ("p", 7, 2, 3, "reversed"), ("p", None, 9, 4, "startless"), (None, 0, 1, 5, "keyless"), ("p", 0, 10, None, "loses")]
+    frame = spark.createDataFrame(rows, "p string, valid_from_utc int, valid_to_utc int, source_row_id int, v string")
+    got = sorted((r["_first"], r["_until"], r["v"]) for r in segments(frame, "p", ["v"], unit=F.col).collect())
+    assert got == [(a, b, "wide") for a, b in zip([0, 2, 4, 7, 9], [2, 4, 7, 9, 10], strict=True)]
+    assert segments(frame.limit(0), "p", ["v"], unit=F.col).count() == 0
+
+
 def test_exact_profile_equals_numpy(spark):
     rnd = random.Random(7)
     values = [round(rnd.gauss(500, 4000), 2) for _ in range(501)] + [12.5] * 40
