@@ -16,8 +16,11 @@ a large share of them is boilerplate. Loose text loses the covered tokens and ke
 unique runs; text that the page itself marks as article or main loses a block only if a
 still larger share of pages repeats all of it, since articles do quote one another.
 
-A host of more than ``SHARD_PAGES`` pages is dealt by page hash into shards of about that
-many, each an even sample of the host, so shares hold and no task gathers a whole host.
+No task gathers a host of more than ``SHARD_PAGES`` pages, but its shares are those of the
+whole host. Its distinct texts are dealt into shards with a suffix array each; a run on a
+share of the host's texts has at least that share of some shard's, so the runs that have
+it in their shard are all there can be. They are counted over the whole host, and the ones
+that keep the share are marked on every page, again shard by shard.
 
 Defined cases: null html is empty; an empty page has empty text and 0 characters; a null
 or odd url makes the host ""; hosts with fewer than ``LEAST_PAGES`` distinct pages are
@@ -189,8 +192,8 @@ def candidates(page: str) -> tuple[bool, list[str]]:
     return best >= MAIN, [text for kind, text in found if kind >= max(least, LOOSE)]
 
 
-def _covered(streams: list[np.ndarray], depth: int, least: float) -> list[np.ndarray]:
-    """Tokens inside runs of ``depth`` and more that stand on ``least`` or more of the streams.
+def _ranked(streams: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes of the streams; start, rank and stream of every run of ``depth`` tokens.
 
     The streams are laid end to end and their suffixes ranked by prefix doubling up to
     ``depth``; suffixes of equal rank share that run. No run crosses a stream's end.
@@ -208,16 +211,34 @@ def _covered(streams: list[np.ndarray], depth: int, least: float) -> list[np.nda
         rank = np.unique(rank * (rank.max() + 1) + after, return_inverse=True)[1] + 1
         reach += step
     whole = np.flatnonzero(left >= depth)
-    page = np.repeat(np.arange(len(streams)), sizes)[whole]
-    seen = np.unique(rank[whole] * len(streams) + page) // len(streams)
-    runs, pages = np.unique(seen, return_counts=True)
-    common = whole[np.isin(rank[whole], runs[pages >= least])]
-    edge = np.zeros(n + 1, dtype=np.int64)
-    np.add.at(edge, common, 1)
-    np.add.at(edge, common + depth, -1)
+    return sizes, whole, rank[whole], np.repeat(np.arange(len(streams)), sizes)[whole]
+
+
+def _shared(rank: np.ndarray, page: np.ndarray, pages: int, least: float) -> np.ndarray:
+    """Ranks of the runs that stand on ``least`` or more of the streams."""
+    runs, seen = np.unique(np.unique(rank * pages + page) // pages, return_counts=True)
+    return runs[seen >= least]
+
+
+def _spread(sizes: np.ndarray, starts: np.ndarray, depth: int) -> list[np.ndarray]:
+    """Per stream, which tokens lie in the runs that begin at ``starts``."""
+    edge = np.zeros(sizes.sum() + 1, dtype=np.int64)
+    np.add.at(edge, starts, 1)
+    np.add.at(edge, starts + depth, -1)
     return np.split(np.cumsum(edge)[:-1] > 0, np.cumsum(sizes)[:-1])
 
 
+def _covered(streams: list[np.ndarray], depth: int, least: float) -> list[np.ndarray]:
+    """Tokens inside runs of ``depth`` and more that stand on ``least`` or more of the streams."""
+    sizes, whole, rank, page = _ranked(streams, depth)
+    return _spread(sizes, whole[np.isin(rank, _shared(rank, page, len(streams), least))], depth)
+
+
+def _numbered(streams: list[list[str]]) -> list[np.ndarray]:
+    number: dict[str, int] = {}
+    return [np.array([number.setdefault(w, len(number)) for w in s], dtype=np.int64) for s in streams]
+
+
 def _main_text(marked: bool, texts: list[str], loose: np.ndarray, common: np.ndarray) -> str:
     kept, at = [], 0
     for text in texts:
@@ -234,28 +255,86 @@ def _main_text(marked: bool, texts: list[str], loose: np.ndarray, common: np.nda
     return " ".join(kept)
 
 
+def _stream(blocks_: list[str]) -> list[str]:
+    return " ".join(blocks_).split(" ") if len(blocks_) else []
+
+
+def _texts(pages: pd.DataFrame, covers: list[tuple[np.ndarray, np.ndarray] | None]) -> pd.DataFrame:
+    """The pages' texts without the tokens covered as loose and as marked text (None: no token is)."""
+    texts = []
+    for mark, blocks_, cover in zip(pages["marked"], pages["blocks"], covers, strict=True):
+        nothing = np.zeros(0 if cover else len(_stream(blocks_)), dtype=bool)
+        texts.append(_main_text(mark, list(blocks_), *(cover or (nothing, nothing))))
+    return pd.DataFrame({"page_id": pages["page_id"].astype(object), "url": pages["url"].astype(object), "text": texts}, dtype=object)
+
+
 def _host_texts(run_tokens: int):
-    def of_shard(pages: pd.DataFrame) -> pd.DataFrame:
-        lists = [list(x) for x in pages["blocks"]]
-        streams = [" ".join(x).split(" ") if x else [] for x in lists]
+    """Texts of a host's pages."""
+    def of_host(pages: pd.DataFrame) -> pd.DataFrame:
+        streams = [_stream(x) for x in pages["blocks"]]
         first = {}
-        owner = [first.setdefault("\n".join(x), i) for i, x in enumerate(lists)]
+        owner = [first.setdefault("\n".join(x), i) for i, x in enumerate(pages["blocks"])]
         distinct = [i for i in sorted(set(owner)) if streams[i]]
         covered = {}
         if len(distinct) >= LEAST_PAGES:
-            number: dict[str, int] = {}
-            ids = [np.array([number.setdefault(w, len(number)) for w in streams[i]], dtype=np.int64) for i in distinct]
+            ids = _numbered([streams[i] for i in distinct])
             shares = [_covered(ids, run_tokens, max(3, share * len(distinct))) for share in (LOOSE_SHARE, MARKED_SHARE)]
             covered = dict(zip(distinct, zip(*shares, strict=True), strict=True))
-        texts = []
-        for i, (mark, blocks_) in enumerate(zip(pages["marked"], lists, strict=True)):
-            nothing = np.zeros(len(streams[i]), dtype=bool)
-            texts.append(_main_text(mark, blocks_, *covered.get(owner[i], (nothing, nothing))))
-        return pd.DataFrame({"page_id": pages["page_id"], "url": pages["url"], "text": texts})
+        return _texts(pages, [covered.get(i) for i in owner])
+
+    return of_host
+
+
+def _shard_runs(run_tokens: int):
+    """Runs that stand on the least share of a shard's distinct texts."""
+    def of_shard(texts: pd.DataFrame) -> pd.DataFrame:
+        streams = [_stream(x) for x in texts["blocks"]]
+        sizes, whole, rank, page = _ranked(_numbered(streams), run_tokens)
+        often, at = _shared(rank, page, len(streams), LOOSE_SHARE * len(streams)), np.cumsum(sizes) - sizes
+        known, one = np.unique(rank, return_index=True)
+        one = one[np.isin(known, often)]
+        runs = [" ".join(streams[p][k:k + run_tokens]) for p, k in zip(page[one], whole[one] - at[page[one]], strict=True)]
+        return pd.DataFrame({"host": [texts["host"].iloc[0]] * len(runs), "run": runs}, dtype=object)
+
+    return of_shard
+
+
+def _shard_texts(run_tokens: int):
+    """Texts of a shard's pages, given its host's common runs."""
+    def of_shard(pages: pd.DataFrame, runs: pd.DataFrame) -> pd.DataFrame:
+        streams = [_stream(x) for x in pages["blocks"]]
+        covers: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(streams)
+        full = [i for i, x in enumerate(streams) if x]
+        if len(runs) and full:
+            sizes, whole, rank, page = _ranked(_numbered([streams[i] for i in full] + [x.split(" ") for x in runs["run"]]), run_tokens)
+            named = page >= len(full)
+            very = np.concatenate([np.zeros(len(full), dtype=bool), runs["very"].to_numpy(dtype=bool)])
+            shares = [_spread(sizes, whole[~named & np.isin(rank, rank[which])], run_tokens)[:len(full)] for which in (named, very[page])]
+            for i, *cover in zip(full, *shares, strict=True):
+                covers[i] = tuple(cover)
+        return _texts(pages, covers)
 
     return of_shard
 
 
+def _common_runs(held: DataFrame, run_tokens: int, shard_pages: int) -> DataFrame:
+    """Runs that stand on the least share of a host's distinct texts: host, run, and whether on the larger share."""
+    stream = held.filter(F.size("blocks") > 0)
+    sizes = written(stream.groupBy("host").agg(F.count_distinct("digest").alias("texts")).filter(F.col("texts") >= LEAST_PAGES), "host-texts")
+    shard = F.pmod(F.xxhash64("digest"), F.ceil(F.col("texts") / shard_pages))
+    dealt = stream.join(checked(sizes), "host").select("host", shard.alias("shard"), "digest", "blocks").repartition("host", "shard")
+    texts = dealt.groupBy("host", "shard", "digest").agg(F.any_value("blocks").alias("blocks"))
+    found = texts.groupBy("host", "shard").applyInPandas(_shard_runs(run_tokens), "host string, run string").distinct()
+    found = checked(written(found.withColumn("no", F.monotonically_increasing_id()), "host-runs"))
+    words, last = F.split(F.array_join("blocks", " "), " ", -1), F.size("words") - run_tokens
+    windows = F.transform(F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice("words", i + 1, run_tokens), " "))
+    met = stream.select("host", "digest", words.alias("words")).filter(last >= 0).select("host", "digest", F.explode(F.array_distinct(windows)).alias("run"))
+    counts = met.join(found, ["host", "run"]).select("no", "digest").distinct().groupBy("no").agg(F.count(F.lit(1)).alias("on"))
+    known = found.join(checked(written(counts, "host-run-counts")), "no").join(checked(sizes), "host")
+    share = lambda least: F.col("on") >= F.greatest(F.lit(3.0), F.col("texts") * F.lit(least))
+    return known.filter(share(LOOSE_SHARE)).select("host", "run", share(MARKED_SHARE).alias("very"))
+
+
 def main_texts(pages: DataFrame, run_tokens: int = RUN_TOKENS, shard_pages: int = SHARD_PAGES) -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
@@ -265,11 +344,22 @@ def main_texts(pages: DataFrame, run_tokens: int = RUN_TOKENS, shard_pages: int
         for series in pages_:
             yield pd.DataFrame([candidates(x) for x in series], columns=["marked", "blocks"])
 
-    parsed = pages.select("page_id", "url", host.alias("host"), read(F.coalesce(F.col("html"), F.lit(""))).alias("r"))
-    parsed = parsed.select("page_id", "url", "host", "r.*")
+    def parsed(some: DataFrame, *more: str) -> DataFrame:
+        # The id passes through pandas as text, which keeps large and null ones as they are.
+        rows = some.select(F.col("page_id").cast("string").alias("page_id"), "url", "host", *more, read("html").alias("r"))
+        return rows.select("page_id", "url", "host", *more, "r.*")
+
     large = written(pages.select(host.alias("host")).groupBy("host").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") > shard_pages), "large-hosts")
-    shard = F.when(F.col("pages").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("page_id", "url"), F.ceil(F.col("pages") / shard_pages)))
-    # The id passes through pandas as text, which keeps large and null ones as they are.
-    dealt = parsed.join(checked(large), "host", "left").withColumn("shard", shard).withColumn("page_id", F.col("page_id").cast("string"))
-    texts = dealt.groupBy("host", "shard").applyInPandas(_host_texts(run_tokens), "page_id string, url string, text string")
+    counted = pages.select("page_id", "url", host.alias("host"), F.coalesce(F.col("html"), F.lit("")).alias("html")).join(checked(large), "host", "left")
+    schema = "page_id string, url string, text string"
+    texts = parsed(counted.filter(F.col("pages").isNull())).groupBy("host").applyInPandas(_host_texts(run_tokens), schema)
+    if not large.isEmpty():
+        held = parsed(counted.filter(F.col("pages").isNotNull()), "pages").withColumn("digest", F.unhex(F.md5(F.array_join("blocks", "\n"))))
+        held = written(held, "large-host-pages")
+        shards = F.ceil(F.col("pages") / shard_pages)
+        dealt = held.drop("digest").withColumn("shard", F.pmod(F.xxhash64("page_id", "url"), shards)).drop("pages")
+        runs = _common_runs(held, run_tokens, shard_pages).join(checked(large), "host")
+        runs = runs.select("host", F.explode(F.sequence(F.lit(0).cast("bigint"), shards - 1)).alias("shard"), "run", "very")
+        both = dealt.groupBy("host", "shard").cogroup(runs.groupBy("host", "shard"))
+        texts = texts.unionByName(both.applyInPandas(_shard_texts(run_tokens), schema))
     return texts.select(F.col("page_id").cast(pages.schema["page_id"].dataType), "url", "text", F.length("text").cast("bigint").alias("n_chars"))

@@ -110,3 +110,14 @@ def test_odd_rows(spark):
     assert got == sorted([(None, None, "", 0), (big, None, "x", 1), (big, None, "x", 1), (2, "::", "", 0), (3, "http://u@h:1/", "", 0),
                           (4, "http://h/", ("w " * 200_000).strip(), 399_999)], key=repr)
     assert html_text.main_texts(spark.createDataFrame([], PAGE)).count() == 0
+
+
+def test_shares_are_those_of_the_whole_host(spark):
+    often, seldom = "this box stands on every fourth page of the large host", "this line stands on every eighth page of the large host"
+    own = [" ".join(f"page{i} word{k % 17}" for k in range(12)) for i in range(96)]
+    boxes = [f"<p>{often}</p>" * (i % 4 == 0) + f"<p>{seldom}</p>" * (i % 8 == 1) for i in range(96)]
+    rows = [(i, f"http://h.example/{i}", f"<div>{boxes[i]}<p>{own[i]}</p></div>") for i in range(96)]
+    rows += [(96 + i, f"http://h.example/copy{i}", f"<div><p>{own[95]}</p></div>") for i in range(200)]  # copies of a page count once
+    got = {r.page_id: r.text for r in html_text.main_texts(pages_of(spark, rows), shard_pages=8).collect()}
+    want = {i: f"{seldom} {t}" if i % 8 == 1 else t for i, t in enumerate(own)}
+    assert got == {**want, **{96 + i: own[95] for i in range(200)}}
