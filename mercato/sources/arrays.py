@@ -22,12 +22,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .scratch import written
+
 _BLOCK = ["file", "block"]
 
 
 def _depth(text: Column) -> Column:
     """Opened less closed brackets."""
-    return F.length(F.regexp_replace(text, r"[^\[{]", "")) - F.length(F.regexp_replace(text, r"[^\]}]", ""))
+    return F.length(F.translate(text, "]}", "")) - F.length(F.translate(text, "[{", ""))
 
 
 def _fragments(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -48,7 +50,8 @@ def _pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """file, file_name, piece, text: the text between two element ends, without the array's brackets and commas."""
     inside = Window.partitionBy(*_BLOCK).orderBy("id")
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
-    parts = _fragments(spark, path).withColumn("_odd", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2)
+    # Written, as the blocks' sums and the pieces both read them.
+    parts = written(_fragments(spark, path), "array-fragments").withColumn("_odd", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2)
     # as seen from the block's start, begun outside (s0) or inside (s1) a string
     same, other = F.when(F.col("_odd") == 0, F.col("d0")).otherwise(F.col("d1")), F.when(F.col("_odd") == 0, F.col("d1")).otherwise(F.col("d0"))
     parts = parts.withColumn("_s0", same).withColumn("_s1", other)
@@ -84,7 +87,10 @@ _RUN = 4096
 def split_array_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``raw``, ``file_name`` and ``row_number`` of the elements of one-array JSON files, as ``raw.array_records`` gives them."""
     elements = F.from_json(F.concat(F.lit("["), "text", F.lit("]")), "array<variant>")
-    parsed = _pieces(spark, path).withColumn("elements", elements).withColumn("n", F.coalesce(F.size("elements"), F.lit(1)))
+    # Parsed once and written, as numbering and the records both read them.
+    texts = F.transform(elements, lambda e: F.to_json(e)).alias("elements")
+    parsed = written(_pieces(spark, path).select("file", "file_name", "piece", texts), "array-pieces")
+    parsed = parsed.withColumn("n", F.coalesce(F.size("elements"), F.lit(1)))
     # Numbers run over a file: counted in runs of pieces, then over the runs. Only counts move.
     counts = parsed.select("file", "piece", "n", F.floor(F.col("piece") / _RUN).alias("run"))
     runs = counts.groupBy("file", "run").agg(F.sum("n").alias("run_n"))
@@ -95,4 +101,4 @@ def split_array_records(spark: SparkSession, path: str | list[str]) -> DataFrame
     starts = starts.select("file", "piece", (F.col("own") + F.col("run_from")).alias("start"))
     kept = parsed.filter(F.col("elements").isNull() | (F.size("elements") > 0)).join(starts, ["file", "piece"])
     return kept.select("file_name", "start", F.posexplode_outer("elements").alias("at", "element")).select(
-        F.to_json("element").alias("raw"), "file_name", (F.col("start") + F.coalesce("at", F.lit(0))).cast("int").alias("row_number"))
+        F.col("element").alias("raw"), "file_name", (F.col("start") + F.coalesce("at", F.lit(0))).cast("int").alias("row_number"))
