@@ -95,12 +95,13 @@ def _numbered(rows: DataFrame) -> DataFrame:
 
     Ids rise along a block of a file. Blocks are counted in a first pass (one small row
     per block), and a record's number is its place in the block plus the blocks before.
+    Blocks are broadcast: they are the scan's own splits, which the driver lists to plan it.
     """
     rows = rows.withColumn("_id", F.monotonically_increasing_id())
     blocks = rows.groupBy("_file", "_block").agg(F.min("_id").alias("_low"), F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_low")).drop("_low", "_n")
-    return rows.join(blocks, ["_file", "_block"]).select("raw", "file_name", (F.col("_id") + F.col("_start")).cast("int").alias("row_number"))
+    return rows.join(F.broadcast(blocks), ["_file", "_block"]).select("raw", "file_name", (F.col("_id") + F.col("_start")).cast("int").alias("row_number"))
 
 
 def array_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
