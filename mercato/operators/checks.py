@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.metrics import ratio
+from ..sources.scratch import written
 
 
 def grain(df: DataFrame, keys: Sequence[str], required: Sequence[str] = ()) -> DataFrame:
@@ -111,14 +112,14 @@ def exact_profile(df: DataFrame, columns: Sequence[str], width: int = 1000) -> D
     Quartiles interpolate like ``percentile``, but that aggregate would gather every
     distinct value in one buffer. Here values are counted per bucket of ``width``
     units, the buckets holding the wanted ranks are found from running totals, and
-    only those buckets are opened, each in its own task group.
+    only those buckets are opened, each in its own task group. The counted values are
+    written, so ``df`` is computed once.
     """
     pairs = [F.struct(F.lit(c).alias("metric"), F.col(c).cast("decimal(20,2)").alias("x")) for c in columns]
-    values = (
+    values = written(
         df.select(F.inline(F.array(*pairs))).filter(F.col("x").isNotNull())
         .groupBy("metric", "x").agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("bucket", F.floor(F.col("x") / width).cast("bigint"))
-    )
+        .withColumn("bucket", F.floor(F.col("x") / width).cast("bigint")), "profile-values")
     x, n = F.col("x"), F.col("n")
     basics = values.groupBy("metric").agg(
         F.sum("n").alias("count"),
