@@ -96,12 +96,13 @@ def segments(
 
     edges = spans.select("*", F.explode(F.array("_start", "_end")).alias("_first")).filter(F.col("_first").isNotNull())
     of_key = Window.partitionBy("_key")
-    edges = edges.withColumn("_no", F.dense_rank().over(of_key.orderBy("_first")) - 1)
-    following = of_key.orderBy("_no").rangeBetween(1, 1)
-    edges = edges.withColumn("_until", F.min("_first").over(following)).withColumn("_count", F.max("_no").over(of_key) + 1)
+    in_order = of_key.orderBy("_first")
+    # Only distinct borders are numbered: on days, a key has no more than the calendar.
+    ranges = edges.select("_key", "_first").distinct().select(
+        "_key", "_first", F.lead("_first").over(in_order).alias("_until"),
+        (F.row_number().over(in_order) - 1).alias("_no"), F.count(F.lit(1)).over(of_key).cast("int").alias("_count"))
 
-    ranges = edges.groupBy("_key", "_first").agg(F.first("_until").alias("_until"), F.first("_no").alias("_no"), F.first("_count").alias("_count"))
-    runs = edges.groupBy("_key", "_start", "_end").agg(
+    runs = edges.join(ranges.drop("_until"), ["_key", "_first"]).groupBy("_key", "_start", "_end").agg(
         F.max("_best").alias("_best"),
         F.max(F.when(F.col("_first") == F.col("_start"), F.col("_no"))).alias("_lo"),
         F.coalesce(F.max(F.when(F.col("_first") == F.col("_end"), F.col("_no"))), F.max("_count")).alias("_hi"),
