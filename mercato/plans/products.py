@@ -58,10 +58,9 @@ def product_refund_daily(items: DataFrame, orders360: DataFrame) -> DataFrame:
 
 
 def _order_promotions_once(promotions: DataFrame) -> DataFrame:
-    """Distinct (order, promotion) with one marked row per order."""
-    once = promotions.filter(F.col("promotion_id").isNotNull()).select("order_id", "promotion_id").repartition("order_id").distinct()
-    lowest = F.min("promotion_id").over(Window.partitionBy("order_id"))
-    return once.withColumn("carries", F.col("promotion_id") == lowest)
+    """Per order, its distinct promotions."""
+    once = promotions.filter(F.col("promotion_id").isNotNull()).select("order_id", "promotion_id").repartition("order_id")
+    return once.groupBy("order_id").agg(F.array_sort(F.collect_set("promotion_id")).alias("promotions"))
 
 
 def product_promo_daily(items: DataFrame, orders360: DataFrame, promotions: DataFrame) -> DataFrame:
@@ -77,22 +76,21 @@ def product_promo_daily(items: DataFrame, orders360: DataFrame, promotions: Data
 def product_measures_daily(items: DataFrame, orders360: DataFrame, promotions: DataFrame) -> DataFrame:
     """All sales measures in one pass over the items.
 
-    An order with several promotions repeats its (order, product) row; only the row
-    marked ``carries`` brings the amounts, so nothing is counted twice and the items
-    are scanned and shuffled once instead of once per measure.
+    An order's promotions stay one array, so its lines are not multiplied by them. A product
+    day keeps each different array once, before the shuffle too, and counts what they hold.
     """
     rows = sold(items, orders360).join(_order_promotions_once(promotions), "order_id", "left")
-    carries = F.coalesce("carries", F.lit(True))
-    refunded = carries & F.col("refunded")
-    return rows.groupBy(*GRAIN).agg(
-        m.sum_if(carries, "units").alias("units_sold"),
-        F.count_if(carries).alias("order_count"),
-        m.sum_if(carries, "gross").alias("gross_revenue"),
-        m.sum_if(carries, "discount").alias("discount_amount"),
+    refunded = F.col("refunded")
+    sums = rows.groupBy(*GRAIN).agg(
+        F.sum("units").alias("units_sold"),
+        F.count(F.lit(1)).alias("order_count"),
+        F.sum("gross").alias("gross_revenue"),
+        F.sum("discount").alias("discount_amount"),
         m.sum_if(refunded, "units").alias("refunded_units"),
         m.sum_if(refunded, "gross").alias("refund_amount"),
-        F.count_distinct("promotion_id").alias("promotion_count"),
+        F.collect_set("promotions").alias("_sets"),
     )
+    return sums.withColumn("promotion_count", F.size(F.array_distinct(F.flatten("_sets"))).cast("bigint")).drop("_sets")
 
 
 def product_inventory_daily(snapshots: DataFrame) -> DataFrame:
