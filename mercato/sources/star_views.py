@@ -13,7 +13,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import apply_settings
+from ..session import apply_settings, deal_by_size
 
 # Declared, so that no job is started to infer a schema.
 TABLES = {
@@ -35,6 +35,7 @@ class StarViews:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = apply_settings(spark)
         self.folder = folder
+        deal_by_size(spark, [f"{folder}/{name}.parquet" for name in TABLES])
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
