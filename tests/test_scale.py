@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 from mercato import session
 from mercato.operators import checks as c
 from mercato.operators.versions import segments
-from mercato.plans import products
+from mercato.plans import checks, products
 from mercato.sources import arrays, raw
 from mercato.sources.star_views import StarViews
 
 _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_LEAST = "spark.sql.adaptive.coalescePartitions.minPartitionNum"
 
 
 def plan(df):
@@ -19,7 +20,7 @@ def plan(df):
 
 @pytest.fixture
 def kept_settings(spark):
-    before = {k: spark.conf.get(k, None) for k in (_INITIAL, "spark.sql.autoBroadcastJoinThreshold")}
+    before = {k: spark.conf.get(k, None) for k in (_INITIAL, _LEAST, "spark.sql.autoBroadcastJoinThreshold")}
     yield
     for key, value in before.items():
         spark.conf.unset(key) if value is None else spark.conf.set(key, value)
@@ -37,6 +38,27 @@ def test_shuffles_begin_with_a_partition_for_every_few_bytes_of_input(spark, tmp
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
 
 
+def test_partitions_are_not_joined_up_and_scans_are_cut(spark, tmp_path, monkeypatch, kept_settings):
+    """A task's share of a large shuffle, or of a large table, is that of a small one."""
+    spark.range(20_000).select(F.col("id").alias("o_orderkey")).write.parquet(f"{tmp_path}/orders.parquet")
+    monkeypatch.setattr(session, "_INPUT_BYTES", 2000)
+    StarViews(spark, str(tmp_path))
+    assert spark.conf.get(_LEAST) == spark.conf.get(_INITIAL)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "16m"
+
+
+def test_a_trace_finds_the_wanted_orders_once(spark):
+    wanted = spark.createDataFrame([("a",), ("a",), (None,), ("z",)], "order_id string")
+    columns = "order_id string, event_id string, event_type string, occurred_at_utc string"
+    paid = spark.createDataFrame([("a", "1", "x", "t"), ("a", "1", "x", "t"), ("b", "2", "x", "t"), (None, "3", "x", "t")], columns)
+    back = spark.createDataFrame([("z", "4", "y", "t"), ("c", "5", "y", "t")], columns)
+    found = checks.event_trace(wanted, payment=paid, refund=paid.limit(0), **{"return": back})
+    assert plan(found).count("Join ") == 1
+    assert found.columns == ["order_id", "source", "event_id", "event_type", "occurred_at_utc", "amount"]
+    got = sorted((r["order_id"], r["source"], r["event_id"]) for r in found.collect())
+    assert got == [("a", "payment", "1"), ("a", "payment", "1"), ("z", "return", "4")]
+
+
 def test_only_distinct_borders_of_versions_are_numbered(spark):
     rows = [("k", f"2000-01-{1 + i % 5:02d}", f"2000-02-{1 + i % 7:02d}", f"{i:04d}") for i in range(300)]
     versions = spark.createDataFrame(rows, "id string, valid_from_utc string, valid_to_utc string, source_row_id string")
