@@ -21,6 +21,7 @@ whole host. Its distinct texts are dealt into shards with a suffix array each; a
 share of the host's texts has at least that share of some shard's, so the runs that have
 it in their shard are all there can be. They are counted over the whole host, and the ones
 that keep the share are marked on every page, again shard by shard.
+Only hosts with such runs are counted and marked; all other texts are whole already.
 
 Defined cases: null html is empty; an empty page has empty text and 0 characters; a null
 or odd url makes the host ""; hosts with fewer than ``LEAST_PAGES`` distinct pages are
@@ -33,6 +34,7 @@ from __future__ import annotations
 
 import html
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +49,7 @@ SHARD_PAGES = 256
 LEAST_PAGES = 5
 LOOSE_SHARE = 0.2
 MARKED_SHARE = 0.6
+PACKED = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9"}
 
 PROSE_WORDS = 12  # a block of as many words is prose
 
@@ -288,7 +291,7 @@ def _host_texts(run_tokens: int):
 def _shard_runs(run_tokens: int):
     """Runs that stand on the least share of a shard's distinct texts."""
     def of_shard(texts: pd.DataFrame) -> pd.DataFrame:
-        streams = [_stream(x) for x in texts["blocks"]]
+        streams = [zlib.decompress(x).decode().split(" ") for x in texts["packed"]]
         sizes, whole, rank, page = _ranked(_numbered(streams), run_tokens)
         often, at = _shared(rank, page, len(streams), LOOSE_SHARE * len(streams)), np.cumsum(sizes) - sizes
         known, one = np.unique(rank, return_index=True)
@@ -317,18 +320,24 @@ def _shard_texts(run_tokens: int):
     return of_shard
 
 
+def _packed(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda x: zlib.compress(x.encode()))
+
+
 def _common_runs(held: DataFrame, run_tokens: int, shard_pages: int) -> DataFrame:
     """Runs that stand on the least share of a host's distinct texts: host, run, and whether on the larger share."""
     stream = held.filter(F.size("blocks") > 0)
     sizes = written(stream.groupBy("host").agg(F.count_distinct("digest").alias("texts")).filter(F.col("texts") >= LEAST_PAGES), "host-texts")
     shard = F.pmod(F.xxhash64("digest"), F.ceil(F.col("texts") / shard_pages))
-    dealt = stream.join(checked(sizes), "host").select("host", shard.alias("shard"), "digest", "blocks").repartition("host", "shard")
-    texts = dealt.groupBy("host", "shard", "digest").agg(F.any_value("blocks").alias("blocks"))
+    pack = F.pandas_udf(_packed, "binary")(F.array_join("blocks", " ")).alias("packed")  # packed texts take less of the disks they cross
+    dealt = stream.join(checked(sizes), "host").select("host", shard.alias("shard"), "digest", pack).repartition("host", "shard")
+    texts = dealt.groupBy("host", "shard", "digest").agg(F.any_value("packed").alias("packed"))
     found = texts.groupBy("host", "shard").applyInPandas(_shard_runs(run_tokens), "host string, run string").distinct()
     found = checked(written(found.withColumn("no", F.monotonically_increasing_id()), "host-runs"))
     words, last = F.split(F.array_join("blocks", " "), " ", -1), F.size("words") - run_tokens
     windows = F.transform(F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice("words", i + 1, run_tokens), " "))
-    met = stream.select("host", "digest", words.alias("words")).filter(last >= 0).select("host", "digest", F.explode(F.array_distinct(windows)).alias("run"))
+    asked = stream.join(checked(written(found.select("host").distinct(), "run-hosts")), "host", "left_semi")
+    met = asked.select("host", "digest", words.alias("words")).filter(last >= 0).select("host", "digest", F.explode(F.array_distinct(windows)).alias("run"))
     counts = met.join(found, ["host", "run"]).select("no", "digest").distinct().groupBy("no").agg(F.count(F.lit(1)).alias("on"))
     known = found.join(checked(written(counts, "host-run-counts")), "no").join(checked(sizes), "host")
     share = lambda least: F.col("on") >= F.greatest(F.lit(3.0), F.col("texts") * F.lit(least))
@@ -355,10 +364,15 @@ def main_texts(pages: DataFrame, run_tokens: int = RUN_TOKENS, shard_pages: int
     texts = parsed(counted.filter(F.col("pages").isNull())).groupBy("host").applyInPandas(_host_texts(run_tokens), schema)
     if not large.isEmpty():
         held = parsed(counted.filter(F.col("pages").isNotNull()), "pages").withColumn("digest", F.unhex(F.md5(F.array_join("blocks", "\n"))))
-        held = written(held, "large-host-pages")
+        held = written(held, "large-host-pages", **PACKED)  # stands on disk beside the shuffle of the texts
+        common = written(_common_runs(held, run_tokens, shard_pages), "common-runs")
+        named = checked(written(common.select("host").distinct(), "common-run-hosts"))
+        # Without common runs in its host a page's text is whole where it stands, and need not move.
+        whole = held.join(named, "host", "left_anti")
+        texts = texts.unionByName(whole.select("page_id", "url", F.array_join("blocks", " ").alias("text")))
         shards = F.ceil(F.col("pages") / shard_pages)
-        dealt = held.drop("digest").withColumn("shard", F.pmod(F.xxhash64("page_id", "url"), shards)).drop("pages")
-        runs = _common_runs(held, run_tokens, shard_pages).join(checked(large), "host")
+        dealt = held.join(named, "host", "left_semi").drop("digest").withColumn("shard", F.pmod(F.xxhash64("page_id", "url"), shards)).drop("pages")
+        runs = common.join(checked(large), "host")
         runs = runs.select("host", F.explode(F.sequence(F.lit(0).cast("bigint"), shards - 1)).alias("shard"), "run", "very")
         both = dealt.groupBy("host", "shard").cogroup(runs.groupBy("host", "shard"))
         texts = texts.unionByName(both.applyInPandas(_shard_texts(run_tokens), schema))

@@ -121,3 +121,17 @@ def test_shares_are_those_of_the_whole_host(spark):
     got = {r.page_id: r.text for r in html_text.main_texts(pages_of(spark, rows), shard_pages=8).collect()}
     want = {i: f"{seldom} {t}" if i % 8 == 1 else t for i, t in enumerate(own)}
     assert got == {**want, **{96 + i: own[95] for i in range(200)}}
+
+
+def test_hosts_without_common_runs_are_not_dealt_again(spark, monkeypatch):
+    """op1_html: the pages of a large host move a second time only if it has common runs."""
+    def unwanted(_):
+        def of_shard(pages, runs):
+            raise AssertionError("a host without common runs was dealt again")
+        return of_shard
+
+    monkeypatch.setattr(html_text, "_shard_texts", unwanted)
+    words = [" ".join(f"w{i}x{k}" for k in range(20)) for i in range(40)]
+    rows = [(i, f"http://h.org/{i}", f"<body><p>{words[i]}</p><p>b{i}</p></body>") for i in range(40)] + [(40, "http://h.org/e", None)]
+    got = {r.page_id: r.text for r in html_text.main_texts(pages_of(spark, rows), shard_pages=8).collect()}
+    assert got == {**{i: f"{words[i]} b{i}" for i in range(40)}, 40: ""}
