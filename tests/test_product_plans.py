@@ -63,7 +63,8 @@ def test_versions_are_not_broadcast_by_the_size_of_their_file(spark, tmp_path):
     versions = [("p1", "a", "2026-01-01", None), ("p1", "b", "2026-06-01", "2026-08-01"), ("p2", "c", "2026-08-01", None)]
     columns = ("product_id", "category_name", "valid_from_utc", "valid_to_utc")
     categories = make(spark, "categories", *[dict(zip(columns, v)) | {"source_row_id": "s"} for v in versions])
-    found = products.category_on_snapshot_days(stock, categories)
+    categories.write.parquet(f"{tmp_path}/categories")
+    found = products.category_on_snapshot_days(stock, spark.read.parquet(f"{tmp_path}/categories"))
     assert "Broadcast" not in plan(found, "executedPlan")
     assert {tuple(r) for r in found.collect()} == {("p1", DAY, "a"), ("p1", DAY, "b"), ("p2", DAY, None)}
 
