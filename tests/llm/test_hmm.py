@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from llm_samples import DOC, frame, odd_rows, prose, with_clashes
 
@@ -135,3 +136,36 @@ def test_two_rounds_of_three_states_equal_one_machine(spark, monkeypatch, fan_in
     weights = np.concatenate([emit, np.full((1, states), hmm.SMOOTH)]) / (emit.sum(axis=0) + 4 * hmm.SMOOTH)
     want = hmm.Model(start, move, weights).forward([np.array([number.get(t, len(counts)) for t in tokens(r[1])]) for r in rows])
     assert [got[r[0]] for r in rows] == pytest.approx(list(want), rel=1e-5)
+
+
+def test_packed_numbers_come_back():
+    rng = np.random.default_rng(3)
+    for numbers in (np.empty(0, "<i4"), np.arange(1, dtype="<i4"), rng.integers(0, 300, 5000).astype("<i4"), rng.random((700, 6)).astype("<f4")):
+        packed = hmm._pack(numbers)
+        assert np.array_equal(hmm._unpack(packed, numbers.dtype), numbers.ravel())
+    assert len(hmm._pack(rng.integers(0, 300, 5000).astype("<i4"))) < 8000
+
+
+def test_a_team_of_blocks_leaves_one_sum():
+    """Blocks that one task goes through send their counts together, and nothing is lost by that."""
+    frequent, states = {b"a": 0, b"b": 1}, 2
+    blocks, words = [], []
+    for number, text in enumerate(["a x b x", "b y x z", "a a y"]):
+        block = hmm._Block(False)
+        block.add(str(number), text, frequent)
+        blocks.append(block.row(len(frequent)).assign(block=number, n_words=len(block.others)))
+        for word, code in block.others.items():
+            no = b"xyz".index(word)
+            words.append((number, code - len(frequent) - 1, no, 1 if word == b"z" else 2, 1.0 + no, 2.0))
+    words = pd.DataFrame(words, columns=["block", "at", "word_no", "n", "w0", "w1"])
+    frequent_weights = np.array([[3.0, 2.0], [2.0, 2.5], [3.0, 3.0]])
+    sent = (np.array([0.5, 0.5]), np.array([[0.8, 0.2], [0.3, 0.7]]), frequent_weights, np.array([30.0, 31.0]))
+    expect, size = hmm._expectations(sent), len(frequent_weights) + 2 + states
+    whole = expect(pd.concat(blocks), words)
+    apart = [expect(b, words[words["block"] == k]) for k, b in enumerate(blocks)]
+    assert whole["few"].notna().sum() == 1 and len(whole) == len(blocks) + 2  # a row per block, and one each for x and y
+    held = lambda rows: rows[rows["few"].notna()]
+    assert np.allclose(hmm._added(held(whole), size, states), hmm._added(pd.concat([held(a) for a in apart]), size, states), rtol=1e-6)
+    counts = lambda rows: rows[rows["word_no"] >= 0].groupby("word_no")[["w0", "w1"]].sum()
+    assert np.allclose(counts(whole), counts(pd.concat(apart)), rtol=1e-6)
+    assert [hmm._unpack(x, "<f4").size // states for x in whole["once"].dropna()] == [0, 1, 0]
