@@ -147,6 +147,33 @@ def version_on_day(days: DataFrame, versions: DataFrame, key: str, day: str, tak
     return _lookup(days, segments(versions, key, take, **columns), key, day, take)
 
 
+# A key's days are dealt over so many tasks, by year in turn.
+_TURNS = 4
+
+
+def turn_of(day: str | Column) -> Column:
+    """The turn a day's year takes; NULL for NULL."""
+    return F.pmod(F.year(day), F.lit(_TURNS))
+
+
+def in_turns(ranges: DataFrame, start: str, end: str, name: str) -> DataFrame:
+    """A copy of each range of days ``[start, end)`` for each turn its days have, at most one a turn; empty ranges go."""
+    first, last = F.year(start), F.year(F.date_sub(end, 1))
+    years = F.sequence(first, F.least(last, first + F.lit(_TURNS - 1)))  # least leaves out the NULL of an open end
+    standing = ranges.filter(F.col(start).isNotNull() & (F.col(end).isNull() | (F.col(start) < F.col(end))))
+    return standing.withColumn(name, F.explode(years)).withColumn(name, F.pmod(name, F.lit(_TURNS)))
+
+
+def version_on_dealt_day(
+    days: DataFrame, versions: DataFrame, key: str, day: str, turn: str, take: Sequence[str], **columns: str
+) -> DataFrame:
+    """As ``version_on_day``, for rows that are in partitions by key and turn: only versions move, a copy to each turn."""
+    ranges = in_turns(segments(versions, key, take, **columns), "_first", "_until", "_turn_of_range")
+    fits = (F.col(key) == F.col("_key")) & (F.col(turn) == F.col("_turn_of_range")) & in_force(F.col(day), F.col("_first"), F.col("_until"))
+    # Hashed, so that the days are not sorted for it.
+    return days.join(ranges.hint("shuffle_hash"), fits, "left").select(*days.columns, *take)
+
+
 def version_at(facts: DataFrame, versions: DataFrame, key: str, at: str, take: Sequence[str], **columns: str) -> DataFrame:
     """Left join each fact to the one version of its key in force at its instant.
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import metrics as m
-from ..operators.versions import in_force, latest_by, segments, version_on_day
+from ..operators.versions import in_force, latest_by, segments, turn_of, version_on_day, version_on_dealt_day
 
 GRAIN = ["product_id", "metric_date"]
 
@@ -120,6 +120,13 @@ def category_versions(categories: DataFrame) -> DataFrame:
     return latest_by(categories, ["product_id", "valid_from_utc"], newest=["source_row_id"])
 
 
+def _dated_versions(categories: DataFrame) -> DataFrame:
+    return category_versions(categories).select(
+        F.col("product_id").alias("_key"), F.to_date("valid_from_utc").alias("_start"),
+        F.to_date("valid_to_utc").alias("_end"), "category_name",
+    )
+
+
 def product_grid(items: DataFrame, orders360: DataFrame, snapshots: DataFrame) -> DataFrame:
     """Product days with a snapshot or a sale."""
     sales = (
@@ -154,15 +161,26 @@ def last_line_under_way(lines: DataFrame, orders: DataFrame) -> DataFrame:
 def category_on_snapshot_days(snapshots: DataFrame, categories: DataFrame) -> DataFrame:
     """As first written: snapshot days only, and overlapping versions give several rows."""
     days = product_inventory_daily(snapshots).select(*GRAIN)
-    versions = category_versions(categories).select(
-        F.col("product_id").alias("_key"), F.to_date("valid_from_utc").alias("_start"),
-        F.to_date("valid_to_utc").alias("_end"), "category_name",
-    )
+    versions = _dated_versions(categories)
     matches = (F.col("product_id") == F.col("_key")) & in_force(F.col("metric_date"), F.col("_start"), F.col("_end"))
     # Shuffled: the planner would broadcast by the size of the file, which says little of the versions made from it.
     return days.join(versions.hint("shuffle_hash"), matches, "left").select(*GRAIN, "category_name")
 
 
+def _day_measures() -> list:
+    return [
+        m.or_zero("units_sold").alias("units_sold"),
+        m.or_zero("order_count").alias("order_count"),
+        m.or_zero("gross_revenue").alias("gross_revenue"),
+        (m.or_zero("gross_revenue") - m.or_zero("discount_amount") - m.or_zero("refund_amount")).alias("net_revenue"),
+        m.or_zero("refunded_units").alias("refunded_units"),
+        F.col("available_inventory"),
+        F.col("reserved_inventory"),
+        m.stockout().alias("stockout_flag"),
+        m.or_zero("promotion_count").alias("promotion_count"),
+    ]
+
+
 def product_day_facts(items: DataFrame, orders360: DataFrame, promotions: DataFrame, snapshots: DataFrame) -> DataFrame:
     """product_daily without the category: measures full-joined with stock.
 
@@ -174,26 +192,53 @@ def product_day_facts(items: DataFrame, orders360: DataFrame, promotions: DataFr
     stock = product_inventory_daily(snapshots).withColumn("_counted", F.lit(True))
     same_day = [F.col(c) == F.col(f"_{c}") for c in GRAIN]
     return stock.join(measures.hint("shuffle_hash"), same_day, "full").select(
-        *[F.when(F.col("_counted").isNotNull(), F.col(c)).otherwise(F.col(f"_{c}")).alias(c) for c in GRAIN],
-        m.or_zero("units_sold").alias("units_sold"),
-        m.or_zero("order_count").alias("order_count"),
-        m.or_zero("gross_revenue").alias("gross_revenue"),
-        (m.or_zero("gross_revenue") - m.or_zero("discount_amount") - m.or_zero("refund_amount")).alias("net_revenue"),
-        m.or_zero("refunded_units").alias("refunded_units"),
-        "available_inventory",
-        "reserved_inventory",
-        m.stockout().alias("stockout_flag"),
-        m.or_zero("promotion_count").alias("promotion_count"),
+        *[F.when(F.col("_counted").isNotNull(), F.col(c)).otherwise(F.col(f"_{c}")).alias(c) for c in GRAIN], *_day_measures()
+    )
+
+
+def product_days_dealt(items: DataFrame, orders360: DataFrame, promotions: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """The rows of ``product_day_facts``, in partitions by product and ``_turn`` of the day, with ``_counted``.
+
+    Sales and stock counts are one feed that is dealt before anything is summed, so a product
+    day's sums, which are wider than what they sum, never move. As partitions do not depend on
+    the day itself, categories come to the days. An order's promotions travel as one string.
+    """
+    apart = F.transform("promotions", lambda x: F.replace(F.replace(x, F.lit("~"), F.lit("~0")), F.lit(","), F.lit("~1")))
+    joined = _order_promotions_once(promotions).withColumn("promotions", F.array_join(apart, ","))
+    sales = sold(items, orders360).join(joined, "order_id", "left").drop("order_id").withColumn("_counted", F.lit(False))
+    counts = snapshots.filter(F.col("product_id").isNotNull()).select(
+        "product_id", F.to_date("snapshot_date").alias("metric_date"), "available_quantity", "reserved_quantity", F.lit(True).alias("_counted"))
+    rows = sales.unionByName(counts, allowMissingColumns=True).withColumn("_turn", turn_of("metric_date")).repartition("product_id", "_turn")
+    # Without a date, sales and counts stay apart, as NULL is no day they share.
+    undated = F.when(F.col("metric_date").isNull(), F.col("_counted")).alias("_undated")
+    refunded = F.col("refunded")
+    days = rows.groupBy(*GRAIN, "_turn", undated).agg(
+        F.sum("units").alias("units_sold"),
+        F.count_if(~F.col("_counted")).alias("order_count"),
+        F.sum("gross").alias("gross_revenue"),
+        F.sum("discount").alias("discount_amount"),
+        m.sum_if(refunded, "units").alias("refunded_units"),
+        m.sum_if(refunded, "gross").alias("refund_amount"),
+        F.collect_set("promotions").alias("_sets"),
+        F.sum("available_quantity").alias("available_inventory"),
+        F.sum("reserved_quantity").alias("reserved_inventory"),
+        F.bool_or("_counted").alias("_counted"),
     )
+    ids = F.array_distinct(F.flatten(F.transform("_sets", lambda x: F.split(x, ","))))
+    return days.withColumn("promotion_count", F.size(ids).cast("bigint")).select(*GRAIN, *_day_measures(), "_turn", "_counted")
+
+
+def _with_category(days: DataFrame) -> DataFrame:
+    own = (*GRAIN, "active_category", "_turn", "_counted")
+    return days.select(*GRAIN, "active_category", *[c for c in days.columns if c not in own])
 
 
 def product_daily(
     items: DataFrame, orders360: DataFrame, promotions: DataFrame, snapshots: DataFrame, categories: DataFrame
 ) -> DataFrame:
-    facts = product_day_facts(items, orders360, promotions, snapshots)
-    return category_on_days(facts, categories).select(
-        *GRAIN, "active_category", *[c for c in facts.columns if c not in GRAIN]
-    )
+    days = product_days_dealt(items, orders360, promotions, snapshots)
+    known = version_on_dealt_day(days, categories, "product_id", "metric_date", "_turn", ["category_name"])
+    return _with_category(known.withColumnRenamed("category_name", "active_category"))
 
 
 def product_daily_as_first_written(
