@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import metrics as m
-from ..operators.versions import in_force, latest_by, segments, turn_of, version_on_day, version_on_dealt_day
+from ..operators.versions import in_force, in_turns, latest_by, segments, turn_of, version_on_day, version_on_dealt_day
 
 GRAIN = ["product_id", "metric_date"]
 
@@ -244,9 +244,10 @@ def product_daily(
 def product_daily_as_first_written(
     items: DataFrame, orders360: DataFrame, promotions: DataFrame, snapshots: DataFrame, categories: DataFrame
 ) -> DataFrame:
-    """Same measures, but the category is known on snapshot days only."""
-    facts = product_day_facts(items, orders360, promotions, snapshots)
-    category = category_on_snapshot_days(snapshots, categories).withColumnRenamed("category_name", "active_category")
-    return facts.join(category, GRAIN, "left").select(
-        *GRAIN, "active_category", *[c for c in facts.columns if c not in GRAIN]
-    )
+    """Same measures, but the category is known on snapshot days only, and overlapping versions give several rows."""
+    days = product_days_dealt(items, orders360, promotions, snapshots)
+    versions = in_turns(_dated_versions(categories), "_start", "_end", "_turn_of_range")
+    matches = (F.col("product_id") == F.col("_key")) & (F.col("_turn") == F.col("_turn_of_range")) & F.col("_counted") & in_force(
+        F.col("metric_date"), F.col("_start"), F.col("_end"))
+    known = days.join(versions.hint("shuffle_hash"), matches, "left").select(*days.columns, F.col("category_name").alias("active_category"))
+    return _with_category(known)
